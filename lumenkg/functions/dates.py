@@ -17,7 +17,9 @@ def parse_date(s) -> Column:
     """
     s = col(s)
     norm = F.regexp_replace(py_strip(s), "(?U)" + PY_WS_CLASS + "+", " ")
-    parsed = F.coalesce(*[F.try_to_timestamp(norm, F.lit(fmt)) for fmt in vocab.DATE_FORMATS_SPARK])
+    # a format is only tried on strings of its shape: failed parses are costly
+    parsed = F.coalesce(*[F.when(norm.rlike(shape), F.try_to_timestamp(norm, F.lit(fmt)))
+                          for fmt, shape in zip(vocab.DATE_FORMATS_SPARK, vocab.DATE_FORMAT_SHAPES)])
     return F.when(s.isNotNull() & (F.length(s) > 0), parsed)
 
 

@@ -12,30 +12,51 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
-from .text import col
+from .text import col, ident, sql_str
+
+
+def term_hits_sql(text_lower_sql: str, terms, lower_terms: bool = True) -> str:
+    """SQL: terms (as spelled) whose (lower-cased) form occurs in the text."""
+    cases = ", ".join(
+        f"CASE WHEN contains({text_lower_sql}, {sql_str(t.lower() if lower_terms else t)}) THEN {sql_str(t)} END"
+        for t in terms)
+    return f"array_compact(array({cases}))"
 
 
 def term_hits(text_lower, terms, lower_terms: bool = True) -> Column:
     """Terms (as spelled) whose (lower-cased) form occurs in ``text_lower``.
 
+    ``text_lower`` is a column name (lower-cased text expected) or Column.
     ``lower_terms=False`` compares each term unlowered, which is the rule
     of the basic keyword list.
     """
-    t = col(text_lower)
+    if isinstance(text_lower, str):
+        return F.expr(term_hits_sql(ident(text_lower), terms, lower_terms))
+    t = text_lower
     hits = [F.when(t.contains(term.lower() if lower_terms else term), F.lit(term)) for term in terms]
     return F.array_compact(F.array(*hits))
 
 
+def _lower_sql(text) -> str | None:
+    return f"lower({ident(text)})" if isinstance(text, str) else None
+
+
+def _basic(text, terms, lower_terms) -> Column:
+    if isinstance(text, str):
+        return F.expr(term_hits_sql(f"lower({ident(text)})", terms, lower_terms))
+    return term_hits(F.lower(text), terms, lower_terms)
+
+
 def basic_organisms(text) -> Column:
-    return term_hits(F.lower(col(text)), vocab.BASIC_ORGANISMS)
+    return _basic(text, vocab.BASIC_ORGANISMS, True)
 
 
 def basic_keywords(text) -> Column:
-    return term_hits(F.lower(col(text)), vocab.BASIC_KEYWORDS, lower_terms=False)
+    return _basic(text, vocab.BASIC_KEYWORDS, False)
 
 
 def basic_conditions(text) -> Column:
-    return term_hits(F.lower(col(text)), vocab.BASIC_CONDITIONS, lower_terms=False)
+    return _basic(text, vocab.BASIC_CONDITIONS, False)
 
 
 def _java(pattern: str) -> Column:
@@ -84,11 +105,14 @@ def extract_entities(text, profile: str = "main", gazetteer_terms: dict[str, lis
              are not article fields.
     Lists keep discovery order and may hold repeats; callers dedup.
     """
+    g = gazetteer_terms or gazetteer(profile)
+    lower_sql = f"lower({ident(text)})" if isinstance(text, str) else None
     text = col(text)
     lower = F.lower(text)
-    g = gazetteer_terms or gazetteer(profile)
 
     def hits(cat):
+        if lower_sql is not None:
+            return F.expr(term_hits_sql(lower_sql, g.get(cat, []), lower_terms=False))
         return term_hits(lower, g.get(cat, []), lower_terms=False)
 
     genes, proteins, meas = gene_symbols(text), protein_names(text), measurements(text)

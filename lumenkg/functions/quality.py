@@ -9,76 +9,80 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, is_valid_url, non_empty, py_strip, truthy
+from .text import col, ident, is_valid_url, non_empty_sql, py_strip, truthy, truthy_sql
 
 
-def _w(cond: Column, weight: float) -> Column:
-    return F.when(F.coalesce(cond, F.lit(False)), F.lit(float(weight))).otherwise(F.lit(0.0))
+def _w(cond: str, weight: float) -> str:
+    return f"(CASE WHEN coalesce({cond}, false) THEN CAST({weight!r} AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)"
 
 
-def _longer(c, n: int) -> Column:
-    c = col(c)
-    return truthy(c) & (F.length(c) > n)
+def _longer(x: str, n: int) -> str:
+    return f"({truthy_sql(x)} AND length({x}) > {n})"
 
 
-def quality_score_of(article: Column, profile: str = "main") -> Column:
-    """Quality score over the fields of an article *struct* column."""
-    return quality_score(profile, get=lambda name: article[name])
-
-
-def quality_score(profile: str = "main", get=F.col) -> Column:
-    """Quality score of an ``articles`` row for the given rule set.
-
-    main   - cascade / validation rule
-    llm    - score of a model-extracted article
-    strict - points out of ten
-    """
+def quality_score_sql(profile: str = "main", get=ident) -> str:
+    """Quality score as one SQL expression; ``get(field)`` gives the SQL of
+    each article field (a column name by default)."""
     if profile == "main":
         parts = [
             _w(_longer(get("title"), 10), 0.3),
-            F.when(_longer(get("abstract"), 50), F.lit(0.3))
-             .when(_longer(get("full_text"), 100), F.lit(0.2)).otherwise(F.lit(0.0)),
-            _w(truthy(get("pmid")) | truthy(get("pmcid")), 0.1),
-            _w(truthy(get("doi")), 0.1),
-            _w(truthy(get("journal")), 0.1),
-            _w(non_empty(get("authors")), 0.1),
-            _w(non_empty(get("keywords")) | non_empty(get("organisms")), 0.1),
-            _w(get("llm_extracted") & (get("llm_confidence_score") > 0.7), 0.1),
+            f"(CASE WHEN {_longer(get('abstract'), 50)} THEN CAST(0.3 AS DOUBLE) "
+            f"WHEN {_longer(get('full_text'), 100)} THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)",
+            _w(f"({truthy_sql(get('pmid'))} OR {truthy_sql(get('pmcid'))})", 0.1),
+            _w(truthy_sql(get("doi")), 0.1),
+            _w(truthy_sql(get("journal")), 0.1),
+            _w(non_empty_sql(get("authors")), 0.1),
+            _w(f"({non_empty_sql(get('keywords'))} OR {non_empty_sql(get('organisms'))})", 0.1),
+            _w(f"({get('llm_extracted')} AND {get('llm_confidence_score')} > 0.7)", 0.1),
         ]
     elif profile == "llm":
-        n_entities = (
-            F.coalesce(F.size(get("keywords")), F.lit(0)) + F.coalesce(F.size(get("organisms")), F.lit(0))
-            + F.coalesce(F.size(get("genes")), F.lit(0)) + F.coalesce(F.size(get("conditions")), F.lit(0))
-        )
+        n = " + ".join(f"coalesce(size({get(k)}), 0)" for k in ("keywords", "organisms", "genes", "conditions"))
         parts = [
             _w(_longer(get("title"), 10), 0.2),
             _w(_longer(get("abstract"), 50), 0.3),
-            _w(truthy(get("journal")), 0.1),
-            _w(truthy(get("doi")), 0.1),
-            _w(non_empty(get("authors")), 0.1),
-            F.when(n_entities > 5, F.lit(0.15)).when(n_entities > 0, F.lit(0.1)).otherwise(F.lit(0.0)),
-            _w(get("llm_confidence_score") > 0.8, 0.05),
+            _w(truthy_sql(get("journal")), 0.1),
+            _w(truthy_sql(get("doi")), 0.1),
+            _w(non_empty_sql(get("authors")), 0.1),
+            f"(CASE WHEN ({n}) > 5 THEN CAST(0.15 AS DOUBLE) WHEN ({n}) > 0 THEN CAST(0.1 AS DOUBLE) "
+            f"ELSE CAST(0.0 AS DOUBLE) END)",
+            _w(f"({get('llm_confidence_score')} > 0.8)", 0.05),
         ]
     elif profile == "strict":
         parts = [
             _w(_longer(get("title"), 10), 1.0),
             _w(_longer(get("abstract"), 100), 2.0),
             _w(_longer(get("full_text"), 1000), 2.0),
-            _w(truthy(get("pmid")) | truthy(get("pmcid")), 1.0),
-            _w(truthy(get("doi")), 1.0),
-            _w(truthy(get("journal")), 1.0),
-            _w(get("publication_date").isNotNull(), 0.5),
-            _w(non_empty(get("authors")), 1.0),
-            _w(non_empty(get("keywords")) | non_empty(get("mesh_terms")), 0.5),
+            _w(f"({truthy_sql(get('pmid'))} OR {truthy_sql(get('pmcid'))})", 1.0),
+            _w(truthy_sql(get("doi")), 1.0),
+            _w(truthy_sql(get("journal")), 1.0),
+            _w(f"({get('publication_date')} IS NOT NULL)", 0.5),
+            _w(non_empty_sql(get("authors")), 1.0),
+            _w(f"({non_empty_sql(get('keywords'))} OR {non_empty_sql(get('mesh_terms'))})", 0.5),
         ]
     else:
         raise ValueError(f"unknown profile {profile!r}")
-    total = F.lit(0.0)
+    total = "CAST(0.0 AS DOUBLE)"
     for p in parts:
-        total = total + p
+        total = f"({total} + {p})"
     if profile == "strict":
-        total = total / F.lit(10.0)
-    return F.least(total, F.lit(1.0))
+        total = f"({total} / CAST(10.0 AS DOUBLE))"
+    return f"least({total}, CAST(1.0 AS DOUBLE))"
+
+
+def quality_score(profile: str = "main", get=ident) -> Column:
+    """Quality score of an ``articles`` row for the given rule set.
+
+    main   - cascade / validation rule
+    llm    - score of a model-extracted article
+    strict - points out of ten
+    Terms are added left to right in the fixed order.
+    """
+    return F.expr(quality_score_sql(profile, get))
+
+
+def quality_score_of(article: str, profile: str = "main") -> Column:
+    """Quality score over the fields of an article struct column (by name)."""
+    return quality_score(profile, get=lambda n: f"{ident(article)}.{ident(n)}")
 
 
 def is_valid(profile: str = "main", as_of=None) -> Column:

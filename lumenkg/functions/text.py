@@ -21,6 +21,23 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_str(s: str) -> str:
+    """Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def truthy_sql(x: str) -> str:
+    return f"({x} IS NOT NULL AND length({x}) > 0)"
+
+
+def non_empty_sql(x: str) -> str:
+    return f"(coalesce(size({x}), 0) > 0)"
+
+
 def py_strip(c) -> Column:
     """``str.strip()`` with Python's (Unicode) whitespace set."""
     return F.regexp_replace(col(c), _STRIP_RE, "")

@@ -112,6 +112,12 @@ NER_ROUTES = [
 # ---------------------------------------------------------------------------
 DATE_FORMATS_PY = ["%Y-%m-%d", "%Y/%m/%d", "%B %d, %Y", "%b %d, %Y", "%d %B %Y", "%d %b %Y", "%Y"]
 DATE_FORMATS_SPARK = ["yyyy-M-d", "yyyy/M/d", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy"]
+# Shape of a string each format can possibly accept (cheap pre-test)
+DATE_FORMAT_SHAPES = [
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$",
+    r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$", r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$",
+    r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", r"^[0-9]{4}$",
+]
 PUBLISHED_DATE_PATTERNS = [
     r"Published[:\s]+([A-Za-z]+\s+\d{1,2},?\s+\d{4})",
     r"(\d{4}-\d{2}-\d{2})",

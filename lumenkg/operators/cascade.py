@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.entities import basic_conditions, basic_keywords, basic_organisms
 from ..functions.quality import quality_score
-from ..functions.text import col, truthy
+from ..functions.text import col, ident, truthy
 from .articles import ARTICLE_FIELDS, ARTICLE_SCHEMA, LIST_FIELDS
 
 
@@ -27,45 +27,48 @@ def html_fallback_abstract(text) -> Column:
             .otherwise(F.coalesce(hit, F.concat(F.substring(text, 1, vocab.HTML_ABSTRACT_PREFIX), F.lit("...")))))
 
 
-def _default_of(name: str) -> Column:
-    f = ARTICLE_SCHEMA[name]
-    if name in ("quality_score", "llm_confidence_score"):
-        return F.lit(0.0)
-    if name == "llm_extracted":
-        return F.lit(False)
+_DEFAULT_SQL = {"quality_score": "CAST(0.0 AS DOUBLE)", "llm_confidence_score": "CAST(0.0 AS DOUBLE)",
+                "llm_extracted": "false"}
+
+
+def _default_sql(name: str) -> str:
+    if name in _DEFAULT_SQL:
+        return _DEFAULT_SQL[name]
     if name in LIST_FIELDS:
-        return F.array().cast(f.dataType)
-    return F.lit(None).cast(f.dataType)
+        return "CAST(array() AS ARRAY<STRING>)" if name != "authors" else "array()"
+    return "NULL"
 
 
 def add_candidate(df: DataFrame, prefix: str, fields: dict[str, Column], profile: str = "main") -> DataFrame:
     """Materialise one candidate article as flat ``<prefix><field>`` columns
     plus its quality score.  Flat columns keep expression trees small (the
     score reads plain column references, not re-inlined structs)."""
-    df = df.withColumns({prefix + k: v for k, v in fields.items()})
+    cols = {prefix + k: v for k, v in fields.items()}
 
     def get(name):
-        return F.col(prefix + name) if name in fields else _default_of(name)
+        return ident(prefix + name) if name in fields else _default_sql(name)
 
-    return df.withColumn(prefix + "quality_score", quality_score(profile, get=get))
+    return df.withColumns(cols).withColumn(prefix + "quality_score", quality_score(profile, get=get))
 
 
-def html_candidate_fields(text: Column) -> dict[str, Column]:
+def html_candidate_fields(text_name: str) -> dict[str, Column]:
     """P7 fields from page text (organisms, keywords, conditions as sets)."""
+    text = F.col(text_name)
     return {
         "abstract": html_fallback_abstract(text),
-        "organisms": F.sort_array(basic_organisms(text)),
-        "keywords": F.sort_array(basic_keywords(text)),
-        "conditions": F.sort_array(basic_conditions(text)),
+        "organisms": F.sort_array(basic_organisms(text_name)),
+        "keywords": F.sort_array(basic_keywords(text_name)),
+        "conditions": F.sort_array(basic_conditions(text_name)),
     }
 
 
-def minimal_candidate_fields(title: Column) -> dict[str, Column]:
+def minimal_candidate_fields(title_name: str) -> dict[str, Column]:
     """P8 fields from the title."""
+    title = F.col(title_name)
     return {
         "abstract": F.concat(F.lit("Research article: "), F.coalesce(title, F.lit(""))),
-        "organisms": F.sort_array(basic_organisms(title)),
-        "keywords": F.sort_array(basic_keywords(title)),
+        "organisms": F.sort_array(basic_organisms(title_name)),
+        "keywords": F.sort_array(basic_keywords(title_name)),
     }
 
 
@@ -115,36 +118,37 @@ def article_cascade(publications: DataFrame, page_text: DataFrame | None = None,
     if pmc_articles is not None:
         df = df.join(pmc_articles.select("pmcid", "pmc"), on="pmcid", how="left")
         order.append(("pmc", truthy("pmcid") & F.col("pmc").isNotNull()))
-    df = add_candidate(df, "_h_", {**base, **html_candidate_fields(F.col("page_text"))})
+    df = add_candidate(df, "_h_", {**base, **html_candidate_fields("page_text")})
     order.append(("html", truthy("page_text") & (F.col("_h_quality_score") > vocab.FALLBACK_MIN_SCORE)))
     if test_mode:
-        df = add_candidate(df, "_m_", {**base, **minimal_candidate_fields(F.col("title"))})
+        df = add_candidate(df, "_m_", {**base, **minimal_candidate_fields("title")})
         order.append(("minimal", F.lit(True)))
     alive = truthy("page_text") | truthy("title")
     pick = None
     for tag, ok in order:
         pick = F.when(alive & ok, F.lit(tag)) if pick is None else pick.when(alive & ok, F.lit(tag))
     df = df.withColumn("_pick", pick).filter(F.col("_pick").isNotNull())
-    sources = {"html": F.lit("html_fallback"), "minimal": F.lit("minimal_metadata"),
-               "pmc": F.lit("pmc_api_fallback")}
+    src_sql = {"html": "'html_fallback'", "minimal": "'minimal_metadata'", "pmc": "'pmc_api_fallback'"}
+    ts_sql = "current_timestamp()" if as_of is None else f"CAST('{as_of}' AS TIMESTAMP)"
+
+    present = set(df.columns)
 
     def field(name):
-        out = None
+        branches = []
         for tag, _ in order:
             if tag in ("llm", "pmc"):
-                v = F.col(tag)[name]
-                if name == "extraction_source" and tag == "pmc":
-                    v = sources["pmc"]
+                v = src_sql["pmc"] if (name == "extraction_source" and tag == "pmc") else f"{tag}.{ident(name)}"
             else:
                 pre = "_h_" if tag == "html" else "_m_"
                 if name == "extraction_source":
-                    v = sources[tag]
+                    v = src_sql[tag]
                 elif name == "extraction_timestamp":
-                    v = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+                    v = ts_sql
                 else:
-                    v = F.col(pre + name) if pre + name in df.columns else _default_of(name)
-            out = F.when(F.col("_pick") == tag, v) if out is None else out.when(F.col("_pick") == tag, v)
-        return out.cast(ARTICLE_SCHEMA[name].dataType).alias(name)
+                    v = ident(pre + name) if pre + name in present else _default_sql(name)
+            branches.append(f"WHEN _pick = '{tag}' THEN {v}")
+        dtype = ARTICLE_SCHEMA[name].dataType.simpleString()
+        return F.expr(f"CAST(CASE {' '.join(branches)} END AS {dtype})").alias(name)
 
     carried = [c for c in publications.columns if c not in ARTICLE_FIELDS and c != "page_text"]
     return df.select(*carried, *[field(f) for f in ARTICLE_FIELDS])

@@ -42,7 +42,7 @@ def enrich_articles(df: DataFrame, profile: str = "main", extractors: dict[str,
     df = df.withColumn("_nlp_text", text)
     if mentions is not None:
         df = route_mentions(df, mentions)
-    ent = extract_entities(F.col("_nlp_text"), profile)
+    ent = extract_entities("_nlp_text", profile)
     apply = ~blank("_nlp_text")
     if profile == "main":
         apply = apply & ~F.coalesce(F.col("llm_extracted"), F.lit(False))

@@ -13,12 +13,13 @@ from ..functions.text import pmcid_from_url, py_strip, truthy
 from ..operators.cascade import article_cascade
 from ..operators.enrich import enrich_articles
 from ..operators.validate import validate_quality
-from ..session import table_path
+from ..session import spread_small_input, table_path
 from ..sources.html import parse_pages
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_small_input(df) if spread else df
 
 
 def page_publications(pages: DataFrame) -> DataFrame:

@@ -58,3 +58,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a table stored in fewer partitions than the cluster has cores
+    (a single small file) round-robin before CPU-heavy stages.  Inputs
+    large enough to matter already scan into many partitions and are left
+    as they are, so large data is never shuffled just for parallelism."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import vocab
 from ..functions.text import col, pmcid_from_url, truthy
+from ..session import spread_small_input
 
 PAGE_STRUCT = T.StructType([
     T.StructField("title", T.StringType()),          # text of the first <title>
@@ -229,18 +230,6 @@ def _parse_batch(html: pd.Series) -> pd.DataFrame:
 parse_pages_udf = F.pandas_udf(_parse_batch, PAGE_STRUCT).asNondeterministic()
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """A table stored in fewer partitions than the cluster has cores (one
-    small file) is spread round-robin before a Python-heavy stage.  Large
-    inputs already have many scan partitions and are left untouched, so
-    big HTML is never shuffled just for parallelism."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def parse_pages(pages: DataFrame, html_col: str = "html", status_col: str | None = None,
                 out_col: str = "page") -> DataFrame:
     """S2 + P6: keep HTTP-200 pages (when a status column is given) and add
