@@ -286,3 +286,27 @@ def q_pub_dates_text(spark, sf):
     )))
     return texts.select("o_orderkey", "variant",
                         F.date_format(publication_date_from_text("txt"), "yyyy-MM-dd").alias("parsed"))
+
+
+# -- dedup ------------------------------------------------------------------
+
+def _dedup_base_sql() -> str:
+    return (f"WITH {S.pages_cte()}, {S.cascade_cte()}, {S.validated_cte()}, "
+            f"tt AS (SELECT lower(title) AS t FROM valid), {S.similar_pairs_sql('tt')}")
+
+
+@register("title_pairs", _dedup_base_sql() + " SELECT a, b, ratio FROM sim")
+def q_title_pairs(spark, sf):
+    """J5 + D2: similar distinct lower-cased titles (ratio >= 85), blocked join."""
+    from ..operators.dedup import similar_titles
+    v = _pages_valid(spark, sf)
+    return similar_titles(v.select(F.lower("title").alias("t"))).select("a", "b", "ratio")
+
+
+@register("dedup_pages", _dedup_base_sql() + ", rws AS (SELECT pos, lower(title) AS lt, "
+          "list_filter([pmcid], lambda x: x IS NOT NULL AND x <> '') AS ids FROM valid), "
+          + S.greedy_dedup_sql("rws") + " SELECT v.pos, v.title FROM valid v JOIN kept k ON k.pos = v.pos")
+def q_dedup_pages(spark, sf):
+    """D1 + J4: greedy keep-first deduplication of validated page articles."""
+    from ..operators.dedup import deduplicate
+    return deduplicate(_pages_valid(spark, sf).select("pos", "title", "pmcid")).select("pos", "title")

@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     # pages can be large: keep Arrow batches to the UDFs small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
+    # local mode runs everything in the driver JVM
+    "spark.driver.memory": "16g",
 }
 
 
