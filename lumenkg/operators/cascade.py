@@ -103,7 +103,7 @@ def article_cascade(publications: DataFrame, page_text: DataFrame | None = None,
     publications : title, url, pmcid (+ any carried columns such as ``pos``)
     page_text    : url, page_text            (one row per url)
     llm_articles : url, article struct ``llm`` (J1 output, one row per url)
-    pmc_articles : pmcid, article struct ``pmc`` (S3 output, one row per pmcid)
+    pmc_articles : url, article struct ``pmc`` (S3 output, one row per url)
     """
     df = publications
     if page_text is not None:
@@ -116,7 +116,7 @@ def article_cascade(publications: DataFrame, page_text: DataFrame | None = None,
         df = df.join(llm_articles.select(key, "llm"), on=key, how="left")
         order.append(("llm", F.col("llm")["quality_score"] > vocab.LLM_MIN_SCORE))
     if pmc_articles is not None:
-        df = df.join(pmc_articles.select("pmcid", "pmc"), on="pmcid", how="left")
+        df = df.join(pmc_articles.select(key, "pmc"), on=key, how="left")
         order.append(("pmc", truthy("pmcid") & F.col("pmc").isNotNull()))
     df = add_candidate(df, "_h_", {**base, **html_candidate_fields("page_text")})
     order.append(("html", truthy("page_text") & (F.col("_h_quality_score") > vocab.FALLBACK_MIN_SCORE)))

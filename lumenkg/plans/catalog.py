@@ -310,3 +310,113 @@ def q_dedup_pages(spark, sf):
     """D1 + J4: greedy keep-first deduplication of validated page articles."""
     from ..operators.dedup import deduplicate
     return deduplicate(_pages_valid(spark, sf).select("pos", "title", "pmcid")).select("pos", "title")
+
+
+# -- documents scenario: model replies, API documents, full cascade ----------
+
+def _docs_base_sql() -> str:
+    kw = S.term_hits("lower(text)", vocab.BASIC_KEYWORDS, False)
+    org = S.term_hits("lower(text)", vocab.BASIC_ORGANISMS)
+    first = S.py_strip("split_part(text, chr(10), 1)")
+    q2 = lambda a: S.quality_llm(a)
+    ds = {"title": "title", "abstract": "d_abstract", "journal": "source", "keywords": "d_kw",
+          "organisms": "d_org", "llm_confidence_score": "d_conf"}
+    gq = {"title": "title", "abstract": "g_abstract", "authors": "[source, lang]", "llm_confidence_score": "0.75"}
+    lines = "string_split(text, chr(10))"
+    pm = {"title": "title", "pmcid": "pmcid", "abstract": "p_abstract", "full_text": "p_full",
+          "organisms": "p_org", "keywords": "p_kw"}
+    mn = {"title": "title", "pmcid": "pmcid", "abstract": "m_abstract", "organisms": "m_org", "keywords": "m_kw"}
+    probe = "lower(title || ' ' || coalesce(p_abstract, ''))"
+    return f"""WITH
+dp AS (
+  SELECT doc_id AS pos, {first} AS title, '{'https://www.ncbi.nlm.nih.gov/pmc/articles/PMC'}' || doc_id || '/' AS url,
+         'PMC' || doc_id AS pmcid, text, lang, source
+  FROM documents WHERE length({first}) > 0
+),
+rp AS (
+  SELECT d.*, l.quality, l.toxic,
+         coalesce({lines}[2], '') AS d_abstract, {kw} AS d_kw, {org} AS d_org,
+         CASE WHEN l.quality = 1 THEN 0.9 ELSE 0.4 END::DOUBLE AS d_conf,
+         left(text, 200) AS g_abstract
+  FROM dp d JOIN labels l ON l.doc_id = d.pos
+),
+llm AS (
+  SELECT pos, url, CASE WHEN toxic = 1 THEN 'llm_groq' ELSE 'llm_deepseek' END AS extraction_source,
+         CASE WHEN toxic = 1 THEN 0.75::DOUBLE ELSE d_conf END AS llm_confidence_score,
+         CASE WHEN toxic = 1 THEN {q2(gq)} ELSE {q2(ds)} END AS quality_score,
+         CASE WHEN toxic = 1 THEN g_abstract ELSE d_abstract END AS abstract,
+         CASE WHEN toxic = 1 THEN '' ELSE source END AS journal,
+         CASE WHEN toxic = 1 THEN source || '|' || lang ELSE '' END AS author_names,
+         CASE WHEN toxic = 1 THEN '' ELSE {S.sorted_join('d_kw')} END AS keywords,
+         CASE WHEN toxic = 1 THEN '' ELSE {S.sorted_join('d_org')} END AS organisms
+  FROM rp
+),
+pc AS (
+  SELECT *, list_sort({S.term_hits(probe, vocab.BASIC_ORGANISMS)}) AS p_org,
+         list_sort({S.term_hits(probe, vocab.BASIC_KEYWORDS, False)}) AS p_kw
+  FROM (SELECT *, CASE WHEN length({S.py_strip(lines + '[2]')}) > 0 THEN {S.py_strip(lines + '[2]')} END AS p_abstract,
+               array_to_string(list_filter({lines}, lambda x, i: i <> 2), chr(10)) AS p_full
+        FROM dp WHERE lang = 'en')
+),
+pmc AS (SELECT pos, p_abstract, p_full, p_org, p_kw, {S.quality_main(pm)} AS quality_score FROM pc),
+pmc_ok AS (SELECT * FROM pmc WHERE quality_score > 0.2),
+mn AS (
+  SELECT pos, m_abstract, {S.quality_main(mn)} AS quality_score
+  FROM (SELECT *, 'Research article: ' || title AS m_abstract,
+               {S.term_hits('lower(title)', vocab.BASIC_ORGANISMS)} AS m_org,
+               {S.term_hits('lower(title)', vocab.BASIC_KEYWORDS, False)} AS m_kw FROM dp)
+)"""
+
+
+@register("reply_articles", _docs_base_sql() + """
+SELECT url, extraction_source, llm_confidence_score, quality_score, abstract, journal, author_names, keywords, organisms
+FROM llm""")
+def q_reply_articles(spark, sf):
+    """S4a-c + J1 + Q2: first valid provider reply per publication, mapped to an article."""
+    from ..sources.replies import first_valid_reply
+    from .documents import documents_scenario
+    pubs, _, replies = documents_scenario(spark, sf)
+    w = first_valid_reply(pubs.select("url", "title", "pmcid"), replies)
+    a = F.col("llm")
+    return w.select("url", a["extraction_source"].alias("extraction_source"),
+                    a["llm_confidence_score"].alias("llm_confidence_score"),
+                    a["quality_score"].alias("quality_score"), a["abstract"].alias("abstract"),
+                    a["journal"].alias("journal"),
+                    F.array_join(F.transform(a["authors"], lambda x: x["name"]), "|").alias("author_names"),
+                    sorted_join(a["keywords"]).alias("keywords"), sorted_join(a["organisms"]).alias("organisms"))
+
+
+@register("bioc_articles", _docs_base_sql() + """
+SELECT d.url, p.p_abstract AS abstract, p.p_full AS full_text, array_to_string(p.p_org, '|') AS organisms,
+       array_to_string(p.p_kw, '|') AS keywords, p.quality_score
+FROM pmc_ok p JOIN dp d ON d.pos = p.pos""")
+def q_bioc_articles(spark, sf):
+    """S3: BioC full-text documents parsed into articles (kept when score > 0.2)."""
+    from ..sources.bioc import pmc_articles
+    from .documents import documents_scenario
+    pubs, bioc, _ = documents_scenario(spark, sf)
+    p = pmc_articles(pubs.select("url", "title", "pmcid"), bioc)
+    a = F.col("pmc")
+    return p.select("url", a["abstract"].alias("abstract"), a["full_text"].alias("full_text"),
+                    F.array_join(a["organisms"], "|").alias("organisms"), F.array_join(a["keywords"], "|").alias("keywords"),
+                    a["quality_score"].alias("quality_score"))
+
+
+@register("docs_cascade", _docs_base_sql() + """
+SELECT d.pos,
+  CASE WHEN l.quality_score > 0.3 THEN l.extraction_source WHEN p.pos IS NOT NULL THEN 'pmc_api_fallback'
+       ELSE 'minimal_metadata' END AS extraction_source,
+  CASE WHEN l.quality_score > 0.3 THEN l.quality_score WHEN p.pos IS NOT NULL THEN p.quality_score
+       ELSE m.quality_score END AS quality_score,
+  CASE WHEN l.quality_score > 0.3 THEN l.abstract WHEN p.pos IS NOT NULL THEN p.p_abstract
+       ELSE m.m_abstract END AS abstract
+FROM dp d LEFT JOIN llm l ON l.pos = d.pos LEFT JOIN pmc_ok p ON p.pos = d.pos LEFT JOIN mn m ON m.pos = d.pos""")
+def q_docs_cascade(spark, sf):
+    """J2 (all branches) + F4: model reply > PMC document > minimal record."""
+    from ..sources.bioc import pmc_articles
+    from ..sources.replies import first_valid_reply
+    from .documents import documents_scenario
+    pubs, bioc, replies = documents_scenario(spark, sf)
+    p3 = pubs.select("pos", "url", "title", "pmcid")
+    c = article_cascade(p3, llm_articles=first_valid_reply(p3, replies), pmc_articles=pmc_articles(p3, bioc))
+    return c.select("pos", "extraction_source", "quality_score", "abstract")
