@@ -420,3 +420,149 @@ def q_docs_cascade(spark, sf):
     p3 = pubs.select("pos", "url", "title", "pmcid")
     c = article_cascade(p3, llm_articles=first_valid_reply(p3, replies), pmc_articles=pmc_articles(p3, bioc))
     return c.select("pos", "extraction_source", "quality_score", "abstract")
+
+
+def _docs_articles_sql() -> str:
+    """CTE ``arts_d``: every field of the documents-scenario cascade output."""
+    return _docs_base_sql() + """,
+rpl AS (SELECT r.pos, r.toxic, r.source, r.lang, r.d_kw, r.d_org, l.* EXCLUDE (pos)
+        FROM rp r JOIN llm l ON l.pos = r.pos),
+arts_d AS (
+  SELECT d.pos, d.url, d.title, d.pmcid,
+    CASE WHEN l.quality_score > 0.3 THEN 'llm' WHEN p.pos IS NOT NULL THEN 'pmc' ELSE 'min' END AS br,
+    CASE WHEN l.quality_score > 0.3 THEN l.extraction_source WHEN p.pos IS NOT NULL THEN 'pmc_api_fallback'
+         ELSE 'minimal_metadata' END AS extraction_source,
+    CASE WHEN l.quality_score > 0.3 THEN l.abstract WHEN p.pos IS NOT NULL THEN p.p_abstract ELSE m.m_abstract END AS abstract,
+    CASE WHEN l.quality_score > 0.3 THEN NULL WHEN p.pos IS NOT NULL THEN p.p_full END AS full_text,
+    CASE WHEN l.quality_score > 0.3 THEN l.journal END AS journal,
+    CASE WHEN l.quality_score > 0.3 AND l.toxic = 1 THEN [l.source, l.lang] ELSE []::VARCHAR[] END AS authors,
+    CASE WHEN l.quality_score > 0.3 THEN CASE WHEN l.toxic = 1 THEN []::VARCHAR[] ELSE l.d_kw END
+         WHEN p.pos IS NOT NULL THEN p.p_kw ELSE m.m_kw END AS keywords,
+    CASE WHEN l.quality_score > 0.3 THEN CASE WHEN l.toxic = 1 THEN []::VARCHAR[] ELSE l.d_org END
+         WHEN p.pos IS NOT NULL THEN p.p_org ELSE m.m_org END AS organisms,
+    (l.quality_score > 0.3) IS TRUE AS llm_extracted,
+    CASE WHEN l.quality_score > 0.3 THEN l.llm_confidence_score ELSE 0.0::DOUBLE END AS llm_confidence_score,
+    CASE WHEN l.quality_score > 0.3 THEN l.quality_score WHEN p.pos IS NOT NULL THEN p.quality_score
+         ELSE m.quality_score END AS quality_score
+  FROM dp d LEFT JOIN rpl l ON l.pos = d.pos LEFT JOIN pmc_ok p ON p.pos = d.pos
+  LEFT JOIN (SELECT mn.*, x.m_org, x.m_kw FROM mn JOIN (SELECT pos,
+        """ + S.term_hits("lower(title)", vocab.BASIC_ORGANISMS) + """ AS m_org,
+        """ + S.term_hits("lower(title)", vocab.BASIC_KEYWORDS, False) + """ AS m_kw FROM dp) x USING (pos)) m
+    ON m.pos = d.pos
+)"""
+
+
+def _docs_articles(spark, sf):
+    from ..sources.bioc import pmc_articles
+    from ..sources.replies import first_valid_reply
+    from .documents import documents_scenario
+    pubs, bioc, replies = documents_scenario(spark, sf)
+    p3 = pubs.select("pos", "url", "title", "pmcid")
+    return article_cascade(p3, llm_articles=first_valid_reply(p3, replies), pmc_articles=pmc_articles(p3, bioc))
+
+
+_ART = {k: k for k in ("title", "pmcid", "abstract", "full_text", "journal", "authors", "keywords", "organisms",
+                       "llm_extracted", "llm_confidence_score")}
+
+
+@register("quality_profiles", _docs_articles_sql() + f"""
+SELECT pos, {S.quality_main(_ART)} AS q_main, {S.quality_llm(_ART)} AS q_llm, {S.quality_strict(_ART)} AS q_strict,
+  ({S.truthy('title')} AND length({S.py_strip('title')}) >= 5 AND {S.truthy('url')}) AS valid_main,
+  ({S.truthy('title')} AND length({S.py_strip('title')}) >= 10 AND {S.truthy('url')}
+   AND regexp_matches(url, '^[\\x00-\\x20]*[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]')
+   AND ({S.truthy('abstract')} OR {S.truthy('full_text')})) AS valid_strict
+FROM arts_d""")
+def q_quality_profiles(spark, sf):
+    """Q1 + Q2 + Q3 + F1 + F2 + F3: every score rule and validity rule per article."""
+    from ..functions.quality import is_valid
+    a = _docs_articles(spark, sf)
+    return a.select("pos", quality_score("main").alias("q_main"), quality_score("llm").alias("q_llm"),
+                    quality_score("strict").alias("q_strict"), is_valid("main").alias("valid_main"),
+                    is_valid("strict").alias("valid_strict"))
+
+
+_LD_BASE = ["@context", "@id", "@type", "schema:name", "schema:url", "extraction_source", "llm_extracted",
+            "llm_confidence_score"]
+
+
+@register("json_ld", _docs_articles_sql() + f"""
+SELECT pos,
+  array_to_string(list_sort(list_concat({S.str_list(_LD_BASE)},
+    CASE WHEN {S.truthy('abstract')} THEN ['schema:abstract'] ELSE [] END,
+    CASE WHEN {S.truthy('full_text')} THEN ['schema:text'] ELSE [] END,
+    CASE WHEN {S.truthy('journal')} THEN ['schema:isPartOf'] ELSE [] END,
+    CASE WHEN len(authors) > 0 THEN ['schema:author'] ELSE [] END,
+    CASE WHEN {S.truthy('pmcid')} THEN ['schema:identifier'] ELSE [] END,
+    CASE WHEN len(keywords) > 0 THEN ['schema:keywords'] ELSE [] END)), '|') AS keys,
+  {S.article_id('NULL', 'pmcid', 'NULL', 'title')} AS id, title AS name, url,
+  len(authors) AS n_authors, CASE WHEN {S.truthy('pmcid')} THEN 'PMCID' END AS id_kinds
+FROM arts_d""")
+def q_json_ld(spark, sf):
+    """K1: JSON-LD documents; checked through their keys and key values."""
+    from ..operators.graph import to_json_ld
+    a = _docs_articles(spark, sf).withColumn("js", to_json_ld("main"))
+    return a.select(
+        "pos", F.array_join(F.sort_array(F.json_object_keys("js")), "|").alias("keys"),
+        F.get_json_object("js", "$['@id']").alias("id"), F.get_json_object("js", "$['schema:name']").alias("name"),
+        F.get_json_object("js", "$['schema:url']").alias("url"),
+        F.coalesce(F.json_array_length(F.get_json_object("js", "$['schema:author']")), F.lit(0)).alias("n_authors"),
+        F.get_json_object("js", "$['schema:identifier'][0]['schema:propertyID']").alias("id_kinds"))
+
+
+@register("source_counts", _docs_articles_sql() + " SELECT extraction_source, count(*) AS n FROM arts_d GROUP BY 1")
+def q_source_counts(spark, sf):
+    """A1: articles per extraction source."""
+    from ..operators.metrics import count_by_source
+    return count_by_source(_docs_articles(spark, sf))
+
+
+@register("run_metrics", _docs_articles_sql() + f"""
+SELECT count(*) AS total, count_if(llm_extracted) AS llm_extracted,
+  round(avg(CASE WHEN llm_extracted THEN llm_confidence_score END), 9) AS avg_llm_confidence,
+  round(avg(quality_score), 9) AS avg_quality,
+  round(avg(CASE WHEN quality_score >= 0.2 AND {S.truthy('title')} AND length({S.py_strip('title')}) >= 5
+                 AND {S.truthy('url')} THEN 1.0 ELSE 0.0 END), 9) AS pass_rate,
+  round(avg(CASE WHEN {S.truthy('title')} AND {S.truthy('url')} THEN 1.0 ELSE 0.0 END), 9) AS completeness,
+  round(avg(len(organisms) + 0.0), 9) AS organisms_per_article
+FROM arts_d""")
+def q_run_metrics(spark, sf):
+    """A2 + A3 + A5 + A6: one-row run summary."""
+    from ..operators.metrics import run_metrics
+    return run_metrics(_docs_articles(spark, sf))
+
+
+@register("validation_report", _docs_articles_sql() + """
+SELECT validator, count_if(ok) AS passed, count_if(NOT ok) AS failed FROM (
+  SELECT 'url' AS validator, regexp_matches(url, '^[\\x00-\\x20]*[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]') AS ok FROM arts_d
+  UNION ALL SELECT 'date', true FROM arts_d
+  UNION ALL SELECT 'title', length(title) >= 10 FROM arts_d) GROUP BY validator""")
+def q_validation_report(spark, sf):
+    """A7 + X2: pass / fail counts per validator."""
+    from ..operators.validate import default_validators, validation_report
+    return validation_report(_docs_articles(spark, sf), default_validators())
+
+
+_ENTITY_TYPES = ["Keywords", "MeshTerms", "Organisms", "Genes", "Proteins", "Conditions", "Experiments", "Measurements"]
+
+
+def _entity_counts_sql() -> str:
+    e = S.entities_main_cols("nt")
+    u = lambda old, new: f"len(list_distinct(list_concat({old}, {new})))"
+    return f"""WITH {S.pages_cte()}, {S.cascade_cte()}, {S.validated_cte()},
+txt AS (SELECT *, {S.nlp_text_sql('main', 'abstract', 'NULL')} AS nt FROM valid),
+c AS (SELECT len(keywords) AS kw, {u('organisms', e['organisms'])} AS org, {u('[]::VARCHAR[]', e['genes'])} AS gen,
+             {u('[]::VARCHAR[]', e['proteins'])} AS prot, {u('conditions', e['conditions'])} AS cond,
+             {u('[]::VARCHAR[]', e['experiments'])} AS exp, {u('[]::VARCHAR[]', e['measurements'])} AS meas FROM txt)
+SELECT 'Keywords' AS entity_type, sum(kw) AS n FROM c UNION ALL SELECT 'MeshTerms', 0
+UNION ALL SELECT 'Organisms', sum(org) FROM c UNION ALL SELECT 'Genes', sum(gen) FROM c
+UNION ALL SELECT 'Proteins', sum(prot) FROM c UNION ALL SELECT 'Conditions', sum(cond) FROM c
+UNION ALL SELECT 'Experiments', sum(exp) FROM c UNION ALL SELECT 'Measurements', sum(meas) FROM c
+UNION ALL SELECT 'Authors', 0
+UNION ALL SELECT 'total', sum(kw + org + gen + prot + cond + exp + meas) FROM c"""
+
+
+@register("entity_counts", _entity_counts_sql())
+def q_entity_counts(spark, sf):
+    """K4 + A4: list-valued graph entities counted per type, with a total."""
+    from ..operators.metrics import entity_counts
+    return entity_counts(_pages_enriched(spark, sf))
