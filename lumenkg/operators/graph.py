@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.text import article_id, non_empty, or_empty_array, truthy
+from ..session import cut_lineage
 
 S, B, SP, DC = vocab.SCHEMA_NS, vocab.BIO_NS, vocab.SPACE_NS, vocab.DCTERMS_NS
 
@@ -96,7 +97,8 @@ def merge_triples(triples: DataFrame) -> DataFrame:
 
 def graph_tables(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """K5: node table (uri, type, name) and edge table (src, predicate, dst)."""
-    t = merge_triples(triples)
+    # the triple set feeds both tables: materialise it once (lineage cut)
+    t = cut_lineage(merge_triples(triples))
     types = t.filter(F.col("p") == vocab.RDF_TYPE).select(F.col("s").alias("uri"), F.col("o").alias("type"))
     names = t.filter(F.col("p") == S + "name").groupBy(F.col("s").alias("uri")).agg(F.min("o").alias("name"))
     nodes = types.join(names, "uri", "left")

@@ -566,3 +566,73 @@ def q_entity_counts(spark, sf):
     """K4 + A4: list-valued graph entities counted per type, with a total."""
     from ..operators.metrics import entity_counts
     return entity_counts(_pages_enriched(spark, sf))
+
+
+@register("graph_summary", _triples_sql("""
+, types AS (SELECT DISTINCT s, o FROM td WHERE p = '""" + vocab.RDF_TYPE + """')
+SELECT 'node' AS kind, o AS name, count(*) AS n FROM types GROUP BY o
+UNION ALL
+SELECT 'edge', p, count(*) FROM (SELECT DISTINCT s, p, o FROM td WHERE o_kind = 'uri' AND p <> '""" + vocab.RDF_TYPE + """') GROUP BY p
+UNION ALL
+SELECT 'max_in_degree', 'any', max(c) FROM (SELECT o, count(*) AS c FROM (SELECT DISTINCT s, p, o FROM td
+  WHERE o_kind = 'uri' AND p <> '""" + vocab.RDF_TYPE + """') GROUP BY o)""").replace("td AS (SELECT DISTINCT pos, s, p, o, o_kind FROM t)\n,", "td AS (SELECT DISTINCT pos, s, p, o, o_kind FROM t),"))
+def q_graph_summary(spark, sf):
+    """K5: node table (count per type), edge table (count per predicate), max in-degree."""
+    from ..operators.graph import graph_tables, in_degree
+    nodes, edges = graph_tables(to_triples(_pages_enriched(spark, sf)))
+    n = nodes.groupBy(F.lit("node").alias("kind"), F.col("type").alias("name")).agg(F.count("*").alias("n"))
+    e = edges.groupBy(F.lit("edge").alias("kind"), F.col("predicate").alias("name")).agg(F.count("*").alias("n"))
+    d = in_degree(edges).agg(F.max("in_degree").alias("n")).select(
+        F.lit("max_in_degree").alias("kind"), F.lit("any").alias("name"), "n")
+    return n.unionByName(e).unionByName(d)
+
+
+def _prompt_sql() -> str:
+    head, tail = vocab.EXTRACTION_PROMPT.split("{text}")
+    body = ("array_to_string(list_filter([CASE WHEN length(title) > 0 THEN 'Title: ' || title END, "
+            "CASE WHEN length(url) > 0 THEN 'Source URL: ' || url END, "
+            "CASE WHEN length(coalesce(CASE WHEN length(page_text) > 0 THEN page_text ELSE title END, '')) > 0 "
+            "THEN 'Content: ' || left(CASE WHEN length(page_text) > 0 THEN page_text ELSE title END, 4000) END], "
+            "lambda x: x IS NOT NULL), chr(10) || chr(10))")
+    return (f"WITH {S.pages_cte()} SELECT pos, length({body}) AS request_chars, "
+            f"md5({S.q(head)} || {body} || {S.q(tail)}) AS prompt_md5 FROM pg")
+
+
+@register("prompt_requests", _prompt_sql())
+def q_prompt_requests(spark, sf):
+    """P10: the model request built for every page publication (its length and digest)."""
+    from ..operators.cascade import prompt_request, prompt_text
+    p = _pages_pubs(spark, sf)
+    return p.select("pos", F.length(prompt_text()).alias("request_chars"), F.md5(prompt_request()).alias("prompt_md5"))
+
+
+@register("article_ids", f"""WITH {S.pages_cte()}
+SELECT 'pages' AS src, pos, {S.article_id('NULL', 'pmcid', 'NULL', 'title')} AS article_id FROM pg
+UNION ALL
+SELECT 'documents', doc_id, {S.article_id('NULL', S.pmcid_from_url("'https://www.ncbi.nlm.nih.gov/pmc/articles/PMC' || doc_id || '/'"), 'NULL', S.py_strip('split_part(text, chr(10), 1)'))}
+FROM documents WHERE length({S.py_strip('split_part(text, chr(10), 1)')}) > 0""")
+def q_article_ids(spark, sf):
+    """P1 + P9: PMCID from the url and the article URI (doi > pmcid > pmid > md5(title))."""
+    from ..functions.text import article_id
+    from .documents import document_publications
+    pg = _pages_pubs(spark, sf).select(F.lit("pages").alias("src"), "pos", article_id(doi=F.lit(None), pmid=F.lit(None)).alias("article_id"))
+    dc = document_publications(read_table(spark, sf, "documents")).select(
+        F.lit("documents").alias("src"), "pos", article_id(doi=F.lit(None), pmid=F.lit(None)).alias("article_id"))
+    return pg.unionByName(dc)
+
+
+@register("space_relevance", f"""WITH {S.pages_cte()}
+SELECT pos, title, (contains(lower(title), 'microgravity') OR contains(lower(title), 'space')
+  OR contains(lower(title), 'astronaut') OR contains(lower(title), 'ISS')) AS relevant FROM pg""")
+def q_space_relevance(spark, sf):
+    """relevance of a title to the domain (lower title contains a term as spelled)."""
+    from ..functions.text import is_space_relevant
+    return _pages_pubs(spark, sf).select("pos", "title", is_space_relevant("title").alias("relevant"))
+
+
+@register("sample_record", f"""WITH {S.pages_cte()}, {S.cascade_cte()}, {S.validated_cte()}
+SELECT left(title, 80) AS title, extraction_source, quality_score FROM valid ORDER BY pos LIMIT 1""")
+def q_sample_record(spark, sf):
+    """L3: first record of the run (title cut at 80 characters); the limit is the feature."""
+    from ..operators.metrics import sample_record
+    return sample_record(_pages_valid(spark, sf)).select("title", "extraction_source", "quality_score")
