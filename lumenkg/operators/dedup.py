@@ -24,6 +24,8 @@ Plan:
 """
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,12 +74,15 @@ def similar_titles(titles: DataFrame, threshold: int = vocab.TITLE_SIMILARITY_TH
     s1, s2 = short.alias("s1"), short.alias("s2")
     cand_short = s1.join(s2, (F.col("s1.bucket") == F.col("s2.bucket")) & (F.col("s1.t") < F.col("s2.t"))) \
         .select(F.col("s1.t").alias("a"), F.col("s2.t").alias("b"))
-    cand = cand.unionByName(cand_short).distinct()
+    # materialise the distinct candidates: otherwise the optimizer pushes the
+    # edit-distance test and the ratio UDF below the distinct, into the join,
+    # where they would run once per shared gram instead of once per pair
+    cand = cut_lineage(cand.unionByName(cand_short).distinct())
     la, lb = F.length("a"), F.length("b")
     k = max_edit(la + lb, threshold)
     cand = cand.withColumn("_k", k).filter(F.abs(la - lb) <= F.col("_k")) \
         .filter(F.expr("levenshtein(a, b, _k) >= 0")).drop("_k")
-    scored = cand.withColumn("ratio", title_ratio("a", "b"))
+    scored = cut_lineage(cand).withColumn("ratio", title_ratio("a", "b"))
     return scored.filter(F.col("ratio") >= threshold)
 
 
@@ -119,9 +124,11 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     rk = cut_lineage(rk)
     nk = cut_lineage(nk.join(rk.select("key").distinct(), "key", "left_semi"))
     state = cut_lineage(active.withColumn("st", F.lit(0)))  # 0 undecided, 1 kept, 2 dropped
-    for _ in range(max_rounds):
+    for rnd in range(max_rounds):
         if state.filter(F.col("st") == 0).limit(1).count() == 0:
             break
+        if os.environ.get("LUMENKG_DEBUG"):
+            print("dedup round", rnd, flush=True)
         live = state.filter(F.col("st") < 2)
         ks = rk.join(live, "pos").groupBy("key").agg(
             F.min(F.when(F.col("st") == 0, F.col("pos"))).alias("mu"),
