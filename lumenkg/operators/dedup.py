@@ -35,6 +35,24 @@ from ..functions.text import truthy
 from ..session import cut_lineage
 
 ID_COLS = ("doi", "pmid", "pmcid")
+# Hub-key joins are salted for hot keys only: a key held by more than
+# HOT_KEY_ROWS rows has its (row, key) side spread over SALT buckets by row
+# and its one-row-per-key side replicated SALT times, so it is processed by
+# SALT tasks instead of one.  The hot-key list has at most
+# rows / HOT_KEY_ROWS entries, which bounds its broadcast.
+SALT = 32
+HOT_KEY_ROWS = 100_000
+
+
+def _salted_join(rows: DataFrame, per_key: DataFrame, hot: DataFrame, key: str = "key",
+                 how: str = "inner") -> DataFrame:
+    h = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    r = rows.join(h, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("pos"), F.lit(SALT))).otherwise(F.lit(0))).drop("_hot")
+    k = per_key.join(h, key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0))))) \
+        .drop("_hot")
+    return r.join(k, [key, "_salt"], how).drop("_salt")
 
 
 def _numbered_bigrams(titles: DataFrame) -> DataFrame:
@@ -117,9 +135,10 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     nk = sims.select(tkey("a").alias("key"), tkey("b").alias("nkey")) \
         .unionByName(sims.select(tkey("b").alias("key"), tkey("a").alias("nkey")))
     # rows connected to anything: a key shared by >1 row, or a title with similar titles
-    key_n = keys.groupBy("key").agg(F.count("*").alias("c"))
+    key_n = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("c")))
+    hot = key_n.filter(F.col("c") > HOT_KEY_ROWS).select("key")
     linked_keys = key_n.filter(F.col("c") > 1).select("key").unionByName(nk.select("key")).distinct()
-    active = keys.join(linked_keys, "key", "left_semi").select("pos").distinct()
+    active = _salted_join(keys, linked_keys, hot, how="left_semi").select("pos").distinct()
     rk = keys.join(active, "pos", "left_semi")
     rk = cut_lineage(rk)
     nk = cut_lineage(nk.join(rk.select("key").distinct(), "key", "left_semi"))
@@ -135,8 +154,8 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
             F.min(F.when(F.col("st") == 1, F.col("pos"))).alias("mk"))
         via = nk.join(ks.withColumnRenamed("key", "nkey"), "nkey").select("key", "mu", "mk")
         ks_all = ks.unionByName(via).groupBy("key").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
-        per_row = rk.join(state.filter(F.col("st") == 0).select("pos"), "pos", "left_semi") \
-            .join(ks_all, "key").groupBy("pos").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
+        undecided = rk.join(state.filter(F.col("st") == 0).select("pos"), "pos", "left_semi")
+        per_row = _salted_join(undecided, ks_all, hot).groupBy("pos").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
         decided = per_row.select("pos", F.when(F.col("mk") < F.col("pos"), F.lit(2))
                                  .when(F.col("mu") >= F.col("pos"), F.lit(1)).otherwise(F.lit(0)).alias("new"))
         state = cut_lineage(state.join(decided, "pos", "left")

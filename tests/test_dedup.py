@@ -73,3 +73,21 @@ def test_dedup_equals_sequential_model(spark):
         seen_t.append(lt)
         seen_ids.update(x for x in (doi, pmid) if x)
     assert sorted(r.pos for r in deduplicate(df).collect()) == keep
+
+
+def test_dedup_hot_key_salting_path(spark, monkeypatch):
+    import lumenkg.operators.dedup as dd
+    monkeypatch.setattr(dd, "HOT_KEY_ROWS", 3)
+    rows = [(i, f"title number {i} unique words here", "HOT" if i % 3 == 0 else None, None) for i in range(40)]
+    rows += [(100 + i, "same shared title", None, None) for i in range(10)]
+    df = spark.createDataFrame(rows, "pos long, title string, doi string, pmid string")
+    seen_ids, seen_t, keep = set(), [], []
+    for pos, t, doi, pmid in sorted(rows):
+        lt = t.lower()
+        if (doi and doi in seen_ids) or any(ratio(lt, x) >= 85 for x in seen_t):
+            continue
+        keep.append(pos)
+        seen_t.append(lt)
+        if doi:
+            seen_ids.add(doi)
+    assert sorted(r.pos for r in dd.deduplicate(df).collect()) == keep
