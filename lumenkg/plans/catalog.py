@@ -636,3 +636,15 @@ def q_sample_record(spark, sf):
     """L3: first record of the run (title cut at 80 characters); the limit is the feature."""
     from ..operators.metrics import sample_record
     return sample_record(_pages_valid(spark, sf)).select("title", "extraction_source", "quality_score")
+
+
+_TIME_SQL = S.DIGIT + "+" + S.WS + "*(?:days?|weeks?|months?|years?|hrs?|hours?|mins?|minutes?)"
+
+
+@register("doc_time_periods", f"SELECT doc_id, array_to_string(regexp_extract_all(text, {S.q(_TIME_SQL)}, 0), '|') "
+          "AS time_periods FROM documents")
+def q_doc_time_periods(spark, sf):
+    """Number + time unit mentions over whole document texts (all matches, in order)."""
+    from ..functions.entities import time_periods
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", _join(time_periods("text")).alias("time_periods"))
