@@ -129,7 +129,7 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     base = cut_lineage(base)
     keys = row_keys(base, order, title)
     lt = base.select(F.col(order).alias("pos"), F.lower(F.coalesce(F.col(title), F.lit(""))).alias("t"))
-    sims = similar_titles(lt.select("t"), threshold)
+    sims = cut_lineage(similar_titles(lt.select("t"), threshold))  # feeds three branches
     # neighbour keys of a title key: itself and its similar titles
     tkey = lambda c: F.concat(F.lit("t:"), F.col(c))
     nk = sims.select(tkey("a").alias("key"), tkey("b").alias("nkey")) \
