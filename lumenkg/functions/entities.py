@@ -37,10 +37,6 @@ def term_hits(text_lower, terms, lower_terms: bool = True) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def _lower_sql(text) -> str | None:
-    return f"lower({ident(text)})" if isinstance(text, str) else None
-
-
 def _basic(text, terms, lower_terms) -> Column:
     if isinstance(text, str):
         return F.expr(term_hits_sql(f"lower({ident(text)})", terms, lower_terms))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, ident, is_valid_url, non_empty_sql, py_strip, truthy, truthy_sql
+from .text import ident, is_valid_url, non_empty_sql, py_strip, truthy, truthy_sql
 
 
 def _w(cond: str, weight: float) -> str:

@@ -24,7 +24,7 @@ Plan:
 """
 from __future__ import annotations
 
-import os
+import logging
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from ..functions.similarity import max_edit, max_indel_fraction, title_ratio
 from ..functions.text import truthy
 from ..session import cut_lineage
 
+_log = logging.getLogger(__name__)
 ID_COLS = ("doi", "pmid", "pmcid")
 # Hub-key joins are salted for hot keys only: a key held by more than
 # HOT_KEY_ROWS rows has its (row, key) side spread over SALT buckets by row
@@ -146,8 +147,7 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     for rnd in range(max_rounds):
         if state.filter(F.col("st") == 0).limit(1).count() == 0:
             break
-        if os.environ.get("LUMENKG_DEBUG"):
-            print("dedup round", rnd, flush=True)
+        _log.debug("dedup round %d", rnd)
         live = state.filter(F.col("st") < 2)
         ks = rk.join(live, "pos").groupBy("key").agg(
             F.min(F.when(F.col("st") == 0, F.col("pos"))).alias("mu"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.entities import extract_entities
-from ..functions.text import blank, col, or_empty_array, py_strip, truthy
+from ..functions.text import blank, or_empty_array, py_strip, truthy
 
 # Broadcasting a user gazetteer is only done below this many terms; larger
 # dictionaries are matched in bounded chunks (each chunk broadcast once).

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.dates import parse_date, publication_date_from_text
-from ..functions.entities import basic_keywords, basic_organisms, basic_conditions, extract_entities, gene_symbols
+from ..functions.entities import basic_keywords, basic_organisms, basic_conditions, extract_entities
 from ..functions.quality import quality_score
-from ..functions.text import py_strip, sorted_join
+from ..functions.text import sorted_join
 from ..operators.cascade import article_cascade
 from ..operators.enrich import enrich_articles, match_terms
 from ..operators.graph import to_triples

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.entities import term_hits_sql
 from ..functions.quality import quality_score_sql
-from ..functions.text import _STRIP_RE, ident, sql_str
+from ..functions.text import _STRIP_RE, sql_str
 from ..operators.articles import ARTICLE_FIELDS, ARTICLE_SCHEMA
 
 BIOC_SCHEMA = "struct<documents: array<struct<passages: array<struct<infons: map<string,string>, text: string>>>>>"
