@@ -20,22 +20,27 @@ from ..operators.articles import ARTICLE_FIELDS, ARTICLE_SCHEMA
 BIOC_SCHEMA = "struct<documents: array<struct<passages: array<struct<infons: map<string,string>, text: string>>>>>"
 
 
-def bioc_fields_sql(json: str, title: str) -> dict[str, str]:
-    """SQL for abstract, full_text, organisms and keywords of one document."""
-    doc = f"from_json({json}, {sql_str(BIOC_SCHEMA)})"
-    passages = (f"flatten(transform(coalesce({doc}.documents, array()), d -> "
-                f"coalesce(d.passages, array())))")
+def bioc_stages_sql(json: str) -> list[tuple[str, str]]:
+    """Staged columns (name, SQL): the document is parsed once, passages
+    flattened once, then split into abstract and body texts."""
     typ = "lower(coalesce(element_at(p.infons, 'type'), ''))"
     txt = "coalesce(p.text, '')"
-    abs_parts = f"transform(filter({passages}, p -> contains({typ}, 'abstract')), p -> {txt})"
-    body_parts = f"transform(filter({passages}, p -> NOT contains({typ}, 'abstract')), p -> {txt})"
-    abstract_raw = f"regexp_replace(array_join({abs_parts}, ' '), {sql_str(_STRIP_RE)}, '')"
-    abstract = f"(CASE WHEN length({abstract_raw}) > 0 THEN {abstract_raw} END)"
-    full_text = f"(CASE WHEN size({body_parts}) > 0 THEN array_join({body_parts}, '\\n') END)"
+    return [
+        ("_pass", f"flatten(transform(coalesce(from_json({json}, {sql_str(BIOC_SCHEMA)}).documents, array()), "
+                  f"d -> coalesce(d.passages, array())))"),
+        ("_abs", f"transform(filter(_pass, p -> contains({typ}, 'abstract')), p -> {txt})"),
+        ("_body", f"transform(filter(_pass, p -> NOT contains({typ}, 'abstract')), p -> {txt})"),
+        ("_abs_txt", f"regexp_replace(array_join(_abs, ' '), {sql_str(_STRIP_RE)}, '')"),
+    ]
+
+
+def bioc_fields_sql(title: str) -> dict[str, str]:
+    """SQL for abstract, full_text, organisms and keywords over the stages."""
+    abstract = "(CASE WHEN length(_abs_txt) > 0 THEN _abs_txt END)"
     probe = f"lower(concat({title}, ' ', coalesce({abstract}, '')))"
     return {
         "abstract": abstract,
-        "full_text": full_text,
+        "full_text": "(CASE WHEN size(_body) > 0 THEN array_join(_body, '\\n') END)",
         "organisms": f"sort_array({term_hits_sql(probe, vocab.BASIC_ORGANISMS, True)})",
         "keywords": f"sort_array({term_hits_sql(probe, vocab.BASIC_KEYWORDS, False)})",
     }
@@ -51,7 +56,9 @@ def pmc_articles(publications: DataFrame, bioc: DataFrame, json_col: str = "json
     pubs = publications.filter(F.col("pmcid").isNotNull() & (F.length("pmcid") > 0)) \
         .select("url", "pmcid", F.col("title").alias("_t"))
     j = pubs.join(docs, "pmcid")
-    cols = bioc_fields_sql("_json", "coalesce(_t, '')")
+    for name, e in bioc_stages_sql("_json"):
+        j = j.withColumn(name, F.expr(e))
+    cols = bioc_fields_sql("coalesce(_t, '')")
     j = j.select("url", "pmcid", "_t", *[F.expr(e).alias(n) for n, e in cols.items()])
     j = j.withColumn("_score", F.expr(quality_score_sql("main", get=lambda n: {
         "title": "_t", "pmcid": "pmcid", "abstract": "abstract", "full_text": "full_text",
