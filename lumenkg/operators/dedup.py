@@ -165,6 +165,9 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
             raise RuntimeError(f"deduplicate: rows still undecided after {max_rounds} rounds")
     dropped = state.filter(F.col("st") == 2).select(F.col("pos").alias(order))
     kept = base.select(order).join(dropped, order, "left_anti")
+    if set(df.columns) <= set(base.columns):
+        # nothing beyond the materialised slim columns: no upstream recompute
+        return base.join(dropped, order, "left_anti").select(*df.columns)
     return df.join(kept, order, "left_semi")
 
 
