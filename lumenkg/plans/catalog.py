@@ -505,7 +505,7 @@ def q_json_ld(spark, sf):
         "pos", F.array_join(F.sort_array(F.json_object_keys("js")), "|").alias("keys"),
         F.get_json_object("js", "$['@id']").alias("id"), F.get_json_object("js", "$['schema:name']").alias("name"),
         F.get_json_object("js", "$['schema:url']").alias("url"),
-        F.coalesce(F.json_array_length(F.get_json_object("js", "$['schema:author']")), F.lit(0)).alias("n_authors"),
+        F.coalesce(F.json_array_length(F.get_json_object("js", "$['schema:author']")), F.lit(0)).cast("long").alias("n_authors"),
         F.get_json_object("js", "$['schema:identifier'][0]['schema:propertyID']").alias("id_kinds"))
 
 
@@ -517,7 +517,7 @@ def q_source_counts(spark, sf):
 
 
 @register("run_metrics", _docs_articles_sql() + f"""
-SELECT count(*) AS total, count_if(llm_extracted) AS llm_extracted,
+SELECT count(*) AS total, count_if(llm_extracted)::BIGINT AS llm_extracted,
   round(avg(CASE WHEN llm_extracted THEN llm_confidence_score END), 9) AS avg_llm_confidence,
   round(avg(quality_score), 9) AS avg_quality,
   round(avg(CASE WHEN quality_score >= 0.2 AND {S.truthy('title')} AND length({S.py_strip('title')}) >= 5
@@ -532,7 +532,7 @@ def q_run_metrics(spark, sf):
 
 
 @register("validation_report", _docs_articles_sql() + """
-SELECT validator, count_if(ok) AS passed, count_if(NOT ok) AS failed FROM (
+SELECT validator, count_if(ok)::BIGINT AS passed, count_if(NOT ok)::BIGINT AS failed FROM (
   SELECT 'url' AS validator, regexp_matches(url, '^[\\x00-\\x20]*[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]') AS ok FROM arts_d
   UNION ALL SELECT 'date', true FROM arts_d
   UNION ALL SELECT 'title', length(title) >= 10 FROM arts_d) GROUP BY validator""")
@@ -553,12 +553,13 @@ txt AS (SELECT *, {S.nlp_text_sql('main', 'abstract', 'NULL')} AS nt FROM valid)
 c AS (SELECT len(keywords) AS kw, {u('organisms', e['organisms'])} AS org, {u('[]::VARCHAR[]', e['genes'])} AS gen,
              {u('[]::VARCHAR[]', e['proteins'])} AS prot, {u('conditions', e['conditions'])} AS cond,
              {u('[]::VARCHAR[]', e['experiments'])} AS exp, {u('[]::VARCHAR[]', e['measurements'])} AS meas FROM txt)
-SELECT 'Keywords' AS entity_type, sum(kw) AS n FROM c UNION ALL SELECT 'MeshTerms', 0
+SELECT entity_type, CAST(n AS BIGINT) AS n FROM (
+SELECT 'Keywords' AS entity_type, sum(kw)::BIGINT AS n FROM c UNION ALL SELECT 'MeshTerms', 0::BIGINT
 UNION ALL SELECT 'Organisms', sum(org) FROM c UNION ALL SELECT 'Genes', sum(gen) FROM c
 UNION ALL SELECT 'Proteins', sum(prot) FROM c UNION ALL SELECT 'Conditions', sum(cond) FROM c
 UNION ALL SELECT 'Experiments', sum(exp) FROM c UNION ALL SELECT 'Measurements', sum(meas) FROM c
-UNION ALL SELECT 'Authors', 0
-UNION ALL SELECT 'total', sum(kw + org + gen + prot + cond + exp + meas) FROM c"""
+UNION ALL SELECT 'Authors', 0::BIGINT
+UNION ALL SELECT 'total', sum(kw + org + gen + prot + cond + exp + meas) FROM c)"""
 
 
 @register("entity_counts", _entity_counts_sql())
@@ -594,7 +595,7 @@ def _prompt_sql() -> str:
             "CASE WHEN length(coalesce(CASE WHEN length(page_text) > 0 THEN page_text ELSE title END, '')) > 0 "
             "THEN 'Content: ' || left(CASE WHEN length(page_text) > 0 THEN page_text ELSE title END, 4000) END], "
             "lambda x: x IS NOT NULL), chr(10) || chr(10))")
-    return (f"WITH {S.pages_cte()} SELECT pos, length({body}) AS request_chars, "
+    return (f"WITH {S.pages_cte()} SELECT pos, length({body})::INTEGER AS request_chars, "
             f"md5({S.q(head)} || {body} || {S.q(tail)}) AS prompt_md5 FROM pg")
 
 
