@@ -1,10 +1,16 @@
 """Corpus pipeline: documents -> stages -> a mixed corpus.  Counted as part of lumenkg.llm."""
 from __future__ import annotations
 
-from lumenkg.llm import decontam, lines, mixing, simhash
+from lumenkg.llm import decontam, lines, mixing, quality, simhash
 from lumenkg.llm.common import read_table, written
 
 
+def quality_classifier(spark, docs, sf_dir):
+    """Documents go whose probability of the best grade is under one half."""
+    model = quality.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), sample=20_000)
+    return quality.select_good(docs, model, least=0.5)
+
+
 def line_dedup(spark, docs, sf_dir):
     return lines.remove_boilerplate(docs, max_ratio=0.1, min_pages=5)
 
@@ -22,6 +28,7 @@ def mix_sources(spark, docs, sf_dir):
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
     ("decontaminate", decontaminate),

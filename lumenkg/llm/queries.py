@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, lines, mixing, pii, secretscan, simhash
+from . import decontam, lines, mixing, passages, pii, quality, secretscan, simhash, tokens, topk
 from .common import read_table
 
 
@@ -11,15 +11,36 @@ def op1_pii(spark, sf_dir):
     return pii.pii_spans(read_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return passages.substring_dedup(read_table(spark, sf_dir, "documents"), window=50).drop("kept")
+
+
+def op3_quality(spark, sf_dir):
+    """Grades of every document; the model is fitted on at most 20,000 labelled ones.  Probabilities are
+    rounded to six places, as sums of weights depend on their order in the last ones."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"), sample=20_000)
+    return quality.graded(docs, model).select(
+        "doc_id", F.round("expected_grade", 6).alias("expected_grade"), F.round("p_good", 6).alias("p_good"), (F.col("p_good") >= 0.5).alias("keep"))
+
+
 def op4_secrets(spark, sf_dir):
     return secretscan.secret_spans(read_table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, scale=64)
+
+
 def op6_mixing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs).withColumn("source", F.coalesce("source", F.lit("")))
 
 
+def op7_token_counts(spark, sf_dir):
+    return tokens.token_digest(tokens.section_tokens(read_table(spark, sf_dir, "documents"), rule="majority"))
+
+
 def op8_decontamination(spark, sf_dir):
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -34,13 +55,35 @@ def op10_line_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
+    "op5_topk": op5_topk,
     "op6_mixing": op6_mixing,
+    "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
 }
 
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN least USING (h) WHERE m < doc_id),
+k AS (SELECT x.doc_id, count(gone.p) AS n, coalesce(string_agg(CASE WHEN gone.p IS NULL THEN x.word END, ' ' ORDER BY x.p), '') AS kept
+      FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.p = x.p GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM p) WHERE r <= 20
+"""
+
 OP6_SQL = """
 WITH RECURSIVE w AS (SELECT coalesce(source, '') AS source, CAST(ceil(sqrt(count(*))) AS BIGINT) AS weight FROM documents GROUP BY 1),
 t AS (SELECT count(*) AS n, CAST(sum(weight) AS BIGINT) AS total FROM w),
@@ -88,4 +131,4 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
 FROM documents d LEFT JOIN k USING (doc_id)
 """
 
-ORACLES = {"op6_mixing": OP6_SQL, "op8_decontamination": OP8_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op6_mixing": OP6_SQL, "op8_decontamination": OP8_SQL, "op10_line_dedup": OP10_SQL}
