@@ -73,7 +73,7 @@ def line_dedup(pages: DataFrame, id_col: str = "doc_id", host_col: str = "source
     text = F.col(text_col)
     n_lines = F.coalesce(F.size(_lines(text)), F.lit(0))
     n_lines = F.when(text.isNull(), 0).otherwise(n_lines)
-    n_kept = F.when(F.col("__dropped").isNull(), n_lines).otherwise(F.size(kept_lines(text, F.col("__dropped"))))
+    n_kept = F.when(F.col("__dropped").isNull() | text.isNull(), n_lines).otherwise(F.size(kept_lines(text, F.col("__dropped"))))
     return marked.select(F.col(id_col).cast("long").alias("doc_id"), n_lines.cast("long").alias("n_lines"), (n_lines - n_kept).cast("long").alias("n_dropped"),
                          F.sha2(F.encode(F.coalesce(kept_text(text, F.col("__dropped")), F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 

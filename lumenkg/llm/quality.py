@@ -85,9 +85,9 @@ class Ordinal:
         return 1 - sigmoid(self.thresholds - np.asarray(score)[..., None])
 
 
-def fit(docs: list[tuple[list[int], list[int]]], grades: list[int], min_docs: int = 5, rounds: int = 12,
-        rate: float = 0.3, ridge: float = 1e-4, seed: int = 0) -> Ordinal:
-    """Maximum likelihood by adaptive stochastic gradient on the cumulative-link model."""
+def fit(docs: list[tuple[list[int], list[int]]], grades: list[int], min_docs: int = 5, steps: int = 4000,
+        batch: int = 64, rate: float = 0.6, ridge: float = 1e-4, seed: int = 0) -> Ordinal:
+    """Maximum likelihood by ``steps`` adaptive stochastic gradient steps on the cumulative-link model."""
     y = np.asarray(grades, dtype=np.int64)
     sizes = [len(w) + len(s) for w, s in docs]
     at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
@@ -98,10 +98,10 @@ def fit(docs: list[tuple[list[int], list[int]]], grades: list[int], min_docs: in
     share = np.cumsum(np.bincount(y, minlength=GRADES) + 1)[:-1] / (len(y) + GRADES)
     thresholds, seen_t = np.log(share / (1 - share)), np.full(GRADES - 1, 1e-8)
     rng = np.random.default_rng(seed)
-    for _ in range(rounds):
+    for _ in range(-(-steps // max(1, -(-len(docs) // batch))) if docs else 0):
         order = rng.permutation(len(docs))
-        for start in range(0, len(order), 64):
-            part = order[start: start + 64]
+        for start in range(0, len(order), batch):
+            part = order[start: start + batch]
             pick = np.concatenate([np.arange(at[d], at[d + 1]) for d in part])
             row = np.repeat(np.arange(len(part)), [at[d + 1] - at[d] for d in part])
             i, v, g = index[pick], value[pick], y[part]

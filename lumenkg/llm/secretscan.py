@@ -37,6 +37,8 @@ ENCODINGS = {
 #: Upper ends of the length classes, and the number of p-value bins (one a power of ten to the -1/4).
 LENGTHS = (24, 32, 40, 48, 64, 96, 128, 256)
 BINS = 400
+#: Most breaks between words, by character, in text that is not random.
+WORD_BREAKS = 0.22
 
 
 def infer_encoding(token: str) -> str | None:
@@ -91,12 +93,14 @@ def battery(token: str, encoding: str) -> float:
 
 
 def unlike_prose(token: str) -> float:
-    """log10 of a bound on the probability that prose gives the token's changes between small letters,
-    capitals, digits and signs: in prose a neighbour is of another class in at most one of ten places."""
-    kind = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in token]
+    """log10 of a bound on the probability that words give as many breaks as the token has.
+
+    A break is a change between small letters, capitals, digits and signs, but for a lone capital before
+    small letters.  Prose and names put together from words break in at most ``WORD_BREAKS`` of all places."""
+    kind = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" for c in token)
     n = len(kind) - 1
-    changes = sum(p != q for p, q in zip(kind, kind[1:]))
-    q, rate = changes / n, 0.1
+    changes = len(re.findall(r"(?<![A])A?a+|A+|0+|-+|a+", kind)) - 1
+    q, rate = changes / n, WORD_BREAKS
     if q <= rate:
         return 0.0
     kl = q * math.log(q / rate) + (0 if q == 1 else (1 - q) * math.log((1 - q) / (1 - rate)))

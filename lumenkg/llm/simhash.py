@@ -120,6 +120,8 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     within ``max_bits``."""
     if not 0 <= max_bits <= 14:
         raise ValueError("max_bits must be from 0 to 14")
+    if max_bits == 0:  # distinct fingerprints differ
+        return distinct.sparkSession.createDataFrame([], "u long, v long")
     ring = Ring(max_bits)
 
     def file(batches):

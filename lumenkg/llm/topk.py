@@ -13,7 +13,8 @@ shard only the k + 1 smallest ids can be in a result, so the rest are dropped be
 The tasks' best k by query are merged by a ranked window.  Work is queries x vectors in blocks by its
 nature; a task holds one shard and one block.  Vectors that are null, empty, or hold a null or a
 non-finite component take no part, nor do null ids; vectors of different lengths do not meet; rows
-that repeat an id are candidates of their own.  An empty table gives an empty result.
+that repeat an id are candidates of their own.  An empty table gives an empty result.  A score that a
+long can't hold raises an error.
 """
 from __future__ import annotations
 
