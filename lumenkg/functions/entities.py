@@ -60,22 +60,22 @@ def _java(pattern: str) -> Column:
 
 
 def regex_matches(text, pattern: str, limit: int | None = None) -> Column:
-    """All non-overlapping matches (group 0) in order, first ``limit`` kept."""
+    """All non-overlapping matches (group 0) in order; with ``limit`` the first ones."""
     m = F.regexp_extract_all(col(text), _java(pattern), F.lit(0))
     m = F.coalesce(m, F.array().cast("array<string>"))
     return F.slice(m, 1, limit) if limit else m
 
 
-def gene_symbols(text) -> Column:
-    return regex_matches(text, vocab.GENE_PATTERN, vocab.GENE_LIMIT)
+def gene_symbols(text, limit: int | None = None) -> Column:
+    return regex_matches(text, vocab.GENE_PATTERN, limit)
 
 
-def protein_names(text) -> Column:
-    return regex_matches(text, vocab.PROTEIN_PATTERN, vocab.PROTEIN_LIMIT)
+def protein_names(text, limit: int | None = None) -> Column:
+    return regex_matches(text, vocab.PROTEIN_PATTERN, limit)
 
 
-def measurements(text) -> Column:
-    return regex_matches(text, vocab.MEASUREMENT_PATTERN, vocab.MEASUREMENT_LIMIT)
+def measurements(text, limit: int | None = None) -> Column:
+    return regex_matches(text, vocab.MEASUREMENT_PATTERN, limit)
 
 
 def time_periods(text) -> Column:
@@ -90,7 +90,8 @@ def gazetteer(profile: str = "main") -> dict[str, list[str]]:
     raise ValueError(f"unknown profile {profile!r}")
 
 
-def extract_entities(text, profile: str = "main", gazetteer_terms: dict[str, list[str]] | None = None) -> Column:
+def extract_entities(text, profile: str = "main", gazetteer_terms: dict[str, list[str]] | None = None,
+                     limits: dict[str, int] | None = None) -> Column:
     """Every entity family found in ``text`` as one struct.
 
     main   : organisms, conditions (= space conditions + biological
@@ -100,6 +101,8 @@ def extract_entities(text, profile: str = "main", gazetteer_terms: dict[str, lis
              space_conditions / biological_systems as extra fields that
              are not article fields.
     Lists keep discovery order and may hold repeats; callers dedup.
+    ``limits`` (e.g. ``vocab.ENTITY_LIMITS``) keeps only the first pattern
+    matches of a family; by default all are kept.
     """
     g = gazetteer_terms or gazetteer(profile)
     lower_sql = f"lower({ident(text)})" if isinstance(text, str) else None
@@ -111,7 +114,9 @@ def extract_entities(text, profile: str = "main", gazetteer_terms: dict[str, lis
             return F.expr(term_hits_sql(lower_sql, g.get(cat, []), lower_terms=False))
         return term_hits(lower, g.get(cat, []), lower_terms=False)
 
-    genes, proteins, meas = gene_symbols(text), protein_names(text), measurements(text)
+    cut = limits or {}
+    genes, proteins, meas = (gene_symbols(text, cut.get("genes")), protein_names(text, cut.get("proteins")),
+                             measurements(text, cut.get("measurements")))
     if profile == "main":
         return F.struct(
             hits("organisms").alias("organisms"),

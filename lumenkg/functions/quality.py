@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import vocab
 from .text import ident, is_valid_url, non_empty_sql, py_strip, truthy, truthy_sql
 
 
@@ -20,9 +21,10 @@ def _longer(x: str, n: int) -> str:
     return f"({truthy_sql(x)} AND length({x}) > {n})"
 
 
-def quality_score_sql(profile: str = "main", get=ident) -> str:
+def quality_score_sql(profile: str = "main", get=ident, thresholds: dict[str, int] = vocab.QUALITY_THRESHOLDS) -> str:
     """Quality score as one SQL expression; ``get(field)`` gives the SQL of
-    each article field (a column name by default)."""
+    each article field (a column name by default); ``thresholds`` are the
+    least lengths of the strict profile."""
     if profile == "main":
         parts = [
             _w(_longer(get("title"), 10), 0.3),
@@ -49,9 +51,9 @@ def quality_score_sql(profile: str = "main", get=ident) -> str:
         ]
     elif profile == "strict":
         parts = [
-            _w(_longer(get("title"), 10), 1.0),
-            _w(_longer(get("abstract"), 100), 2.0),
-            _w(_longer(get("full_text"), 1000), 2.0),
+            _w(_longer(get("title"), thresholds["min_title_length"]), 1.0),
+            _w(_longer(get("abstract"), thresholds["min_abstract_length"]), 2.0),
+            _w(_longer(get("full_text"), thresholds["min_full_text_length"]), 2.0),
             _w(f"({truthy_sql(get('pmid'))} OR {truthy_sql(get('pmcid'))})", 1.0),
             _w(truthy_sql(get("doi")), 1.0),
             _w(truthy_sql(get("journal")), 1.0),
@@ -69,7 +71,7 @@ def quality_score_sql(profile: str = "main", get=ident) -> str:
     return f"least({total}, CAST(1.0 AS DOUBLE))"
 
 
-def quality_score(profile: str = "main", get=ident) -> Column:
+def quality_score(profile: str = "main", get=ident, thresholds: dict[str, int] = vocab.QUALITY_THRESHOLDS) -> Column:
     """Quality score of an ``articles`` row for the given rule set.
 
     main   - cascade / validation rule
@@ -77,16 +79,13 @@ def quality_score(profile: str = "main", get=ident) -> Column:
     strict - points out of ten
     Terms are added left to right in the fixed order.
     """
-    return F.expr(quality_score_sql(profile, get))
+    return F.expr(quality_score_sql(profile, get, thresholds))
 
 
-def quality_score_of(article: str, profile: str = "main") -> Column:
-    """Quality score over the fields of an article struct column (by name)."""
-    return quality_score(profile, get=lambda n: f"{ident(article)}.{ident(n)}")
-
-
-def is_valid(profile: str = "main", as_of=None) -> Column:
-    """Minimum validity of an article (F1 main, F2 strict)."""
+def is_valid(profile: str = "main", as_of=None, thresholds: dict[str, int] = vocab.QUALITY_THRESHOLDS,
+             required=("title", "url")) -> Column:
+    """Minimum validity of an article (F1 main, F2 strict).  ``thresholds`` and
+    the ``required`` fields (F8) apply to the strict profile."""
     title_len = F.length(py_strip("title"))
     if profile == "main":
         ok = truthy("title") & (title_len >= 5) & (
@@ -94,9 +93,11 @@ def is_valid(profile: str = "main", as_of=None) -> Column:
     elif profile == "strict":
         as_of = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
         year = F.year("publication_date")
+        ok = F.lit(True)
+        for c in required:
+            ok = ok & truthy(c)
         ok = (
-            truthy("title") & (title_len >= 10)
-            & truthy("url") & is_valid_url("url")
+            ok & (title_len >= thresholds["min_title_length"]) & is_valid_url("url")
             & (truthy("abstract") | truthy("full_text"))
             & (F.col("publication_date").isNull() | year.between(F.lit(1950), F.year(as_of)))
         )

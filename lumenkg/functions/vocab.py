@@ -87,16 +87,15 @@ STRICT_GAZETTEER = {
 }
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES: entity regular expressions (Python `re` syntax) and the
-# number of leading matches kept for each.
+# FIXED VALUES: entity regular expressions (Python `re` syntax).
 # ---------------------------------------------------------------------------
 GENE_PATTERN = r"\b[A-Z][A-Z0-9]{2,}(?:-[A-Z0-9]+)?\b"
 PROTEIN_PATTERN = r"\b[A-Z][a-z]+(?:-\d+)?(?:\s+[A-Z][a-z]*)*\b"
 MEASUREMENT_PATTERN = r"\d+(?:\.\d+)?\s*(?:mg|g|kg|ml|l|μm|mm|cm|m|°C|%|ppm|μg)"
 TIME_PERIOD_PATTERN = r"\d+\s*(?:days?|weeks?|months?|years?|hrs?|hours?|mins?|minutes?)"
-GENE_LIMIT = 10
-PROTEIN_LIMIT = 10
-MEASUREMENT_LIMIT = 15
+# FIXED VALUES, opt-in: leading matches kept per family.  By default all
+# matches are kept; pass this as ``limits`` to cut the lists.
+ENTITY_LIMITS = {"genes": 10, "proteins": 10, "measurements": 15}
 
 # NER label routing: label -> article field (genes need length > 2)
 NER_ROUTES = [
@@ -136,17 +135,21 @@ JOURNAL_SELECTORS = [
 ]
 DOI_TEXT_PATTERN = r"10\.\d{4,}[^\s]*"
 CONTENT_MIN_CHARS = 500
-CONTENT_MAX_CHARS = 3000
-BODY_MAX_CHARS = 3000
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES: text cuts and thresholds
+# FIXED VALUES, opt-in: text cuts.  By default whole texts are used; each is
+# passed to the function named beside it.
+# ---------------------------------------------------------------------------
+PAGE_TEXT_CHARS = 3000          # parse_pages(max_chars=)
+HTML_ABSTRACT_PREFIX = 500      # html_fallback_abstract(prefix=): that many chars + "..."
+PROMPT_CONTENT_CHARS = 4000     # prompt_text(content_chars=)
+NLP_TEXT_CHARS = {"main": 3000, "strict": 5000}  # nlp_text(max_chars=)
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: thresholds
 # ---------------------------------------------------------------------------
 HTML_SHORT_TEXT = 1000          # below: the whole text is the abstract
 HTML_ABSTRACT_LINE_MIN = 100    # a line containing "abstract" must be longer
-HTML_ABSTRACT_PREFIX = 500      # else the first 500 chars + "..."
-PROMPT_CONTENT_CHARS = 4000
-NLP_TEXT_CHARS = {"main": 3000, "strict": 5000}
 LLM_MIN_SCORE = 0.3             # cascade keeps an LLM article above this
 FALLBACK_MIN_SCORE = 0.2        # PMC / HTML candidates kept above this
 VALIDATE_THRESHOLD = {"main": 0.2, "strict": 0.5}

@@ -1,6 +1,7 @@
 """Entity enrichment of articles."""
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,16 +9,12 @@ from ..functions import vocab
 from ..functions.entities import extract_entities
 from ..functions.text import blank, or_empty_array, py_strip, truthy
 
-# Broadcasting a user gazetteer is only done below this many terms; larger
-# dictionaries are matched in bounded chunks (each chunk broadcast once).
-MAX_BROADCAST_TERMS = 50_000
-
-
-def nlp_text(profile: str = "main") -> Column:
-    """``abstract + " "`` (if any) followed by the first N chars of the full text."""
-    n = vocab.NLP_TEXT_CHARS[profile]
+def nlp_text(max_chars: int | None = None) -> Column:
+    """``abstract + " "`` (if any) followed by the full text, whole or
+    (opt-in, ``vocab.NLP_TEXT_CHARS[profile]``) its first ``max_chars``."""
+    full = F.col("full_text") if max_chars is None else F.substring("full_text", 1, max_chars)
     a = F.when(truthy("abstract"), F.concat(F.col("abstract"), F.lit(" "))).otherwise(F.lit(""))
-    t = F.when(truthy("full_text"), F.substring("full_text", 1, n)).otherwise(F.lit(""))
+    t = F.when(truthy("full_text"), full).otherwise(F.lit(""))
     return F.concat(a, t)
 
 
@@ -26,7 +23,8 @@ def _union_sorted(existing: Column, new: Column) -> Column:
 
 
 def enrich_articles(df: DataFrame, profile: str = "main", extractors: dict[str, Column] | None = None,
-                    mentions: DataFrame | None = None) -> DataFrame:
+                    mentions: DataFrame | None = None, max_chars: int | None = None,
+                    limits: dict[str, int] | None = None) -> DataFrame:
     """Add dictionary / pattern entities to articles.
 
     main   : only rows not extracted by a model; organisms, genes, proteins,
@@ -36,13 +34,14 @@ def enrich_articles(df: DataFrame, profile: str = "main", extractors: dict[str,
              proteins (the two condition families are not article fields).
     A row whose text is blank is left unchanged.  ``mentions`` (J6) adds
     NER mentions before the sets are formed; ``extractors`` (X1) are extra
-    ``name -> Column`` outputs added as columns.
+    ``name -> Column`` outputs added as columns.  ``max_chars`` and ``limits``
+    are the opt-in cuts of :func:`nlp_text` and :func:`extract_entities`.
     """
-    text = nlp_text(profile)
+    text = nlp_text(max_chars)
     df = df.withColumn("_nlp_text", text)
     if mentions is not None:
         df = route_mentions(df, mentions)
-    ent = extract_entities("_nlp_text", profile)
+    ent = extract_entities("_nlp_text", profile, limits=limits)
     apply = ~blank("_nlp_text")
     if profile == "main":
         apply = apply & ~F.coalesce(F.col("llm_extracted"), F.lit(False))
@@ -92,25 +91,29 @@ def route_mentions(articles: DataFrame, mentions: DataFrame, key: str = "article
 
 
 def match_terms(df: DataFrame, text_col: str, gazetteer: DataFrame, key: str,
-                case_insensitive: bool = True) -> DataFrame:
+                case_insensitive: bool = True, word_boundary: bool = False) -> DataFrame:
     """(key, category, term) for every gazetteer term contained in the text.
 
-    The gazetteer is a user table ``(category, term)``.  Its size is checked:
-    up to MAX_BROADCAST_TERMS terms it is broadcast into one nested-loop
-    join; above that it is split into bounded chunks, each broadcast and
-    joined in turn, so no single broadcast grows with the dictionary.
+    ``gazetteer`` is a user table (category, term) of any size; ``key`` must be
+    unique.  The distinct strings of one to three characters of each text are
+    joined with the terms' first three; the terms that come back for a text are
+    gathered per key and then looked for in it, so a text is moved once.
+    ``word_boundary`` asks for whole words; by default a term may be part of one.
     """
     text = F.lower(F.col(text_col)) if case_insensitive else F.col(text_col)
-    docs = df.select(F.col(key), text.alias("_t"))
-    g = gazetteer.select("category", "term").dropDuplicates()
-    n = g.count()
-    n_chunks = max(1, -(-n // MAX_BROADCAST_TERMS))
-    out = None
-    if n_chunks > 1:
-        g = g.withColumn("_chunk", F.pmod(F.xxhash64("category", "term"), F.lit(n_chunks)))
-    for i in range(n_chunks):
-        part = g if n_chunks == 1 else g.filter(F.col("_chunk") == i).drop("_chunk")
-        hit = docs.join(F.broadcast(part), F.instr(F.col("_t"), F.col("term")) > 0, "inner") \
-            .select(key, "category", "term")
-        out = hit if out is None else out.unionByName(hit)
-    return out
+    docs = df.select(F.col(key), text.alias("_t")).filter(F.col("_t").isNotNull())
+    needle = F.lower("term") if case_insensitive else F.col("term")
+    g = gazetteer.select("category", "term").filter(truthy("term")).dropDuplicates() \
+        .withColumn("_needle", needle).withColumn("_g", F.substring(needle, 1, 3))
+
+    @F.pandas_udf("array<string>")
+    def beginnings(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: list({t[i: i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}))
+
+    filed = docs.select(key, F.explode(beginnings("_t")).alias("_g"))
+    wanted = filed.join(g, "_g").groupBy(key).agg(F.collect_list(F.struct("category", "term", "_needle")).alias("_terms"))
+    hits = docs.join(wanted, key).select(key, "_t", F.explode("_terms").alias("x")).select(key, "_t", "x.*")
+    hit = F.instr(F.col("_t"), F.col("_needle")) > 0
+    if word_boundary:
+        hit = hit & F.expr("_t RLIKE concat('(?U)(?<!\\\\w)\\\\Q', _needle, '\\\\E(?!\\\\w)')")
+    return hits.filter(hit).select(key, "category", "term")

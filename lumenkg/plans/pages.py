@@ -13,13 +13,14 @@ from ..functions.text import pmcid_from_url, py_strip, truthy
 from ..operators.cascade import article_cascade
 from ..operators.enrich import enrich_articles
 from ..operators.validate import validate_quality
-from ..session import spread_small_input, table_path
+from ..session import input_partitions, table_path
 from ..sources.html import parse_pages
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return spread_small_input(df) if spread else df
+    n = input_partitions(spark)
+    return df.repartition(n) if n else df
 
 
 def page_publications(pages: DataFrame) -> DataFrame:
@@ -38,12 +39,7 @@ def page_publications(pages: DataFrame) -> DataFrame:
     ).filter(truthy("title") & truthy("url")))
 
 
-def pages_articles(pages: DataFrame, as_of=None, validate: bool = True, enrich: bool = True) -> DataFrame:
+def pages_articles(pages: DataFrame, as_of=None) -> DataFrame:
     """Cascade (HTML / minimal), validation and enrichment for page publications."""
-    pubs = page_publications(pages)
-    arts = article_cascade(pubs, as_of=as_of)
-    if validate:
-        arts = validate_quality(arts, "main", as_of=as_of)
-    if enrich:
-        arts = enrich_articles(arts, "main")
-    return arts
+    arts = validate_quality(article_cascade(page_publications(pages), as_of=as_of), "main", as_of=as_of)
+    return enrich_articles(arts, "main")

@@ -4,7 +4,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -21,11 +20,16 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "lumenkg",
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "lumenkg",
                   extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the defaults above.  Without ``master`` and
+    ``shuffle_partitions`` both are left to the cluster."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -54,28 +58,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
-
-    The input is persisted first: a reliable checkpoint writes the data in a
-    second job, which would otherwise recompute the whole lineage.
-    """
+    """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    return df.checkpoint(eager=True)
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread a table stored in fewer partitions than the cluster has cores
-    (a single small file) round-robin before CPU-heavy stages.  Inputs
-    large enough to matter already scan into many partitions and are left
-    as they are, so large data is never shuffled just for parallelism."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+#: Session setting: partitions that tables are dealt to after the scan.  Unset
+#: (the default) they stay as scanned; set it where tables are a few files.
+INPUT_PARTITIONS = "spark.lumenkg.inputPartitions"
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    n = spark.conf.get(INPUT_PARTITIONS, None)
+    return int(n) if n else None

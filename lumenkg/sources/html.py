@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from ..functions import vocab
 from ..functions.text import col, pmcid_from_url, truthy
-from ..session import spread_small_input
 
 PAGE_STRUCT = T.StructType([
     T.StructField("title", T.StringType()),          # text of the first <title>
@@ -143,8 +142,11 @@ def _select_one(root, selector):
     return None
 
 
-def parse_page(html: str | None) -> dict | None:
-    """Parse one page; pure Python helper used inside the pandas UDF."""
+def parse_page(html: str | None, max_chars: int | None = None) -> dict | None:
+    """Parse one page; pure Python helper used inside the pandas UDF.
+
+    ``max_chars`` cuts the main content (``vocab.PAGE_TEXT_CHARS`` is the
+    opt-in value of the source); by default it is whole."""
     if html is None:
         return None
     tree = _Tree()
@@ -194,12 +196,12 @@ def parse_page(html: str | None) -> dict | None:
         if el is not None:
             content = el.text().strip()
             if len(content) > vocab.CONTENT_MIN_CHARS:
-                main += content[: vocab.CONTENT_MAX_CHARS]
+                main += content[:max_chars]
                 break
     if not main.strip():
         body = next((n for n in root.iter() if n.tag == "body"), None)
         if body is not None:
-            main = body.text()[: vocab.BODY_MAX_CHARS]
+            main = body.text()[:max_chars]
     return {"title": title, "text": main.strip(), "meta": meta, "canonical": canonical,
             "hrefs": hrefs, "journal_sel": journal_sel, "doi_in_text": doi_in_text}
 
@@ -219,25 +221,27 @@ def _visible_strings(root, skip=_HIDDEN):
         stack.extend(reversed(n.children))
 
 
-def _parse_batch(html: pd.Series) -> pd.DataFrame:
-    rows = [parse_page(h) for h in html]
-    empty = {f.name: None for f in PAGE_STRUCT.fields}
-    return pd.DataFrame([r if r is not None else empty for r in rows], columns=[f.name for f in PAGE_STRUCT.fields])
-
+def parse_pages_udf(max_chars: int | None = None):
+    """Nondeterministic on purpose: it is an evaluation barrier, so filters on
+    the parsed fields are not pushed below the UDF (which would parse twice)."""
+    def _parse_batch(html: pd.Series) -> pd.DataFrame:
+        rows = [parse_page(h, max_chars) for h in html]
+        empty = {f.name: None for f in PAGE_STRUCT.fields}
+        return pd.DataFrame([r if r is not None else empty for r in rows], columns=[f.name for f in PAGE_STRUCT.fields])
 
-# Nondeterministic on purpose: it is an evaluation barrier, so filters on the
-# parsed fields are not pushed below the UDF (which would parse twice).
-parse_pages_udf = F.pandas_udf(_parse_batch, PAGE_STRUCT).asNondeterministic()
+    return F.pandas_udf(_parse_batch, PAGE_STRUCT).asNondeterministic()
 
 
 def parse_pages(pages: DataFrame, html_col: str = "html", status_col: str | None = None,
-                out_col: str = "page") -> DataFrame:
+                out_col: str = "page", max_chars: int | None = None, partitions: int | None = None) -> DataFrame:
     """S2 + P6: keep HTTP-200 pages (when a status column is given) and add
-    the parsed ``page`` struct; the raw html column is dropped."""
+    the parsed ``page`` struct; the raw html column is dropped.  ``max_chars``
+    cuts the text; ``partitions`` spreads pages stored in few files."""
     if status_col is not None:
         pages = pages.filter(F.col(status_col) == 200)
-    pages = spread_small_input(pages)
-    return pages.withColumn(out_col, parse_pages_udf(F.col(html_col))).drop(html_col)
+    if partitions:
+        pages = pages.repartition(partitions)
+    return pages.withColumn(out_col, parse_pages_udf(max_chars)(F.col(html_col))).drop(html_col)
 
 
 # -- Column accessors over the parsed struct (P2-P5) -------------------------
@@ -274,7 +278,3 @@ def pmid_from_page(page="page") -> Column:
     from_links = F.regexp_extract(first, r"(?U)pubmed/(\d+)", 1)
     return F.when(F.map_contains_key(p["meta"], "citation_pmid"), F.element_at(p["meta"], F.lit("citation_pmid"))) \
         .otherwise(F.when(first.isNotNull(), from_links))
-
-
-def page_has_text(page="page") -> Column:
-    return truthy(col(page)["text"])
