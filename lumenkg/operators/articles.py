@@ -73,14 +73,3 @@ def with_article_defaults(df: DataFrame, as_of=None, keep_extra: bool = True) ->
         cols.append(c.alias(f.name))
     extra = [F.col(c) for c in df.columns if c not in ARTICLE_FIELDS] if keep_extra else []
     return df.select(*cols, *extra)
-
-
-def new_article(title, url, pmcid, as_of=None, **fields) -> list[Column]:
-    """Columns of a freshly created article (dataclass defaults + fields)."""
-    base = {"title": title, "url": url, "pmcid": pmcid}
-    base.update(fields)
-    out = []
-    for f in ARTICLE_SCHEMA.fields:
-        c = base.get(f.name)
-        out.append((c.cast(f.dataType) if c is not None else _default(f, as_of)).alias(f.name))
-    return out

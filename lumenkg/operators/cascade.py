@@ -3,7 +3,7 @@
 Every fallback reads an existing table (model replies, BioC API documents,
 parsed pages), so the cascade is a set of equi left joins keyed on url /
 pmcid followed by a ``coalesce`` of candidate structs in priority order.
-Side tables are reduced to one row per key *before* the join (no fan-out).
+Side tables hold one row per publication (row id) before the join (no fan-out).
 """
 from __future__ import annotations
 
@@ -17,14 +17,16 @@ from ..functions.text import col, ident, truthy
 from .articles import ARTICLE_FIELDS, ARTICLE_SCHEMA, LIST_FIELDS
 
 
-def html_fallback_abstract(text) -> Column:
-    """P7 abstract rule for page text."""
+def html_fallback_abstract(text, prefix: int | None = None) -> Column:
+    """P7 abstract rule for page text: a short text as a whole, else its line
+    that names an abstract, else the whole text; with ``prefix`` (opt-in
+    ``vocab.HTML_ABSTRACT_PREFIX``) that many characters and "..."."""
     text = col(text)
     lines = F.split(text, "\n")
     hit = F.get(F.filter(lines, lambda ln: F.lower(ln).contains("abstract")
                          & (F.length(ln) > vocab.HTML_ABSTRACT_LINE_MIN)), 0)
     return (F.when(F.length(text) < vocab.HTML_SHORT_TEXT, text)
-            .otherwise(F.coalesce(hit, F.concat(F.substring(text, 1, vocab.HTML_ABSTRACT_PREFIX), F.lit("...")))))
+            .otherwise(F.coalesce(hit, text if prefix is None else F.concat(F.substring(text, 1, prefix), F.lit("...")))))
 
 
 _DEFAULT_SQL = {"quality_score": "CAST(0.0 AS DOUBLE)", "llm_confidence_score": "CAST(0.0 AS DOUBLE)",
@@ -72,51 +74,55 @@ def minimal_candidate_fields(title_name: str) -> dict[str, Column]:
     }
 
 
-def prompt_text(title="title", url="url", text="page_text") -> Column:
+def prompt_text(title="title", url="url", text="page_text", content_chars: int | None = None) -> Column:
     """P10: the request text sent to a model for one publication.
 
-    Non-empty parts joined by a blank line; the content is the first 4000
-    characters of the page text, or the title when the text is empty.
+    Non-empty parts joined by a blank line; the content is the page text, or
+    the title when the text is empty; ``content_chars`` (opt-in
+    ``vocab.PROMPT_CONTENT_CHARS``) cuts it.
     """
     title, url, text = col(title), col(url), col(text)
     content = F.when(truthy(text), text).otherwise(title)
     parts = F.array_compact(F.array(
         F.when(truthy(title), F.concat(F.lit("Title: "), title)),
         F.when(truthy(url), F.concat(F.lit("Source URL: "), url)),
-        F.when(truthy(content), F.concat(F.lit("Content: "), F.substring(content, 1, vocab.PROMPT_CONTENT_CHARS))),
+        F.when(truthy(content), F.concat(F.lit("Content: "),
+                                        content if content_chars is None else F.substring(content, 1, content_chars))),
     ))
     return F.array_join(parts, "\n\n")
 
 
-def prompt_request(title="title", url="url", text="page_text") -> Column:
+def prompt_request(title="title", url="url", text="page_text", content_chars: int | None = None) -> Column:
     """The full prompt (template with the request text substituted)."""
     head, tail = vocab.EXTRACTION_PROMPT.split("{text}")
-    return F.concat(F.lit(head), prompt_text(title, url, text), F.lit(tail))
+    return F.concat(F.lit(head), prompt_text(title, url, text, content_chars), F.lit(tail))
 
 
 def article_cascade(publications: DataFrame, page_text: DataFrame | None = None,
                     llm_articles: DataFrame | None = None, pmc_articles: DataFrame | None = None,
-                    test_mode: bool = True, as_of=None, key: str = "url") -> DataFrame:
+                    test_mode: bool = True, as_of=None, key: str = "url", row_id: str = "pos") -> DataFrame:
     """One article per publication, first available of
     LLM (score > 0.3) -> PMC API -> HTML text -> minimal (test mode only).
 
-    publications : title, url, pmcid (+ any carried columns such as ``pos``)
-    page_text    : url, page_text            (one row per url)
-    llm_articles : url, article struct ``llm`` (J1 output, one row per url)
-    pmc_articles : url, article struct ``pmc`` (S3 output, one row per url)
+    publications : title, url, pmcid, a unique ``row_id`` (+ carried columns)
+    page_text    : url, page_text (of several texts of a url the smallest)
+    llm_articles : row_id, article struct ``llm`` (J1 output)
+    pmc_articles : row_id, article struct ``pmc`` (S3 output)
+
+    One row per publication, also where publications share a url.
     """
     df = publications
     if page_text is not None:
-        df = df.join(page_text.select(key, "page_text"), on=key, how="left")
+        df = df.join(page_text.groupBy(key).agg(F.min("page_text").alias("page_text")), on=key, how="left")
     elif "page_text" not in df.columns:
         df = df.withColumn("page_text", F.lit(None).cast("string"))
     base = {"title": F.col("title"), "url": F.col("url"), "pmcid": F.col("pmcid")}
     order = []  # (tag, ok-condition, prefix or struct column, source literal)
     if llm_articles is not None:
-        df = df.join(llm_articles.select(key, "llm"), on=key, how="left")
+        df = df.join(llm_articles.select(row_id, "llm"), on=row_id, how="left")
         order.append(("llm", F.col("llm")["quality_score"] > vocab.LLM_MIN_SCORE))
     if pmc_articles is not None:
-        df = df.join(pmc_articles.select(key, "pmc"), on=key, how="left")
+        df = df.join(pmc_articles.select(row_id, "pmc"), on=row_id, how="left")
         order.append(("pmc", truthy("pmcid") & F.col("pmc").isNotNull()))
     df = add_candidate(df, "_h_", {**base, **html_candidate_fields("page_text")})
     order.append(("html", truthy("page_text") & (F.col("_h_quality_score") > vocab.FALLBACK_MIN_SCORE)))

@@ -9,24 +9,25 @@ connected components: with A~B, B~C and A!~C, A and C are both kept.
 Plan:
 * J5 finds similar *distinct* lower titles with a lossless blocking:
   numbered bigrams ranked by global rarity, each title indexes its
-  ``prefix_length`` rarest grams (prefix-filter lemma), an equi-join on
-  the gram gives candidates, then a native length test and native
-  ``levenshtein(a, b, k)`` discard most of them before the exact ratio
-  runs (pandas UDF).  Titles too short for the lemma are compared inside
-  small length buckets.
+  ``prefix_length`` rarest grams (prefix-filter lemma); an equi-join on
+  the gram that also compares lengths and packed character counts gives
+  candidates, native ``levenshtein(a, b, k)`` discards most of them, and
+  the exact ratio (pandas UDF) runs last.  Titles too short for the lemma
+  are joined with all titles of a length in reach.  Nothing is written
+  before the last test.
 * Identifiers and exact titles are hub keys ``(row, key)``: a hot key is
   aggregated (min position per key, map-side combined), never expanded
   into pairs.
+  Joins on them are plain, so the skew join can split a hot key.
 * D1 decides rows in rounds over a tiny state table: drop undecided rows
   with a kept earlier neighbour; keep undecided rows with no undecided
-  earlier neighbour.  The smallest undecided row is decided every round.
+  earlier neighbour.  The smallest undecided row is decided every round,
+  so rounds go on until none is undecided.
   Each round's state is checkpointed to the shared checkpoint folder.
 """
 from __future__ import annotations
 
-import logging
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
@@ -34,75 +35,98 @@ from ..functions.similarity import max_edit, max_indel_fraction, title_ratio
 from ..functions.text import truthy
 from ..session import cut_lineage
 
-_log = logging.getLogger(__name__)
 ID_COLS = ("doi", "pmid", "pmcid")
-# Hub-key joins are salted for hot keys only: a key held by more than
-# HOT_KEY_ROWS rows has its (row, key) side spread over SALT buckets by row
-# and its one-row-per-key side replicated SALT times, so it is processed by
-# SALT tasks instead of one.  The hot-key list has at most
-# rows / HOT_KEY_ROWS entries, which bounds its broadcast.
-SALT = 32
-HOT_KEY_ROWS = 100_000
-
-
-def _salted_join(rows: DataFrame, per_key: DataFrame, hot: DataFrame, key: str = "key",
-                 how: str = "inner") -> DataFrame:
-    h = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    r = rows.join(h, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("pos"), F.lit(SALT))).otherwise(F.lit(0))).drop("_hot")
-    k = per_key.join(h, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0))))) \
-        .drop("_hot")
-    return r.join(k, [key, "_salt"], how).drop("_salt")
-
-
-def _numbered_bigrams(titles: DataFrame) -> DataFrame:
-    """(t, g, k): k-th occurrence of bigram g in title t."""
-    grams = titles.select("t", F.posexplode(F.expr(
-        "transform(sequence(1, greatest(length(t) - 1, 1)), i -> substring(t, i, 2))")).alias("i", "g")) \
-        .filter(F.length("g") == 2)
-    w = Window.partitionBy("t", "g").orderBy("i")
-    return grams.withColumn("k", F.row_number().over(w)).select("t", "g", "k")
+#: Character counts are kept in this many buckets, four bits each (15 a long).
+BUCKETS = 30
+MIN_THRESHOLD = 70
 
 
-def similar_titles(titles: DataFrame, threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD,
-                   col: str = "t") -> DataFrame:
-    """Pairs (a, b, ratio) of distinct strings with a < b and ratio >= threshold."""
-    t = titles.select(F.col(col).alias("t")).filter(F.col("t").isNotNull()).distinct() \
-        .withColumn("n", F.length("t"))
-    # prefix length per title length: (n-1) - T + 1 with T = (n-1) - worst
+def _signed(titles: DataFrame, threshold: int) -> DataFrame:
+    """(t, n, h0, h1, plen): length, character counts by hash bucket (at most
+    15 each) and the number of rarest bigrams to index (-1: too short)."""
     d = max_indel_fraction(threshold)
+    chars = "split(t, '')"
+    counts = [f"least(size(filter(_c, c -> pmod(hash(c), {BUCKETS}) = {i})), 15)" for i in range(BUCKETS)]
+    packed = [" + ".join(f"shiftleft(CAST({c} AS BIGINT), {4 * j})" for j, c in enumerate(counts[k: k + 15])) for k in (0, 15)]
+    t = titles.withColumn("n", F.length("t")).withColumn("_c", F.expr(chars)).withColumns(
+        {"h0": F.expr(packed[0]), "h1": F.expr(packed[1])}).drop("_c")
     worst = F.floor(F.col("n") * F.lit(4 * d / (1 + d)) + F.lit(1e-9))
     overlap = (F.col("n") - 1) - worst
-    t = t.withColumn("plen", F.when(overlap >= 1, worst + 1).otherwise(F.lit(-1)).cast("int"))
+    return t.withColumn("plen", F.when(overlap >= 1, worst + 1).otherwise(F.lit(-1)).cast("int"))
+
+
+def _close(a: str, b: str, threshold: int) -> Column:
+    """Necessary for a pair: lengths and character counts differ by no more
+    than the indel distance may (an indel changes one count by one)."""
+    apart = " + ".join(f"abs((shiftright({a}.{h}, {4 * j}) & 15L) - (shiftright({b}.{h}, {4 * j}) & 15L))" for h in ("h0", "h1") for j in range(15))
+    most = max_edit(F.col(f"{a}.n") + F.col(f"{b}.n"), threshold)
+    return (F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= most) & (F.expr(apart) <= most)
+
+
+def _prefixes(titles: DataFrame, freq: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(prefix rows (t, g, k, n, h0, h1), bigram frequencies): the ``plen``
+    globally rarest numbered bigrams of each title."""
+    grams = titles.filter(F.col("plen") > 0).select("t", "n", "h0", "h1", "plen", F.posexplode(F.expr(
+        "transform(sequence(1, n - 1), i -> substring(t, i, 2))")).alias("i", "g"))
+    grams = grams.withColumn("k", F.row_number().over(Window.partitionBy("t", "g").orderBy("i"))).drop("i")
+    if freq is None:
+        freq = grams.groupBy("g", "k").agg(F.count("*").alias("df"))
+    w = Window.partitionBy("t").orderBy(F.coalesce("df", F.lit(0)), "g", "k")
+    ranked = grams.join(freq, ["g", "k"], "left").withColumn("r", F.row_number().over(w))
+    return ranked.filter(F.col("r") <= F.col("plen")).drop("df", "r", "plen"), freq
+
+
+def _verified(pairs: DataFrame, threshold: int) -> DataFrame:
+    """(a, b, ratio) of candidate pairs with ratio >= threshold."""
+    k = max_edit(F.length("a") + F.length("b"), threshold)
+    near = pairs.distinct().withColumn("_k", k).filter(F.expr("levenshtein(a, b, _k) >= 0")).drop("_k")
+    return near.withColumn("ratio", title_ratio("a", "b")).filter(F.col("ratio") >= threshold)
+
+
+def _candidates(x: DataFrame, y: DataFrame, px: DataFrame, py: DataFrame, threshold: int, ordered: bool) -> DataFrame:
+    """(a, b) with a from x and b from y that may be similar: a shared rare
+    bigram, or a length in reach where one of the two is too short to index.
+    Lengths and character counts are compared inside the joins."""
+    d = max_indel_fraction(threshold)
+    before = F.col("p1.t") < F.col("p2.t") if ordered else F.col("p1.t") != F.col("p2.t")
+    pair = [F.col("p1.t").alias("a"), F.col("p2.t").alias("b")]
+    shared = px.alias("p1").join(py.alias("p2"), (F.col("p1.g") == F.col("p2.g")) & (F.col("p1.k") == F.col("p2.k"))
+                                 & before & _close("p1", "p2", threshold)).select(*pair)
+    reach = F.expr(f"sequence(CAST(floor(n * {(1 - d) / (1 + d)!r}) AS INT), CAST(ceil(n * {(1 + d) / (1 - d)!r}) AS INT))")
+
+    def by_length(short, other, flip):
+        left = short.filter(F.col("plen") < 1).withColumn("_m", F.explode(reach)).alias("p2" if flip else "p1")
+        right = other.alias("p1" if flip else "p2")
+        on = F.col("p2._m") == F.col("p1.n") if flip else F.col("p1._m") == F.col("p2.n")
+        return left.join(right, on & before & _close("p1", "p2", threshold)).select(*pair)
+
+    return shared.unionByName(by_length(x, y, False)).unionByName(by_length(y, x, True))
+
+
+def _checked(threshold: int) -> None:
+    if threshold < MIN_THRESHOLD:
+        raise ValueError(f"a threshold under {MIN_THRESHOLD} leaves no shared bigrams to find pairs by")
+
+
+def similar_titles(titles: DataFrame, threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD,
+                   col: str = "t") -> DataFrame:
+    """Pairs (a, b, ratio) of distinct strings with a < b and ratio >= threshold."""
+    _checked(threshold)
     # the distinct titles feed four branches: materialise once (lineage cut)
-    t = cut_lineage(t)
-    grams = _numbered_bigrams(t.filter(F.col("plen") > 0))
-    freq = grams.groupBy("g", "k").agg(F.count("*").alias("df"))
-    ranked = grams.join(freq, ["g", "k"]).join(t.select("t", "plen"), "t")
-    w = Window.partitionBy("t").orderBy("df", "g", "k")
-    prefix = ranked.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.col("plen")) \
-        .select("t", "g", "k")
-    p1, p2 = prefix.alias("p1"), prefix.alias("p2")
-    cand = p1.join(p2, (F.col("p1.g") == F.col("p2.g")) & (F.col("p1.k") == F.col("p2.k"))
-                   & (F.col("p1.t") < F.col("p2.t"))) \
-        .select(F.col("p1.t").alias("a"), F.col("p2.t").alias("b")).distinct()
-    # Titles too short for the lemma (plen < 1, i.e. one or two characters)
-    # can only match each other; that set is bounded by the alphabet.
-    short = t.filter(F.col("plen") < 1).select("t", F.lit(0).alias("bucket"))
-    s1, s2 = short.alias("s1"), short.alias("s2")
-    cand_short = s1.join(s2, (F.col("s1.bucket") == F.col("s2.bucket")) & (F.col("s1.t") < F.col("s2.t"))) \
-        .select(F.col("s1.t").alias("a"), F.col("s2.t").alias("b"))
-    # materialise the distinct candidates: otherwise the optimizer pushes the
-    # edit-distance test and the ratio UDF below the distinct, into the join,
-    # where they would run once per shared gram instead of once per pair
-    cand = cut_lineage(cand.unionByName(cand_short).distinct())
-    la, lb = F.length("a"), F.length("b")
-    k = max_edit(la + lb, threshold)
-    cand = cand.withColumn("_k", k).filter(F.abs(la - lb) <= F.col("_k")) \
-        .filter(F.expr("levenshtein(a, b, _k) >= 0")).drop("_k")
-    scored = cut_lineage(cand).withColumn("ratio", title_ratio("a", "b"))
-    return scored.filter(F.col("ratio") >= threshold)
+    t = cut_lineage(_signed(titles.select(F.col(col).alias("t")).filter(F.col("t").isNotNull()).distinct(), threshold))
+    prefix, _ = _prefixes(t)
+    return _verified(_candidates(t, t, prefix, prefix, threshold, ordered=True), threshold)
+
+
+def similar_to(new: DataFrame, known: DataFrame, threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD) -> DataFrame:
+    """J5 between two sets of distinct strings (column t): (a, b, ratio) with a
+    from ``new`` and b from ``known``; ``known`` is never joined with itself."""
+    _checked(threshold)
+    x, y = _signed(new, threshold), _signed(known, threshold)
+    py, freq = _prefixes(y)
+    px, _ = _prefixes(x, freq)
+    # _candidates leaves equal strings out
+    return _verified(_candidates(x, y, px, py, threshold, ordered=False), threshold)
 
 
 def row_keys(df: DataFrame, order: str = "pos", title: str = "title") -> DataFrame:
@@ -114,7 +138,7 @@ def row_keys(df: DataFrame, order: str = "pos", title: str = "title") -> DataFra
 
 
 def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
-                threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD, max_rounds: int = 200,
+                threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD,
                 registry: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` that survive greedy keep-first deduplication.
 
@@ -136,18 +160,14 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     nk = sims.select(tkey("a").alias("key"), tkey("b").alias("nkey")) \
         .unionByName(sims.select(tkey("b").alias("key"), tkey("a").alias("nkey")))
     # rows connected to anything: a key shared by >1 row, or a title with similar titles
-    key_n = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("c")))
-    hot = key_n.filter(F.col("c") > HOT_KEY_ROWS).select("key")
-    linked_keys = key_n.filter(F.col("c") > 1).select("key").unionByName(nk.select("key")).distinct()
-    active = _salted_join(keys, linked_keys, hot, how="left_semi").select("pos").distinct()
+    linked_keys = keys.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("key") \
+        .unionByName(nk.select("key")).distinct()
+    active = keys.join(linked_keys, "key", "left_semi").select("pos").distinct()
     rk = keys.join(active, "pos", "left_semi")
     rk = cut_lineage(rk)
     nk = cut_lineage(nk.join(rk.select("key").distinct(), "key", "left_semi"))
     state = cut_lineage(active.withColumn("st", F.lit(0)))  # 0 undecided, 1 kept, 2 dropped
-    for rnd in range(max_rounds):
-        if state.filter(F.col("st") == 0).limit(1).count() == 0:
-            break
-        _log.debug("dedup round %d", rnd)
+    while not state.filter(F.col("st") == 0).isEmpty():
         live = state.filter(F.col("st") < 2)
         ks = rk.join(live, "pos").groupBy("key").agg(
             F.min(F.when(F.col("st") == 0, F.col("pos"))).alias("mu"),
@@ -155,20 +175,16 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
         via = nk.join(ks.withColumnRenamed("key", "nkey"), "nkey").select("key", "mu", "mk")
         ks_all = ks.unionByName(via).groupBy("key").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
         undecided = rk.join(state.filter(F.col("st") == 0).select("pos"), "pos", "left_semi")
-        per_row = _salted_join(undecided, ks_all, hot).groupBy("pos").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
+        per_row = undecided.join(ks_all, "key").groupBy("pos").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
         decided = per_row.select("pos", F.when(F.col("mk") < F.col("pos"), F.lit(2))
                                  .when(F.col("mu") >= F.col("pos"), F.lit(1)).otherwise(F.lit(0)).alias("new"))
         state = cut_lineage(state.join(decided, "pos", "left")
                             .select("pos", F.coalesce("new", "st").alias("st")))
-    else:
-        if state.filter(F.col("st") == 0).limit(1).count() > 0:
-            raise RuntimeError(f"deduplicate: rows still undecided after {max_rounds} rounds")
     dropped = state.filter(F.col("st") == 2).select(F.col("pos").alias(order))
-    kept = base.select(order).join(dropped, order, "left_anti")
     if set(df.columns) <= set(base.columns):
         # nothing beyond the materialised slim columns: no upstream recompute
         return base.join(dropped, order, "left_anti").select(*df.columns)
-    return df.join(kept, order, "left_semi")
+    return df.join(base.select(order).join(dropped, order, "left_anti"), order, "left_semi")
 
 
 def seen_registry(df: DataFrame, article_id_col: str = "article_id", title: str = "title") -> DataFrame:
@@ -189,10 +205,6 @@ def drop_seen(df: DataFrame, registry: DataFrame, threshold: int = vocab.TITLE_S
         if c in df.columns:
             out = out.join(ids, F.col(c) == F.col("_k"), "left_anti")
     reg_t = registry.filter(F.col("key_kind") == "title").select(F.col("key").alias("t")).distinct()
-    new_t = out.select(F.lower(F.col(title)).alias("t")).distinct()
-    both = new_t.unionByName(reg_t).distinct()
-    sims = similar_titles(both, threshold)
-    bad = sims.join(reg_t.withColumnRenamed("t", "b"), "b", "left_semi").select(F.col("a").alias("t")) \
-        .unionByName(sims.join(reg_t.withColumnRenamed("t", "a"), "a", "left_semi").select(F.col("b").alias("t"))) \
-        .unionByName(reg_t).distinct()
+    new_t = out.select(F.lower(F.col(title)).alias("t")).filter(F.col("t").isNotNull()).distinct()
+    bad = similar_to(new_t, reg_t, threshold).select(F.col("a").alias("t")).unionByName(reg_t).distinct()
     return out.join(bad, F.lower(F.col(title)) == F.col("t"), "left_anti")

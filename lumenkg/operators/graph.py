@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.text import article_id, non_empty, or_empty_array, truthy
-from ..session import cut_lineage
 
 S, B, SP, DC = vocab.SCHEMA_NS, vocab.BIO_NS, vocab.SPACE_NS, vocab.DCTERMS_NS
 
@@ -96,12 +95,13 @@ def merge_triples(triples: DataFrame) -> DataFrame:
 
 
 def graph_tables(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """K5: node table (uri, type, name) and edge table (src, predicate, dst)."""
-    # the triple set feeds both tables: materialise it once (lineage cut)
-    t = cut_lineage(merge_triples(triples))
-    types = t.filter(F.col("p") == vocab.RDF_TYPE).select(F.col("s").alias("uri"), F.col("o").alias("type"))
-    names = t.filter(F.col("p") == S + "name").groupBy(F.col("s").alias("uri")).agg(F.min("o").alias("name"))
-    nodes = types.join(names, "uri", "left")
+    """K5: node table (uri, type, names) and edge table (src, predicate, dst), both lazy."""
+    t = merge_triples(triples)
+    # one aggregation over the describing triples: a node has a row per type, with all its names
+    described = t.filter(F.col("p").isin(vocab.RDF_TYPE, S + "name")).groupBy(F.col("s").alias("uri")).agg(
+        F.collect_set(F.when(F.col("p") == vocab.RDF_TYPE, F.col("o"))).alias("types"),
+        F.sort_array(F.collect_set(F.when(F.col("p") == S + "name", F.col("o")))).alias("names"))
+    nodes = described.select("uri", F.explode("types").alias("type"), "names")
     edges = t.filter((F.col("o_kind") == "uri") & (F.col("p") != vocab.RDF_TYPE)) \
         .select(F.col("s").alias("src"), F.col("p").alias("predicate"), F.col("o").alias("dst"))
     return nodes, edges
@@ -152,36 +152,21 @@ def json_ld_struct(profile: str = "main") -> Column:
                     *optional)
 
 
-_ALWAYS_STRICT = ["schema:url", "dcterms:created", "schema:abstract", "schema:text"]
-
-
 def to_json_ld(profile: str = "main") -> Column:
     """K1 (main: absent keys omitted) / K2 (strict: url, created, abstract,
     text always present, possibly null) as a JSON string."""
     js = F.to_json(json_ld_struct(profile))
     if profile == "main":
         return js
-    # strict: the four fixed keys keep explicit nulls
-    fixed = F.to_json(F.struct(*[F.col(c).alias(k) for c, k in (
-        ("url", "schema:url"), ("_created", "dcterms:created"),
-        ("abstract", "schema:abstract"), ("full_text", "schema:text"))]), {"ignoreNullFields": "false"})
-    return js, fixed
+    # strict: every non-null key, then explicit nulls of the four fixed keys
+    fixed = [(F.col("url"), "schema:url"), (iso_datetime("publication_date"), "dcterms:created"),
+             (F.col("abstract"), "schema:abstract"), (F.col("full_text"), "schema:text")]
+    nulls = F.concat(*[F.when(c.isNull(), F.lit(f',"{k}":null')).otherwise(F.lit("")) for c, k in fixed])
+    return F.concat(F.regexp_replace(js, r"\}$", ""), nulls, F.lit("}"))
 
 
 def with_json_ld(df: DataFrame, profile: str = "main", out: str = "json_ld") -> DataFrame:
-    if profile == "main":
-        return df.withColumn(out, to_json_ld("main"))
-    tmp = df.withColumn("_created", iso_datetime("publication_date"))
-    js, fixed = to_json_ld("strict")
-    # merge: every non-null key from the main object, plus explicit nulls of the fixed keys
-    merged = F.when(F.col("_fixnull") == "", js).otherwise(
-        F.concat(F.expr("substring(_js, 1, length(_js) - 1)"), F.lit(","), F.col("_fixnull"), F.lit("}")))
-    tmp = tmp.withColumn("_js", js).withColumn(
-        "_fixnull", F.array_join(F.filter(F.array(*[
-            F.when(F.col(c).isNull(), F.lit(f'"{k}":null')) for c, k in (
-                ("url", "schema:url"), ("_created", "dcterms:created"),
-                ("abstract", "schema:abstract"), ("full_text", "schema:text"))]), lambda x: x.isNotNull()), ","))
-    return tmp.withColumn(out, merged).drop("_created", "_js", "_fixnull")
+    return df.withColumn(out, to_json_ld(profile))
 
 
 def graph_entities() -> Column:

@@ -16,35 +16,47 @@ def count_by_source(df: DataFrame) -> DataFrame:
     return df.groupBy("extraction_source").agg(F.count("*").alias("n"))
 
 
-def llm_summary(df: DataFrame) -> DataFrame:
-    """A2: model-extracted count, total, and their mean confidence (null if none)."""
-    return df.agg(F.count_if("llm_extracted").alias("llm_extracted"), F.count("*").alias("total"),
-                  F.avg(F.when(F.col("llm_extracted"), F.col("llm_confidence_score"))).alias("avg_llm_confidence"))
-
-
-def avg_quality(df: DataFrame) -> DataFrame:
-    """A3: mean quality score."""
-    return df.agg(F.avg("quality_score").alias("avg_quality"))
-
-
-def run_metrics(df: DataFrame, threshold: float = 0.2) -> DataFrame:
-    """A2 + A3 + A5 + A6 in one aggregation pass.
-
-    pass_rate    : share of rows valid (main rule) with score >= threshold
-    completeness : share of rows whose required fields (title, url) are set
+def run_metrics(df: DataFrame, threshold: float = 0.2, publications: DataFrame | None = None,
+                kept: DataFrame | None = None, required=("title", "url"), n_entities=("organisms", "genes")) -> DataFrame:
+    """A2 + A3 + A5 + A6: one row.
+
+    total, llm_extracted, avg_llm_confidence, avg_quality over ``df``;
+    passed       : rows valid (main rule) with score >= threshold, and their share pass_rate
+    completeness : share of rows whose ``required`` fields are set
+    entities     : items of the ``n_entities`` lists
+    With ``publications`` (the input list): publications, failed (without a
+    row) and coverage.  With ``kept`` (after deduplication): kept and duplicate_rate.
     """
     valid = truthy("title") & (F.length(py_strip("title")) >= 5) & truthy("url") \
         & (F.col("quality_score") >= threshold)
     as_d = lambda c: F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))
-    return df.agg(
+    complete = F.lit(True)
+    for c in required:
+        complete = complete & truthy(c)
+    out = df.agg(
         F.count("*").alias("total"),
         F.count_if("llm_extracted").alias("llm_extracted"),
         F.round(F.avg(F.when(F.col("llm_extracted"), F.col("llm_confidence_score"))), 9).alias("avg_llm_confidence"),
         F.round(F.avg("quality_score"), 9).alias("avg_quality"),
+        F.count_if(valid).alias("passed"),
         F.round(F.avg(as_d(valid)), 9).alias("pass_rate"),
-        F.round(F.avg(as_d(truthy("title") & truthy("url"))), 9).alias("completeness"),
+        F.round(F.avg(as_d(complete)), 9).alias("completeness"),
+        F.coalesce(F.sum(sum((F.coalesce(F.size(c), F.lit(0)) for c in n_entities), F.lit(0)).cast("long")), F.lit(0)).alias("entities"),
         F.round(F.avg(F.coalesce(F.size("organisms"), F.lit(0)).cast("double")), 9).alias("organisms_per_article"),
     )
+    if publications is not None:
+        out = out.unionByName(publications.agg(F.count("*").alias("publications")), allowMissingColumns=True)
+    if kept is not None:
+        out = out.unionByName(kept.agg(F.count("*").alias("kept")), allowMissingColumns=True)
+    # each column is set in one of these rows
+    out = out.agg(*[F.max(c).alias(c) for c in out.columns])
+    share = lambda a, b: F.when(b > 0, F.round(a / b, 9))
+    if publications is not None:
+        out = out.withColumn("failed", F.col("publications") - F.col("total")) \
+            .withColumn("coverage", share(F.col("total"), F.col("publications")))
+    if kept is not None:
+        out = out.withColumn("duplicate_rate", share(F.col("total") - F.col("kept"), F.col("total")))
+    return out
 
 
 def entity_counts(df: DataFrame) -> DataFrame:

@@ -38,15 +38,24 @@ def drop_low_quality(df: DataFrame, min_score: float, inclusive: bool = False) -
     return df.filter(s >= min_score if inclusive else s > min_score)
 
 
-def default_validators(as_of=None) -> dict[str, Column]:
-    """Validators that have a rule: url, date range, title length."""
+def with_duplicate_flag(df: DataFrame, kept: DataFrame, order: str = "pos") -> DataFrame:
+    """Rows with ``is_duplicate``: deduplication (D1, result ``kept``) dropped them."""
+    return df.join(kept.select(order, F.lit(False).alias("is_duplicate")), order, "left") \
+        .withColumn("is_duplicate", F.coalesce("is_duplicate", F.lit(True)))
+
+
+def default_validators(as_of=None, thresholds: dict[str, int] = vocab.QUALITY_THRESHOLDS,
+                       duplicates: bool = False) -> dict[str, Column]:
+    """Validators that have a rule: url, date range, title length and, with
+    ``duplicates`` (over rows of :func:`with_duplicate_flag`), duplicate."""
     as_of_c = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return {
+    rules = {
         "url": is_valid_url("url"),
         "date": F.col("publication_date").isNull()
         | F.year("publication_date").between(F.lit(1950), F.year(as_of_c)),
-        "title": F.length(F.col("title")) >= vocab.QUALITY_THRESHOLDS["min_title_length"],
+        "title": F.length(F.col("title")) >= thresholds["min_title_length"],
     }
+    return rules | ({"duplicate": ~F.col("is_duplicate")} if duplicates else {})
 
 
 def validation_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -4,7 +4,7 @@ All passages of all documents are flattened in order; passages whose
 ``infons.type`` contains "abstract" (any case) form the abstract (joined
 by a blank, stripped), the others the full text (joined by newlines, kept
 whenever there is at least one such passage).  Pure Column expressions:
-``from_json`` + ``flatten(transform(...))`` + ``filter`` + ``array_join``.
+``try_parse_json`` + ``flatten(transform(...))`` + ``filter`` + ``array_join``.
 """
 from __future__ import annotations
 
@@ -17,17 +17,24 @@ from ..functions.quality import quality_score_sql
 from ..functions.text import _STRIP_RE, sql_str
 from ..operators.articles import ARTICLE_FIELDS, ARTICLE_SCHEMA
 
-BIOC_SCHEMA = "struct<documents: array<struct<passages: array<struct<infons: map<string,string>, text: string>>>>>"
+DOCUMENTS_TYPE = "array<struct<passages: array<struct<infons: map<string,string>, text: string>>>>"
 
 
-def bioc_stages_sql(json: str) -> list[tuple[str, str]]:
-    """Staged columns (name, SQL): the document is parsed once, passages
-    flattened once, then split into abstract and body texts."""
+def bioc_stages_sql(jsons: str) -> list[tuple[str, str]]:
+    """Staged columns (name, SQL) over ``jsons`` (array of response bodies):
+    each body is parsed once, passages are flattened once, then split into
+    abstract and body texts.  A body that is not a JSON object, or whose
+    ``documents`` is not a list of documents, gives nothing; ``_docs`` is empty
+    when no body is usable."""
     typ = "lower(coalesce(element_at(p.infons, 'type'), ''))"
     txt = "coalesce(p.text, '')"
+    parsed = f"transform({jsons}, j -> try_parse_json(j))"
+    objects = f"filter({parsed}, v -> v IS NOT NULL AND schema_of_variant(v) LIKE 'OBJECT<%')"
+    listed = (f"transform({objects}, v -> CASE WHEN variant_get(v, '$.documents') IS NULL THEN CAST(array() AS {DOCUMENTS_TYPE}) "
+              f"ELSE try_variant_get(v, '$.documents', '{DOCUMENTS_TYPE}') END)")
     return [
-        ("_pass", f"flatten(transform(coalesce(from_json({json}, {sql_str(BIOC_SCHEMA)}).documents, array()), "
-                  f"d -> coalesce(d.passages, array())))"),
+        ("_docs", f"filter({listed}, d -> d IS NOT NULL)"),
+        ("_pass", "flatten(transform(flatten(_docs), d -> coalesce(d.passages, array())))"),
         ("_abs", f"transform(filter(_pass, p -> contains({typ}, 'abstract')), p -> {txt})"),
         ("_body", f"transform(filter(_pass, p -> NOT contains({typ}, 'abstract')), p -> {txt})"),
         ("_abs_txt", f"regexp_replace(array_join(_abs, ' '), {sql_str(_STRIP_RE)}, '')"),
@@ -46,20 +53,26 @@ def bioc_fields_sql(title: str) -> dict[str, str]:
     }
 
 
-def pmc_articles(publications: DataFrame, bioc: DataFrame, json_col: str = "json") -> DataFrame:
+def pmc_articles(publications: DataFrame, bioc: DataFrame, json_col: str = "json", row_id: str = "pos") -> DataFrame:
     """S3 for every publication with a pmcid and a fetched API document:
-    returns ``pmcid, url, pmc`` (article struct), only when the score > 0.2.
+    returns ``row_id, pmcid, url, pmc`` (article struct), one row per
+    publication, only when the score > 0.2.
 
-    The API table is reduced to one document per pmcid before the join.
+    ``bioc`` (pmcid, json, and status if there is one: only 200 counts) is
+    first restricted to the wanted pmcids.  All bodies of a pmcid are taken
+    together, in ascending order of the body.
     """
-    docs = bioc.groupBy("pmcid").agg(F.min(json_col).alias("_json"))
     pubs = publications.filter(F.col("pmcid").isNotNull() & (F.length("pmcid") > 0)) \
-        .select("url", "pmcid", F.col("title").alias("_t"))
-    j = pubs.join(docs, "pmcid")
-    for name, e in bioc_stages_sql("_json"):
-        j = j.withColumn(name, F.expr(e))
+        .select(row_id, "url", "pmcid", F.col("title").alias("_t"))
+    if "status" in bioc.columns:
+        bioc = bioc.filter(F.col("status") == 200)
+    docs = bioc.join(pubs.select("pmcid").distinct(), "pmcid", "left_semi") \
+        .groupBy("pmcid").agg(F.sort_array(F.collect_list(json_col)).alias("_jsons"))
+    for name, e in bioc_stages_sql("_jsons"):
+        docs = docs.withColumn(name, F.expr(e))
+    j = pubs.join(docs.filter("size(_docs) > 0").select("pmcid", "_abs_txt", "_body"), "pmcid")
     cols = bioc_fields_sql("coalesce(_t, '')")
-    j = j.select("url", "pmcid", "_t", *[F.expr(e).alias(n) for n, e in cols.items()])
+    j = j.select(row_id, "url", "pmcid", "_t", *[F.expr(e).alias(n) for n, e in cols.items()])
     j = j.withColumn("_score", F.expr(quality_score_sql("main", get=lambda n: {
         "title": "_t", "pmcid": "pmcid", "abstract": "abstract", "full_text": "full_text",
         "organisms": "organisms", "keywords": "keywords", "llm_extracted": "false",
@@ -74,4 +87,4 @@ def pmc_articles(publications: DataFrame, bioc: DataFrame, json_col: str = "json
         dt = ARTICLE_SCHEMA[f].dataType.simpleString()
         e = vals.get(f, "array()" if dt.startswith("array") else "NULL")
         fields.append(F.expr(f"CAST({e} AS {dt})").alias(f))
-    return j.select("pmcid", "url", F.struct(*fields).alias("pmc"))
+    return j.select(row_id, "pmcid", "url", F.struct(*fields).alias("pmc"))

@@ -1,7 +1,7 @@
 """Publication lists (S1) and the publications a fetched page table implies."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,19 +17,28 @@ PANDAS_NA_VALUES = [
 CSV_SCHEMA = T.StructType([T.StructField("Title", T.StringType()), T.StructField("Link", T.StringType())])
 
 
-def read_publications(spark: SparkSession, path: str) -> DataFrame:
+def read_publications(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Publication CSV (header ``Title,Link``) -> title, url, pmcid, pos.
 
     Rows with a missing / empty title or link are dropped, both are
     stripped, and rows blank after the strip are dropped.  ``pos`` keeps
-    the input order (file order, then line order).
+    the input order (path of the file, then place in it; dense over all rows
+    read).  With ``multi_line`` (quoted line breaks) a file is one task;
+    without, large files are split.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .csv(path))
+    raw = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+           .csv(path).select("*", "_metadata"))
     for c in ("Title", "Link"):
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast("string"))
-    raw = raw.select("Title", "Link").withColumn("pos", F.monotonically_increasing_id())
+    # Rows of a split are consecutive; splits are put in order by path and offset.
+    raw = raw.select("Title", "Link", F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
+    splits = raw.groupBy("_file", "_at").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.withColumn("_before", F.coalesce(before, F.lit(0)))
+    raw = raw.join(F.broadcast(splits), ["_file", "_at"])  # one row per file split
+    raw = raw.select("Title", "Link", (F.col("_before") + F.col("_id") - F.col("_first")).alias("pos"))
     return from_rows(raw, "Title", "Link")
 
 

@@ -54,6 +54,12 @@ def reply_json_sql(s: str) -> str:
     return f"(CASE WHEN {i} > 0 AND {r} > 0 AND {j} > {i} THEN try_parse_json(substring({s}, {i}, {j} - {i} + 1)) END)"
 
 
+def _item_str(v: str) -> str:
+    """``str(item)`` of a list item: booleans are spelled True / False."""
+    return (f"(CASE WHEN schema_of_variant({v}) = 'BOOLEAN' THEN CASE WHEN try_variant_get({v}, '$', 'boolean') "
+            f"THEN 'True' ELSE 'False' END ELSE try_variant_get({v}, '$', 'string') END)")
+
+
 def _str_of(v: str) -> str:
     """``str(value)`` for a JSON scalar (objects / arrays as JSON text)."""
     return f"try_variant_get({v}, '$', 'string')"
@@ -89,7 +95,7 @@ def reply_article_columns(v: str, title: str, url: str, pmcid: str, provider: st
                f"WHEN schema_of_variant(x) LIKE 'OBJECT%' THEN named_struct('name', CASE WHEN variant_get(x, '$.name') IS NULL "
                f"THEN '' ELSE try_variant_get(x, '$.name', 'string') END, 'affiliation', try_variant_get(x, '$.affiliation', 'string'), "
                f"'orcid', CAST(NULL AS STRING)) "
-               f"ELSE named_struct('name', try_variant_get(x, '$', 'string'), 'affiliation', CAST(NULL AS STRING), "
+               f"ELSE named_struct('name', {_item_str('x')}, 'affiliation', CAST(NULL AS STRING), "
                f"'orcid', CAST(NULL AS STRING)) END), array())")
     cols = {
         "title": title_sql, "url": url, "pmcid": pmcid, "abstract": abstract, "journal": journal, "doi": doi,
@@ -98,24 +104,26 @@ def reply_article_columns(v: str, title: str, url: str, pmcid: str, provider: st
     }
     for f in REPLY_LIST_FIELDS:
         arr = f"_f_{f}_arr"
-        cols[f] = f"coalesce(transform(filter({arr}, x -> {_truthy_variant('x')}), x -> try_variant_get(x, '$', 'string')), array())"
+        cols[f] = f"coalesce(transform(filter({arr}, x -> {_truthy_variant('x')}), x -> {_item_str('x')}), array())"
     cols["_ok"] = f"({title_ok} AND {abstract_ok} AND ({cv} IS NULL OR {conf} IS NOT NULL))"
     return cols
 
 
-def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "url") -> DataFrame:
+def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "url", row_id: str = "pos") -> DataFrame:
     """Per publication, the reply of the first provider (fixed priority)
-    with status 200 that maps to an article; returns ``key, llm`` (struct).
+    with status 200 that maps to an article; returns ``row_id, llm`` (struct).
 
-    Replies are joined to publications on ``key``, mapped, and the winner
-    is ``min_by(article, priority)`` per key (partial aggregation, so a hot
-    key is combined map-side).  The score test comes after this choice.
+    Replies are joined to publications on ``key`` and mapped with the title
+    and pmcid of their own publication; the winner is ``min_by(article,
+    priority)`` per publication row (partial aggregation).  Publications may
+    share a key: ``row_id`` tells them apart, so each gets one row.  The score
+    test comes after this choice.
     """
     prov = "array(" + ", ".join(sql_str(p) for p in vocab.LLM_PROVIDERS) + ")"
     r = replies
     if "priority" not in r.columns:
         r = r.withColumn("priority", F.expr(f"array_position({prov}, provider)"))
-    pubs = publications.select(key, F.col("title").alias("_in_title"), F.col("pmcid").alias("_in_pmcid"),
+    pubs = publications.select(row_id, key, F.col("title").alias("_in_title"), F.col("pmcid").alias("_in_pmcid"),
                                *([] if key == "url" else ["url"]))
     j = r.filter(F.col("status") == 200).join(pubs, key)
     # staged columns: every JSON value is parsed / extracted exactly once
@@ -132,7 +140,7 @@ def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "u
     j = j.withColumns({f"_f_{k}_arr": F.expr(f"try_variant_get(_v, '$.{k}', 'array<variant>')")
                        for k in ["authors"] + REPLY_LIST_FIELDS})
     cols = reply_article_columns("_v", "_in_title", "url", "_in_pmcid", "provider")
-    j = j.select(key, "priority", "_obj", *[F.expr(e).alias("_a_" + n) for n, e in cols.items()])
+    j = j.select(row_id, "priority", "_obj", *[F.expr(e).alias("_a_" + n) for n, e in cols.items()])
     j = j.withColumn("priority", F.expr("CASE WHEN _obj AND _a__ok THEN priority END"))
     defaults = {"affiliations": "array()", "mesh_terms": "array()", "full_text": "NULL", "pmid": "NULL",
                 "quality_score": "0.0D", "extraction_timestamp": "current_timestamp()"}
@@ -140,9 +148,9 @@ def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "u
     for f in ARTICLE_FIELDS:
         e = ident("_a_" + f) if f in cols else defaults.get(f, "NULL")
         fields.append(F.expr(f"CAST({e} AS {ARTICLE_SCHEMA[f].dataType.simpleString()})").alias(f))
-    art = j.select(F.col(key).alias("_key"), "priority", *fields)
+    art = j.select(F.col(row_id).alias("_key"), "priority", *fields)
     art = art.withColumn("quality_score", F.expr(quality_score_sql("llm")))
-    won = art.groupBy(F.col("_key").alias(key)).agg(
+    won = art.groupBy(F.col("_key").alias(row_id)).agg(
         F.min_by(F.struct(*[F.col(f) for f in ARTICLE_FIELDS]), F.col("priority")).alias("llm"),
         F.min("priority").alias("_best"))
     return won.filter(F.col("_best").isNotNull()).drop("_best")
