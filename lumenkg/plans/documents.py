@@ -3,12 +3,14 @@
 Each document is a publication whose PMC full-text document (BioC JSON)
 and model replies are tables Spark derives from the document itself:
 
-* publication: title = first line, url = its PMC article address
-* BioC: English documents only; passage 1 "front", passage 2 "ABSTRACT",
-  the rest "paragraph"
-* replies (documents with a label): ``deepseek`` answers 500 for toxic
-  documents, otherwise a message whose content wraps a JSON object in
-  free text; ``groq`` always answers with a ``text`` choice without title.
+* publication: title = first line, url = a PMC article address; Spanish
+  documents share the address of their group of eight
+* BioC (one response per address, of the document that the address names):
+  English and Spanish documents; passage 1 "front", passage 2 "ABSTRACT",
+  the rest "paragraph"; some sources answer with broken bodies or status 404
+* replies (address documents with a label): ``deepseek`` answers 500 for
+  toxic documents, otherwise a message whose content wraps a JSON object in
+  free text; ``groq`` always answers with a ``text`` choice without title
 """
 from __future__ import annotations
 
@@ -29,9 +31,10 @@ def _first_line() -> str:
 
 def document_publications(documents: DataFrame) -> DataFrame:
     d = documents.select("doc_id", "text", "lang", "source")
-    d = d.withColumn("url", F.concat(F.lit(PMC_BASE), F.col("doc_id").cast("string"), F.lit("/")))
+    d = d.withColumn("uid", F.expr("CASE WHEN lang = 'es' THEN (doc_id DIV 8) * 8 ELSE doc_id END"))
+    d = d.withColumn("url", F.concat(F.lit(PMC_BASE), F.col("uid").cast("string"), F.lit("/")))
     return d.select(F.col("doc_id").alias("pos"), F.expr(_first_line()).alias("title"), "url",
-                    pmcid_from_url("url").alias("pmcid"), "text", "lang", "source") \
+                    pmcid_from_url("url").alias("pmcid"), "text", "lang", "source", "uid") \
         .filter("length(title) > 0")
 
 
@@ -39,11 +42,15 @@ def document_bioc(pubs: DataFrame) -> DataFrame:
     js = ("to_json(named_struct('documents', array(named_struct('passages', "
           "transform(split(text, '\\n'), (l, i) -> named_struct('infons', map('type', "
           "CASE i WHEN 0 THEN 'front' WHEN 1 THEN 'ABSTRACT' ELSE 'paragraph' END), 'text', l))))))")
-    return pubs.filter(F.col("lang") == "en").select("pmcid", F.expr(js).alias("json"))
+    broken = F.when(F.col("source") == "src1", F.lit("not json")).when(F.col("source") == "src2", F.lit('{"documents": 5}')) \
+        .when(F.col("source") == "src3", F.lit(""))
+    return pubs.filter(F.col("lang").isin("en", "es") & (F.col("uid") == F.col("pos"))).select(
+        "pmcid", F.coalesce(broken, F.expr(js)).alias("json"),
+        F.when(F.col("source") == "src4", F.lit(404)).otherwise(F.lit(200)).alias("status"))
 
 
 def document_replies(pubs: DataFrame, labels: DataFrame) -> DataFrame:
-    j = pubs.join(labels, F.col("pos") == F.col("doc_id")).select("url", "title", "text", "source", "lang",
+    j = pubs.filter(F.col("uid") == F.col("pos")).join(labels, F.col("pos") == F.col("doc_id")).select("url", "title", "text", "source", "lang",
                                                                    "quality", "toxic")
     second = "try_element_at(split(text, '\\n'), 2)"
     kw = term_hits_sql("lower(text)", vocab.BASIC_KEYWORDS, False)
@@ -56,7 +63,7 @@ def document_replies(pubs: DataFrame, labels: DataFrame) -> DataFrame:
     def jstr(x):  # JSON string literal of a SQL string expression
         return f"regexp_extract(to_json(array({x})), '^\\\\[(.*)\\\\]$', 1)"
     # authors mix a plain string and an object, so this object is spelled out
-    obj2 = (f"concat('{{\"abstract\": ', {jstr('substring(text, 1, 200)')}, ', \"confidence_score\": 0.75, "
+    obj2 = (f"concat('{{\"abstract\": ', {jstr('text')}, ', \"confidence_score\": 0.75, "
             f"\"authors\": [', {jstr('source')}, ', {{\"name\": ', {jstr('lang')}, ', \"affiliation\": ', "
             f"{jstr('source')}, '}}]}}')")
     body2 = f"to_json(named_struct('choices', array(named_struct('text', {obj2}))))"

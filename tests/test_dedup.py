@@ -91,3 +91,43 @@ def test_dedup_hot_key_salting_path(spark, monkeypatch):
         if doi:
             seen_ids.add(doi)
     assert sorted(r.pos for r in dd.deduplicate(df).collect()) == keep
+
+
+def test_pairs_equal_brute_force_at_other_thresholds(spark):
+    import pytest
+    rnd = random.Random(3)
+    titles = sorted({"".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 10))) for _ in range(60)}
+                    | {"".join(rnd.choice("abc def") for _ in range(rnd.randint(11, 40))) for _ in range(60)}
+                    | {"abc", "abcd", "abcde", "abcdef", "a", ""})
+    near = [t + "x" for t in titles if len(t) > 12] + [t[1:] for t in titles if len(t) > 12]
+    titles = sorted(set(titles) | set(near))
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    for threshold in (70, 75, 80, 90, 95):
+        got = {(r.a, r.b) for r in similar_titles(df, threshold).collect()}
+        want = {(a, b) for i, a in enumerate(titles) for b in titles[i + 1:] if ratio(a, b) >= threshold}
+        assert got == want, threshold
+    with pytest.raises(ValueError):
+        similar_titles(df, 60)
+
+
+def test_similar_to_a_registry(spark):
+    from lumenkg.operators.dedup import similar_to
+    rnd = random.Random(8)
+    words = ["bone", "loss", "mice", "rat", "space", "gene", "density"]
+    new = sorted({" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5))) for _ in range(80)})
+    known = sorted({" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5))) for _ in range(80)} | {"ab", "abc"})
+    frame = lambda ts: spark.createDataFrame([(t,) for t in ts], "t string")
+    got = {(r.a, r.b) for r in similar_to(frame(new), frame(known)).collect()}
+    assert got == {(a, b) for a in new for b in known if a != b and ratio(a, b) >= 85}
+
+
+def test_a_chain_needs_no_round_limit(spark):
+    # each title is similar to its neighbours only
+    base = "abcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, ("%02d" % i) * 6 + base[i % 8:], f"k{i // 2}", f"k{(i + 1) // 2}") for i in range(14)]
+    df = spark.createDataFrame(rows, "pos long, title string, doi string, pmid string")
+    kept = []
+    for i, t, a, b in rows:
+        if not any({a, b} & {x, y} or ratio(t, u) >= 85 for _, u, x, y in kept):
+            kept.append((i, t, a, b))
+    assert sorted(r.pos for r in deduplicate(df).collect()) == [k[0] for k in kept]

@@ -30,3 +30,34 @@ def test_incremental_registry_and_sinks(spark):
     assert any("<https://schema.org/name>" in r.value for r in nt)
     rec = spark.read.json(os.path.join(root, "sink", "json")).first()
     assert set(rec.asDict()) == {"article_data", "json_ld", "rdf_triples", "graph_entities"}
+
+
+def test_replayed_batch_leaves_no_duplicate(spark):
+    import shutil
+    root = tempfile.mkdtemp(prefix="lumenkg-test-")
+    src = os.path.join(root, "in")
+    out, reg, ck = (os.path.join(root, x) for x in ("out", "reg", "ck"))
+    for n, row in enumerate([(1, "Effects of microgravity on bone", "http://a/1", "PMC1", None), (2, "Plants grown far from any soil", "http://a/2", None, None)]):
+        spark.createDataFrame([row], SCHEMA).write.parquet(os.path.join(src, f"b{n}"))
+        run_incremental(spark, os.path.join(src, "*"), SCHEMA, lambda b: article_cascade(b), out, reg, ck).awaitTermination(120)
+    # the second batch's commit is lost: it runs again
+    os.remove(os.path.join(ck, "commits", "1"))
+    for f in os.listdir(os.path.join(ck, "commits")):
+        if f.startswith(".1."):
+            os.remove(os.path.join(ck, "commits", f))
+    run_incremental(spark, os.path.join(src, "*"), SCHEMA, lambda b: article_cascade(b), out, reg, ck).awaitTermination(120)
+    assert sorted(r.pos for r in spark.read.parquet(out).collect()) == [1, 2]
+    assert spark.read.parquet(reg).groupBy("key").count().filter("count > 1").count() == 0
+
+
+def test_sink_options(spark):
+    from lumenkg.sources.sinks import ntriples
+    root = tempfile.mkdtemp(prefix="lumenkg-test-")
+    arts = article_cascade(spark.createDataFrame([(1, "A long enough title", "http://a/<x y>", "PMC1", "text " * 300)], SCHEMA))
+    write_outputs(arts, root, formats=("json", "json-ld", "rdf"), include_full_text=False, timestamp_suffix="20250101")
+    assert sorted(os.listdir(root)) == ["json-ld_20250101", "json_20250101", "rdf_20250101"]
+    lines = [r.value for r in spark.read.text(os.path.join(root, "rdf_20250101")).collect()]
+    assert any(x.endswith('"false"^^<http://www.w3.org/2001/XMLSchema#boolean> .') for x in lines)
+    assert any("<http://a/%3Cx%20y%3E>" in x for x in lines)
+    t = spark.createDataFrame([("s", "http://purl.org/dc/terms/created", "2020-01-01T00:00:00", "literal")], "s string, p string, o string, o_kind string")
+    assert ntriples(t).first().value.endswith('"2020-01-01T00:00:00"^^<http://www.w3.org/2001/XMLSchema#dateTime> .')

@@ -76,3 +76,33 @@ def test_json_ld_profiles(spark):
 def test_article_json(spark):
     js = json.loads(_art(spark).select(article_json(_art(spark)).alias("j")).first().j)
     assert js["title"] == "T" and js["keywords"] == [] and js["doi"] is None
+
+
+def test_publications_keep_file_order(spark):
+    d = tempfile.mkdtemp(prefix="lumenkg-csv-")
+    for name, n in (("a.csv", 2), ("b.csv", 300), ("c.csv", 5)):
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write("Title,Link\n" + "".join(f"{name} title {i},http://x/{name}/{i}\n" for i in range(n)))
+    for multi_line in (True, False):
+        rows = read_publications(spark, d, multi_line).orderBy("pos").collect()
+        assert [r.title for r in rows] == [f"{name} title {i}" for name, n in (("a.csv", 2), ("b.csv", 300), ("c.csv", 5)) for i in range(n)]
+        assert [r.pos for r in rows] == list(range(307))
+
+
+def test_graph_nodes_keep_all_names(spark):
+    from lumenkg.functions import vocab
+    from lumenkg.operators.graph import graph_tables
+    name = vocab.SCHEMA_NS + "name"
+    t = spark.createDataFrame([("s", vocab.RDF_TYPE, "T", "uri"), ("s", name, "b", "literal"), ("s", name, "a", "literal"), ("s", "p", "o", "uri")],
+                              "s string, p string, o string, o_kind string")
+    nodes, edges = graph_tables(t)
+    assert [tuple(r) for r in nodes.collect()] == [("s", "T", ["a", "b"])] and edges.count() == 1
+
+
+def test_strict_thresholds_are_parameters(spark):
+    from lumenkg.functions.quality import is_valid, quality_score
+    df = _art(spark, title="A title of some length", abstract="x" * 60)
+    low = {"min_title_length": 5, "min_abstract_length": 50, "min_full_text_length": 10}
+    r = df.select(quality_score("strict").alias("a"), quality_score("strict", thresholds=low).alias("b"),
+                  is_valid("strict").alias("c"), is_valid("strict", required=("title", "url", "journal")).alias("d")).first()
+    assert (round(r.b - r.a, 9), r.c, r.d) == (0.2, True, False)

@@ -15,12 +15,12 @@ def _reply(content):
 
 
 def _map(spark, contents, title="Input title long enough"):
-    pubs = spark.createDataFrame([(f"u{i}", title, None) for i in range(len(contents))],
-                                 "url string, title string, pmcid string")
+    pubs = spark.createDataFrame([(i, f"u{i}", title, None) for i in range(len(contents))],
+                                 "pos long, url string, title string, pmcid string")
     rep = spark.createDataFrame([(f"u{i}", "deepseek", 200, _reply(c)) for i, c in enumerate(contents)],
                                 "url string, provider string, status int, body string")
-    out = {r.url: r.llm for r in first_valid_reply(pubs, rep).collect()}
-    return [out.get(f"u{i}") for i in range(len(contents))]
+    out = {r.pos: r.llm for r in first_valid_reply(pubs, rep).collect()}
+    return [out.get(i) for i in range(len(contents))]
 
 
 def test_reply_mapping_rules(spark):
@@ -47,7 +47,7 @@ def test_reply_mapping_rules(spark):
 
 
 def test_first_provider_wins_even_if_low_score(spark):
-    pubs = spark.createDataFrame([("u", "Some title of a paper", None)], "url string, title string, pmcid string")
+    pubs = spark.createDataFrame([(1, "u", "Some title of a paper", None)], "pos long, url string, title string, pmcid string")
     rep = spark.createDataFrame([
         ("u", "groq", 200, _reply('{"title": "G", "abstract": "' + "a" * 80 + '"}')),
         ("u", "deepseek", 200, _reply('{"title": "D"}')),
@@ -61,7 +61,7 @@ def test_bioc_passages(spark):
     doc = {"documents": [{"passages": [{"infons": {"type": "front"}, "text": "Title line"},
                                        {"infons": {"type": "Abstract"}, "text": "mice in space " * 5},
                                        {"text": "body"}]}]}
-    pubs = spark.createDataFrame([("u", "A title about mice", "PMC1")], "url string, title string, pmcid string")
+    pubs = spark.createDataFrame([(1, "u", "A title about mice", "PMC1")], "pos long, url string, title string, pmcid string")
     bioc = spark.createDataFrame([("PMC1", json.dumps(doc))], "pmcid string, json string")
     a = pmc_articles(pubs, bioc).first().pmc
     assert a.abstract == ("mice in space " * 5).strip()
@@ -72,10 +72,10 @@ def test_bioc_passages(spark):
 
 def test_cascade_branches(spark):
     pubs = spark.createDataFrame([
-        ("p1", "Long enough title one", None, "x" * 1200),   # html text -> html_fallback
-        ("p2", "Long enough title two", None, None),         # nothing -> minimal
-        ("p3", "Long enough title three", "PMC9", None),     # pmc document
-    ], "url string, title string, pmcid string, page_text string")
+        (1, "p1", "Long enough title one", None, "x" * 1200),   # html text -> html_fallback
+        (2, "p2", "Long enough title two", None, None),         # nothing -> minimal
+        (3, "p3", "Long enough title three", "PMC9", None),     # pmc document
+    ], "pos long, url string, title string, pmcid string, page_text string")
     bioc = spark.createDataFrame([("PMC9", json.dumps({"documents": [{"passages": [
         {"infons": {"type": "abstract"}, "text": "b" * 80}]}]}))], "pmcid string, json string")
     c = article_cascade(pubs, pmc_articles=pmc_articles(pubs, bioc))
@@ -113,3 +113,68 @@ def test_html_accessors(spark):
     df = parse_pages(spark.createDataFrame([(1, html)], "id long, html string"))
     r = df.select(doi_from_page(), journal_from_page(), pmcid_from_page(), pmid_from_page()).first()
     assert tuple(r) == ("10.12345/abc.d", None, "PMC77", "42")
+
+
+def test_shared_url_gives_one_row_each(spark):
+    pubs = spark.createDataFrame([(1, "u", "First long title here", "PMC1"), (2, "u", "Second long title here", "PMC1")],
+                                 "pos long, url string, title string, pmcid string")
+    rep = spark.createDataFrame([("u", "groq", 200, _reply('{"abstract": "' + "a" * 80 + '", "confidence_score": 1}'))],
+                                "url string, provider string, status int, body string")
+    doc = json.dumps({"documents": [{"passages": [{"text": "body " * 30}]}]})
+    bioc = spark.createDataFrame([("PMC1", doc)], "pmcid string, json string")
+    pages = spark.createDataFrame([("u", "text " * 50), ("u", "other " * 50)], "url string, page_text string")
+    llm = first_valid_reply(pubs, rep)
+    assert {r.pos: r.llm.title for r in llm.collect()} == {1: "First long title here", 2: "Second long title here"}
+    c = article_cascade(pubs, page_text=pages, llm_articles=llm, pmc_articles=pmc_articles(pubs, bioc))
+    assert sorted((r.pos, r.title) for r in c.collect()) == [(1, "First long title here"), (2, "Second long title here")]
+
+
+def test_broken_documents_fall_through(spark):
+    good = json.dumps({"documents": [{"passages": [{"text": "kept " * 30}]}]})
+    bodies = ["not json", "", '{"documents": 5}', '["x"]', good, "{}", good]
+    pubs = spark.createDataFrame([(i, f"u{i}", "A title that is long", f"PMC{i}", "page text " * 20) for i in range(7)],
+                                 "pos long, url string, title string, pmcid string, page_text string")
+    bioc = spark.createDataFrame([(f"PMC{i}", b, 404 if i == 6 else 200) for i, b in enumerate(bodies)],
+                                 "pmcid string, json string, status int")
+    c = article_cascade(pubs, pmc_articles=pmc_articles(pubs, bioc))
+    got = {r.pos: r.extraction_source for r in c.collect()}
+    assert got == {i: "pmc_api_fallback" if i in (4, 5) else "html_fallback" for i in range(7)}
+
+
+def test_all_documents_of_a_pmcid_are_taken(spark):
+    body = lambda t: json.dumps({"documents": [{"passages": [{"text": t}]}]})
+    pubs = spark.createDataFrame([(1, "u", "A title that is long", "PMC1")], "pos long, url string, title string, pmcid string")
+    bioc = spark.createDataFrame([("PMC1", body("b")), ("PMC1", body("a")), ("PMC1", "broken"), ("PMC2", body("c"))], "pmcid string, json string")
+    assert pmc_articles(pubs, bioc).first().pmc.full_text == "a\nb"
+
+
+def test_boolean_items_are_spelled_as_the_source_does(spark):
+    got = _map(spark, ['{"title": "T", "genes": [true, "x", 2], "authors": [true]}'])[0]
+    assert got.genes == ["True", "x", "2"] and got.authors[0].name == "True"
+
+
+def test_cuts_are_opt_in(spark):
+    from lumenkg.functions import vocab
+    from lumenkg.functions.entities import extract_entities
+    from lumenkg.operators.cascade import html_fallback_abstract, prompt_text
+    from lumenkg.operators.enrich import nlp_text
+    text = "GENE%s " * 40 % tuple(range(40)) + "x" * 6000
+    page = f"<html><body><article>{text}</article></body></html>"
+    assert parse_page(page)["text"] == text and len(parse_page(page, vocab.PAGE_TEXT_CHARS)["text"]) == 3000
+    df = spark.createDataFrame([(text, text, "u", "t")], "page_text string, full_text string, url string, title string").withColumn("abstract", F.lit("a"))
+    r = df.select(
+        F.size(extract_entities("page_text")["genes"]).alias("all"), F.size(extract_entities("page_text", limits=vocab.ENTITY_LIMITS)["genes"]).alias("ten"),
+        F.length(html_fallback_abstract("page_text")).alias("whole"), F.length(html_fallback_abstract("page_text", vocab.HTML_ABSTRACT_PREFIX)).alias("prefix"),
+        (F.length(prompt_text()) - F.length(prompt_text(content_chars=vocab.PROMPT_CONTENT_CHARS))).alias("prompt"),
+        F.length(nlp_text()).alias("nlp"), F.length(nlp_text(vocab.NLP_TEXT_CHARS["main"])).alias("nlp_cut")).first()
+    assert tuple(r) == (40, 10, len(text), 503, len(text) - 4000, len(text) + 2, 3002)
+
+
+def test_term_matching(spark):
+    from lumenkg.operators.enrich import match_terms
+    docs = spark.createDataFrame([(1, "the ISS crew of mice"), (2, "a"), (3, None), (4, "missing"), (5, "mi.ce (x")], "id long, text string")
+    terms = spark.createDataFrame([("c", "ISS"), ("c", "mice"), ("c", "a"), ("d", "mi.ce"), ("d", ""), ("d", "w(")], "category string, term string")
+    got = lambda **k: sorted((r.id, r.term) for r in match_terms(docs, "text", terms, "id", **k).collect())
+    assert got() == [(1, "ISS"), (1, "mice"), (2, "a"), (4, "ISS"), (5, "mi.ce")]
+    assert got(word_boundary=True) == [(1, "ISS"), (1, "mice"), (2, "a"), (5, "mi.ce")]
+    assert got(case_insensitive=False) == [(1, "ISS"), (1, "mice"), (2, "a"), (5, "mi.ce")]
