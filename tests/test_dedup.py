@@ -75,9 +75,8 @@ def test_dedup_equals_sequential_model(spark):
     assert sorted(r.pos for r in deduplicate(df).collect()) == keep
 
 
-def test_dedup_hot_key_salting_path(spark, monkeypatch):
+def test_dedup_with_a_key_that_most_rows_share(spark):
     import lumenkg.operators.dedup as dd
-    monkeypatch.setattr(dd, "HOT_KEY_ROWS", 3)
     rows = [(i, f"title number {i} unique words here", "HOT" if i % 3 == 0 else None, None) for i in range(40)]
     rows += [(100 + i, "same shared title", None, None) for i in range(10)]
     df = spark.createDataFrame(rows, "pos long, title string, doi string, pmid string")
