@@ -1,10 +1,17 @@
 """Corpus pipeline: documents -> stages -> a mixed corpus.  Counted as part of lumenkg.llm."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lumenkg.llm import decontam, lines, mixing, quality, simhash
 from lumenkg.llm.common import read_table, written
 
 
+def _counted(docs):
+    """``docs`` whose texts were changed, with n_chars as the length of the text that stays."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality_classifier(spark, docs, sf_dir):
     """Documents go whose probability of the best grade is under one half."""
     model = quality.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), sample=20_000)
@@ -12,18 +19,22 @@ def quality_classifier(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    return lines.remove_boilerplate(docs, max_ratio=0.1, min_pages=5)
+    """Lines go that more than a tenth of their source's documents hold."""
+    return _counted(lines.remove_boilerplate(docs, max_ratio=0.1, min_pages=5))
 
 
 def simhash_near_dedup(spark, docs, sf_dir):
+    """Of each group of near duplicates the document with the smallest id stays."""
     return simhash.keep_one(docs, shingle=4, max_bits=4)
 
 
 def decontaminate(spark, docs, sf_dir):
-    return decontam.remove_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
+    """Benchmark passages leave the texts; documents that are mostly such passages go."""
+    return _counted(decontam.remove_benchmark(docs, read_table(spark, sf_dir, "benchmark"), min_words=10, max_coverage=0.5))
 
 
 def mix_sources(spark, docs, sf_dir):
+    """Blocks of documents get slots by source; order by mix_slot and mix_place to read the corpus."""
     return mixing.mix(docs)
 
 

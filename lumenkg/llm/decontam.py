@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, id_text, map_batches, sha, utf8
+from .common import LOWER, SLICE, id_text, map_batches, sha, utf8, written
 
 #: Every byte that is no word byte becomes a blank; capitals become small letters.
 TO_WORDS = bytes(LOWER[b] if b >= 0x80 or 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
-#: Benchmark words in one automaton; more are cut into shards, each a pass of its own.
+#: Benchmark words in one automaton; more are cut into shards, each a pass over the documents.
 SHARD_WORDS = 500_000
 
 
@@ -153,24 +153,25 @@ class Automaton:
         return [(a, b) for a, b in hits], items
 
 
-def automata(benchmark: DataFrame, min_words: int, id_col: str = "item_id", text_col: str = "text") -> list[Automaton]:
-    """Automata of at most SHARD_WORDS words each (an item is never cut)."""
+def automata(benchmark: DataFrame, min_words: int, id_col: str = "item_id", text_col: str = "text") -> list:
+    """Broadcast automata of at most SHARD_WORDS words each (an item is never cut).  The driver holds one
+    shard at a time."""
+    sc = benchmark.sparkSession.sparkContext
     sized = benchmark.select(F.col(id_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shards: list[list] = [[]]
-    room = SHARD_WORDS
+    out, shard, room = [], [], SHARD_WORDS
     for row in sized.toLocalIterator(prefetchPartitions=True):
         ws = words_of(row["text"].encode())
-        if len(ws) > room and shards[-1]:
-            shards.append([])
-            room = SHARD_WORDS
+        if len(ws) > room and shard:
+            out.append(sc.broadcast(Automaton(shard, min_words)))
+            shard, room = [], SHARD_WORDS
         room -= len(ws)
-        shards[-1].append((row["item"] if row["item"] is not None else "null", ws))
-    return [Automaton(s, min_words) for s in shards]
+        shard.append((row["item"] if row["item"] is not None else "null", ws))
+    return [*out, sc.broadcast(Automaton(shard, min_words))]
 
 
-def merged(parts: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
+def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for s, e in sorted(x for p in parts for x in p):
+    for s, e in sorted(hits):
         if out and s <= out[-1][1]:
             out[-1] = (out[-1][0], max(e, out[-1][1]))
         else:
@@ -178,37 +179,54 @@ def merged(parts: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
     return out
 
 
-class Matcher:
-    """The automata of all shards, each in a broadcast of its own that holds SHARD_WORDS words at most."""
+def marked(docs: DataFrame, shards: list, text_col: str) -> DataFrame:
+    """``docs`` with ``__hits`` (start, end, start, end, ...) and ``__items``, a pass for each shard.
 
-    def __init__(self, benchmark: DataFrame, min_words: int):
-        sc = benchmark.sparkSession.sparkContext
-        self.shards = [sc.broadcast(a) for a in automata(benchmark, min_words)]
+    A worker holds one automaton at a time, so passes after the first start from written rows."""
+    place = docs.columns.index(text_col)
+    width = len(docs.columns)
+    out = docs.withColumn("__hits", F.array().cast("array<int>")).withColumn("__items", F.array().cast("array<string>"))
+
+    def passing(shard):
+        def run(batches):
+            for whole in batches:
+                for at in range(0, whole.num_rows, SLICE):
+                    part = whole.slice(at, SLICE)
+                    hits, items = part.column(width).to_pylist(), part.column(width + 1).to_pylist()
+                    for i, raw in enumerate(part.column(place).cast(pa.binary()).to_pylist()):
+                        found, names = shard.value.match(words_of(raw or b""))
+                        hits[i] = hits[i] + [x for h in found for x in h]
+                        items[i] = sorted({*items[i], *names})
+                    part = part.set_column(width, part.schema.field(width), pa.array(hits, part.column(width).type))
+                    yield part.set_column(width + 1, part.schema.field(width + 1), pa.array(items, part.column(width + 1).type))
+
+        return run
+
+    for n, shard in enumerate(shards):
+        out = (written(out) if n else out).mapInArrow(passing(shard), out.schema)
+    return out
 
-    def __call__(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
-        found = [b.value.match(words) for b in self.shards]
-        return merged([f[0] for f in found]), set().union(*(f[1] for f in found))
+
+def spans(hits: list[int]) -> list[tuple[int, int]]:
+    return merged(list(zip(hits[::2], hits[1::2])))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: words, hit words, occurring items and whether any word is hit."""
-    match = Matcher(benchmark, min_words)
+    found = marked(id_text(docs, id_col, text_col), automata(benchmark, min_words), "text")
 
     def run(batch):
         cols = {n: [] for n in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")}
-        for raw in utf8(batch):
-            words = words_of(raw)
-            hits, items = match(words)
-            n = sum(e - s for s, e in hits)
-            cols["n_words"].append(len(words))
+        for raw, hits, items in zip(utf8(batch), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            n = sum(e - s for s, e in spans(hits))
+            cols["n_words"].append(len(words_of(raw)))
             cols["n_hit"].append(n)
             cols["n_items"].append(len(items))
-            cols["items_sha256"].append(sha(",".join(sorted(items))))
+            cols["items_sha256"].append(sha(",".join(items)))
             cols["contaminated"].append(n > 0)
         return cols | {"doc_id": batch.column(0)}
 
-    return map_batches(id_text(docs, id_col, text_col), run,
-                       "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return map_batches(found, run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def cleaned(text: str, hits: list[tuple[int, int]]) -> str:
@@ -225,24 +243,19 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, min_words: int = 10,
                      text_col: str = "text") -> DataFrame:
     """``docs`` (all its columns) without benchmark passages: hit stretches leave the text, and documents
     of whose words more than ``max_coverage`` are hit go.  A null text stays null."""
-    match = Matcher(benchmark, min_words)
-    place = docs.columns.index(text_col)
+    place, width = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = part.column(place).to_pylist()
-                keep, changed = [], False
-                for i, text in enumerate(texts):
-                    words = words_of((text or "").encode())
-                    hits, _ = match(words)
-                    keep.append(sum(e - s for s, e in hits) <= max_coverage * len(words))
-                    if hits and keep[-1]:
-                        texts[i] = cleaned(text, hits)
-                        changed = True
-                if changed:
-                    part = part.set_column(place, part.schema.field(place), pa.array(texts, part.column(place).type))
-                yield part if all(keep) else part.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                part = whole.slice(at, SLICE)
+                texts, keep = part.column(place).to_pylist(), []
+                for i, hits in enumerate(part.column(width).to_pylist()):
+                    cut = spans(hits)
+                    keep.append(not cut or sum(e - s for s, e in cut) <= max_coverage * len(words_of(texts[i].encode())))
+                    if cut and keep[-1]:
+                        texts[i] = cleaned(texts[i], cut)
+                part = part.set_column(place, part.schema.field(place), pa.array(texts, part.column(place).type))
+                yield part.select(range(width)).filter(pa.array(keep))
+
+    return marked(docs, automata(benchmark, min_words), text_col).mapInArrow(run, docs.schema)
