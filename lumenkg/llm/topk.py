@@ -13,7 +13,7 @@ shard only the k + 1 smallest ids can be in a result, so the rest are dropped be
 The tasks' best k by query are merged by a ranked window.  Work is queries x vectors in blocks by its
 nature; a task holds one shard and one block.  Vectors that are null, empty, or hold a null or a
 non-finite component take no part, nor do null ids; vectors of different lengths do not meet; rows
-that repeat an id are candidates of their own.  An empty table gives an empty result.  A score that a
+that repeat an id count once, with the smallest vector.  An empty table gives an empty result.  A score that a
 long can't hold raises an error.
 """
 from __future__ import annotations
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
 FANOUT = 16
-LEAF = 96
+LEAF = 256
+#: Below every number that Best holds.
+NONE = np.iinfo(np.int64).min
 
 
 class Node:
@@ -68,33 +70,43 @@ def cover_tree(points: np.ndarray) -> Node:
 
 
 class Best:
-    """The k best of every query: higher scores first, then smaller ids."""
-
-    def __init__(self, ids: np.ndarray, k: int):
-        self.own = ids
-        self.k = k
-        self.score = np.full((len(ids), k), -np.inf)
-        self.id = np.full((len(ids), k), np.iinfo(np.int64).max)
-
-    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        scores = np.where(ids[None, :] == self.own[rows][:, None], -np.inf, scores)
-        hot = (scores >= self.score[rows, -1][:, None]).any(axis=1)
-        if not hot.any():
+    """The k best of every query as whole numbers score * n + (n - 1 - place of the id), so that higher
+    scores and then smaller ids are larger numbers, and no two are equal."""
+
+    def __init__(self, own: np.ndarray, n: int, k: int):
+        self.own, self.n, self.k = own, n, k
+        self.key = np.full((len(own), k), NONE)
+        self.least = self.key[:, 0].copy()
+
+    def worst(self, rows: np.ndarray) -> int:
+        """The least k-th number of these queries."""
+        return int(self.least[rows].min())
+
+    def add(self, rows: np.ndarray, scores: np.ndarray, places: np.ndarray) -> None:
+        keys = scores.astype(np.int64) * self.n + (self.n - 1 - places)
+        keys[self.own[rows][:, None] == places] = NONE
+        hot = np.flatnonzero(keys.max(axis=1) > self.least[rows])
+        if not len(hot):
             return
-        rows, scores = rows[hot], scores[hot]
-        if scores.shape[1] > 4 * self.k:  # only the best k of a wide block, ties included, can enter
-            least = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
-            use = (scores >= least[:, None]).any(axis=0)
-            scores, ids = scores[:, use], ids[use]
-        s = np.hstack([self.score[rows], scores])
-        i = np.hstack([self.id[rows], np.broadcast_to(ids, scores.shape)])
-        order = np.lexsort((i, -s), axis=1)[:, : self.k]
-        self.score[rows], self.id[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-
-
-def dual_search(query_ids, queries, ids, points, k) -> Best:
-    """Walk pairs of nodes, the most promising first; ``queries`` and ``points`` hold whole numbers as floats."""
-    best = Best(query_ids, k)
+        rows, keys = rows[hot], keys[hot]
+        if keys.shape[1] > self.k:
+            keys = np.partition(keys, keys.shape[1] - self.k, axis=1)[:, -self.k:]
+        both = np.partition(np.hstack([self.key[rows], keys]), keys.shape[1], axis=1)[:, -self.k:]
+        self.key[rows], self.least[rows] = both, both.min(axis=1)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, place, score) of all that were found."""
+        row, at = np.nonzero(self.key > NONE)
+        key = self.key[row, at]
+        return row, self.n - 1 - key % self.n, key // self.n
+
+
+def dual_search(own, queries, points, k) -> Best:
+    """Walk pairs of nodes, the most promising first.
+
+    ``queries`` and ``points`` (in order of their ids) hold whole numbers as floats; ``own`` is each
+    query's place among the points, or -1."""
+    best = Best(own, len(points), k)
     q_root, d_root = cover_tree(queries), cover_tree(points)
     slack = 1 + 1e-9
 
@@ -104,10 +116,10 @@ def dual_search(query_ids, queries, ids, points, k) -> Best:
     todo = [(bound(q_root, d_root), q_root, d_root)]
     while todo:
         most, q, d = todo.pop()
-        if most < best.score[q.rows, -1].min():
+        if (int(np.floor(most)) + 1) * best.n <= best.worst(q.rows):
             continue
         if not q.children and not d.children:
-            best.add(q.rows, queries[q.rows] @ points[d.rows].T, ids[d.rows])
+            best.add(q.rows, queries[q.rows] @ points[d.rows].T, d.rows)
             continue
         pairs = [(a, b) for a in (q.children or [q]) for b in (d.children or [d])]
         todo += sorted(((bound(a, b), a, b) for a, b in pairs), key=lambda x: x[0])
@@ -131,6 +143,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     """(query_id, rank from 1, vec_id, score long): for the rows where ``is_query`` (a condition on
     ``id``) holds, the k highest inner products with all other rows; all of them if there are fewer."""
     rows = whole(vectors, id_col, vector_col, scale)
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
     n, m = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     shards, blocks = -(-n // SHARD_ROWS) or 1, -(-m // QUERY_ROWS) or 1
 
@@ -159,16 +172,15 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
         keep = np.sort(by[place <= k])
         ids, points = ids[keep], points[keep]
         most = int(np.abs(queries).max(initial=0)) * int(np.abs(points).max(initial=0)) * points.shape[1]
-        if most < 1 << 52:  # whole numbers that doubles hold exactly
-            best = dual_search(query_ids, queries.astype(float), ids, points.astype(float), k)
-            found, score, who = best.score > -np.inf, best.score, best.id
-        else:
-            exact = queries.astype(object) @ points.T.astype(object)
-            rank = [sorted((-s, i) for s, i in zip(row, ids.tolist()) if i != own)[:k] for row, own in zip(exact, query_ids.tolist())]
-            flat = [(own, i, -s) for own, r in zip(query_ids.tolist(), rank) for s, i in r]
-            return pa.table([pa.array([f[c] for f in flat], pa.int64()) for c in range(3)], schema=schema)
-        at, _ = np.nonzero(found)
-        return pa.table([pa.array(query_ids[at]), pa.array(who[found]), pa.array(score[found].astype(np.int64))], schema=schema)
+        if most < 1 << 48:  # sums that doubles hold, times the shard's rows, that longs hold
+            place = np.searchsorted(ids, query_ids)
+            own = np.where(ids[np.minimum(place, len(ids) - 1)] == query_ids, place, -1)
+            row, at, score = dual_search(own, queries.astype(float), points.astype(float), k).result()
+            return pa.table([pa.array(query_ids[row]), pa.array(ids[at]), pa.array(score)], schema=schema)
+        exact = queries.astype(object) @ points.T.astype(object)
+        rank = [sorted((-s, i) for s, i in zip(line, ids.tolist()) if i != own)[:k] for line, own in zip(exact, query_ids.tolist())]
+        flat = [(own, i, -s) for own, r in zip(query_ids.tolist(), rank) for s, i in r]
+        return pa.table([pa.array([f[c] for f in flat], pa.int64()) for c in range(3)], schema=schema)
 
     found = asked.groupBy("dims", "shard", "block").cogroup(data.groupBy("dims", "shard", "block")).applyInArrow(
         search, "query_id long, vec_id long, score long")
