@@ -85,20 +85,18 @@ class Ordinal:
         return 1 - sigmoid(self.thresholds - np.asarray(score)[..., None])
 
 
-def fit(docs: list[tuple[list[int], list[int]]], grades: list[int], min_docs: int = 5, steps: int = 4000,
+def fit(at: np.ndarray, index: np.ndarray, value: np.ndarray, grades: np.ndarray, min_docs: int = 5, steps: int = 4000,
         batch: int = 64, rate: float = 0.6, ridge: float = 1e-4, seed: int = 0) -> Ordinal:
-    """Maximum likelihood by ``steps`` adaptive stochastic gradient steps on the cumulative-link model."""
-    y = np.asarray(grades, dtype=np.int64)
-    sizes = [len(w) + len(s) for w, s in docs]
-    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    index = np.concatenate([np.array(w + s, dtype=np.int64) for w, s in docs] or [np.zeros(0, np.int64)])
-    value = np.concatenate([np.concatenate([np.full(len(w), scale(len(w))), np.ones(len(s))]) for w, s in docs] or [np.zeros(0)])
-    value = np.where(np.bincount(index, minlength=BUCKETS)[index] >= min_docs, value, 0.0)
+    """Maximum likelihood by ``steps`` adaptive stochastic gradient steps on the cumulative-link model.
+
+    Document d has the buckets ``index[at[d]:at[d + 1]]`` with their ``value``."""
+    docs, y = range(len(at) - 1), np.asarray(grades, dtype=np.int64)
+    value = np.where(np.bincount(index, minlength=BUCKETS)[index] >= min_docs, value, np.float32(0))
     weights, seen = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
     share = np.cumsum(np.bincount(y, minlength=GRADES) + 1)[:-1] / (len(y) + GRADES)
     thresholds, seen_t = np.log(share / (1 - share)), np.full(GRADES - 1, 1e-8)
     rng = np.random.default_rng(seed)
-    for _ in range(-(-steps // max(1, -(-len(docs) // batch))) if docs else 0):
+    for _ in range(-(-steps // max(1, -(-len(docs) // batch))) if len(docs) else 0):
         order = rng.permutation(len(docs))
         for start in range(0, len(order), batch):
             part = order[start: start + batch]
@@ -135,12 +133,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str
 
     def run(batch):
         found = [features(t) for t in utf8(batch)]
-        return {"doc_id": batch.column(0), "grade": batch.column(2), "words": [w for w, _ in found], "shape": [s for _, s in found]}
+        return {"doc_id": batch.column(0), "grade": batch.column(2), "n_words": [len(w) for w, _ in found], "buckets": [w + s for w, s in found]}
 
-    got = map_batches(rows.select("doc_id", "text", "grade"), run, "doc_id long, grade int, words array<int>, shape array<int>").toArrow()
-    order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
-    words, shape, grades = got["words"].combine_chunks(), got["shape"].combine_chunks(), got["grade"].to_numpy()
-    return fit([(words[int(i)].as_py(), shape[int(i)].as_py()) for i in order], [int(grades[i]) for i in order], **options)
+    got = map_batches(rows.select("doc_id", "text", "grade"), run, "doc_id long, grade int, n_words int, buckets array<int>").toArrow()
+    got = got.take(np.argsort(got["doc_id"].to_numpy(), kind="stable"))
+    buckets = got["buckets"].combine_chunks()
+    sizes, n_words = np.diff(buckets.offsets.to_numpy()), got["n_words"].to_numpy().astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    # a document's words come first and share a value, its shape features count fully
+    value = np.ones(at[-1], dtype=np.float32)
+    inside = np.arange(at[-1]) - np.repeat(at[:-1], sizes) < np.repeat(n_words, sizes)
+    value[inside] = np.repeat(1 / np.log(n_words + 2.0), n_words).astype(np.float32)
+    return fit(at, buckets.flatten().to_numpy(), value, got["grade"].to_numpy(), **options)
 
 
 def graded(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
