@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a batch that are Python objects at one time.
 SLICE = 256
+#: Tasks that the links of one node are dealt to.
+SPREAD = 8
 #: ASCII capitals to small letters, on UTF-8 bytes.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -95,7 +97,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component of ``links`` (u long, v long).
 
     Alternating large-star and small-star rounds; each round is a grouped minimum (combined before
-    the shuffle) and a join on the node, so a node with very many links is split by the skew join.
+    the shuffle) and a join on the node, whose links are spread over SPREAD tasks (and more by the skew
+    join), as a root in the end holds all its members.
     Rounds go on until nothing changes; each one's links are written to the shared folder."""
     def summary(e):
         r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -105,7 +108,10 @@ def components(links: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         side = both.where(F.col("v") > F.col("u")) if larger else both.where(F.col("v") < F.col("u"))
-        out = side.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # the links of one node go to SPREAD tasks, each with the node's minimum
+        side = side.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SPREAD)).cast("int"))
+        each = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        out = side.join(each, ["u", "s"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not larger:
             out = out.unionByName(low.where(F.col("m") < F.col("u")).select("u", F.col("m").alias("v")))
         return out.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
