@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pmcid_from_url, py_strip, truthy
-from ..operators.cascade import article_cascade
-from ..operators.enrich import enrich_articles
-from ..operators.validate import validate_quality
 from ..session import input_partitions, table_path
 from ..sources.html import parse_pages
 
@@ -37,9 +34,3 @@ def page_publications(pages: DataFrame) -> DataFrame:
         pmcid_from_url("url").alias("pmcid"),
         F.col("page")["text"].alias("page_text"),
     ).filter(truthy("title") & truthy("url")))
-
-
-def pages_articles(pages: DataFrame, as_of=None) -> DataFrame:
-    """Cascade (HTML / minimal), validation and enrichment for page publications."""
-    arts = validate_quality(article_cascade(page_publications(pages), as_of=as_of), "main", as_of=as_of)
-    return enrich_articles(arts, "main")

@@ -134,12 +134,16 @@ _COMPILED = {s: _compile(s) for s in vocab.ABSTRACT_SELECTORS + vocab.CONTENT_SE
 _DOI_RE = re.compile(vocab.DOI_TEXT_PATTERN)
 
 
-def _select_one(root, selector):
-    steps = _COMPILED[selector]
+def _first_matches(root, selectors) -> dict:
+    """selector -> its first node in document order, found in one walk."""
+    found = {}
     for n in root.iter():
-        if n is not root and _match(n, steps):
-            return n
-    return None
+        if n is root:
+            continue
+        for sel in selectors:
+            if sel not in found and _match(n, _COMPILED[sel]):
+                found[sel] = n
+    return found
 
 
 def parse_page(html: str | None, max_chars: int | None = None) -> dict | None:
@@ -171,10 +175,10 @@ def parse_page(html: str | None, max_chars: int | None = None) -> dict | None:
         elif n.tag == "a" and "href" in n.attrs:
             hrefs.append(n.attrs["href"])
     journal_sel = None
+    at = _first_matches(root, vocab.JOURNAL_SELECTORS)
     for sel in vocab.JOURNAL_SELECTORS:
-        el = _select_one(root, sel)
-        if el is not None:
-            journal_sel = el.text().strip()
+        if sel in at:
+            journal_sel = at[sel].text().strip()
             break
     full_text = root.text()
     m = _DOI_RE.search(full_text)
@@ -186,15 +190,14 @@ def parse_page(html: str | None, max_chars: int | None = None) -> dict | None:
             n.parent.children = [c for c in n.parent.children if c is not n]
             n.parent = None
     main = ""
+    at = _first_matches(root, vocab.ABSTRACT_SELECTORS + vocab.CONTENT_SELECTORS)
     for sel in vocab.ABSTRACT_SELECTORS:
-        el = _select_one(root, sel)
-        if el is not None:
-            main += f"Abstract: {el.text().strip()}\n\n"
+        if sel in at:
+            main += f"Abstract: {at[sel].text().strip()}\n\n"
             break
     for sel in vocab.CONTENT_SELECTORS:
-        el = _select_one(root, sel)
-        if el is not None:
-            content = el.text().strip()
+        if sel in at:
+            content = at[sel].text().strip()
             if len(content) > vocab.CONTENT_MIN_CHARS:
                 main += content[:max_chars]
                 break
