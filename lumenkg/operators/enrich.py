@@ -1,6 +1,8 @@
 """Entity enrichment of articles."""
 from __future__ import annotations
 
+import zlib
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,10 @@ from ..functions import vocab
 from ..functions.entities import extract_entities
 from ..functions.text import blank, or_empty_array, py_strip, truthy
 
+#: Hash buckets of term beginnings that a text is filed under.
+BEGINNINGS = 65_536
+
+
 def nlp_text(max_chars: int | None = None) -> Column:
     """``abstract + " "`` (if any) followed by the full text, whole or
     (opt-in, ``vocab.NLP_TEXT_CHARS[profile]``) its first ``max_chars``."""
@@ -106,9 +112,13 @@ def match_terms(df: DataFrame, text_col: str, gazetteer: DataFrame, key: str,
     g = gazetteer.select("category", "term").filter(truthy("term")).dropDuplicates() \
         .withColumn("_needle", needle).withColumn("_g", F.substring(needle, 1, 3))
 
+    # at most BEGINNINGS numbers: the hash buckets of the terms' beginnings
+    used = {r[0] for r in g.select(F.pmod(F.crc32(F.encode("_g", "UTF-8")), F.lit(BEGINNINGS))).distinct().collect()}
+
     @F.pandas_udf("array<string>")
     def beginnings(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: list({t[i: i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}))
+        return texts.map(lambda t: [s for s in {t[i: i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+                                    if zlib.crc32(s.encode()) % BEGINNINGS in used])
 
     filed = docs.select(key, F.explode(beginnings("_t")).alias("_g"))
     wanted = filed.join(g, "_g").groupBy(key).agg(F.collect_list(F.struct("category", "term", "_needle")).alias("_terms"))
