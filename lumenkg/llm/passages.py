@@ -15,7 +15,8 @@ document with a smaller id.
 4. *The rest.*  Windows that share a phrase with the owner and yet are not in its passage may repeat
    among other documents; they are grouped by hash, and the smallest id is compared.
 
-A shard that many documents need is split by document, its passages sent to each part.  Texts are
+A shard that many documents need is split by document id, so exact copies spread over its parts; its
+passages are sent to each part.  Texts are
 shuffled only for documents that hold a recurring anchor, after one join by id.
 
 Null or empty texts have no words.  Rows with a null id count as larger than every id.  Rows that repeat
@@ -172,7 +173,7 @@ def segments(marked: DataFrame, window: int, phrase: int, shards: int, parts) ->
                     for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
                         if to[s] >= 0:
                             shard = int(to[s])
-                            add(shard, th % split.get(shard, 1), False, key, th, s, b" ".join(words[s: e + window - 1]), None)
+                            add(shard, int(shard_of(np.array([key]), split.get(shard, 1))[0]), False, key, th, s, b" ".join(words[s: e + window - 1]), None)
                 yield _batch(cols, SEGMENT)
 
     return marked.mapInArrow(run, "shard long, part long, owned boolean, key long, th long, start long, words binary, phrases array<int>")

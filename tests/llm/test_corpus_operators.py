@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lumenkg.llm import common, decontam, lines, mixing, passages, simhash, topk
 
@@ -72,6 +73,18 @@ def test_substring_dedup_empty(spark):
     assert passages.substring_dedup(frame(spark, [])).count() == 0
 
 
+def test_substring_dedup_spreads_exact_copies(spark, monkeypatch):
+    monkeypatch.setattr(passages, "PART_ANCHORS", 40)
+    segments, made = passages.segments, []
+    monkeypatch.setattr(passages, "segments", lambda *a: made.append(segments(*a)) or made[-1])
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, text) for i in range(200)] + [(1000 + i, f"other text {i}") for i in range(20)]
+    got = passages.substring_dedup(frame(spark, rows), window=30, phrase=10).collect()
+    assert sorted((g.doc_id, g.n_words, g.n_removed, g.kept_sha256) for g in got) == brute_dedup(rows, 30)
+    sizes = [r["n"] for r in made[0].where("not owned").groupBy("shard", "part").agg(F.countDistinct("key").alias("n")).collect()]
+    assert sum(sizes) == 199 and len(sizes) > 3 and max(sizes) < 100
+
+
 # decontamination -----------------------------------------------------------------------------------
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
