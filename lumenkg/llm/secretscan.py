@@ -3,13 +3,17 @@
 Base patterns (assignments, access keys, long hex) run on every text.  Beside them each unbroken
 token of 20 or more key characters gets its encoding inferred from its alphabet (hex, base32, base62,
 base64) and three tests of randomness under it: chi-squared uniformity over the alphabet, runs about
-the alphabet's middle, and serial correlation of neighbours.  Fisher's method joins the three; a token
-that passes is compared with letters as in prose, and the probability that prose gives a token so
-unlike itself is its p-value.  Benjamini-Hochberg is applied within classes of token length (short
-tokens carry little evidence and must not borrow it from long ones), over all tokens of the corpus.
+the alphabet's middle, and serial correlation of neighbours.  Fisher's method joins the three.
 
-The corpus-wide part is a histogram of at most LENGTHS x BINS counts; its limits, one a length class,
-go through the driver.
+The p-value is for "put together from words": the probability of the token under the corpus's own
+letter pairs, over its probability when drawn evenly from its encoding, over the battery's p-value.  By
+Markov's inequality the first ratio is at most p with probability p for tokens made of words, in every
+encoding; the battery only makes it larger, so a token that looks less random has less evidence.
+Benjamini-Hochberg is applied within classes of token length (short tokens carry little evidence and
+must not borrow it from long ones), over all tokens of the corpus.
+
+The corpus-wide parts are a table of 27 x 26 letter pair counts and a histogram of at most LENGTHS x
+BINS counts; the table and the histogram's limits, one a length class, go through the driver.
 Null text counts as empty; a null doc_id, repeated rows and an empty table pass through.
 """
 from __future__ import annotations
@@ -17,10 +21,12 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, map_batches, sha, written
+from .common import LOWER, SLICE, id_text, map_batches, sha, utf8, written
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -39,6 +45,13 @@ LENGTHS = (24, 32, 40, 48, 64, 96, 128, 256)
 BINS = 400
 #: Most breaks between words, by character, in text that is not random.
 WORD_BREAKS = 0.22
+#: Kinds of pieces between breaks: small letters, capitals, a capital before small letters, digits, signs.
+PIECES = 5
+#: Count that every letter pair has beside the corpus's, so that few texts do not settle the pairs; and
+#: the share of letters that follow no pair.
+PAIR_PRIOR, ANY_LETTER = 50, 0.1
+#: Letters' numbers by byte; every other byte is 0.
+LETTER = bytes(LOWER[b] - 96 if chr(b).isalpha() and b < 0x80 else 0 for b in range(256))
 
 
 def infer_encoding(token: str) -> str | None:
@@ -92,19 +105,44 @@ def battery(token: str, encoding: str) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)  # chi-squared tail with 6 degrees
 
 
-def unlike_prose(token: str) -> float:
-    """log10 of a bound on the probability that words give as many breaks as the token has.
+def letter_pairs(raw: bytes) -> np.ndarray:
+    """Counts of (letter before or 0, letter), 27 x 27, over the words too short to be candidates."""
+    words = b" ".join(w for w in raw.split() if len(w) < 20)
+    x = np.frombuffer((b" " + words).translate(LETTER), np.uint8).astype(np.int64)
+    return np.bincount(x[:-1] * 27 + x[1:], minlength=729)
+
+
+def letter_logs(counts) -> list[list[float]]:
+    """ln P(letter | letter before or 0) for words, from the counts of :func:`letter_pairs`."""
+    held = np.asarray(counts, dtype=float).reshape(27, 27)[:, 1:] + PAIR_PRIOR
+    share = held / held.sum(axis=1, keepdims=True)
+    return np.log((1 - ANY_LETTER) * share + ANY_LETTER / 26).tolist()
+
+
+def unlike_prose(token: str, encoding: str, logs: list[list[float]]) -> float:
+    """log10 of a bound on the p-value of the token under "put together from words".
 
     A break is a change between small letters, capitals, digits and signs, but for a lone capital before
-    small letters.  Prose and names put together from words break in at most ``WORD_BREAKS`` of all places."""
-    kind = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" for c in token)
-    n = len(kind) - 1
-    changes = len(re.findall(r"(?<![A])A?a+|A+|0+|-+|a+", kind)) - 1
-    q, rate = changes / n, WORD_BREAKS
-    if q <= rate:
-        return 0.0
-    kl = q * math.log(q / rate) + (0 if q == 1 else (1 - q) * math.log((1 - q) / (1 - rate)))
-    return -n * kl / math.log(10)
+    small letters.  Words break in at most ``WORD_BREAKS`` of all places; the rate most favourable to them
+    counts, a piece's letters follow the corpus's pairs, and its digits and signs are drawn evenly."""
+    chars = token.rstrip("=")
+    kind = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" for c in chars)
+    places = len(kind) - 1
+    starts = {m.start() for m in re.finditer(r"(?<![A])A?a+|A+|0+|-+|a+", kind)}
+    breaks = len(starts) - 1
+    rate = min(WORD_BREAKS, breaks / places)
+    words = (places - breaks) * math.log(1 - rate) + (breaks * math.log(rate / PIECES) if breaks else 0)
+    before = 0
+    for at, (c, k) in enumerate(zip(chars.lower(), kind)):
+        if k in "aA":
+            here = ord(c) - 96
+            words += logs[0 if at in starts else before][here - 1]
+            before = here
+        else:
+            words -= math.log(10 if k == "0" else 4)
+    even = -len(chars) * math.log(len(ENCODINGS[encoding]))
+    # drawn from one of the encodings, each as likely
+    return min(0.0, (words - even + math.log(len(ENCODINGS))) / math.log(10))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -119,7 +157,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str, base, alpha: float = 1e-4):
+def candidates(text: str, base, logs: list[list[float]], alpha: float = 1e-4):
     """(start, end, length class, p-value bin, random) of every token with an encoding; ``random``
     holds where the battery does not reject randomness and no base span is touched."""
     out = []
@@ -127,9 +165,11 @@ def candidates(text: str, base, alpha: float = 1e-4):
         if encoding := infer_encoding(m[0]):
             n = m.end() - m.start()
             length = next((i for i, most in enumerate(LENGTHS) if n <= most), len(LENGTHS))
-            place = min(BINS - 1, int(-4 * unlike_prose(m[0])))
+            even = battery(m[0], encoding)
+            p = unlike_prose(m[0], encoding, logs) - math.log10(max(even, 1e-300))
+            place = min(BINS - 1, int(-4 * min(0.0, p)))
             free = not any(s < m.end() and m.start() < e for s, _, e in base)
-            out.append((m.start(), m.end(), length, place, free and battery(m[0], encoding) >= alpha))
+            out.append((m.start(), m.end(), length, place, free and even >= alpha))
     return out
 
 
@@ -141,15 +181,31 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  alpha: float = 1e-4) -> DataFrame:
     """One row per document: base counts, ``base_sha256`` of the base spans and ``spans`` with the tokens
     added at false-discovery rate ``fdr`` (by start, then kind)."""
+    texts = id_text(docs, id_col, text_col)
+
+    def pairs(batches):
+        total = np.zeros(729, dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                for raw in utf8(batch.slice(at, SLICE)):
+                    total += letter_pairs(raw)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["pair", "n"])
+
+    counts = np.zeros(729, dtype=np.int64)
+    for r in texts.select("text").mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 729 rows at most
+        counts[r["pair"]] = r["n"]
+    logs = letter_logs(counts)
+
     def run(batch):
         cols = {n: [] for n in ("base", "tokens")}
         for text in batch.column(1).to_pylist():
             base = base_spans(text)
             cols["base"].append([{"s": s, "k": k, "e": e} for s, k, e in base])
-            cols["tokens"].append([dict(zip(("s", "e", "len", "bin", "free"), c)) for c in candidates(text, base, alpha)])
+            cols["tokens"].append([dict(zip(("s", "e", "len", "bin", "free"), c)) for c in candidates(text, base, logs, alpha)])
         return cols | {"doc_id": batch.column(0)}
 
-    found = written(map_batches(id_text(docs, id_col, text_col), run,
+    found = written(map_batches(texts, run,
                                 "doc_id long, base array<struct<s:int,k:int,e:int>>, tokens array<struct<s:int,e:int,len:int,bin:int,free:boolean>>"))
     counts = found.select(F.explode("tokens").alias("t")).groupBy(F.col("t.len").alias("len"), F.col("t.bin").alias("bin")).agg(F.count("*").alias("n"))
     # Benjamini-Hochberg on binned p-values: the largest p with p * m / rank <= fdr, a bin counting at its upper end.

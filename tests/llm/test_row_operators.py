@@ -114,6 +114,27 @@ def test_secret_added_spans_are_controlled(spark):
     assert secretscan.secret_spans(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("encoding", ["hex", "HEX", "base32", "base62"])
+@pytest.mark.parametrize("size", [20, 24, 32, 48, 64, 128])
+def test_secret_recall_by_encoding_and_length(spark, encoding, size):
+    if encoding == "hex" and size >= 32:
+        pytest.skip("a base kind")
+    r = random.Random(size)
+    prose = "the river was wide and the people who lived there had built their houses on the northern bank".split()
+    rows = []
+    for i in range(60):
+        key = "".join(r.choice(secretscan.ENCODINGS[encoding]) for _ in range(size))
+        rows.append((i, f"the value {key} stands here"))
+    for i in range(120):
+        words = [r.choice(prose) for _ in range(400)]
+        name = "".join(w.title() for w in words)[: size - 2] + "27"
+        other = "_".join(words)[: size - 3] + "_19"
+        rows.append((1000 + i, f"{' '.join(words)} {name} {name.upper()} {other}"))
+    got = {x.doc_id: x.n_added for x in secretscan.secret_spans(frame(spark, rows)).collect()}
+    assert sum(got[i] for i in range(60)) >= 54
+    assert sum(got[1000 + i] for i in range(120)) == 0
+
+
 @pytest.mark.parametrize("rule", tokens.RULES)
 def test_tokens_match_brute_force(spark, rule):
     rows = ROWS + [(9, "one two\n\nthree   \n four" * 3)]
