@@ -114,6 +114,16 @@ def test_secret_added_spans_are_controlled(spark):
     assert secretscan.secret_spans(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("text", ["AUTH_KEY={}", "client_key={}", "x.org/a?id=3&sig={}&v=2", "a_name_of_more_than_twenty={}", "A={}=="])
+def test_secret_after_an_equals_sign(spark, text):
+    r = random.Random(9)
+    rows = [(i, text.format("".join(r.choice(secretscan.ENCODINGS["base62"]) for _ in range(40)))) for i in range(40)]
+    got = {x.doc_id: x for x in secretscan.secret_spans(frame(spark, rows)).collect()}
+    assert sum(got[i].n_added for i in range(40)) >= 38
+    at, pad = text.index("{"), 2 * text.endswith("==")
+    assert {x.spans for x in got.values() if x.n_added} == {f"random:{at}:{at + 40 + pad}"}
+
+
 @pytest.mark.parametrize("encoding", ["hex", "HEX", "base32", "base62"])
 @pytest.mark.parametrize("size", [20, 24, 32, 48, 64, 128])
 def test_secret_recall_by_encoding_and_length(spark, encoding, size):
