@@ -2,8 +2,8 @@
 
 Base detectors run on the text as it is.  The same detectors then run on a normalised copy, written
 by a transducer that undoes homoglyphs (full-width, mathematical, Cyrillic and Greek look-alikes,
-zero-width characters), spelled digits and at / dot disguises, and keeps, for each normalised
-character, the source characters it stands for.  A normalised find that rests on a rewritten place
+zero-width characters), digit words beside digits or each other, and at / dot disguises, and keeps, for
+each normalised character, the source characters it stands for; digit words are read in two ways.  A normalised find that rests on a rewritten place
 is mapped back to source characters and added, unless it overlaps a base span.
 
 Row-wise, one output row per input row: nothing is shuffled.  Null text counts as empty; a null
@@ -40,23 +40,29 @@ DIGITS = dict(zip("zero oh one two three four five six seven eight nine".split()
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 _OPEN, _CLOSE = r"\s{0,3}[\[({<]\s?", r"\s?[\])}>]\s{0,3}"
 _DOTS = rf"(?:{_OPEN}(?:dot|\.){_CLOSE}|\s{{1,3}}dot\s{{1,3}})"
-#: Places to rewrite: spelled digits (seven or more in a row), a bracketed at, and a plain at whose
-#: host has a spelled dot.  A dot disguise counts only behind one of these (see _rewrite).
+#: Digit words and digits in a row, with blanks, signs or dot disguises between.
+CHAIN = re.compile(
+    rf"(?:\bplus[\s,-]{{1,3}})?(?<![A-Za-z0-9_])(?:{_DIGIT}\b|[0-9]++)(?:(?:[\s,.()-]{{1,3}}|{_DOTS})(?:{_DIGIT}\b|[0-9]++))+",
+    re.I | re.A)
+PLUS = re.compile(r"plus[\s,-]{1,3}", re.I | re.A)
+#: Digit words that are written as one number, with full stops between them or not.
+RUNS = [re.compile(rf"\b{_DIGIT}(?:[\s,{dot}-]{{1,3}}{_DIGIT})*\b", re.I | re.A) for dot in (".", "")]
+#: Places to rewrite: a bracketed at, a plain at or @ whose host has a disguised dot, and a disguised dot
+#: between digits.  Other dot disguises count only behind an at (see undo_disguises).
 SITE = re.compile(
-    rf"(?P<digits>\b(?:plus[\s,-]{{1,3}})?{_DIGIT}(?:[\s,.-]{{1,3}}{_DIGIT}){{6,}}\b)"
-    rf"|(?P<at>(?<=[A-Za-z0-9_%+-])(?:{_OPEN}(?:at|@){_CLOSE}(?=[A-Za-z0-9])|\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]{{1,63}}{_DOTS}[A-Za-z0-9])))",
+    rf"(?P<at>(?<=[A-Za-z0-9_%+-])(?:{_OPEN}(?:at|@){_CLOSE}(?=[A-Za-z0-9])|\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]{{1,63}}{_DOTS}[A-Za-z0-9])))"
+    rf"|(?P<plain>(?<=[A-Za-z0-9._%+-])@(?=[A-Za-z0-9-]{{1,63}}(?:\.[A-Za-z0-9-]{{1,63}})*{_DOTS}[A-Za-z0-9]))"
+    rf"|(?P<dot>(?<=[0-9]){_DOTS}(?=[0-9]))",
     re.I | re.A)
 DOT = re.compile(_DOTS + r"(?=[A-Za-z0-9])", re.I | re.A)
 LABELS = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:(?:\.|{_DOTS})[A-Za-z0-9-]{{1,63}})*", re.I | re.A)
-SPELLED = re.compile(rf"\b{_DIGIT}[\s,.-]{{1,3}}{_DIGIT}\b", re.I | re.A)
-BRACKET = re.compile(rf"[\[({{<]\s?(?:at|@)\s?[\])}}>]", re.I | re.A)
+BRACKET = re.compile(r"[\[({<]\s?(?:at|@|\.)\s?[\])}>]", re.I | re.A)
 
 
 def may_hold_site(text: str) -> bool:
     """Necessary conditions for a place to rewrite, by plain substring counts where they will do."""
     low = text.lower()
-    return bool(BRACKET.search(low) or ("dot" in low and DOT.search(low))
-                or sum(map(low.count, DIGITS)) >= 7 and SPELLED.search(low))
+    return bool(BRACKET.search(low) or ("dot" in low and DOT.search(low)))
 
 
 def fold(ch: str) -> str:
@@ -158,6 +164,24 @@ def fold_lookalikes(text: str) -> Rewriter | None:
     return out
 
 
+def spell_digits(text: str, dots: bool) -> Rewriter | None:
+    """Digit words beside digits or each other become digits, those in a row one number; with ``dots`` the
+    full stops between them stay."""
+    out, found = Rewriter(text), False
+    for m in CHAIN.finditer(text):
+        runs = list(RUNS[dots].finditer(text, m.start(), m.end()))
+        if not runs:
+            continue
+        found = True
+        if plus := PLUS.match(text, m.start()):
+            out.put(plus.start(), plus.end(), "+")
+        for last, r in zip([None, *runs], runs):
+            if dots and last and text[last.end(): r.start()].strip() == ".":
+                out.put(last.end(), r.start(), ".")
+            out.put(r.start(), r.end(), "".join(DIGITS[w] for w in re.findall("[a-z]+", r[0].lower())))
+    return out if found else None
+
+
 def undo_disguises(text: str) -> Rewriter | None:
     if not may_hold_site(text):
         return None
@@ -165,9 +189,8 @@ def undo_disguises(text: str) -> Rewriter | None:
     at, found = 0, False
     while m := SITE.search(text, at):
         found = True
-        if m["digits"]:
-            words = re.findall(r"[a-z]+", m[0].lower())
-            out.put(m.start(), m.end(), "".join("+" if w == "plus" else DIGITS[w] for w in words))
+        if m["dot"]:
+            out.put(m.start(), m.end(), ".")
             at = m.end()
         else:
             out.put(m.start(), m.end(), "@")
@@ -178,30 +201,47 @@ def undo_disguises(text: str) -> Rewriter | None:
     return out if found else None
 
 
+def readings(text: str):
+    """(steps, normalised text): look-alikes alone, with at and dot disguises, and with digit words in
+    both ways; a number may end before digit words that another one needs."""
+    steps = []
+    if fold := fold_lookalikes(text):
+        steps, text = [fold], fold.done()
+        yield steps, text
+    for spell in (None, False, True):
+        more, now = list(steps), text
+        if spell is not None:
+            if not (step := spell_digits(text, spell)):
+                return
+            more, now = [*more, step], step.done()
+        if step := undo_disguises(now):
+            more, now = [*more, step], step.done()
+        if len(more) > len(steps):
+            yield more, now
+
+
 def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans found only in normalised text, on source characters, apart from every base span."""
-    steps: list[Rewriter] = []
-    norm = text
-    for rewrite in (fold_lookalikes, undo_disguises):
-        if step := rewrite(norm):
-            steps.append(step)
-            norm = step.done()
-    if not steps:
-        return []
-    finds = detect(norm)
-    # a telephone number that is spelled out carries no plus
-    taken = [(s, e) for _, s, e in finds]
-    finds += [(3, m.start(), m.end()) for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", norm)
-              if not any(s < m.end() and m.start() < e for s, e in taken)]
-    out = []
-    for kind, s, e in finds:
-        rewritten = False
-        for step in reversed(steps):
-            s, e, here = step.back(s, e)
-            rewritten |= here
-        if rewritten and not any(bs < e and s < be for _, bs, be in base):
-            out.append((kind, s, e))
-    return sorted(set(out))
+    out = set()
+    for steps, norm in readings(text):
+        finds = detect(norm)
+        # a telephone number that is spelled out carries no plus
+        taken = [(s, e) for _, s, e in finds]
+        finds += [(3, m.start(), m.end()) for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", norm)
+                  if not any(s < m.end() and m.start() < e for s, e in taken)]
+        for kind, s, e in finds:
+            rewritten = False
+            for step in reversed(steps):
+                s, e, here = step.back(s, e)
+                rewritten |= here
+            if rewritten and not any(bs < e and s < be for _, bs, be in base):
+                out.add((kind, s, e))
+    return sorted(x for x in out if not any(covers(y, x) for y in out if y != x))
+
+
+def covers(wide: tuple[int, int, int], span: tuple[int, int, int]) -> bool:
+    """Whether both are of one kind and ``wide`` holds all of ``span``."""
+    return wide[0] == span[0] and wide[1] <= span[1] and span[2] <= wide[2]
 
 
 def spelled(spans) -> str:

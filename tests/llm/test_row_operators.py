@@ -62,6 +62,27 @@ def test_pii_disguises_map_back_to_source(text, kind, span):
     assert [(pii.KINDS[k], text[s:e]) for k, s, e in more] == [(kind, span)]
 
 
+@pytest.mark.parametrize("text,kind,span", [
+    ("to john@example[dot]com now", "email", "john@example[dot]com"),
+    ("to john@example[.]com", "email", "john@example[.]com"),
+    ("ip 192[.]168[.]1[.]1 x", "ip", "192[.]168[.]1[.]1"),
+    ("ip 192 dot 168 dot 1 dot 1 x", "ip", "192 dot 168 dot 1 dot 1"),
+    ("ip one nine two dot one six eight dot one dot one x", "ip", "one nine two dot one six eight dot one dot one"),
+    ("ip one nine two. one six eight. one. one x", "ip", "one nine two. one six eight. one. one"),
+    ("card 4532 0151 1283 zero three six six x", "card", "4532 0151 1283 zero three six six"),
+    ("card four five 32 0151 1283 036 six x", "card", "four five 32 0151 1283 036 six"),
+    ("call +1 four one five 555 0123 x", "phone", "+1 four one five 555 0123"),
+    ("４５３２０１５１１２８３０３６６ one of", "card", "４５３２０１５１１２８３０３６６"),
+])
+def test_pii_partly_disguised(text, kind, span):
+    assert (kind, span) in [(pii.KINDS[k], text[s:e]) for k, s, e in pii.find_pii(text)[1]]
+
+
+@pytest.mark.parametrize("text", ["one in 10 or 2 of three", "300 dot 1 dot 1 dot 1", "4532 0151 1283 zero three six seven", "me@home one dot", "in 2023 one. Two. Three"])
+def test_pii_detectors_decide_on_disguises(text):
+    assert pii.find_pii(text)[1] == []
+
+
 @pytest.mark.parametrize("text", ["meet me at noon dot", "look at example.com", "one two three", "at dot at dot", "[at] (dot)", "naïve café"])
 def test_pii_prose_gains_nothing(text):
     assert pii.find_pii(text)[1] == []
