@@ -4,7 +4,7 @@ Base detectors run on the text as it is.  The same detectors then run on a norma
 by a transducer that undoes homoglyphs (full-width, mathematical, Cyrillic and Greek look-alikes,
 zero-width characters), digit words beside digits or each other, and at / dot disguises, and keeps, for
 each normalised character, the source characters it stands for; digit words are read in two ways.  A normalised find that rests on a rewritten place
-is mapped back to source characters and added, unless it overlaps a base span.
+is mapped back to source characters and added, unless a base span of its kind covers it.
 
 Row-wise, one output row per input row: nothing is shuffled.  Null text counts as empty; a null
 doc_id, repeated rows and an empty table pass through; other columns are not read.
@@ -221,7 +221,8 @@ def readings(text: str):
 
 
 def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans found only in normalised text, on source characters, apart from every base span."""
+    """Spans found only in normalised text, on source characters, but for those that a base span of
+    their kind covers."""
     out = set()
     for steps, norm in readings(text):
         finds = detect(norm)
@@ -234,7 +235,7 @@ def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
             for step in reversed(steps):
                 s, e, here = step.back(s, e)
                 rewritten |= here
-            if rewritten and not any(bs < e and s < be for _, bs, be in base):
+            if rewritten and not any(covers(b, (kind, s, e)) for b in base):
                 out.add((kind, s, e))
     return sorted(x for x in out if not any(covers(y, x) for y in out if y != x))
 

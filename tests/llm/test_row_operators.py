@@ -88,6 +88,21 @@ def test_pii_prose_gains_nothing(text):
     assert pii.find_pii(text)[1] == []
 
 
+@pytest.mark.parametrize("text", ["jоhn@gmail.com", "john@gmail.cоm"])
+def test_pii_wider_finds_stay_beside_base_spans(text):
+    base, more = pii.find_pii(text)
+    assert base == brute_pii(text) and len(base) == 1
+    assert more == [(0, 0, 14)]
+    assert pii.redact(text, pii.spelled(sorted(base + more))) == "<email>"
+
+
+def test_pii_wider_address_with_a_disguised_dot():
+    text = "to john@mail.example dot com"
+    base, more = pii.find_pii(text)
+    assert base == brute_pii(text) and len(base) == 1
+    assert [text[s:e] for _, s, e in more] == ["john@mail.example dot com"]
+
+
 def test_pii_query_edges(spark):
     got = pii.pii_spans(frame(spark)).collect()
     assert len(got) == len(ROWS)
