@@ -138,9 +138,12 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
         """Rows come sorted by key.  The last bucket of a batch is carried on; one that outgrows BLOCK
         leaves in blocks (u: fingerprint, v: key, block >= 0) instead of links (block -1)."""
         keys, fps, block = np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0
+        opened = None  # key of the open blocks; they may end with a batch and carry nothing
         for batch in batches:
             keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)])
             fps = np.concatenate([fps, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            if len(keys) and keys[0] != opened:
+                block = 0
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             sizes = np.diff(np.concatenate([starts, [len(keys)]]))
             small = np.ones(len(keys), dtype=bool)
@@ -149,6 +152,7 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
                 if j and block:
                     block = 0
                 if n > BLOCK or block:
+                    opened = keys[s]
                     small[s: s + n] = False
                     whole = n // BLOCK * BLOCK if last else n
                     for p in range(0, whole, BLOCK):

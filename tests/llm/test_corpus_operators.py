@@ -179,6 +179,22 @@ def test_links_have_the_components_of_all_pairs(spark, monkeypatch, bits, block)
     assert len(set(got)) == len(set(want)) == len(set(zip(got, want)))
 
 
+def test_links_where_buckets_end_with_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 2)
+    r = random.Random(6)
+    fps = {f ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 2))) for f in [r.getrandbits(64) for _ in range(3)] for _ in range(7)}
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        links = simhash.fingerprint_links(spark.createDataFrame([(f,) for f in signed], "fp long"), 4)
+        roots = {x.node: x.root for x in common.components(links).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got, want = [roots.get(f, f) for f in signed], brute_components(fps, 4)
+    assert len(set(got)) == len(set(want)) == len(set(zip(got, want)))
+
+
 def test_near_duplicates_edges(spark):
     rows = [(5, None), (3, ""), (3, ""), (8, "a B c"), (9, "A b C"), (None, "a b c"), (4, "p q r s t u v w"), (2, "X " * 20000)]
     got = {(g.doc_id, g.fingerprint, g.component_id) for g in simhash.near_duplicates(frame(spark, rows)).collect()}
