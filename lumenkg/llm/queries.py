@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, lines, mixing, passages, pii, quality, secretscan, simhash, tokens, topk
+from . import collocations, decontam, lines, mixing, passages, pii, quality, secretscan, shallot, simhash, tokens, topk
 from .common import read_table
 
 
@@ -53,6 +53,14 @@ def op10_line_dedup(spark, sf_dir):
     return lines.line_dedup(read_table(spark, sf_dir, "documents"), max_ratio=0.1, min_pages=5)
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), least=30, longest=4, part=80, top=2000)
+
+
+def op12_clusters(spark, sf_dir):
+    return shallot.clusters(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
@@ -64,6 +72,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_clusters": op12_clusters,
 }
 
 OP2_SQL = r"""
@@ -131,4 +141,44 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
 FROM documents d LEFT JOIN k USING (doc_id)
 """
 
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op6_mixing": OP6_SQL, "op8_decontamination": OP8_SQL, "op10_line_dedup": OP10_SQL}
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+t AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT lang, phrase, a, k, w, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT cut.lang, cut.phrase, cut.a, j, x.f AS l, y.f AS r, CAST(2000000 * CAST(cut.a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1 : j], ' ') JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[j + 1 : cut.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+sub AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+        FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY 1, 2),
+kept AS (SELECT b.* FROM b LEFT JOIN sub ON sub.lang = b.lang AND sub.phrase = b.phrase WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
+def _op12_sql(k: int, rounds: int) -> str:
+    """The rounds one after another; distances and sums in whole numbers."""
+    out = [f"""WITH x AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, vec_id, v) - 1 AS c, v FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, vec_id, v FROM x WHERE vec_id IS NOT NULL ORDER BY 1, 2, 3 LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS MATERIALIZED (SELECT row, vec_id, v, CAST(best % {k} AS BIGINT) AS c, CAST(best // {k} AS BIGINT) AS d FROM (
+  SELECT row, any_value(x.vec_id) AS vec_id, any_value(x.v) AS v, min(CAST(list_sum(list_transform(list_zip(x.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS HUGEINT) * {k} + c) AS best FROM x, c{i} GROUP BY 1))""")
+        if i < rounds:
+            out.append(f"""c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+  SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM (SELECT c, j, sum(e) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS e, generate_subscripts(v, 1) AS j FROM a{i}) GROUP BY 1, 2) GROUP BY 1) m ON m.c = c{i}.c)""")
+    last = f"a{rounds}"
+    return ",\n".join(out) + f"""
+SELECT vec_id, CAST({last}.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY {last}.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256 FROM {last} JOIN c{rounds} ON c{rounds}.c = {last}.c
+"""
+
+
+OP12_SQL = _op12_sql(16, 3)
+
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op6_mixing": OP6_SQL, "op8_decontamination": OP8_SQL, "op10_line_dedup": OP10_SQL,
+           "op11_collocations": OP11_SQL, "op12_clusters": OP12_SQL}
