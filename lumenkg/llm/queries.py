@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import collocations, decontam, lines, mixing, passages, pii, quality, secretscan, shallot, simhash, tokens, topk
+from . import collocations, decontam, lines, mixing, passages, pii, quality, secretscan, shallot, simhash, tokens, topk, toxicity
 from .common import read_table
 
 
@@ -61,6 +61,10 @@ def op12_clusters(spark, sf_dir):
     return shallot.clusters(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
 
 
+def op13_toxicity(spark, sf_dir):
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), sample=20_000, size=4096)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
@@ -74,6 +78,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_collocations": op11_collocations,
     "op12_clusters": op12_clusters,
+    "op13_toxicity": op13_toxicity,
 }
 
 OP2_SQL = r"""
