@@ -4,13 +4,10 @@
 with round-half-to-even, 100 for equal strings and 0 when exactly one
 side is empty.  LCS uses a bit-parallel recurrence on Python integers
 (one machine-word-like operation per character of ``b``), called from an
-Arrow-batched pandas UDF only on candidate pairs that survived the native
-length and ``levenshtein`` prefilters.
+Arrow-batched pandas UDF only on candidate pairs of the segment index.
 """
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +54,12 @@ def title_ratio(a, b) -> Column:
     return title_ratio_udf(a, b)
 
 
+def title_ratio_once(a: str, b: str) -> Column:
+    """The ratio, never moved by the optimizer: it runs where it stands, after all cheaper tests."""
+    once = F.pandas_udf(title_ratio_udf.func, T.IntegerType()).asNondeterministic()
+    return once(F.col(a), F.col(b))
+
+
 def max_indel_fraction(threshold: int) -> float:
     """delta such that ratio >= threshold implies dist <= delta * (la + lb)."""
     return (100.5 - threshold) / 100.0
@@ -65,19 +68,3 @@ def max_indel_fraction(threshold: int) -> float:
 def max_edit(total_len: Column, threshold: int) -> Column:
     """Upper bound on the edit distance of a qualifying pair (lossless)."""
     return F.floor(total_len * F.lit(max_indel_fraction(threshold)) + F.lit(1e-9)).cast("int")
-
-
-def prefix_length(n: int, threshold: int) -> int:
-    """Number of rarest numbered bigrams to index for a string of length n.
-
-    A qualifying partner shares at least (n-1) - max(2*da + db) bigrams,
-    where da + db <= delta * (2n - da + db); the maximum of 2*da + db is
-    4*delta*n/(1+delta).  Indexing (n-1) - T + 1 grams is then lossless
-    (prefix-filter lemma) whenever T >= 1.
-    """
-    d = max_indel_fraction(threshold)
-    worst = math.floor(4 * d * n / (1 + d) + 1e-9)
-    overlap = (n - 1) - worst
-    if overlap < 1:
-        return -1
-    return (n - 1) - overlap + 1

@@ -7,126 +7,58 @@ indel ratio of the lower-cased titles is >= threshold.  This is not
 connected components: with A~B, B~C and A!~C, A and C are both kept.
 
 Plan:
-* J5 finds similar *distinct* lower titles with a lossless blocking:
-  numbered bigrams ranked by global rarity, each title indexes its
-  ``prefix_length`` rarest grams (prefix-filter lemma); an equi-join on
-  the gram that also compares lengths and packed character counts gives
-  candidates, native ``levenshtein(a, b, k)`` discards most of them, and
-  the exact ratio (pandas UDF) runs last.  Titles too short for the lemma
-  are joined with all titles of a length in reach.  Nothing is written
-  before the last test.
+* J5 finds similar *distinct* lower titles with the positional segment index
+  of ``segments``; only titles that share enough segments are compared.
 * Identifiers and exact titles are hub keys ``(row, key)``: a hot key is
   aggregated (min position per key, map-side combined), never expanded
   into pairs.
   Joins on them are plain, so the skew join can split a hot key.
-* D1 decides rows in rounds over a tiny state table: drop undecided rows
-  with a kept earlier neighbour; keep undecided rows with no undecided
-  earlier neighbour.  The smallest undecided row is decided every round,
-  so rounds go on until none is undecided.
+* D1 decides the rows in blocks by position, each as large as all before it.
+  A block first loses the rows that match a row kept before it; only what is
+  left is compared with itself.  So a cluster of many similar titles is
+  joined with its kept leaders and its pairs are never listed.
+* Inside a block, a bounded prefix of the undecided rows is decided in order
+  in one task, and all others by rounds (drop a row with a kept earlier
+  neighbour; keep one without an undecided earlier neighbour), so that
+  neither one long chain nor many short ones take many rounds.
   Each round's state is checkpointed to the shared checkpoint folder.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.similarity import max_edit, max_indel_fraction, title_ratio
 from ..functions.text import truthy
 from ..session import cut_lineage
+from . import segments
 
 ID_COLS = ("doi", "pmid", "pmcid")
-#: Character counts are kept in this many buckets, four bits each (15 a long).
-BUCKETS = 30
 MIN_THRESHOLD = 70
-
-
-def _signed(titles: DataFrame, threshold: int) -> DataFrame:
-    """(t, n, h0, h1, plen): length, character counts by hash bucket (at most
-    15 each) and the number of rarest bigrams to index (-1: too short)."""
-    d = max_indel_fraction(threshold)
-    chars = "split(t, '')"
-    counts = [f"least(size(filter(_c, c -> pmod(hash(c), {BUCKETS}) = {i})), 15)" for i in range(BUCKETS)]
-    packed = [" + ".join(f"shiftleft(CAST({c} AS BIGINT), {4 * j})" for j, c in enumerate(counts[k: k + 15])) for k in (0, 15)]
-    t = titles.withColumn("n", F.length("t")).withColumn("_c", F.expr(chars)).withColumns(
-        {"h0": F.expr(packed[0]), "h1": F.expr(packed[1])}).drop("_c")
-    worst = F.floor(F.col("n") * F.lit(4 * d / (1 + d)) + F.lit(1e-9))
-    overlap = (F.col("n") - 1) - worst
-    return t.withColumn("plen", F.when(overlap >= 1, worst + 1).otherwise(F.lit(-1)).cast("int"))
-
-
-def _close(a: str, b: str, threshold: int) -> Column:
-    """Necessary for a pair: lengths and character counts differ by no more
-    than the indel distance may (an indel changes one count by one)."""
-    apart = " + ".join(f"abs((shiftright({a}.{h}, {4 * j}) & 15L) - (shiftright({b}.{h}, {4 * j}) & 15L))" for h in ("h0", "h1") for j in range(15))
-    most = max_edit(F.col(f"{a}.n") + F.col(f"{b}.n"), threshold)
-    return (F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= most) & (F.expr(apart) <= most)
-
-
-def _prefixes(titles: DataFrame, freq: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(prefix rows (t, g, k, n, h0, h1), bigram frequencies): the ``plen``
-    globally rarest numbered bigrams of each title."""
-    grams = titles.filter(F.col("plen") > 0).select("t", "n", "h0", "h1", "plen", F.posexplode(F.expr(
-        "transform(sequence(1, n - 1), i -> substring(t, i, 2))")).alias("i", "g"))
-    grams = grams.withColumn("k", F.row_number().over(Window.partitionBy("t", "g").orderBy("i"))).drop("i")
-    if freq is None:
-        freq = grams.groupBy("g", "k").agg(F.count("*").alias("df"))
-    w = Window.partitionBy("t").orderBy(F.coalesce("df", F.lit(0)), "g", "k")
-    ranked = grams.join(freq, ["g", "k"], "left").withColumn("r", F.row_number().over(w))
-    return ranked.filter(F.col("r") <= F.col("plen")).drop("df", "r", "plen"), freq
-
-
-def _verified(pairs: DataFrame, threshold: int) -> DataFrame:
-    """(a, b, ratio) of candidate pairs with ratio >= threshold."""
-    k = max_edit(F.length("a") + F.length("b"), threshold)
-    near = pairs.distinct().withColumn("_k", k).filter(F.expr("levenshtein(a, b, _k) >= 0")).drop("_k")
-    return near.withColumn("ratio", title_ratio("a", "b")).filter(F.col("ratio") >= threshold)
-
-
-def _candidates(x: DataFrame, y: DataFrame, px: DataFrame, py: DataFrame, threshold: int, ordered: bool) -> DataFrame:
-    """(a, b) with a from x and b from y that may be similar: a shared rare
-    bigram, or a length in reach where one of the two is too short to index.
-    Lengths and character counts are compared inside the joins."""
-    d = max_indel_fraction(threshold)
-    before = F.col("p1.t") < F.col("p2.t") if ordered else F.col("p1.t") != F.col("p2.t")
-    pair = [F.col("p1.t").alias("a"), F.col("p2.t").alias("b")]
-    shared = px.alias("p1").join(py.alias("p2"), (F.col("p1.g") == F.col("p2.g")) & (F.col("p1.k") == F.col("p2.k"))
-                                 & before & _close("p1", "p2", threshold)).select(*pair)
-    reach = F.expr(f"sequence(CAST(floor(n * {(1 - d) / (1 + d)!r}) AS INT), CAST(ceil(n * {(1 + d) / (1 - d)!r}) AS INT))")
-
-    def by_length(short, other, flip):
-        left = short.filter(F.col("plen") < 1).withColumn("_m", F.explode(reach)).alias("p2" if flip else "p1")
-        right = other.alias("p1" if flip else "p2")
-        on = F.col("p2._m") == F.col("p1.n") if flip else F.col("p1._m") == F.col("p2.n")
-        return left.join(right, on & before & _close("p1", "p2", threshold)).select(*pair)
-
-    return shared.unionByName(by_length(x, y, False)).unionByName(by_length(y, x, True))
+#: Rows of the first block, and undecided rows that one task decides in a round.
+BLOCK = 2048
 
 
 def _checked(threshold: int) -> None:
     if threshold < MIN_THRESHOLD:
-        raise ValueError(f"a threshold under {MIN_THRESHOLD} leaves no shared bigrams to find pairs by")
+        raise ValueError(f"a threshold under {MIN_THRESHOLD} leaves too few shared segments to find pairs by")
 
 
 def similar_titles(titles: DataFrame, threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD,
                    col: str = "t") -> DataFrame:
     """Pairs (a, b, ratio) of distinct strings with a < b and ratio >= threshold."""
     _checked(threshold)
-    # the distinct titles feed four branches: materialise once (lineage cut)
-    t = cut_lineage(_signed(titles.select(F.col(col).alias("t")).filter(F.col("t").isNotNull()).distinct(), threshold))
-    prefix, _ = _prefixes(t)
-    return _verified(_candidates(t, t, prefix, prefix, threshold, ordered=True), threshold)
+    # the distinct titles feed the frequencies and both sides of the join
+    t = cut_lineage(titles.select(F.col(col).alias("t")).filter(F.col("t").isNotNull()).distinct())
+    return segments.self_pairs(t, threshold)
 
 
 def similar_to(new: DataFrame, known: DataFrame, threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD) -> DataFrame:
     """J5 between two sets of distinct strings (column t): (a, b, ratio) with a
     from ``new`` and b from ``known``; ``known`` is never joined with itself."""
     _checked(threshold)
-    x, y = _signed(new, threshold), _signed(known, threshold)
-    py, freq = _prefixes(y)
-    px, _ = _prefixes(x, freq)
-    # _candidates leaves equal strings out
-    return _verified(_candidates(x, y, px, py, threshold, ordered=False), threshold)
+    return segments.cross_pairs(cut_lineage(new), cut_lineage(known), threshold)
 
 
 def row_keys(df: DataFrame, order: str = "pos", title: str = "title") -> DataFrame:
@@ -137,54 +69,129 @@ def row_keys(df: DataFrame, order: str = "pos", title: str = "title") -> DataFra
     return df.select(F.col(order).alias("pos"), F.explode(keys).alias("key")).distinct()
 
 
+def _title_key(c) -> Column:
+    return F.concat(F.lit("t:"), F.col(c))
+
+
+def _in_order(prefix: DataFrame, near: DataFrame) -> DataFrame:
+    """(pos, st) of the rows ``prefix`` (pos, key), decided one after another in one task: 1 kept, 2 dropped.
+
+    ``near`` holds (key, nkey) of similar titles among them.  The caller bounds the rows."""
+    def decide(table):
+        every = pa.chunked_array([*table["key"].chunks, *table["nkey"].chunks], pa.string()).combine_chunks()
+        code = every.dictionary_encode().indices.fill_null(-1).to_numpy()
+        own, other = code[: table.num_rows], code[table.num_rows:]
+        pos, pair = table["pos"].fill_null(0).to_numpy(), table["pos"].is_null().to_numpy()
+        rows: dict = {}
+        similar: dict = {}
+        for p, k in zip(pos[~pair].tolist(), own[~pair].tolist()):
+            rows.setdefault(p, []).append(k)
+        for a, b in zip(own[pair].tolist(), other[pair].tolist()):
+            similar.setdefault(a, []).append(b)
+            similar.setdefault(b, []).append(a)
+        taken: set = set()
+        state = []
+        for p in sorted(rows):
+            drop = not taken.isdisjoint(rows[p])
+            state.append(2 if drop else 1)
+            if not drop:
+                for k in rows[p]:
+                    taken.add(k)
+                    taken.update(similar.get(k, ()))
+        return pa.table({"pos": pa.array(sorted(rows), pa.int64()), "st": pa.array(state, pa.int32())})
+
+    rows = prefix.select("pos", "key", F.lit(None).cast("string").alias("nkey"))
+    pairs = near.select(F.lit(None).cast("long").alias("pos"), "key", "nkey")
+    return rows.unionByName(pairs).withColumn("task", F.lit(0)).groupBy("task").applyInArrow(decide, "pos long, st int")
+
+
+def _first_kept(base: DataFrame, title: str, threshold: int) -> DataFrame:
+    """The rows of ``base`` (pos, title and identifiers; materialised) that no earlier kept row of it matches."""
+    keys = row_keys(base, "pos", title)
+    titles = base.select(F.lower(F.coalesce(F.col(title), F.lit(""))).alias("t"))
+    sims = cut_lineage(similar_titles(titles, threshold))  # feeds several branches
+    near = sims.select(_title_key("a").alias("key"), _title_key("b").alias("nkey"))
+    # rows connected to anything: a key shared by >1 row, or a title with similar titles
+    shared = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    linked = shared.unionByName(near.select("key")).unionByName(near.select(F.col("nkey").alias("key"))).distinct()
+    active = keys.join(linked, "key", "left_semi").select("pos").distinct()
+    keys = cut_lineage(keys.join(active, "pos", "left_semi"))
+    state = None  # pos, st: 1 kept, 2 dropped; None: all undecided
+    left = keys.select("pos").distinct()
+    while not left.isEmpty():
+        # the first undecided rows, in order
+        prefix = left.orderBy("pos").limit(BLOCK)
+        part = keys.join(F.broadcast(prefix), "pos", "left_semi")  # BLOCK rows
+        own = part.select("key").distinct()
+        pairs = near.join(own, "key", "left_semi").join(own.withColumnRenamed("key", "nkey"), "nkey", "left_semi")
+        done = cut_lineage(_in_order(part, pairs))
+        state = done if state is None else cut_lineage(state.unionByName(done))
+        left = cut_lineage(keys.select("pos").distinct().join(state, "pos", "left_anti"))
+        if left.isEmpty():
+            break
+        # all other rows: one round of smallest earlier neighbours, undecided (mu) and kept (mk)
+        both = near.unionByName(near.select(F.col("nkey").alias("key"), F.col("key").alias("nkey")))
+        live = left.withColumn("st", F.lit(0)).unionByName(state.where("st = 1"))
+        by_key = keys.join(live, "pos").groupBy("key").agg(F.min(F.when(F.col("st") == 0, F.col("pos"))).alias("mu"),
+                                                           F.min(F.when(F.col("st") == 1, F.col("pos"))).alias("mk"))
+        via = both.join(by_key.withColumnRenamed("key", "nkey"), "nkey").select("key", "mu", "mk")
+        all_keys = by_key.unionByName(via).groupBy("key").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
+        row = keys.join(left, "pos", "left_semi").join(all_keys, "key").groupBy("pos").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
+        decided = row.select("pos", F.when(F.col("mk") < F.col("pos"), 2).when(F.col("mu") >= F.col("pos"), 1).alias("st")).where("st IS NOT NULL")
+        state = cut_lineage(state.unionByName(decided))
+        left = cut_lineage(left.join(state, "pos", "left_anti"))
+    return base if state is None else base.join(state.where("st = 2"), "pos", "left_anti")
+
+
+def _unmatched(rows: DataFrame, kept: DataFrame, title: str, threshold: int) -> DataFrame:
+    """``rows`` that share no key and no similar title with a row of ``kept``."""
+    hub = row_keys(kept, "pos", title).select("key").distinct()
+    lower = F.lower(F.coalesce(F.col(title), F.lit("")))
+    same = row_keys(rows, "pos", title).join(hub, "key", "left_semi").select("pos").distinct()
+    out = cut_lineage(rows.join(same, "pos", "left_anti"))
+    near = similar_to(out.select(lower.alias("t")).distinct(), kept.select(lower.alias("t")).distinct(), threshold).select(F.col("a").alias("_t")).distinct()
+    return out.join(near, lower == F.col("_t"), "left_anti")
+
+
 def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
                 threshold: int = vocab.TITLE_SIMILARITY_THRESHOLD,
-                registry: DataFrame | None = None) -> DataFrame:
+                registry: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Rows of ``df`` that survive greedy keep-first deduplication.
 
-    ``order`` must be unique.  With ``registry`` (S8 output of earlier
+    ``order`` must be unique whole numbers.  With ``registry`` (S8 output of earlier
     runs) rows matching a registered key or title are dropped first (J7).
+    ``block`` is the number of rows of the first block; each later one doubles the rows decided.
     """
     # only the order, title and identifier columns take part: materialise
     # that slim projection once so the upstream plan runs a single time
     ids = [c for c in ID_COLS if c in df.columns]
-    base = df.select(order, title, *ids)
+    base = df.select(F.col(order).cast("long").alias("pos"), title, *ids)
     if registry is not None:
         base = drop_seen(base, registry, threshold=threshold, title=title)
     base = cut_lineage(base)
-    keys = row_keys(base, order, title)
-    lt = base.select(F.col(order).alias("pos"), F.lower(F.coalesce(F.col(title), F.lit(""))).alias("t"))
-    sims = cut_lineage(similar_titles(lt.select("t"), threshold))  # feeds three branches
-    # neighbour keys of a title key: itself and its similar titles
-    tkey = lambda c: F.concat(F.lit("t:"), F.col(c))
-    nk = sims.select(tkey("a").alias("key"), tkey("b").alias("nkey")) \
-        .unionByName(sims.select(tkey("b").alias("key"), tkey("a").alias("nkey")))
-    # rows connected to anything: a key shared by >1 row, or a title with similar titles
-    linked_keys = keys.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("key") \
-        .unionByName(nk.select("key")).distinct()
-    active = keys.join(linked_keys, "key", "left_semi").select("pos").distinct()
-    rk = keys.join(active, "pos", "left_semi")
-    rk = cut_lineage(rk)
-    nk = cut_lineage(nk.join(rk.select("key").distinct(), "key", "left_semi"))
-    state = cut_lineage(active.withColumn("st", F.lit(0)))  # 0 undecided, 1 kept, 2 dropped
-    while not state.filter(F.col("st") == 0).isEmpty():
-        live = state.filter(F.col("st") < 2)
-        ks = rk.join(live, "pos").groupBy("key").agg(
-            F.min(F.when(F.col("st") == 0, F.col("pos"))).alias("mu"),
-            F.min(F.when(F.col("st") == 1, F.col("pos"))).alias("mk"))
-        via = nk.join(ks.withColumnRenamed("key", "nkey"), "nkey").select("key", "mu", "mk")
-        ks_all = ks.unionByName(via).groupBy("key").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
-        undecided = rk.join(state.filter(F.col("st") == 0).select("pos"), "pos", "left_semi")
-        per_row = undecided.join(ks_all, "key").groupBy("pos").agg(F.min("mu").alias("mu"), F.min("mk").alias("mk"))
-        decided = per_row.select("pos", F.when(F.col("mk") < F.col("pos"), F.lit(2))
-                                 .when(F.col("mu") >= F.col("pos"), F.lit(1)).otherwise(F.lit(0)).alias("new"))
-        state = cut_lineage(state.join(decided, "pos", "left")
-                            .select("pos", F.coalesce("new", "st").alias("st")))
-    dropped = state.filter(F.col("st") == 2).select(F.col("pos").alias(order))
-    if set(df.columns) <= set(base.columns):
+    n = base.count()
+    edges, share = [], block / max(n, 1)
+    while share < 1:
+        edges.append(share)
+        share *= 2
+    # a rough cut is enough: the blocks' sizes change the work, not the result
+    bounds = sorted(set(base.approxQuantile("pos", edges, 0.1 * block / n))) if edges else []
+    kept = None
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        rows = base
+        if low is not None:
+            rows = rows.where(F.col("pos") > int(low))
+        if high is not None:
+            rows = rows.where(F.col("pos") <= int(high))
+        if kept is not None:
+            rows = _unmatched(rows, kept, title, threshold)
+        rows = _first_kept(cut_lineage(rows) if kept is not None else rows, title, threshold)
+        kept = rows if kept is None and high is None else cut_lineage(rows if kept is None else kept.unionByName(rows))
+    out = kept.withColumnRenamed("pos", order) if order != "pos" else kept
+    if set(df.columns) <= set(out.columns) and df.schema[order].dataType == out.schema[order].dataType:
         # nothing beyond the materialised slim columns: no upstream recompute
-        return base.join(dropped, order, "left_anti").select(*df.columns)
-    return df.join(base.select(order).join(dropped, order, "left_anti"), order, "left_semi")
+        return out.select(*df.columns)
+    return df.join(out.select(order), order, "left_semi")
 
 
 def seen_registry(df: DataFrame, article_id_col: str = "article_id", title: str = "title") -> DataFrame:

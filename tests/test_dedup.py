@@ -130,3 +130,92 @@ def test_a_chain_needs_no_round_limit(spark):
         if not any({a, b} & {x, y} or ratio(t, u) >= 85 for _, u, x, y in kept):
             kept.append((i, t, a, b))
     assert sorted(r.pos for r in deduplicate(df).collect()) == [k[0] for k in kept]
+
+
+def sequential(rows, threshold=85):
+    """rows of (pos, title, doi): positions kept by the plain loop."""
+    ids, titles, keep = set(), [], []
+    for pos, title, doi in sorted(rows):
+        t = title.lower()
+        if (doi and doi in ids) or any(ratio(t, x) >= threshold for x in titles):
+            continue
+        keep.append(pos)
+        titles.append(t)
+        if doi:
+            ids.add(doi)
+    return keep
+
+
+def chain(n):
+    """Titles of which each is similar to the next ones only: a window sliding over random letters."""
+    rnd = random.Random(2)
+    letters = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4 * n + 60))
+    return [(i, letters[4 * i: 4 * i + 60], None) for i in range(n)]
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    import lumenkg.operators.dedup as dd
+    rows = chain(500)
+    cuts = []
+    monkeypatch.setattr(dd, "cut_lineage", lambda df, real=dd.cut_lineage: cuts.append(1) or real(df))
+    df = spark.createDataFrame(rows, "pos long, title string, doi string")
+    assert sorted(r.pos for r in dd.deduplicate(df).collect()) == sequential(rows)
+    assert len(cuts) < 20
+
+
+def test_blocks_and_rounds_equal_the_sequential_loop(spark, monkeypatch):
+    """Small blocks: a chain, a cluster of similar titles in a row, a hot identifier, in many blocks and rounds."""
+    import lumenkg.operators.dedup as dd
+    monkeypatch.setattr(dd, "BLOCK", 8)
+    rnd = random.Random(4)
+    rows = chain(30)
+    rows += [(100 + i, f"the same long title of a cluster, number {i:02d}", None) for i in range(25)]
+    rows += [(200 + i, "".join(rnd.choice("klmnopqrst") for _ in range(30)), "HOT" if i % 3 == 0 else None) for i in range(30)]
+    rnd.shuffle(rows)
+    rows = [(i, t, d) for i, (_, t, d) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "pos long, title string, doi string")
+    assert sorted(r.pos for r in dd.deduplicate(df, block=8).collect()) == sequential(rows)
+
+
+def test_a_cluster_of_many_titles_is_joined_with_its_leaders_only(spark, monkeypatch):
+    import lumenkg.operators.segments as sg
+    import lumenkg.operators.dedup as dd
+    listed = []
+    real = sg.exact
+    monkeypatch.setattr(sg, "exact", lambda pairs, threshold: real(listed.append(pairs.count()) or pairs, threshold))
+    rows = [(i, f"a title of one large cluster, copy number {i:04d}", None) for i in range(400)]
+    df = spark.createDataFrame(rows, "pos long, title string, doi string")
+    assert sorted(r.pos for r in dd.deduplicate(df, block=25).collect()) == sequential(rows)
+    assert sum(listed) < 400 * 399 / 2 / 50, listed
+
+
+def test_segments_are_disjoint_and_long_titles_are_cut_in_stretches():
+    import numpy as np
+    from lumenkg.operators import segments as sg
+    rnd = random.Random(6)
+    frequency = np.random.default_rng(1).integers(0, 1000, 1 << sg.SLOT_BITS).astype(float)
+    for n in (1, 2, 5, 60, 64, 90, 97, 500):
+        text = "".join(rnd.choice("abcdeé日 ") for _ in range(n))
+        for k in {1, max(1, n // 3), n}:
+            got = sg.cut(text, k, frequency)
+            assert len(got) == k and all(1 <= q <= sg.LONGEST for _, q in got)
+            assert all(p + q <= r for (p, q), (r, _) in zip(got, got[1:])) and got[0][0] >= 0 and sum(got[-1]) <= n
+    text = "".join(rnd.choice("abcd") for _ in range(9))
+    cost = [frequency[s] + 1 for s in sg.slots(text)]
+
+    def least(i, k):
+        if k == 0:
+            return 0
+        return min((least(j + q, k - 1) + cost[q - 1][j] for j in range(i, 9) for q in range(1, min(4, 9 - j) + 1) if 9 - j - q >= k - 1), default=float("inf"))
+
+    for k in (1, 3, 6, 9):
+        assert sum(cost[q - 1][p] for p, q in sg.cut(text, k, frequency)) == least(0, k)
+
+
+def test_long_titles_of_other_scripts(spark):
+    rnd = random.Random(9)
+    base = ["".join(rnd.choice("абвгд日本語 \U0001F600") for _ in range(rnd.randint(80, 400))) for _ in range(12)]
+    titles = sorted({t for b in base for t in (b, b[7:], b + "абв", b.replace("а", ""), b[:50] + "ж" * 9 + b[50:])})
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    got = {(r.a, r.b) for r in similar_titles(df).collect()}
+    assert got == {(a, b) for a in titles for b in titles if a < b and ratio(a, b) >= 85}
