@@ -14,6 +14,7 @@ from ..functions import vocab
 from ..functions.entities import basic_conditions, basic_keywords, basic_organisms
 from ..functions.quality import quality_score
 from ..functions.text import col, ident, truthy
+from ..session import materialise
 from .articles import ARTICLE_FIELDS, ARTICLE_SCHEMA, LIST_FIELDS
 
 
@@ -158,3 +159,39 @@ def article_cascade(publications: DataFrame, page_text: DataFrame | None = None,
 
     carried = [c for c in publications.columns if c not in ARTICLE_FIELDS and c != "page_text"]
     return df.select(*carried, *[field(f) for f in ARTICLE_FIELDS])
+
+
+def staged_cascade(publications: DataFrame, replies: DataFrame | None = None, bioc: DataFrame | None = None,
+                   pages: DataFrame | None = None, test_mode: bool = True, as_of=None, row_id: str = "pos") -> DataFrame:
+    """J2 as stages: each one sees only the publications that no earlier stage served.
+
+    ``replies`` (url, provider, status, body), ``bioc`` (pmcid, json, status) and ``pages`` (url, html, status)
+    are the raw tables: model replies come first, then API documents of the unserved publications, then the
+    pages of what is left, so bodies and pages of served publications are never parsed.  A stage's articles
+    are written once; the stages' rows are the result.
+    """
+    from ..sources.bioc import pmc_articles
+    from ..sources.html import parse_pages
+    from ..sources.replies import first_valid_reply
+
+    rest, out = publications, None
+
+    def served(stage: DataFrame) -> None:
+        nonlocal rest, out
+        stage = materialise(stage)
+        rest = rest.join(stage.select(row_id), row_id, "left_anti")
+        out = stage if out is None else out.unionByName(stage)
+
+    if replies is not None:
+        served(article_cascade(rest, llm_articles=first_valid_reply(rest, replies, row_id=row_id), test_mode=False, as_of=as_of, row_id=row_id))
+    if bioc is not None:
+        served(article_cascade(rest, pmc_articles=pmc_articles(rest, bioc, row_id=row_id), test_mode=False, as_of=as_of, row_id=row_id))
+    if pages is not None:
+        wanted = pages.join(rest.select("url").distinct(), "url", "left_semi")
+        text = parse_pages(wanted, status_col="status" if "status" in pages.columns else None)
+        text = text.select("url", F.col("page")["text"].alias("page_text"))
+        served(article_cascade(rest, page_text=text, test_mode=False, as_of=as_of, row_id=row_id))
+    if test_mode:
+        last = article_cascade(rest, as_of=as_of, row_id=row_id)
+        out = last if out is None else out.unionByName(last)
+    return out

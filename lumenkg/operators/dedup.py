@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.text import truthy
-from ..session import cut_lineage
+from ..session import cut_lineage, materialise
 from . import segments
 
 ID_COLS = ("doi", "pmid", "pmcid")
@@ -162,9 +162,10 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     runs) rows matching a registered key or title are dropped first (J7).
     ``block`` is the number of rows of the first block; each later one doubles the rows decided.
     """
-    # only the order, title and identifier columns take part: materialise
-    # that slim projection once so the upstream plan runs a single time
+    # the input is evaluated once: only order, title and identifiers take part, the rest is read again at the end
     ids = [c for c in ID_COLS if c in df.columns]
+    if set(df.columns) - {order, title, *ids}:
+        df = materialise(df)
     base = df.select(F.col(order).cast("long").alias("pos"), title, *ids)
     if registry is not None:
         base = drop_seen(base, registry, threshold=threshold, title=title)

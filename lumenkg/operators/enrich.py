@@ -1,18 +1,17 @@
 """Entity enrichment of articles."""
 from __future__ import annotations
 
-import zlib
+import uuid
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.entities import extract_entities
+from ..functions.terms import compiled
 from ..functions.text import blank, or_empty_array, py_strip, truthy
-
-#: Hash buckets of term beginnings that a text is filed under.
-BEGINNINGS = 65_536
+from ..session import cut_lineage
 
 
 def nlp_text(max_chars: int | None = None) -> Column:
@@ -72,6 +71,10 @@ def enrich_articles(df: DataFrame, profile: str = "main", extractors: dict[str,
     return df.drop(*drop)
 
 
+#: Characters of gazetteer terms in one shard.
+SHARD_CHARS = 1_000_000
+
+
 def route_mentions(articles: DataFrame, mentions: DataFrame, key: str = "article_id") -> DataFrame:
     """NER mentions (article_id, label, text) routed to entity fields.
 
@@ -97,33 +100,50 @@ def route_mentions(articles: DataFrame, mentions: DataFrame, key: str = "article
 
 
 def match_terms(df: DataFrame, text_col: str, gazetteer: DataFrame, key: str,
-                case_insensitive: bool = True, word_boundary: bool = False) -> DataFrame:
+                case_insensitive: bool = True, word_boundary: bool = False, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """(key, category, term) for every gazetteer term contained in the text.
 
-    ``gazetteer`` is a user table (category, term) of any size; ``key`` must be
-    unique.  The distinct strings of one to three characters of each text are
-    joined with the terms' first three; the terms that come back for a text are
-    gathered per key and then looked for in it, so a text is moved once.
+    ``gazetteer`` is a user table (category, term) of any size.  Its terms are dealt by hash to shards of about
+    ``shard_chars`` characters, so that a shard's size is bounded; each is broadcast and compiled to an
+    Aho-Corasick automaton once a worker.  The texts stream through it where they are read: no text is
+    shuffled, and a table of more shards costs more passes, not more memory.
     ``word_boundary`` asks for whole words; by default a term may be part of one.
     """
     text = F.lower(F.col(text_col)) if case_insensitive else F.col(text_col)
     docs = df.select(F.col(key), text.alias("_t")).filter(F.col("_t").isNotNull())
     needle = F.lower("term") if case_insensitive else F.col("term")
-    g = gazetteer.select("category", "term").filter(truthy("term")).dropDuplicates() \
-        .withColumn("_needle", needle).withColumn("_g", F.substring(needle, 1, 3))
-
-    # at most BEGINNINGS numbers: the hash buckets of the terms' beginnings
-    used = {r[0] for r in g.select(F.pmod(F.crc32(F.encode("_g", "UTF-8")), F.lit(BEGINNINGS))).distinct().collect()}
-
-    @F.pandas_udf("array<string>")
-    def beginnings(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [s for s in {t[i: i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
-                                    if zlib.crc32(s.encode()) % BEGINNINGS in used])
-
-    filed = docs.select(key, F.explode(beginnings("_t")).alias("_g"))
-    wanted = filed.join(g, "_g").groupBy(key).agg(F.collect_list(F.struct("category", "term", "_needle")).alias("_terms"))
-    hits = docs.join(wanted, key).select(key, "_t", F.explode("_terms").alias("x")).select(key, "_t", "x.*")
-    hit = F.instr(F.col("_t"), F.col("_needle")) > 0
-    if word_boundary:
-        hit = hit & F.expr("_t RLIKE concat('(?U)(?<!\\\\w)\\\\Q', _needle, '\\\\E(?!\\\\w)')")
-    return hits.filter(hit).select(key, "category", "term")
+    g = gazetteer.select("category", "term").filter(truthy("term")).dropDuplicates().withColumn("_needle", needle)
+    g = cut_lineage(g)
+    size = g.agg(F.coalesce(F.sum(F.length("_needle") + F.length("term") + F.length("category")), F.lit(0))).first()[0]
+    shards = max(1, -(-size // shard_chars))
+    schema = docs.select(key, F.lit("").alias("category"), F.lit("").alias("term")).schema
+    out = None
+    for n in range(shards):
+        part = g.where(F.pmod(F.xxhash64("_needle"), F.lit(shards)) == n)
+        hits = docs.mapInArrow(_finder(df.sparkSession, part, word_boundary), schema)
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+def _finder(spark, terms: DataFrame, word_boundary: bool):
+    """Map side of :func:`match_terms` for the terms of one shard."""
+    by: dict[str, list] = {}
+    for r in terms.collect():  # one shard
+        by.setdefault(r["_needle"], []).append((r["category"], r["term"]))
+    shared, name = spark.sparkContext.broadcast(by), uuid.uuid4().hex
+
+    def run(batches):
+        found = compiled(name, shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                row, category, term = [], [], []
+                for i, text in enumerate(part.column(1)):
+                    for c, t in found(text.as_py(), word_boundary):
+                        row.append(i)
+                        category.append(c)
+                        term.append(t)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row, pa.int64())), pa.array(category, pa.string()), pa.array(term, pa.string())],
+                                                 names=[part.schema.names[0], "category", "term"])
+
+    return run

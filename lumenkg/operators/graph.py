@@ -111,6 +111,19 @@ def in_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("dst").alias("uri")).agg(F.count("*").alias("in_degree"))
 
 
+def graph_counts(triples: DataFrame) -> DataFrame:
+    """K5 in numbers (kind, name, n): nodes by type, edges by predicate and the largest in-degree, from one
+    pass over the merged triples: each gives a row for what it counts to, counted before the shuffle."""
+    t = merge_triples(triples)
+    edge = (F.col("o_kind") == "uri") & (F.col("p") != vocab.RDF_TYPE)
+    row = lambda kind, name: F.struct(F.lit(kind).alias("kind"), F.col(name).alias("name"))
+    rows = t.select(F.explode(F.when(F.col("p") == vocab.RDF_TYPE, F.array(row("node", "o")))
+                              .when(edge, F.array(row("edge", "p"), row("max_in_degree", "o")))).alias("x"))
+    each = rows.groupBy("x.kind", "x.name").agg(F.count("*").alias("n"))
+    hub = F.col("kind") == "max_in_degree"
+    return each.groupBy("kind", F.when(hub, F.lit("any")).otherwise(F.col("name")).alias("name")).agg(F.max("n").alias("n"))
+
+
 def _author_ld(x) -> Column:
     aff = F.when(truthy(x["affiliation"]), F.struct(F.lit("schema:Organization").alias("@type"),
                                                    x["affiliation"].alias("schema:name")))

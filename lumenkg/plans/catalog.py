@@ -204,7 +204,7 @@ def _gazetteer_rows():
           + ", ".join(f"({S.q(c)}, {S.q(t)})" for c, t in _gazetteer_rows())
           + ") g(category, term) WHERE contains(lower(text), term)")
 def q_doc_term_hits(spark, sf):
-    """Documents x gazetteer table on ``contains`` (size-checked broadcast)."""
+    """Documents x gazetteer table on ``contains``, by an automaton over the terms."""
     d = read_table(spark, sf, "documents")
     g = spark.createDataFrame(_gazetteer_rows(), "category string, term string")
     return match_terms(d, "text", g, key="doc_id")
@@ -415,12 +415,10 @@ SELECT d.pos,
 FROM dp d LEFT JOIN llm l ON l.pos = d.pos LEFT JOIN pmc_ok p ON p.pos = d.pos LEFT JOIN mn m ON m.pos = d.pos""")
 def q_docs_cascade(spark, sf):
     """J2 (all branches) + F4: model reply > PMC document > minimal record."""
-    from ..sources.bioc import pmc_articles
-    from ..sources.replies import first_valid_reply
+    from ..operators.cascade import staged_cascade
     from .documents import documents_scenario
     pubs, bioc, replies = documents_scenario(spark, sf)
-    p3 = pubs.select("pos", "url", "title", "pmcid")
-    c = article_cascade(p3, llm_articles=first_valid_reply(p3, replies), pmc_articles=pmc_articles(p3, bioc))
+    c = staged_cascade(pubs.select("pos", "url", "title", "pmcid"), replies, bioc)
     return c.select("pos", "extraction_source", "quality_score", "abstract")
 
 
@@ -455,12 +453,10 @@ arts_d AS (
 
 
 def _docs_articles(spark, sf):
-    from ..sources.bioc import pmc_articles
-    from ..sources.replies import first_valid_reply
+    from ..operators.cascade import staged_cascade
     from .documents import documents_scenario
     pubs, bioc, replies = documents_scenario(spark, sf)
-    p3 = pubs.select("pos", "url", "title", "pmcid")
-    return article_cascade(p3, llm_articles=first_valid_reply(p3, replies), pmc_articles=pmc_articles(p3, bioc))
+    return staged_cascade(pubs.select("pos", "url", "title", "pmcid"), replies, bioc)
 
 
 _ART = {k: k for k in ("title", "pmcid", "abstract", "full_text", "journal", "authors", "keywords", "organisms",
@@ -586,13 +582,8 @@ SELECT 'max_in_degree', 'any', max(c) FROM (SELECT o, count(*) AS c FROM (SELECT
   WHERE o_kind = 'uri' AND p <> '""" + vocab.RDF_TYPE + """') GROUP BY o)""").replace("td AS (SELECT DISTINCT pos, s, p, o, o_kind FROM t)\n,", "td AS (SELECT DISTINCT pos, s, p, o, o_kind FROM t),"))
 def q_graph_summary(spark, sf):
     """K5: node table (count per type), edge table (count per predicate), max in-degree."""
-    from ..operators.graph import graph_tables, in_degree
-    nodes, edges = graph_tables(to_triples(_pages_enriched(spark, sf)))
-    n = nodes.groupBy(F.lit("node").alias("kind"), F.col("type").alias("name")).agg(F.count("*").alias("n"))
-    e = edges.groupBy(F.lit("edge").alias("kind"), F.col("predicate").alias("name")).agg(F.count("*").alias("n"))
-    d = in_degree(edges).agg(F.max("in_degree").alias("n")).select(
-        F.lit("max_in_degree").alias("kind"), F.lit("any").alias("name"), "n")
-    return n.unionByName(e).unionByName(d)
+    from ..operators.graph import graph_counts
+    return graph_counts(to_triples(_pages_enriched(spark, sf)))
 
 
 def _prompt_sql() -> str:

@@ -272,11 +272,17 @@ SELECT (SELECT count(*) FROM pages) AS publications, count(*) AS total, (SELECT
   round((count(*) - (SELECT count(*) FROM kept)) / count(*), 9) AS duplicate_rate, CAST(sum(len(organisms)) AS BIGINT) AS entities FROM valid""")
 def q_run_report(spark, sf):
     """A5 + A6: extracted, failed, coverage, kept, duplicate share and entities of a whole run."""
+    from ..operators.cascade import article_cascade
     from ..operators.dedup import deduplicate
-    from ..operators.metrics import run_metrics
-    valid = _pages_valid(spark, sf)
-    return run_metrics(valid, publications=read_table(spark, sf, "pages"), kept=deduplicate(valid.select("pos", "title", "pmcid"))).select(
-        "publications", "total", "failed", "coverage", "kept", "duplicate_rate", "entities")
+    from ..operators.metrics import Watched, article_metrics
+    from ..operators.validate import validate_quality
+    from ..session import materialise
+    run = Watched()
+    pages = run.count(read_table(spark, sf, "pages"), "publications")
+    valid = run.watch(validate_quality(article_cascade(page_publications(pages)), "main"), "articles", *article_metrics())
+    kept = run.count(deduplicate(materialise(valid).select("pos", "title", "pmcid")), "kept")
+    materialise(kept)  # the run writes what it keeps; its metrics come with it
+    return run.report(spark).select("publications", "total", "failed", "coverage", "kept", "duplicate_rate", "entities")
 
 
 @register("duplicate_report", _RUN_SQL + """
@@ -285,6 +291,7 @@ def q_duplicate_report(spark, sf):
     """The duplicate validator."""
     from ..operators.dedup import deduplicate
     from ..operators.validate import default_validators, validation_report, with_duplicate_flag
-    valid = _pages_valid(spark, sf)
-    flagged = with_duplicate_flag(valid.select("pos"), deduplicate(valid.select("pos", "title", "pmcid")))
+    from ..session import materialise
+    valid = materialise(_pages_valid(spark, sf).select("pos", "title", "pmcid"))
+    flagged = with_duplicate_flag(valid.select("pos"), deduplicate(valid))
     return validation_report(flagged, {"duplicate": default_validators(duplicates=True)["duplicate"]})

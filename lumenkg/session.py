@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: what follows reads only the columns
+    it needs, and never runs the plan before it again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -59,18 +59,25 @@ def pmc_articles(publications: DataFrame, bioc: DataFrame, json_col: str = "json
     publication, only when the score > 0.2.
 
     ``bioc`` (pmcid, json, and status if there is one: only 200 counts) is
-    first restricted to the wanted pmcids.  All bodies of a pmcid are taken
-    together, in ascending order of the body.
+    first restricted to the wanted pmcids.  One response counts for a pmcid: of
+    the usable ones the last fetched, where a column ``fetched_at`` tells, and of
+    equal ones the smallest body; a response that is stored twice counts once.
     """
     pubs = publications.filter(F.col("pmcid").isNotNull() & (F.length("pmcid") > 0)) \
         .select(row_id, "url", "pmcid", F.col("title").alias("_t"))
     if "status" in bioc.columns:
         bioc = bioc.filter(F.col("status") == 200)
-    docs = bioc.join(pubs.select("pmcid").distinct(), "pmcid", "left_semi") \
-        .groupBy("pmcid").agg(F.sort_array(F.collect_list(json_col)).alias("_jsons"))
+    at = F.col("fetched_at").cast("timestamp") if "fetched_at" in bioc.columns else F.lit(None).cast("timestamp")
+    docs = bioc.join(pubs.select("pmcid").distinct(), "pmcid", "left_semi").select("pmcid", at.alias("_at"), F.array(json_col).alias("_jsons"))
+    for name, e in bioc_stages_sql("_jsons")[:1]:
+        docs = docs.withColumn(name, F.expr(e))
+    # a body at most is carried a pmcid, chosen before the shuffle; min takes a null time last, as it is negated
+    late = F.coalesce(-F.unix_micros("_at"), F.lit((1 << 63) - 1))
+    docs = docs.withColumn("_rank", F.when(F.size("_docs") > 0, F.struct(late.alias("late"), F.col("_jsons"))))
+    docs = docs.groupBy("pmcid").agg(F.min("_rank").alias("_rank")).where("_rank IS NOT NULL").select("pmcid", F.col("_rank._jsons").alias("_jsons"))
     for name, e in bioc_stages_sql("_jsons"):
         docs = docs.withColumn(name, F.expr(e))
-    j = pubs.join(docs.filter("size(_docs) > 0").select("pmcid", "_abs_txt", "_body"), "pmcid")
+    j = pubs.join(docs.select("pmcid", "_abs_txt", "_body"), "pmcid")
     cols = bioc_fields_sql("coalesce(_t, '')")
     j = j.select(row_id, "url", "pmcid", "_t", *[F.expr(e).alias(n) for n, e in cols.items()])
     j = j.withColumn("_score", F.expr(quality_score_sql("main", get=lambda n: {

@@ -115,7 +115,7 @@ def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "u
 
     Replies are joined to publications on ``key`` and mapped with the title
     and pmcid of their own publication; the winner is ``min_by(article,
-    priority)`` per publication row (partial aggregation).  Publications may
+    priority)`` per publication row, in the join's own partitions (no second shuffle).  Publications may
     share a key: ``row_id`` tells them apart, so each gets one row.  The score
     test comes after this choice.
     """
@@ -140,7 +140,7 @@ def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "u
     j = j.withColumns({f"_f_{k}_arr": F.expr(f"try_variant_get(_v, '$.{k}', 'array<variant>')")
                        for k in ["authors"] + REPLY_LIST_FIELDS})
     cols = reply_article_columns("_v", "_in_title", "url", "_in_pmcid", "provider")
-    j = j.select(row_id, "priority", "_obj", *[F.expr(e).alias("_a_" + n) for n, e in cols.items()])
+    j = j.select(row_id, F.col(key).alias("_join"), "priority", "_obj", *[F.expr(e).alias("_a_" + n) for n, e in cols.items()])
     j = j.withColumn("priority", F.expr("CASE WHEN _obj AND _a__ok THEN priority END"))
     defaults = {"affiliations": "array()", "mesh_terms": "array()", "full_text": "NULL", "pmid": "NULL",
                 "quality_score": "0.0D", "extraction_timestamp": "current_timestamp()"}
@@ -148,9 +148,10 @@ def first_valid_reply(publications: DataFrame, replies: DataFrame, key: str = "u
     for f in ARTICLE_FIELDS:
         e = ident("_a_" + f) if f in cols else defaults.get(f, "NULL")
         fields.append(F.expr(f"CAST({e} AS {ARTICLE_SCHEMA[f].dataType.simpleString()})").alias(f))
-    art = j.select(F.col(row_id).alias("_key"), "priority", *fields)
+    art = j.select(F.col(row_id).alias("_key"), "_join", "priority", *fields)
     art = art.withColumn("quality_score", F.expr(quality_score_sql("llm")))
-    won = art.groupBy(F.col("_key").alias(row_id)).agg(
+    # the join key is a group key too, so the rows stay where the join's shuffle put them
+    won = art.groupBy("_join", F.col("_key").alias(row_id)).agg(
         F.min_by(F.struct(*[F.col(f) for f in ARTICLE_FIELDS]), F.col("priority")).alias("llm"),
         F.min("priority").alias("_best"))
-    return won.filter(F.col("_best").isNotNull()).drop("_best")
+    return won.filter(F.col("_best").isNotNull()).drop("_best", "_join")
