@@ -146,7 +146,7 @@ def probe_rows(titles: DataFrame) -> DataFrame:
     return titles.select("t", "n", "h0", "h1", F.inline(each)).withColumn("bucket", F.floor(F.col("i") / PLACES).cast("int"))
 
 
-def met(index: DataFrame, probe: DataFrame, threshold: int, hits: int, order: Column | None = None) -> DataFrame:
+def met(index: DataFrame, probe: DataFrame, threshold: int, order: Column | None = None) -> DataFrame:
     """(a, b): titles of ``index`` and ``probe`` that share as many segments as a similar pair must."""
     most = max_edit(F.col("x.n") + F.col("y.n"), threshold)
     longer = F.col("x.n") - F.col("y.n")
@@ -159,11 +159,16 @@ def met(index: DataFrame, probe: DataFrame, threshold: int, hits: int, order: Co
     return rows.groupBy("a", "b", "need").agg(F.size(F.collect_set("p")).alias("met")).where(F.col("met") >= F.col("need")).select("a", "b")
 
 
+def lengths_in_reach(threshold: int, column: str = "n") -> Column:
+    """The lengths that a similar string may have, shorter or longer."""
+    d = max_indel_fraction(threshold)
+    return F.expr(f"sequence(CAST(floor({column} * {(1 - d) / (1 + d)!r}) AS INT), CAST(ceil({column} * {(1 + d) / (1 - d)!r}) AS INT))")
+
+
 def short_pairs(x: DataFrame, y: DataFrame, threshold: int, hits: int, both: bool, order: Column | None = None) -> DataFrame:
     """(a, b) with a from ``x`` too short for its segments, and b from ``y`` of a length in reach."""
     d = max_indel_fraction(threshold)
-    high = "n" if not both else f"CAST(ceil(n * {(1 + d) / (1 - d)!r}) AS INT)"
-    reach = F.expr(f"sequence(CAST(floor(n * {(1 - d) / (1 + d)!r}) AS INT), {high})")
+    reach = lengths_in_reach(threshold) if both else F.expr(f"sequence(CAST(floor(n * {(1 - d) / (1 + d)!r}) AS INT), n)")
     short = x.where(_segment_count(threshold, hits, both) > F.col("n")).withColumn("m", F.explode(reach)).alias("x")
     on = (F.col("x.m") == F.col("y.n")) & (F.col("x.t") != F.col("y.t")) & close("x", "y", threshold)
     return short.join(y.alias("y"), on if order is None else on & order).select(F.col("x.t").alias("a"), F.col("y.t").alias("b"))
@@ -182,7 +187,7 @@ def self_pairs(titles: DataFrame, threshold: int, hits: int = 2) -> DataFrame:
     t = signed(titles)
     before = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.t") < F.col("x.t")))
     index = segment_rows(t, frequencies(titles), threshold, hits, both=False)
-    found = met(index, probe_rows(t), threshold, hits, before).unionByName(short_pairs(t, t, threshold, hits, False, before))
+    found = met(index, probe_rows(t), threshold, before).unionByName(short_pairs(t, t, threshold, hits, False, before))
     return exact(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), threshold)
 
 
@@ -190,5 +195,5 @@ def cross_pairs(new: DataFrame, known: DataFrame, threshold: int, hits: int = 2)
     """(a, b, ratio) with a from ``new`` and b from ``known``; the known titles give the segments."""
     x, y = signed(known), signed(new)
     index = segment_rows(x, frequencies(known), threshold, hits, both=True)
-    found = met(index, probe_rows(y), threshold, hits).unionByName(short_pairs(x, y, threshold, hits, True))
+    found = met(index, probe_rows(y), threshold).unionByName(short_pairs(x, y, threshold, hits, True))
     return exact(found.select(F.col("b").alias("a"), F.col("a").alias("b")), threshold)

@@ -1,39 +1,25 @@
-"""Incremental runs over arriving publication batches (S8 + J7 + D1).
+"""Incremental runs over arriving publication batches (S8 + J7 + D1, U3).
 
 The source keeps state only through its duplicate registry, so repeated
 batch runs are made incremental with Structured Streaming: a file source
 watches a folder of publication tables, and every micro-batch goes through
-``process`` (cascade -> validation -> enrichment), is checked against the
-registry of earlier batches (``drop_seen``), deduplicated within itself
-(keep-first by position), and written, like its registry keys, to a folder
-of its batch id, which a repeated batch overwrites.  Progress and the registry live in shared
-storage, so a restarted query resumes where it stopped; ``availableNow``
-processes what is there and stops (a batch job with exactly-once
-bookkeeping).
+``process`` (cascade -> validation -> enrichment), loses what the persisted
+index of earlier batches knows (``SeenIndex``: only the buckets that the batch
+hits are read), is deduplicated within itself (keep-first by position), and is
+written, like its part of the index, to a folder of its batch id, which a
+repeated batch overwrites.  Progress and index live in shared storage, so a
+restarted query resumes where it stopped; ``availableNow`` processes what is
+there and stops (a batch job with exactly-once bookkeeping).
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.text import article_id
-from ..operators.dedup import deduplicate, seen_registry
-
-
-REGISTRY_SCHEMA = "key_kind string, key string, article_id string, batch_id long"
-
-
-def _read_registry(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """Keys of earlier batches; only a folder that does not exist yet counts as none."""
-    try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(path).filter(F.col("batch_id") < before)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+from ..operators.dedup import deduplicate
+from ..operators.registry import SeenIndex
 
 
 def run_incremental(spark: SparkSession, source_dir: str, schema: str, process: Callable[[DataFrame], DataFrame],
@@ -43,13 +29,12 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: str, process:
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        arts = process(batch)
-        registry = _read_registry(s, registry_path, batch_id)
-        kept = deduplicate(arts, order=order, registry=registry).withColumn("article_id", article_id())
+        index = SeenIndex(s, registry_path)
+        kept = deduplicate(index.drop(process(batch), batch_id, order), order=order).withColumn("article_id", article_id())
         # A folder per batch, overwritten: a batch that is run again after a failure replaces itself.
         out = f"{output_path}/batch_id={batch_id}"
         kept.write.mode("overwrite").parquet(out)
-        seen_registry(s.read.schema(kept.schema).parquet(out)).write.mode("overwrite").parquet(f"{registry_path}/batch_id={batch_id}")
+        index.add(s.read.schema(kept.schema).parquet(out), batch_id)
 
     return (stream.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint_path)

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from lumenkg.operators.cascade import article_cascade
 from lumenkg.sources.sinks import write_outputs
 from lumenkg.streaming.incremental import run_incremental
@@ -47,7 +49,7 @@ def test_replayed_batch_leaves_no_duplicate(spark):
             os.remove(os.path.join(ck, "commits", f))
     run_incremental(spark, os.path.join(src, "*"), SCHEMA, lambda b: article_cascade(b), out, reg, ck).awaitTermination(120)
     assert sorted(r.pos for r in spark.read.parquet(out).collect()) == [1, 2]
-    assert spark.read.parquet(reg).groupBy("key").count().filter("count > 1").count() == 0
+    assert spark.read.parquet(os.path.join(reg, "keys")).groupBy("key").count().filter("count > 1").count() == 0
 
 
 def test_sink_options(spark):
@@ -61,3 +63,59 @@ def test_sink_options(spark):
     assert any("<http://a/%3Cx%20y%3E>" in x for x in lines)
     t = spark.createDataFrame([("s", "http://purl.org/dc/terms/created", "2020-01-01T00:00:00", "literal")], "s string, p string, o string, o_kind string")
     assert ntriples(t).first().value.endswith('"2020-01-01T00:00:00"^^<http://www.w3.org/2001/XMLSchema#dateTime> .')
+
+
+def sequential_batches(batches, threshold=85):
+    """Positions that a plain loop over the batches keeps."""
+    from lumenkg.functions.similarity import ratio
+    ids, titles, out = set(), [], []
+    for rows in batches:
+        new_ids, new_titles, kept = set(), [], []
+        for pos, title, doi in sorted(rows):
+            t = (title or "").lower()
+            if doi in ids or any(ratio(t, x) >= threshold for x in titles):
+                continue  # known from an earlier batch
+            if doi and doi in new_ids or any(ratio(t, x) >= threshold for x in new_titles):
+                continue
+            kept.append(pos)
+            new_titles.append(t)
+            new_ids.add(doi)
+        ids |= {d for d in new_ids if d}
+        titles += new_titles
+        out.append(kept)
+    return out
+
+
+def test_the_index_equals_a_loop_over_batches(spark):
+    import random
+    from lumenkg.operators.dedup import deduplicate
+    from lumenkg.operators.registry import SeenIndex
+    rnd = random.Random(3)
+    words = ["bone", "loss", "mice", "rat", "space", "gene", "density", "plant", "cell"]
+    batches = [[(100 * b + i, " ".join(rnd.choice(words) for _ in range(rnd.choice([1, 1, 3, 5, 6]))), rnd.choice([None] * 6 + ["d1", "d2", "d3"]))
+                for i in range(40)] for b in range(3)]
+    batches[1] += [(190, "ab", None), (191, "Bone", None), (192, "", None)]
+    batches[2] += [(290, "abc", None), (291, "ac", None), (292, "bon", None)]
+    index = SeenIndex(spark, tempfile.mkdtemp(prefix="lumenkg-test-"), buckets=32)
+    got = []
+    for n, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "pos long, title string, doi string")
+        kept = deduplicate(index.drop(df, n)).select("pos", "title", "doi", *(F.lit(None).cast("string").alias(c) for c in ("pmid", "pmcid"))).collect()
+        got.append(sorted(r.pos for r in kept))
+        for _ in range(2):  # a repeated batch replaces its part
+            index.add(spark.createDataFrame(kept, "pos long, title string, doi string, pmid string, pmcid string"), n)
+    assert got == sequential_batches(batches)
+
+
+def test_a_batch_reads_only_the_buckets_it_hits(spark):
+    from lumenkg.operators.registry import SeenIndex
+    index = SeenIndex(spark, tempfile.mkdtemp(prefix="lumenkg-test-"), buckets=64)
+    known = [(i, f"title {i} of a registry {i * 7919 % 1000}", None, None, None) for i in range(300)]
+    index.add(spark.createDataFrame(known, "pos long, title string, doi string, pmid string, pmcid string"), 0)
+    own = index._wanted(spark.createDataFrame([("id:x",), ("t:y",)], "key string").select(index._bucket("key")))
+    files = index.read("keys", 1, own).inputFiles()
+    every = index.read("keys", 1).inputFiles()
+    plan = index.read("keys", 1, own)._jdf.queryExecution().executedPlan().toString()
+    assert len(own) <= 2 and "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:200]
+    assert len({f.split("bucket=")[1].split("/")[0] for f in every}) > 40 and len(files) <= len(every)
+    assert {r.bucket for r in index.read("keys", 1, own).select("bucket").distinct().collect()} <= set(own)
