@@ -106,3 +106,91 @@ def test_strict_thresholds_are_parameters(spark):
     r = df.select(quality_score("strict").alias("a"), quality_score("strict", thresholds=low).alias("b"),
                   is_valid("strict").alias("c"), is_valid("strict", required=("title", "url", "journal")).alias("d")).first()
     assert (round(r.b - r.a, 9), r.c, r.d) == (0.2, True, False)
+
+
+def test_terms_equal_contains_and_shards_add_up(spark):
+    import random
+    import re
+    from lumenkg.operators.enrich import match_terms
+    rnd = random.Random(5)
+    letters = "abcABC é日1_-"
+    texts = [(i, "".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 5, 60, 300])))) for i in range(60)] + [(100, None), (101, "x" * 300_000 + "needle")]
+    terms = sorted({(rnd.choice("pq"), "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 4)))) for _ in range(150)} | {("p", "needle"), ("q", "needle")})
+    df, g = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(terms + terms[:5] + [("p", ""), ("p", None)], "category string, term string")
+    for fold in (True, False):
+        for whole in (True, False):
+            lower = str.lower if fold else str
+            want = set()
+            for i, t in texts:
+                for c, term in terms:
+                    if t is not None and lower(term) in lower(t):
+                        if not whole or re.search(r"(?<!\w)" + re.escape(lower(term)) + r"(?!\w)", lower(t)):
+                            want.add((i, c, term))
+            for size in (1_000_000, 200):
+                rows = [tuple(r) for r in match_terms(df, "text", g, "doc_id", case_insensitive=fold, word_boundary=whole, shard_chars=size).collect()]
+                assert len(rows) == len(set(rows)) and set(rows) == want, (fold, whole, size)
+
+
+def test_a_hundred_thousand_terms_without_a_shuffle_of_texts(spark):
+    from lumenkg.operators.enrich import match_terms
+    g = spark.range(100_000).selectExpr("'c' AS category", "concat('term', id, 'x') AS term")
+    df = spark.createDataFrame([(i, f"some text with TERM{i * 37}x and term{i}y in it") for i in range(500)], "doc_id long, text string")
+    hits = match_terms(df, "text", g, "doc_id")
+    assert sorted(tuple(r) for r in hits.collect()) == sorted((i, "c", f"term{i * 37}x") for i in range(500))
+    assert "Exchange" not in hits._jdf.queryExecution().executedPlan().toString()
+
+
+def test_metrics_taken_while_writing_equal_the_aggregates(spark):
+    from pyspark.sql import functions as F
+    from lumenkg.operators.metrics import Watched, article_metrics, run_metrics
+    from lumenkg.session import materialise
+    rows = [(i, f"title {i}" if i % 4 else "", f"u{i}", .1 * i, i % 3 == 0, .2 * (i % 5), ["mice"] * (i % 3), ["g"] * (i % 2)) for i in range(20)]
+    arts = spark.createDataFrame(rows, "pos long, title string, url string, quality_score double, llm_extracted boolean, llm_confidence_score double, organisms array<string>, genes array<string>")
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        runs.add(1)
+        return x
+
+    arts = arts.repartition(3).withColumn("pos", counted.asNondeterministic()("pos"))
+    pubs = spark.range(25)
+    run = Watched()
+    materialise(run.count(pubs, "publications"))
+    valid = materialise(run.watch(arts, "articles", *article_metrics()))
+    kept = run.count(valid.where("pos % 2 = 0"), "kept")
+    materialise(kept)
+    got = run.report(spark)
+    assert runs.value == 20
+    want = run_metrics(valid, publications=pubs, kept=valid.where("pos % 2 = 0"))
+    assert got.select(*sorted(got.columns)).collect() == want.select(*sorted(want.columns)).collect()
+
+
+def test_wide_rows_are_evaluated_once(spark):
+    from pyspark.sql import functions as F
+    from lumenkg.operators.dedup import deduplicate
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        runs.add(1)
+        return x
+
+    df = spark.createDataFrame([(i, f"title of article {i * 7919}", "body") for i in range(10)] + [(10, "title of article 0", "body")], "pos long, title string, text string")
+    out = deduplicate(df.withColumn("text", counted.asNondeterministic()("text")))
+    assert out.count() == 10 and out.columns == ["pos", "title", "text"] and runs.value == 11
+
+
+def test_graph_counts_equal_the_tables(spark):
+    from pyspark.sql import functions as F
+    from lumenkg.functions import vocab
+    from lumenkg.operators.graph import graph_counts, graph_tables, in_degree
+    ty = vocab.RDF_TYPE
+    rows = [("a", ty, "T", "uri"), ("a", ty, "T", "uri"), ("b", ty, "T", "uri"), ("a", "link", "k", "uri"), ("b", "link", "k", "uri"), ("b", "other", "k", "uri"),
+            ("k", ty, "K", "uri"), ("a", "name", "x", "literal")]
+    t = spark.createDataFrame(rows, "s string, p string, o string, o_kind string")
+    nodes, edges = graph_tables(t)
+    want = {("node", r.type, r.n) for r in nodes.groupBy("type").agg(F.count("*").alias("n")).collect()}
+    want |= {("edge", r.predicate, r.n) for r in edges.groupBy("predicate").agg(F.count("*").alias("n")).collect()}
+    want |= {("max_in_degree", "any", in_degree(edges).agg(F.max("in_degree")).first()[0])}
+    assert {tuple(r) for r in graph_counts(t).collect()} == want

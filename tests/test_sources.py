@@ -141,11 +141,11 @@ def test_broken_documents_fall_through(spark):
     assert got == {i: "pmc_api_fallback" if i in (4, 5) else "html_fallback" for i in range(7)}
 
 
-def test_all_documents_of_a_pmcid_are_taken(spark):
+def test_one_usable_response_of_a_pmcid_is_taken(spark):
     body = lambda t: json.dumps({"documents": [{"passages": [{"text": t}]}]})
     pubs = spark.createDataFrame([(1, "u", "A title that is long", "PMC1")], "pos long, url string, title string, pmcid string")
     bioc = spark.createDataFrame([("PMC1", body("b")), ("PMC1", body("a")), ("PMC1", "broken"), ("PMC2", body("c"))], "pmcid string, json string")
-    assert pmc_articles(pubs, bioc).first().pmc.full_text == "a\nb"
+    assert pmc_articles(pubs, bioc).first().pmc.full_text == "a"
 
 
 def test_boolean_items_are_spelled_as_the_source_does(spark):
@@ -178,3 +178,57 @@ def test_term_matching(spark):
     assert got() == [(1, "ISS"), (1, "mice"), (2, "a"), (4, "ISS"), (5, "mi.ce")]
     assert got(word_boundary=True) == [(1, "ISS"), (1, "mice"), (2, "a"), (5, "mi.ce")]
     assert got(case_insensitive=False) == [(1, "ISS"), (1, "mice"), (2, "a"), (5, "mi.ce")]
+
+
+def test_a_response_that_is_stored_twice_counts_once(spark):
+    body = '{"documents": [{"passages": [{"infons": {"type": "ABSTRACT"}, "text": "X"}, {"infons": {"type": "p"}, "text": "body"}]}]}'
+    late = body.replace('"X"', '"newer"')
+    pubs = spark.createDataFrame([(1, "u1", "A title of mice in space", "PMC1"), (2, "u2", "Another title of mice", "PMC2")], "pos long, url string, title string, pmcid string")
+    rows = [("PMC1", body, 200)] * 2 + [("PMC1", "not json", 200), ("PMC1", late, 404), ("PMC2", "not json", 200), ("PMC2", '{"documents": 5}', 200)]
+    got = {r.pos: r.pmc for r in pmc_articles(pubs, spark.createDataFrame(rows, "pmcid string, json string, status int")).collect()}
+    assert set(got) == {1} and (got[1].abstract, got[1].full_text) == ("X", "body")
+    timed = [("PMC1", body, 200, "2024-01-01 00:00:00"), ("PMC1", late, 200, "2025-01-01 00:00:00"), ("PMC1", "not json", 200, "2026-01-01 00:00:00"), ("PMC1", body, 200, None)]
+    df = spark.createDataFrame(timed, "pmcid string, json string, status int, fetched_at string")
+    assert pmc_articles(pubs, df).first().pmc.abstract == "newer"
+
+
+def test_staged_cascade_parses_only_what_is_unserved(spark, monkeypatch):
+    """The stages' rows equal those of the joined cascade; bodies and pages of served publications are never parsed."""
+    import lumenkg.operators.cascade as cascade
+    import lumenkg.sources.html as html
+    from pyspark.sql import Observation, functions as F
+
+    def reply(score):
+        return '{"choices": [{"text": "{\\"abstract\\": \\"' + "word " * 40 + '\\", \\"confidence_score\\": %s}"}]}' % score
+
+    bioc_body = '{"documents": [{"passages": [{"infons": {"type": "abstract"}, "text": "%s"}]}]}' % ("gene " * 60)
+    page = "<html><head><title>t</title></head><body><p>" + "plants grow in space " * 20 + "</p></body></html>"
+    pubs = spark.createDataFrame([(i, f"Publication number {i} of mice", f"u{i}", f"PMC{i}" if i != 7 else None) for i in range(10)],
+                                 "pos long, title string, url string, pmcid string")
+    rep = spark.createDataFrame([(f"u{i}", "groq", 200 if i else 500, reply(0.9)) for i in range(3)], "url string, provider string, status int, body string")
+    bioc = spark.createDataFrame([(f"PMC{i}", bioc_body if i != 4 else "broken", 200) for i in range(6)], "pmcid string, json string, status int")
+    pages = spark.createDataFrame([(f"u{i}", page, 200 if i != 8 else 404) for i in range(9)], "url string, html string, status int")
+    seen = Observation("parsed")
+    real = html.parse_pages
+    monkeypatch.setattr(html, "parse_pages", lambda p, **k: real(p.observe(seen, F.count("*").alias("n"), F.sort_array(F.collect_list("url")).alias("urls")), **k))
+    got = {r.pos: r for r in cascade.staged_cascade(pubs, rep, bioc, pages, as_of="2025-01-01 00:00:00").collect()}
+    source = {i: r.extraction_source for i, r in got.items()}
+    assert source == {0: "pmc_api_fallback", 1: "llm_groq", 2: "llm_groq", 3: "pmc_api_fallback", 4: "html_fallback", 5: "pmc_api_fallback",
+                      6: "html_fallback", 7: "html_fallback", 8: "minimal_metadata", 9: "minimal_metadata"}
+    assert seen.get["urls"] == ["u4", "u6", "u7", "u8"]
+    monkeypatch.undo()
+    text = html.parse_pages(pages, status_col="status").select("url", F.col("page")["text"].alias("page_text"))
+    joined = article_cascade(pubs, page_text=text, llm_articles=first_valid_reply(pubs, rep), pmc_articles=pmc_articles(pubs, bioc), as_of="2025-01-01 00:00:00")
+    keep = [c for c in joined.columns if c != "extraction_timestamp"]
+    assert sorted(map(str, joined.select(*keep).collect())) == sorted(str(r) for r in spark.createDataFrame(list(got.values()), joined.schema).select(*keep).collect())
+
+
+def test_replies_are_grouped_without_a_second_shuffle(spark):
+    pubs = spark.createDataFrame([(1, "t", "u", "PMC1")], "pos long, title string, url string, pmcid string")
+    rep = spark.createDataFrame([("u", "groq", 200, "{}")], "url string, provider string, status int, body string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = first_valid_reply(pubs, rep)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2, plan
