@@ -5,9 +5,9 @@ thresholds cut the score: P(grade <= k) = sigmoid(threshold_k - score).  From th
 grade and the tail probability P(grade >= 2) that selection uses.
 
 Fitting takes a bounded sample of the labelled rows: at most ``sample`` of them, those with the
-smallest hash of the id, so the draw is stable and independent of the order of rows.  Their hashed
-features go to the driver (a few hundred numbers a document); features in fewer than ``min_docs``
-sampled documents are left out.  Scoring is a map over all documents with the weights in a broadcast
+smallest hash of the id, so the draw is stable and independent of the order of rows.  Features in fewer
+than ``min_docs`` sampled documents are left out on the executors; the rest goes to the driver, four
+bytes a feature and document, where no larger copy of it is made.  Scoring is a map over all documents with the weights in a broadcast
 of fixed size.
 
 Null text counts as empty; documents without features get the score 0.  Labels with a null id, or
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SLICE, map_batches, id_text, utf8
+from .common import LOWER, SLICE, map_batches, id_text, utf8, written
 
 BUCKETS = 1 << 18
 GRADES = 3
@@ -85,13 +85,23 @@ class Ordinal:
         return 1 - sigmoid(self.thresholds - np.asarray(score)[..., None])
 
 
-def fit(at: np.ndarray, index: np.ndarray, value: np.ndarray, grades: np.ndarray, min_docs: int = 5, steps: int = 4000,
+def slopes(z: np.ndarray, g: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of the documents' summed loss -log P(grade = g): by each score, and by the thresholds."""
+    rows = np.arange(len(z))
+    below = np.hstack([np.zeros((len(z), 1)), sigmoid(thresholds - z[:, None]), np.ones((len(z), 1))])
+    upper, lower = below[rows, g + 1], below[rows, g]
+    p = np.maximum(upper - lower, 1e-9)
+    slope_u, slope_l = upper * (1 - upper), lower * (1 - lower)
+    return (slope_u - slope_l) / p, np.array([(slope_l / p)[g == k + 1].sum() - (slope_u / p)[g == k].sum() for k in range(len(thresholds))])
+
+
+def fit(at: np.ndarray, index: np.ndarray, words: np.ndarray, value: np.ndarray, grades: np.ndarray, steps: int = 4000,
         batch: int = 64, rate: float = 0.6, ridge: float = 1e-4, seed: int = 0) -> Ordinal:
     """Maximum likelihood by ``steps`` adaptive stochastic gradient steps on the cumulative-link model.
 
-    Document d has the buckets ``index[at[d]:at[d + 1]]`` with their ``value``."""
+    Document d has the buckets ``index[at[d]:at[d + 1]]``; the first ``words[d]`` of them count
+    ``value[d]``, the rest 1.  Only a batch's features are spread out at a time."""
     docs, y = range(len(at) - 1), np.asarray(grades, dtype=np.int64)
-    value = np.where(np.bincount(index, minlength=BUCKETS)[index] >= min_docs, value, np.float32(0))
     weights, seen = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
     share = np.cumsum(np.bincount(y, minlength=GRADES) + 1)[:-1] / (len(y) + GRADES)
     thresholds, seen_t = np.log(share / (1 - share)), np.full(GRADES - 1, 1e-8)
@@ -100,20 +110,16 @@ def fit(at: np.ndarray, index: np.ndarray, value: np.ndarray, grades: np.ndarray
         order = rng.permutation(len(docs))
         for start in range(0, len(order), batch):
             part = order[start: start + batch]
-            pick = np.concatenate([np.arange(at[d], at[d + 1]) for d in part])
+            i = np.concatenate([index[at[d]: at[d + 1]] for d in part])
+            v = np.concatenate([np.where(np.arange(at[d + 1] - at[d]) < words[d], value[d], 1.0) for d in part])
             row = np.repeat(np.arange(len(part)), [at[d + 1] - at[d] for d in part])
-            i, v, g = index[pick], value[pick], y[part]
             z = np.bincount(row, weights[i] * v, minlength=len(part))
-            below = np.hstack([np.zeros((len(part), 1)), sigmoid(thresholds - z[:, None]), np.ones((len(part), 1))])
-            upper, lower = below[np.arange(len(part)), g + 1], below[np.arange(len(part)), g]
-            p = np.maximum(upper - lower, 1e-9)
-            slope_u, slope_l = upper * (1 - upper), lower * (1 - lower)
-            slope = (slope_u - slope_l) / p  # of the loss, by the score
+            slope, grad_t = slopes(z, y[part], thresholds)
             used, place = np.unique(i, return_inverse=True)
             grad = np.bincount(place, slope[row] * v, minlength=len(used)) / len(part) + ridge * weights[used]
             seen[used] += grad * grad
             weights[used] -= rate * grad / np.sqrt(seen[used])
-            grad_t = np.array([(slope_l / p)[g == k + 1].sum() - (slope_u / p)[g == k].sum() for k in range(GRADES - 1)]) / len(part)
+            grad_t /= len(part)
             seen_t += grad_t * grad_t
             thresholds = np.sort(thresholds - rate * grad_t / np.sqrt(seen_t))
     return Ordinal(weights, thresholds)
@@ -124,8 +130,9 @@ def grade_column():
     return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", **options) -> Ordinal:
-    """Fit on at most ``sample`` labelled documents."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", **options) -> Ordinal:
+    """Fit on at most ``sample`` labelled documents; buckets that fewer than ``min_docs`` of them hold are left
+    out by the executors, before anything goes to the driver."""
     graded = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(grade_column()).alias("grade")))
     drawn = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -133,18 +140,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str
 
     def run(batch):
         found = [features(t) for t in utf8(batch)]
-        return {"doc_id": batch.column(0), "grade": batch.column(2), "n_words": [len(w) for w, _ in found], "buckets": [w + s for w, s in found]}
+        return {"doc_id": batch.column(0), "grade": batch.column(2), "n_words": [len(w) for w, _ in found], "words": [w for w, _ in found], "shape": [s for _, s in found]}
+
+    found = written(map_batches(rows.select("doc_id", "text", "grade"), run, "doc_id long, grade int, n_words int, words array<int>, shape array<int>"))
+    counts = found.select(F.explode(F.array_distinct(F.concat("words", "shape"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    often = np.zeros(BUCKETS, dtype=bool)
+    often[counts.where(F.col("n") >= min_docs).select("bucket").toArrow()["bucket"].to_numpy()] = True  # BUCKETS rows at most
+    bc = docs.sparkSession.sparkContext.broadcast(often)
+
+    def keep(batch):
+        words, shape = ([[b for b in row if bc.value[b]] for row in batch.column(i).to_pylist()] for i in (3, 4))
+        return {"doc_id": batch.column(0), "grade": batch.column(1), "n_words": batch.column(2), "words": [len(w) for w in words], "buckets": [w + s for w, s in zip(words, shape)]}
 
-    got = map_batches(rows.select("doc_id", "text", "grade"), run, "doc_id long, grade int, n_words int, buckets array<int>").toArrow()
+    got = map_batches(found, keep, "doc_id long, grade int, n_words int, words int, buckets array<int>").toArrow()
     got = got.take(np.argsort(got["doc_id"].to_numpy(), kind="stable"))
     buckets = got["buckets"].combine_chunks()
-    sizes, n_words = np.diff(buckets.offsets.to_numpy()), got["n_words"].to_numpy().astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    # a document's words come first and share a value, its shape features count fully
-    value = np.ones(at[-1], dtype=np.float32)
-    inside = np.arange(at[-1]) - np.repeat(at[:-1], sizes) < np.repeat(n_words, sizes)
-    value[inside] = np.repeat(1 / np.log(n_words + 2.0), n_words).astype(np.float32)
-    return fit(at, buckets.flatten().to_numpy(), value, got["grade"].to_numpy(), **options)
+    value = 1 / np.log(got["n_words"].to_numpy() + 2.0)
+    return fit(buckets.offsets.to_numpy(), buckets.flatten().to_numpy(), got["words"].to_numpy(), value, got["grade"].to_numpy(), **options)
 
 
 def graded(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

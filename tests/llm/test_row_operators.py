@@ -205,7 +205,59 @@ def test_token_digest(spark):
     assert [(r.doc_id, r.n_sections, r.n_tokens) for r in got] == [(1, 2, 4), (2, 0, 0)]
 
 
-def test_quality_gradient_and_held_out(spark):
+def ordinal_loss(z, g, t):
+    cut = [0.0, *(1 / (1 + np.exp(-(x - z))) for x in t), 1.0]
+    return -np.log(cut[g + 1] - cut[g])
+
+
+def test_quality_slopes_are_derivatives():
+    rng = np.random.default_rng(2)
+    z, g, t, h = rng.normal(0, 2, 30), rng.integers(0, 3, 30), np.array([-.7, .9]), 1e-6
+    by_score, by_threshold = quality.slopes(z, g, t)
+    for i in range(30):
+        assert abs((ordinal_loss(z[i] + h, g[i], t) - ordinal_loss(z[i] - h, g[i], t)) / (2 * h) - by_score[i]) < 1e-4
+    for k in range(2):
+        step = np.eye(2)[k] * h
+        want = sum(ordinal_loss(z[i], g[i], t + step) - ordinal_loss(z[i], g[i], t - step) for i in range(30)) / (2 * h)
+        assert abs(want - by_threshold[k]) < 1e-3
+
+
+def test_quality_fit_equals_a_plain_loop():
+    """The same steps with a dictionary of weights, a document at a time."""
+    rng = np.random.default_rng(5)
+    docs = [(sorted(rng.choice(40, rng.integers(0, 9), replace=False).tolist()), rng.integers(40, 50, rng.integers(0, 3)).tolist()) for _ in range(30)]
+    grades = rng.integers(0, 3, 30)
+    flat = [w + s for w, s in docs]
+    at = np.cumsum([0, *map(len, flat)])
+    value = np.array([1 / np.log(len(w) + 2.0) for w, _ in docs])
+    model = quality.fit(at, np.array([b for d in flat for b in d], dtype=np.int32), np.array([len(w) for w, _ in docs]), value, grades, steps=40, batch=8)
+    weights, seen, order = {}, {}, np.random.default_rng(0)
+    share = np.cumsum(np.bincount(grades, minlength=3) + 1)[:-1] / 33
+    t, seen_t = np.log(share / (1 - share)), np.full(2, 1e-8)
+    for _ in range(10):
+        turn = order.permutation(30)
+        for start in range(0, 30, 8):
+            part, grad, grad_t = turn[start: start + 8], {}, np.zeros(2)
+            for d in part:
+                x = [(b, value[d]) for b in docs[d][0]] + [(b, 1.0) for b in docs[d][1]]
+                z = sum(weights.get(b, 0.0) * v for b, v in x)
+                slope, by_t = quality.slopes(np.array([z]), grades[d: d + 1], t)
+                grad_t += by_t / len(part)
+                for b, v in x:
+                    grad[b] = grad.get(b, 0.0) + slope[0] * v / len(part)
+            for b, gr in grad.items():
+                gr += 1e-4 * weights.get(b, 0.0)
+                seen[b] = seen.get(b, 1e-8) + gr * gr
+                weights[b] = weights.get(b, 0.0) - 0.6 * gr / np.sqrt(seen[b])
+            seen_t += grad_t ** 2
+            t = np.sort(t - 0.6 * grad_t / np.sqrt(seen_t))
+    assert np.allclose([model.weights[b] for b in range(50)], [weights.get(b, 0.0) for b in range(50)], atol=1e-8)
+    assert np.allclose(model.thresholds, t, atol=1e-8)
+    words, shape = docs[3]
+    assert abs(model.score(words, shape) - sum(weights.get(b, 0.0) for b in words) * value[3] - sum(weights.get(b, 0.0) for b in shape)) < 1e-8
+
+
+def test_quality_held_out(spark):
     r = random.Random(3)
     words = [f"w{i}" for i in range(300)]
 
