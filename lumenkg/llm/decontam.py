@@ -1,19 +1,28 @@
 """Benchmark decontamination with a generalised suffix automaton (operator 8).
 
-The words of all benchmark items build one suffix automaton (in shards of bounded size).  Training
-tokens stream through it; the longest match that ends at each token tells which item windows of
-``min_words`` words end there, and the automaton's state tells of which items.  An item shorter than
-that is a window as a whole.  Tokens in any window's occurrence are hit.
+The words of the benchmark items build a suffix automaton.  Training tokens stream through it; the
+longest match that ends at each token tells which item windows of ``min_words`` words end there, and the
+automaton's state tells of which items.  An item shorter than that is a window as a whole.  Tokens in any
+window's occurrence are hit.
+
+Items are dealt by hash to shards of about SHARD_WORDS words.  A task a shard builds the automaton, packs
+it into arrays of whole numbers (about 50 bytes a word) and writes it to the shared folder; the driver
+passes these bytes on, one shard at a time, and each shard is one pass over the documents.
 
 Every document is streamed.  Before the automaton, stretches that cannot hold a window are passed over:
 a window is a run of word pairs that all occur in items, which numpy decides for a document at once.
 
 Null texts have no words; null ids are carried (a null item_id is reported as the word null); repeated
-rows are judged alike; an empty benchmark hits nothing.
+rows are judged alike; an empty benchmark hits nothing; an empty table gives an empty result; columns of
+any name are carried.
 """
 from __future__ import annotations
 
+import pickle
 import re
+import uuid
+from array import array
+from bisect import bisect_left
 from itertools import repeat
 
 import numpy as np
@@ -27,7 +36,7 @@ from .common import LOWER, SLICE, id_text, map_batches, sha, utf8, written
 TO_WORDS = bytes(LOWER[b] if b >= 0x80 or 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 #: Benchmark words in one automaton; more are cut into shards, each a pass over the documents.
-SHARD_WORDS = 500_000
+SHARD_WORDS = 200_000
 
 
 def words_of(raw: bytes) -> list[bytes]:
@@ -35,7 +44,10 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 class Automaton:
-    """Generalised suffix automaton over word numbers, made for matches of ``min_words``."""
+    """Generalised suffix automaton over word numbers, made for matches of ``min_words``.
+
+    While it is built, transitions are a dictionary a state; then all is packed into arrays: the
+    transitions of state s are ``symbol[at[s]:at[s + 1]]``, in order, and ``target`` beside them."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], min_words: int):
         self.min_words = min_words
@@ -48,28 +60,49 @@ class Automaton:
             for c in ws:
                 last = self._extend(last, c)
         n = len(self.next)
-        self.items: list[set] = [set() for _ in range(n)]
-        self.short: list[set] = [set() for _ in range(n)]  # short items that are this state's longest string
+        self.names = sorted({i for i, _ in coded})
+        number = {name: i for i, name in enumerate(self.names)}
+        holds: list = [()] * n  # items that hold a state's strings
+        short: list = [()] * n  # short items that are this state's longest string
         for item, ws in coded:
-            state = 0
+            item, state, new = number[item], 0, set()
             for c in ws:
                 state = self.next[state][c]
                 up = state
-                while up > 0 and item not in self.items[up]:
-                    self.items[up].add(item)
+                while up > 0 and up not in new:
+                    new.add(up)
                     up = self.link[up]
-            if len(ws) < min_words:
-                self.short[state].add(item)
+            for s in new:
+                if not holds[s] or holds[s][-1] != item:
+                    holds[s] = (*holds[s], item)
+            if len(ws) < min_words and item not in short[state]:
+                short[state] = (*short[state], item)
         order = sorted(range(1, n), key=self.length.__getitem__)
-        self.window = [0] * n  # ancestor (or self) that holds the strings of min_words words
-        self.short_up = [0] * n  # nearest proper ancestor with a short item
+        window = [0] * n  # ancestor (or self) that holds the strings of min_words words
+        short_up = [0] * n  # nearest proper ancestor with a short item
         for s in order:
             up = self.link[s]
-            self.window[s] = s if self.length[up] < min_words <= self.length[s] else self.window[up] if self.length[s] >= min_words else 0
-            self.short_up[s] = up if up > 0 and self.short[up] else self.short_up[up] if up > 0 else 0
+            window[s] = s if self.length[up] < min_words <= self.length[s] else window[up] if self.length[s] >= min_words else 0
+            short_up[s] = up if up > 0 and short[up] else short_up[up] if up > 0 else 0
         self.least = min([len(ws) for _, ws in coded if len(ws) < min_words] or [min_words])
         width = max(1, len(self.code))
         self.pairs = np.unique(np.array([a * width + b for _, ws in coded for a, b in zip(ws, ws[1:])] or [-1], dtype=np.int64))
+        # items are asked for at windows only
+        self.holds = {s: holds[s] for s in {w for w in window if w}}
+        self.short = {s: x for s, x in enumerate(short) if x}
+        self.window, self.short_up, self.link, self.length = (array("i", x) for x in (window, short_up, self.link, self.length))
+        self.at, self.symbol, self.target = array("i", [0]), array("i"), array("i")
+        for s in range(n):
+            for c in sorted(self.next[s]):
+                self.symbol.append(c)
+                self.target.append(self.next[s][c])
+            self.next[s] = None
+            self.at.append(len(self.symbol))
+        del self.next
+
+    def size(self) -> int:
+        """Bytes of the arrays, which grow with the words."""
+        return self.pairs.nbytes + sum(4 * len(x) for x in (self.window, self.short_up, self.link, self.length, self.at, self.symbol, self.target))
 
     def _extend(self, last: int, c: int) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -119,7 +152,7 @@ class Automaton:
         """Hit stretches of word positions (start, end; sorted, apart) and the items that occur."""
         n = len(words)
         codes = np.fromiter(map(self.code.get, words, repeat(-1)), dtype=np.int64, count=n)
-        nxt, link, length, k = self.next, self.link, self.length, self.min_words
+        link, length, k, begin, symbol, target, short = self.link, self.length, self.min_words, self.at, self.symbol, self.target, self.short
         hits: list[list[int]] = []
         states, items = set(), set()
 
@@ -131,42 +164,66 @@ class Automaton:
         for s, e in self.stretches(codes):
             state = size = 0
             for at, c in enumerate(codes[s:e].tolist(), s):
-                while state and c not in nxt[state]:
+                while True:
+                    low, high = begin[state], begin[state + 1]
+                    place = low if high - low == 1 and symbol[low] == c else bisect_left(symbol, c, low, high)
+                    if place < high and symbol[place] == c:
+                        state = target[place]
+                        size += 1
+                        break
+                    if not state:
+                        size = -1
+                        break
                     state = link[state]
                     size = length[state]
-                if c in nxt[state]:
-                    state = nxt[state][c]
-                    size += 1
-                else:
-                    state = size = 0
+                if size < 0:
+                    size = 0
                     continue
                 if size >= k:
                     states.add(self.window[state])
                     hit(at + 1 - k, at + 1)
-                up = state if self.short[state] and size >= length[state] else self.short_up[state]
+                up = state if state in short and size >= length[state] else self.short_up[state]
                 while up:
-                    items |= self.short[up]
+                    items.update(short[up])
                     hit(at + 1 - length[up], at + 1)
                     up = self.short_up[up]
         for state in states:
-            items |= self.items[state]
-        return [(a, b) for a, b in hits], items
-
-
-def automata(benchmark: DataFrame, min_words: int, id_col: str = "item_id", text_col: str = "text") -> list:
-    """Broadcast automata of at most SHARD_WORDS words each (an item is never cut).  The driver holds one
-    shard at a time."""
-    sc = benchmark.sparkSession.sparkContext
-    sized = benchmark.select(F.col(id_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out, shard, room = [], [], SHARD_WORDS
-    for row in sized.toLocalIterator(prefetchPartitions=True):
-        ws = words_of(row["text"].encode())
-        if len(ws) > room and shard:
-            out.append(sc.broadcast(Automaton(shard, min_words)))
-            shard, room = [], SHARD_WORDS
-        room -= len(ws)
-        shard.append((row["item"] if row["item"] is not None else "null", ws))
-    return [*out, sc.broadcast(Automaton(shard, min_words))]
+            items.update(self.holds[state])
+        return [(a, b) for a, b in hits], {self.names[i] for i in items}
+
+
+#: The automaton that this worker used last, by name of its shard.
+_last: dict = {}
+
+
+def unpacked(name: str, data: bytes) -> Automaton:
+    if name not in _last:
+        _last.clear()
+        automaton = Automaton.__new__(Automaton)
+        vars(automaton).update(pickle.loads(data))
+        _last[name] = automaton
+    return _last[name]
+
+
+def automata(benchmark: DataFrame, min_words: int, id_col: str = "item_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(shard, automaton): packed automata of about ``shard_words`` words each (an item is never cut), built by
+    a task a shard and written to the shared folder."""
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def count(batch):
+        return {"n": [len(words_of(t)) for t in utf8(batch)]}
+
+    total = map_batches(items.select("text"), count, "n long").agg(F.sum("n")).first()[0] or 0
+    shards = -(-total // shard_words)
+
+    def build(table):
+        names, texts = table["item"].to_pylist(), table["text"].cast(pa.binary()).to_pylist()
+        order = sorted(range(len(names)), key=lambda i: (names[i], texts[i]))
+        made = Automaton([(names[i], words_of(texts[i])) for i in order], min_words)
+        return pa.table({"shard": table["shard"].slice(0, 1), "automaton": pa.array([pickle.dumps(vars(made), protocol=5)], pa.binary())})
+
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(max(1, shards))).cast("int"))
+    return written(dealt.where(F.lit(shards > 0)).groupBy("shard").applyInArrow(build, "shard int, automaton binary"))
 
 
 def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -179,22 +236,27 @@ def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def marked(docs: DataFrame, shards: list, text_col: str) -> DataFrame:
-    """``docs`` with ``__hits`` (start, end, start, end, ...) and ``__items``, a pass for each shard.
+def marked(docs: DataFrame, shards: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with two more columns, at the end: hit stretches (start, end, start, end, ...) and items; a
+    pass for each shard.
 
     A worker holds one automaton at a time, so passes after the first start from written rows."""
+    sc = docs.sparkSession.sparkContext
     place = docs.columns.index(text_col)
     width = len(docs.columns)
-    out = docs.withColumn("__hits", F.array().cast("array<int>")).withColumn("__items", F.array().cast("array<string>"))
+    taken = {c.lower() for c in docs.columns}
+    hits_col, items_col = (next(n for n in ("_" * i + base for i in range(2, 99)) if n not in taken) for base in ("hits", "items"))
+    out = docs.withColumn(hits_col, F.array().cast("array<int>")).withColumn(items_col, F.array().cast("array<string>"))
 
-    def passing(shard):
+    def passing(name, shard):
         def run(batches):
+            automaton = unpacked(name, shard.value)
             for whole in batches:
                 for at in range(0, whole.num_rows, SLICE):
                     part = whole.slice(at, SLICE)
                     hits, items = part.column(width).to_pylist(), part.column(width + 1).to_pylist()
                     for i, raw in enumerate(part.column(place).cast(pa.binary()).to_pylist()):
-                        found, names = shard.value.match(words_of(raw or b""))
+                        found, names = automaton.match(words_of(raw or b""))
                         hits[i] = hits[i] + [x for h in found for x in h]
                         items[i] = sorted({*items[i], *names})
                     part = part.set_column(width, part.schema.field(width), pa.array(hits, part.column(width).type))
@@ -202,8 +264,10 @@ def marked(docs: DataFrame, shards: list, text_col: str) -> DataFrame:
 
         return run
 
-    for n, shard in enumerate(shards):
-        out = (written(out) if n else out).mapInArrow(passing(shard), out.schema)
+    numbers = sorted(r["shard"] for r in shards.select("shard").collect())
+    for n, number in enumerate(numbers):
+        data = bytes(shards.where(F.col("shard") == number).first()["automaton"])  # one shard's arrays
+        out = (written(out) if n else out).mapInArrow(passing(uuid.uuid4().hex, sc.broadcast(data)), out.schema)
     return out
 
 
