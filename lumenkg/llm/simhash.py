@@ -52,11 +52,12 @@ def fingerprint(raw: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long), one row per document."""
+    """(doc_id, fp long, th long), one row per document; th is a hash of the text."""
     def run(batch):
-        return {"doc_id": batch.column(0), "fp": [fingerprint(t, shingle) for t in utf8(batch)]}
+        return {"doc_id": batch.column(0), "fp": [fingerprint(t, shingle) for t in utf8(batch)], "th": batch.column(2)}
 
-    return map_batches(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    texts = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+    return map_batches(texts, run, "doc_id long, fp long, th long")
 
 
 class Ring:
@@ -200,22 +201,32 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     return found.where("block < 0").select("u", "v").unionByName(crossed.groupBy("k", "i", "j").applyInPandas(compare, "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint as 16 hex digits, component_id): component_id is the smallest doc_id that
-    links reach, the document's own included."""
+def grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fp, th, component_id) of every row."""
     fps = written(fingerprints(docs, shingle, id_col, text_col))
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(fingerprint_links(nodes, max_bits))
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(ids, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    by_fp = named.join(ids, "root").select("fp", "root", "component_id")
+    return fps.join(by_fp, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fingerprint as 16 hex digits, component_id): component_id is the smallest doc_id that
+    links reach, the document's own included."""
+    return grouped(docs, shingle, max_bits, id_col, text_col).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its near-duplicate group; rows with a null id
-    stay, and of rows that repeat an id one stays."""
-    kept = near_duplicates(docs, shingle, max_bits, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    return (named.join(kept, named[id_col].cast("long") == kept["__kept"], "left_semi").dropDuplicates([id_col])
-            .unionByName(docs.where(F.col(id_col).isNull())))
+    """One row of ``docs`` of each near-duplicate group: that of the smallest id, of its texts that with
+    the smallest hash, of rows equal in both the one whose columns' hash is smallest.  Rows that repeat
+    an id with texts of different groups are judged apart.  Rows with a null id stay."""
+    near = grouped(docs, shingle, max_bits, id_col, text_col).where("doc_id = component_id")
+    kept = near.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.th").alias("th"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.xxhash64(row).alias("h"), row.alias("row"))
+    one = rows.join(kept, ["id", "th"], "left_semi").groupBy("id", "th").agg(F.min_by("row", "h").alias("row"))
+    return one.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
