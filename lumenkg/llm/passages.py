@@ -12,8 +12,9 @@ document with a smaller id.
 3. *Stream.*  Every document with a recurring anchor sends its stretches to the owners' shards, where
    the automaton locates the phrases; windows round them are looked up in the passages.  Documents
    without a recurring anchor cannot hold a repeated window.
+   Equal hashes are confirmed word by word.
 4. *The rest.*  Windows that share a phrase with the owner and yet are not in its passage may repeat
-   among other documents; they are grouped by hash, and the smallest id is compared.
+   among other documents; they are grouped by a 128-bit hash of their words, and the smallest id is compared.
 
 A shard that many documents need is split by document id, so exact copies spread over its parts; its
 passages are sent to each part.  Texts are
@@ -123,7 +124,8 @@ def summaries(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 def text_key(raw: bytes) -> int:
-    x = xxhash.xxh3_64_intdigest(raw)
+    """What Spark's xxhash64 gives for the text."""
+    x = xxhash.xxh64_intdigest(raw, 42)
     return x - (1 << 64) if x >> 63 else x
 
 
@@ -179,7 +181,7 @@ def segments(marked: DataFrame, window: int, phrase: int, shards: int, parts) ->
     return marked.mapInArrow(run, "shard long, part long, owned boolean, key long, th long, start long, words binary, phrases array<int>")
 
 
-FOUND = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("hash", pa.int64())])
+FOUND = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("hash", pa.binary())])
 
 
 def stream_shard(table: pa.Table, window: int, phrase: int) -> pa.Table:
@@ -189,7 +191,8 @@ def stream_shard(table: pa.Table, window: int, phrase: int) -> pa.Table:
     rows = table.select(["key", "th", "start", "words", "phrases"]).to_pylist()
     code: dict[bytes, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    hashes, owners, at, passage = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    owned_words = []
     for i in np.flatnonzero(owned):
         words = rows[i]["words"].split()
         ids = [code.setdefault(w, len(code) + 1) for w in words]
@@ -197,11 +200,14 @@ def stream_shard(table: pa.Table, window: int, phrase: int) -> pa.Table:
             automaton.add_word(tuple(ids[p: p + phrase]))
         hashes.append(run_hashes(word_hashes(words), window))
         owners.append(np.full(len(hashes[-1]), rows[i]["key"]))
-    known, owner = np.concatenate(hashes), np.concatenate(owners)
+        at.append(np.arange(len(hashes[-1])))
+        passage.append(np.full(len(hashes[-1]), len(owned_words)))
+        owned_words.append(words)
+    known, owner, at, passage = (np.concatenate(x) for x in (hashes, owners, at, passage))
     order = np.lexsort((owner, known))
-    known, owner = known[order], owner[order]
+    known, owner, at, passage = known[order], owner[order], at[order], passage[order]
     first = np.concatenate([[True], known[1:] != known[:-1]]) if len(known) else np.zeros(0, bool)
-    known, owner = known[first], owner[first]
+    known, owner, at, passage = known[first], owner[first], at[first], passage[first]
     automaton.make_automaton()
     cols = {f.name: [] for f in FOUND}
 
@@ -223,21 +229,28 @@ def stream_shard(table: pa.Table, window: int, phrase: int) -> pa.Table:
         if len(known):
             place = np.minimum(np.searchsorted(known, mine), len(known) - 1)
             hit = near & (known[place] == mine) & (owner[place] < r["key"])
+            last = (-1, -1)  # equal hashes are confirmed by words: all of a window's, or the last after an equal window
+            for p in np.flatnonzero(hit).tolist():
+                there, q = int(passage[place[p]]), int(at[place[p]])
+                theirs, step = owned_words[there], window - 1 if last == (p - 1, (there, q - 1)) else 0
+                hit[p] = words[p + step: p + window] == theirs[q + step: q + window]
+                last = (p, (there, q)) if hit[p] else (-1, -1)
         for s, e in runs(hit):
             add(r["key"], r["th"], r["start"] + s, r["start"] + e + window - 1, None)
         for p in np.flatnonzero(~hit).tolist():
-            add(r["key"], r["th"], r["start"] + p, r["start"] + p + window, int(mine[p].view(np.int64)))
+            add(r["key"], r["th"], r["start"] + p, r["start"] + p + window, xxhash.xxh3_128_digest(b" ".join(words[p: p + window])))
     return pa.table([pa.array(cols[f.name], f.type) for f in FOUND], schema=FOUND)
 
 
 def repeated_spans(docs: DataFrame, window: int = 50, phrase: int = 16) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(summaries, marked documents, spans): spans (key, th, start, stop) of words to remove; marked
-    (key, text, found) are the documents with recurring anchors."""
+    (key, text, found, th) are the documents with recurring anchors."""
     spark = docs.sparkSession
     base = written(summaries(docs, window, phrase))
-    pairs = base.select("key", F.explode("anchors").alias("anchor"))
+    # a row is told by its id and its text, so rows that repeat an id, or have none, keep lists of their own
+    pairs = base.select("key", "th", F.explode("anchors").alias("anchor"))
     recurring = pairs.groupBy("anchor").agg(F.min("key").alias("owner"), F.max("key").alias("last")).where("owner < last").select("anchor", "owner")
-    by_doc = written(pairs.join(recurring, "anchor").groupBy("key").agg(F.collect_list(F.struct("anchor", "owner")).alias("found")))
+    by_doc = written(pairs.join(recurring, "anchor").groupBy("key", "th").agg(F.collect_set(F.struct("anchor", "owner")).alias("found")))
     own = F.col("f.owner")
     total = by_doc.agg(F.sum(F.size("found"))).first()[0] or 0
     shards = max(1, total // PART_ANCHORS)
@@ -252,10 +265,10 @@ def repeated_spans(docs: DataFrame, window: int = 50, phrase: int = 16) -> tuple
     # One number for each shard that is much too large: fewer than total / PART_ANCHORS.
     large = sizes.where(F.col("n") > 2 * PART_ANCHORS).collect()
     parts = spark.sparkContext.broadcast({r["shard"]: -(-r["n"] // PART_ANCHORS) for r in large})
-    keyed = docs.select(F.coalesce("doc_id", F.lit(MAX_ID)).alias("key"), "text")
-    marked = written(keyed.join(by_doc, "key").select("key", "text", "found"))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(MAX_ID)).alias("key"), F.xxhash64("text").alias("th"), "text")
+    marked = written(keyed.join(by_doc, ["key", "th"]).select("key", "text", "found", "th"))
     found = written(segments(marked, window, phrase, shards, parts).groupBy("shard", "part")
-                    .applyInArrow(lambda t: stream_shard(t, window, phrase), "key long, th long, start long, stop long, hash long"))
+                    .applyInArrow(lambda t: stream_shard(t, window, phrase), "key long, th long, start long, stop long, hash binary"))
     rest = found.where("hash is not null")
     least = rest.groupBy("hash").agg(F.min("key").alias("least"), F.max("key").alias("last")).where("least < last").select("hash", "least")
     late = rest.join(least, "hash").where("key > least")
@@ -279,10 +292,6 @@ def substring_dedup(docs: DataFrame, window: int = 50, phrase: int = 16, id_col:
     cuts = spans.groupBy("key", "th").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
     schema = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("n_removed", pa.int64()), ("new_sha", pa.string()), ("kept", pa.string())])
 
-    def key_texts(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([text_key(t) for t in utf8(batch)], pa.int64()), batch.column(1)], names=["key", "th", "text"])
-
     def apply(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
@@ -298,8 +307,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, phrase: int = 16, id_col:
                     cols["kept"].append(text.decode())
                 yield _batch(cols, schema)
 
-    texts = marked.select("key", "text").mapInArrow(key_texts, "key long, th long, text string")
-    changed = texts.join(cuts, ["key", "th"]).select("key", "th", "text", "cuts").mapInArrow(apply, "key long, th long, n_removed long, new_sha string, kept string")
+    changed = marked.select("key", "th", "text").join(cuts, ["key", "th"]).select("key", "th", "text", "cuts").mapInArrow(apply, "key long, th long, n_removed long, new_sha string, kept string")
     changed = changed.dropDuplicates(["key", "th"])  # equal rows have equal results
     return base.join(changed, ["key", "th"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("new_sha", "sha").alias("kept_sha256"), "kept")
