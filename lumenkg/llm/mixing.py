@@ -12,8 +12,10 @@ with the schedule, of exactly ``period`` rows.  Numbers come from counts of (sou
 rank within the bucket, so a hot source is spread over all buckets.  No row is dropped; when a source
 runs out its slots stay free, and the others' order stands.
 
-A null source is the source "".  Null ids are numbered like others; repeated rows get places of their
-own; an empty table gives an empty result; columns of any name are carried on.
+A null source is the source "".  Null ids are numbered like others, by a hash of the row; repeated rows
+get places of their own; an empty table gives an empty result; columns of any name are carried on, but
+columns that are named like a result column are replaced by it.  The period doubles until it is twice the
+number of sources, so any number of sources fits.
 """
 from __future__ import annotations
 
@@ -26,10 +28,10 @@ BUCKET_DIGITS = 3
 
 def shares(weights: DataFrame, period: int = 1000) -> DataFrame:
     """(source, share): whole weights as shares of at least 1 that sum to ``period`` (largest remainder,
-    ties by name).  At most ``period`` sources; more raise an error."""
+    ties by name).  There must not be more sources than slots, see :func:`fitting_period`."""
     whole = Window.partitionBy()
     w = (weights.withColumn("n", F.count("*").over(whole)).withColumn("total", F.sum("weight").over(whole))
-         .withColumn("room", F.when(F.col("n") > period, F.raise_error(F.lit(f"more than {period} sources: raise the period"))).otherwise(period - F.col("n")))
+         .withColumn("room", period - F.col("n"))
          .withColumn("base", F.expr("room * weight div total")).withColumn("rest", F.expr("(room * weight) % total")))
     left = F.first("room").over(whole) - F.sum("base").over(whole)
     w = w.withColumn("left", left).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("rest"), "source")))
@@ -54,17 +56,28 @@ def schedule(share: DataFrame, period: int = 1000) -> DataFrame:
     return steps.selectExpr("s", "inline(o)").selectExpr("s[i].source AS source", "s[i].share AS share", "turn", "at")
 
 
+def fitting_period(weights: DataFrame, period: int) -> int:
+    """``period``, doubled until it is at least twice the number of sources where they are more than its slots."""
+    n = weights.count()
+    if n <= period:
+        return period
+    while period < 2 * n:
+        period *= 2
+    return period
+
+
 def numbered(docs: DataFrame, source: str, id_col: str) -> DataFrame:
-    """``docs`` with ``__src`` and ``__n``, the number (from 0) within the source by MD5 of the id, then id."""
-    keyed = (docs.withColumn("__src", F.coalesce(F.col(source).cast("string"), F.lit("")))
-             .withColumn("__md5", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")))
-             .withColumn("__bucket", F.substring("__md5", 1, BUCKET_DIGITS)))
-    counts = keyed.groupBy("__src", "__bucket").agg(F.count("*").alias("__c"))
-    before = F.sum("__c").over(Window.partitionBy("__src").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("__src", "__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
-    rank = F.row_number().over(Window.partitionBy("__src", "__bucket").orderBy("__md5", id_col)) - 1
-    return (keyed.withColumn("__rank", rank).join(offsets, ["__src", "__bucket"])
-            .withColumn("__n", F.col("__rank") + F.col("__before")).drop("__md5", "__bucket", "__rank", "__before"))
+    """(row, src, n): the whole row and its number (from 0) within the source by MD5 of the id, then id; the
+    row is packed, so columns of any name are carried."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    own = F.coalesce(F.col(id_col).cast("string"), F.xxhash64(row).cast("string"))  # null ids spread over all buckets
+    keyed = docs.select(row.alias("row"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"),
+                        F.md5(own.cast("binary")).alias("md5"), F.col(id_col).alias("id")).withColumn("bucket", F.substring("md5", 1, BUCKET_DIGITS))
+    counts = keyed.groupBy("src", "bucket").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("src", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("src", "bucket").orderBy("md5", "id")) - 1
+    return keyed.withColumn("rank", rank).join(offsets, ["src", "bucket"]).select("row", "src", (F.col("rank") + F.col("before")).alias("n"))
 
 
 def root_weights(docs: DataFrame, source: str = "source") -> DataFrame:
@@ -79,18 +92,20 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
     mix), mix_place (place in the block), mix_release and mix_due.  Order by mix_slot, mix_place to read
     the mix.  ``weights`` (source, weight; whole, not negative) must be unique by source; a source
     without one gets the least share."""
+    docs = docs.drop("mix_block", "mix_slot", "mix_place", "mix_release", "mix_due")
     own = root_weights(docs, source)
     if weights is not None:
         given = weights.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.col("weight").cast("long").alias("given"))
         own = own.join(given, "source", "left").select("source", F.coalesce("given", F.lit(0)).cast("long").alias("weight"))
+    period = fitting_period(own, period)
     plan = schedule(shares(own, period), period)
-    each = plan.select(F.col("source").alias("__src"), F.col("share").alias("__share")).distinct()
-    turns = plan.select(F.col("source").alias("__src"), F.col("turn").alias("__turn"), F.col("at").alias("__at"))
-    out = (numbered(docs, source, id_col).join(F.broadcast(each), "__src")  # both have at most ``period`` rows
-           .withColumn("mix_block", F.expr(f"__n div {block_docs}")).withColumn("mix_place", (F.col("__n") % block_docs).cast("int"))
-           .withColumn("__turn", F.col("mix_block") % F.col("__share"))
-           .join(F.broadcast(turns), ["__src", "__turn"])
-           .withColumn("mix_slot", F.expr(f"(mix_block div __share) * {period} + __at"))
-           .withColumn("mix_release", F.expr(f"mix_block * {period} div __share"))
-           .withColumn("mix_due", F.expr(f"((mix_block + 1) * {period} + __share - 1) div __share")))
-    return out.select(*docs.columns, "mix_block", "mix_place", "mix_slot", "mix_release", "mix_due")
+    each = plan.select(F.col("source").alias("src"), "share").distinct()
+    turns = plan.select(F.col("source").alias("src"), "turn", "at")
+    out = (numbered(docs, source, id_col).join(F.broadcast(each), "src")  # both have at most ``period`` rows
+           .withColumn("mix_block", F.expr(f"n div {block_docs}")).withColumn("mix_place", (F.col("n") % block_docs).cast("int"))
+           .withColumn("turn", F.col("mix_block") % F.col("share"))
+           .join(F.broadcast(turns), ["src", "turn"])
+           .withColumn("mix_slot", F.expr(f"(mix_block div share) * {period} + at"))
+           .withColumn("mix_release", F.expr(f"mix_block * {period} div share"))
+           .withColumn("mix_due", F.expr(f"((mix_block + 1) * {period} + share - 1) div share")))
+    return out.select("row.*", "mix_block", "mix_place", "mix_slot", "mix_release", "mix_due")
