@@ -10,7 +10,8 @@ boilerplate lines; they are joined to the pages' line hashes, and only pages tha
 gathered by page.
 
 A null text or host: a null text has no lines and stays null, null hosts are one host.  Rows with the
-same page id count as pages of their own and lose the same lines.  An empty table gives an empty result.
+same page id count as pages of their own and lose the same lines.  An empty table gives an empty result;
+columns of any name are carried.
 """
 from __future__ import annotations
 
@@ -45,16 +46,17 @@ def boilerplate(pages: DataFrame, host, text_col: str = "text", max_ratio: float
 
 def drop_boilerplate(pages: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
                      max_ratio: float = 0.02, min_pages: int = 5) -> DataFrame:
-    """``pages`` (all its columns) with ``__dropped``, an array of the line hashes its text loses;
-    :func:`kept_text` applies it."""
+    """(row, dropped): each page's whole row, packed so that columns of any name are carried, and the hashes
+    of the lines that its text loses (null: none); :func:`kept_text` applies them."""
     host = F.coalesce(F.col(host_col).cast("string"), F.lit("\x00null"))
     lines = boilerplate(pages, host, text_col, max_ratio, min_pages)
-    held = pages.select(F.struct(F.col(id_col)).alias("__page"), host.alias("__h"), F.explode(_marks(F.col(text_col))).alias("__line"))
-    found = (held.join(lines, (F.col("__h") == F.col("bh")) & (F.col("__line") == F.col("bline")))
-             .groupBy("__page", "__h").agg(F.collect_set("__line").alias("__dropped")).withColumnRenamed("__h", "__host"))
-    keyed = pages.withColumn("__key", F.struct(F.col(id_col))).withColumn("__h", host)
-    return (keyed.join(found, (F.col("__key") == F.col("__page")) & (F.col("__h") == F.col("__host")), "left")
-            .drop("__key", "__h", "__page", "__host"))
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns])
+    page = F.struct(F.col(id_col))
+    held = pages.select(page.alias("page"), host.alias("h"), F.explode(_marks(F.col(text_col))).alias("line"))
+    found = (held.join(lines, (F.col("h") == F.col("bh")) & (F.col("line") == F.col("bline")))
+             .groupBy(F.col("page").alias("fpage"), F.col("h").alias("fh")).agg(F.collect_set("line").alias("dropped")))
+    keyed = pages.select(row.alias("row"), page.alias("page"), host.alias("h"))
+    return keyed.join(found, (F.col("page") == F.col("fpage")) & (F.col("h") == F.col("fh")), "left").select("row", "dropped")
 
 
 def kept_lines(text, dropped):
@@ -70,16 +72,16 @@ def line_dedup(pages: DataFrame, id_col: str = "doc_id", host_col: str = "source
                max_ratio: float = 0.02, min_pages: int = 5) -> DataFrame:
     """One row per page: doc_id, lines, dropped lines and the hash of the text that stays."""
     marked = drop_boilerplate(pages.select(id_col, host_col, text_col), id_col, host_col, text_col, max_ratio, min_pages)
-    text = F.col(text_col)
+    text, dropped = F.col("row")[text_col], F.col("dropped")
     n_lines = F.coalesce(F.size(_lines(text)), F.lit(0))
     n_lines = F.when(text.isNull(), 0).otherwise(n_lines)
-    n_kept = F.when(F.col("__dropped").isNull() | text.isNull(), n_lines).otherwise(F.size(kept_lines(text, F.col("__dropped"))))
-    return marked.select(F.col(id_col).cast("long").alias("doc_id"), n_lines.cast("long").alias("n_lines"), (n_lines - n_kept).cast("long").alias("n_dropped"),
-                         F.sha2(F.encode(F.coalesce(kept_text(text, F.col("__dropped")), F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+    n_kept = F.when(dropped.isNull() | text.isNull(), n_lines).otherwise(F.size(kept_lines(text, dropped)))
+    return marked.select(F.col("row")[id_col].cast("long").alias("doc_id"), n_lines.cast("long").alias("n_lines"), (n_lines - n_kept).cast("long").alias("n_dropped"),
+                         F.sha2(F.encode(F.coalesce(kept_text(text, dropped), F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 
 def remove_boilerplate(pages: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
                        max_ratio: float = 0.02, min_pages: int = 5) -> DataFrame:
     """``pages`` with the same columns, its texts without boilerplate lines."""
     marked = drop_boilerplate(pages, id_col, host_col, text_col, max_ratio, min_pages)
-    return marked.withColumn(text_col, kept_text(F.col(text_col), F.col("__dropped"))).select(*pages.columns)
+    return marked.select(*[(kept_text(F.col("row")[c], F.col("dropped")) if c == text_col else F.col("row")[c]).alias(c) for c in pages.columns])

@@ -273,8 +273,8 @@ def test_schedule_deviates_by_less_than_a_block(spark):
 
 def test_mixing_limits(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
-    with pytest.raises(Exception, match="raise the period"):
-        mixing.mix(frame(spark, [(i, "t") for i in range(30)], source=str), period=20).collect()
+    got = mixing.mix(frame(spark, [(i, "t") for i in range(30)], source=str), period=20).collect()  # more sources than slots
+    assert len({r.mix_slot for r in got}) == 30 and all(r.mix_release <= r.mix_slot < r.mix_due for r in got)
 
 
 # line dedup ----------------------------------------------------------------------------------------
@@ -308,3 +308,75 @@ def test_line_dedup_is_brute_force(spark):
     out = lines.remove_boilerplate(docs, max_ratio=.1, min_pages=5)
     assert out.columns == docs.columns and out.count() == len(rows)
     assert lines.line_dedup(docs.limit(0)).count() == 0
+
+
+# repeated ids, clashing names, many sources -------------------------------------------------------
+
+def test_keep_one_loses_no_text_of_a_repeated_id(spark):
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve", "alpha beta gamma delta epsilon zeta"]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[0]), (3, texts[2]), (3, texts[2]), (None, texts[0]), (4, None), (5, ""), (5, None)]
+    docs = spark.createDataFrame([(i, t, f"s{n}") for n, (i, t) in enumerate(rows)], "doc_id long, text string, h string")
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (3, texts[2]), (4, None), (None, texts[0])], key=str)
+    again = simhash.keep_one(docs.orderBy(F.desc("h")).repartition(5))
+    assert sorted(map(str, again.collect())) == sorted(map(str, simhash.keep_one(docs).collect()))
+
+
+def test_null_ids_do_not_multiply_anchors(spark):
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(10_000)}"
+    shared = [word() for _ in range(120)]
+    rows = [(None, " ".join([word() for _ in range(30)] + shared + [word() for _ in range(30)])) for _ in range(20)]
+    rows += [(7, rows[0][1]), (7, rows[1][1]), (7, rows[1][1]), (8, " ".join(shared))]
+    docs = common.id_text(frame(spark, rows))
+    base, marked, _ = passages.repeated_spans(docs, 50, 16)
+    own = {r.th: r.n for r in base.select("th", F.size("anchors").alias("n")).collect()}
+    for row in marked.select(F.xxhash64("text").alias("th"), F.size("found").alias("n")).collect():
+        assert row.n <= own[row.th]
+
+
+def test_operators_carry_columns_of_any_name(spark):
+    names = ["__hits", "__items", "__key", "__h", "__page", "__dropped", "__src", "__n", "row", "h", "page", "bucket", "rank", "md5", "src", "share", "n", "th", "id"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(i, f"menu\nwords number {i} of a text that is only here {i * 7919}", "s", *names) for i in range(12)]
+    docs = spark.createDataFrame(rows, schema)
+    items = spark.createDataFrame([(1, "words number 3 of a text that is only here 23757")], "item_id long, text string")
+    for out, n in ((decontam.remove_benchmark(docs, items, max_coverage=0.99), 12), (lines.remove_boilerplate(docs), 12), (simhash.keep_one(docs), None), (mixing.mix(docs), 12)):
+        assert out.columns[: len(docs.columns)] == docs.columns
+        got = out.collect()
+        assert n is None or len(got) == n
+        assert all(r[name] == name for r in got for name in names)
+    mixed = common.written(mixing.mix(mixing.mix(docs)))  # result columns are replaced, so it can be written
+    assert mixed.columns == mixing.mix(docs).columns and mixed.count() == 12
+
+
+def test_more_sources_than_slots(spark):
+    docs = spark.range(1, 260).selectExpr("id AS doc_id", "concat('s', id % 130) AS source")
+    got = mixing.mix(docs, period=100, block_docs=1).collect()
+    assert len(got) == 259 and len({r.mix_slot for r in got}) == 259
+    assert all(r.mix_release <= r.mix_slot < r.mix_due for r in got)
+
+
+def test_null_ids_are_spread_over_buckets(spark):
+    docs = spark.range(4000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'s' AS source", "concat('t', id) AS text")
+    n = sorted(r.n for r in mixing.numbered(docs, "source", "doc_id").select("n").collect())
+    assert n == list(range(4000))
+
+
+def test_benchmark_shards_are_built_by_tasks_and_stay_small(spark):
+    r = random.Random(1)
+    vocab = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(r.choice(vocab) for _ in range(r.choice([0, 4, 30, 200])))) for i in range(300)] + [(None, "a b c"), (5, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    packed = decontam.automata(bench, 10, shard_words=4000)
+    made = [decontam.unpacked(str(row.shard), bytes(row.automaton)) for row in packed.collect()]
+    words = sum(len((t or "").split()) for _, t in items)
+    assert len(made) >= words // 4000
+    assert sum(a.size() for a in made) < 80 * words
+    docs = [(i, " ".join((t or "").split()[:25] + ["gap"] + (u or "").split()[-12:])) for i, ((_, t), (_, u)) in enumerate(zip(items, items[1:]))]
+    df = frame(spark, docs)
+    one = {x.doc_id: tuple(x) for x in decontam.contamination(df, bench).collect()}
+    whole = decontam.marked(common.id_text(df), packed, "text")
+    for row in whole.collect():
+        n = sum(e - s for s, e in decontam.spans(row["__hits"]))
+        assert (row.doc_id, n, len(row["__items"])) == (one[row.doc_id][0], one[row.doc_id][2], one[row.doc_id][3])
