@@ -232,3 +232,52 @@ def test_replies_are_grouped_without_a_second_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def test_a_csv_with_quoted_line_breaks_is_read_in_byte_ranges(spark, tmp_path):
+    import csv
+    import random
+    from lumenkg.sources.publications import read_publications
+    rnd = random.Random(4)
+    rows = []
+    for i in range(400):
+        title = "".join(rnd.choice(["word", " ", ",", '"', "\n", "\r\n", "é", "x", "a longer part"]) for _ in range(rnd.randint(0, 12))) + (f"t{i}" if i % 9 else "")
+        rows.append((title, rnd.choice([f"http://x/{i}", " ", "", "NA", f"https://a/articles/PMC{i}/"]), str(i)))
+    rows[200] = ("long " * 300 + "\n" * 200 + "end", "http://x/long", "200")  # a record over many ranges
+    for name, part in (("a.csv", rows[:250]), ("b.csv", rows[250:])):
+        with open(tmp_path / name, "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f, lineterminator="\n" if name == "a.csv" else "\r\n")
+            w.writerow(["Title", "Link", "No"])
+            w.writerows(part)
+
+    def read(size, multi):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = read_publications(spark, str(tmp_path), multi)
+            return sorted(tuple(r) for r in df.select("pos", "title", "url", "pmcid").collect()), df
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+    from lumenkg.sources.publications import from_rows
+    import io
+    want = []
+    for n, name in enumerate(("a.csv", "b.csv")):
+        text = open(tmp_path / name, newline="", encoding="utf-8").read()
+        body = list(csv.reader(io.StringIO(text, newline="")))[1:]
+        want += [(250 * n + i, t, l) for i, (t, l, _) in enumerate(body)]
+    plain = spark.createDataFrame(want, "pos long, Title string, Link string")
+    # line ends inside quotes are read as \n
+    plain = plain.withColumn("Title", F.regexp_replace("Title", "\r\n", "\n"))
+    expected = sorted(tuple(r) for r in from_rows(plain, "Title", "Link").select("pos", "title", "url", "pmcid").collect())
+    for size in (150, 1000, 1 << 20):
+        got, df = read(size, True)
+        assert [(p, t.replace("\r\n", "\n"), u, c) for p, t, u, c in got] == expected, size
+    import os
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        from lumenkg.sources.publications import _split_lines
+        assert _split_lines(spark, str(tmp_path)).rdd.getNumPartitions() >= os.path.getsize(tmp_path / "a.csv") // 1000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
