@@ -649,4 +649,4 @@ def q_doc_time_periods(spark, sf):
     return d.select("doc_id", _join(time_periods("text")).alias("time_periods"))
 
 
-from . import records  # noqa: E402,F401  registers the queries over identifiers, mentions and whole records
+from . import outputs, records  # noqa: E402,F401  register the queries over identifiers, whole records and outputs

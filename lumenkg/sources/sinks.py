@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..operators.articles import ARTICLE_FIELDS
 from ..operators.graph import standardize, to_json_ld, to_triples
+from ..session import materialise
 
 LARGE_COLUMNS = ("full_text",)
 
@@ -53,8 +54,13 @@ def ntriples(triples: DataFrame) -> DataFrame:
 def write_outputs(df: DataFrame, path: str, formats=("json",), include_full_text: bool = True,
                   include_embeddings: bool = False, mode: str = "overwrite", timestamp_suffix: str | None = None) -> None:
     """Json / json-ld / rdf (N-Triples) / csv under ``path/<format>``, or
-    ``path/<format>_<timestamp_suffix>``.  Without full texts the column is null."""
-    data = df
+    ``path/<format>_<timestamp_suffix>``.  Without full texts the column is null.
+    With several formats the articles are written once to the shared folder first, so that the plan before
+    runs once; each format is a job of its own, whose failed tasks leave nothing."""
+    unknown = set(formats) - {"json", "json-ld", "rdf", "csv"}
+    if unknown:
+        raise ValueError(f"unknown output format {sorted(unknown)[0]!r}")
+    data = materialise(df) if len(formats) > 1 else df
     if not include_full_text:
         data = data.withColumns({c: F.lit(None).cast(data.schema[c].dataType) for c in LARGE_COLUMNS if c in data.columns})
     if not include_embeddings and "embeddings" in data.columns:
@@ -70,6 +76,5 @@ def write_outputs(df: DataFrame, path: str, formats=("json",), include_full_text
         elif fmt == "csv":
             flat = data.select(*[F.to_json(F.col(c)).alias(c) if dict(data.dtypes)[c].startswith(("array", "struct"))
                                  else F.col(c) for c in data.columns])
-            flat.write.mode(mode).option("header", True).csv(out)
-        else:
-            raise ValueError(f"unknown output format {fmt!r}")
+            # quotes are doubled, as most readers of CSV expect
+            flat.write.mode(mode).option("header", True).option("escape", '"').csv(out)

@@ -119,3 +119,58 @@ def test_a_batch_reads_only_the_buckets_it_hits(spark):
     assert len(own) <= 2 and "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:200]
     assert len({f.split("bucket=")[1].split("/")[0] for f in every}) > 40 and len(files) <= len(every)
     assert {r.bucket for r in index.read("keys", 1, own).select("bucket").distinct().collect()} <= set(own)
+
+
+def test_the_triple_store_equals_the_merged_graph(spark):
+    import random
+    from lumenkg.functions import vocab
+    from lumenkg.operators.graph import merge_triples
+    from lumenkg.operators.triple_store import TripleStore
+    rnd = random.Random(2)
+    schema = "s string, p string, o string, o_kind string"
+
+    def some(n):
+        return [(f"s{rnd.randrange(15)}", rnd.choice(["link", "name", vocab.RDF_TYPE]), rnd.choice([None, *(f"s{i}" for i in range(12))]), rnd.choice(["uri", "literal"])) for _ in range(n)]
+
+    batches = [some(60), some(60), some(10)]
+    root = tempfile.mkdtemp(prefix="lumenkg-test-")
+    store = TripleStore(spark, root, buckets=8)
+    assert store.triples().count() == 0 and store.degrees().count() == 0
+    for n, rows in enumerate(batches):
+        for _ in range(2):  # a repeated batch replaces itself
+            store.add(spark.createDataFrame(rows, schema), n)
+    merged = merge_triples(spark.createDataFrame(sum(batches, []), schema))
+    assert sorted(map(str, store.triples().collect())) == sorted(map(str, merged.collect()))
+    want = {}
+    for s, p, o, kind in {tuple(r) for r in merged.collect()}:
+        if kind == "uri" and p != vocab.RDF_TYPE:
+            want.setdefault(o, [0, 0])[0] += 1
+            want.setdefault(s, [0, 0])[1] += 1
+    assert {r.uri: [r.in_degree, r.out_degree] for r in store.degrees().collect()} == want
+
+    def files():
+        return sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
+
+    before = [f for f in files() if "batch_id=0" in f or "batch_id=1" in f or "batch_id=2" in f]
+    store.add(spark.createDataFrame(sum(batches, []), schema), 3)  # all known: nothing is added, nothing rewritten
+    assert set(before) <= set(files()) and store.triples().count() == merged.count()
+    assert spark.read.parquet(os.path.join(root, "triples", "batch_id=0")).count() < merged.count()
+
+
+def test_several_formats_run_the_plan_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        runs.add(1)
+        return x
+
+    arts = article_cascade(spark.createDataFrame([(i, f"A long enough title {i}", f"http://a/{i}", f"PMC{i}", "text, \"quoted\"\n" * 30) for i in range(7)], SCHEMA))
+    root = tempfile.mkdtemp(prefix="lumenkg-test-")
+    write_outputs(arts.withColumn("title", counted.asNondeterministic()("title")), root, formats=("json", "json-ld", "rdf", "csv"))
+    assert runs.value == 7
+    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(os.path.join(root, "csv"))
+    assert sorted(r.title for r in back.collect()) == [f"A long enough title {i}" for i in range(7)]
+    import pytest
+    with pytest.raises(ValueError):
+        write_outputs(arts, root, formats=("json", "xml"))
