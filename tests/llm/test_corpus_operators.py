@@ -243,6 +243,31 @@ def test_topk_is_brute_force(spark, monkeypatch, seed, shard):
     assert topk.top_k(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard", [8192, 200])
+def test_topk_prunes_clustered_vectors(spark, monkeypatch, shard):
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] * 3 + rng.normal(size=16) * .05).tolist()) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    result, work = topk.search(df, F.col("id") % 20 == 0, k=20)
+    got = result.collect()
+    whole = np.floor(64 * np.array([v for _, v in rows]))
+    for q in range(0, 4000, 400):
+        score = whole @ whole[q]
+        want = sorted((-int(s), i) for i, s in enumerate(score) if i != q)[:20]
+        assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == want
+    assert work.first().scored < 0.3 * 4000 * 200
+
+
+def test_topk_of_numbers_beyond_doubles(spark):
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randrange(-2 ** 24, 2 ** 24)) for _ in range(3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("id") % 20 == 0, k=5, scale=64).collect())
+    assert got == brute_topk(rows, 5)
+
+
 # mixing --------------------------------------------------------------------------------------------
 
 def test_mixing_keeps_every_block_in_its_window(spark):
