@@ -50,7 +50,7 @@ def op9_simhash(spark, sf_dir):
 
 
 def op10_line_dedup(spark, sf_dir):
-    return lines.line_dedup(read_table(spark, sf_dir, "documents"), max_ratio=0.1, min_pages=5)
+    return lines.line_dedup(read_table(spark, sf_dir, "documents"), max_ratio=0.02, min_pages=5)
 
 
 def op11_collocations(spark, sf_dir):
@@ -139,7 +139,7 @@ OP10_SQL = """
 WITH l AS (SELECT doc_id, coalesce(source, chr(0) || 'null') AS host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
 m AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS mark FROM l),
 p AS (SELECT coalesce(source, chr(0) || 'null') AS host, count(*) AS pages FROM documents GROUP BY 1),
-bp AS (SELECT host, mark FROM (SELECT host, mark, count(DISTINCT doc_id) AS n FROM m WHERE mark <> '' GROUP BY 1, 2) JOIN p USING (host) WHERE n >= 5 AND n > 0.1 * pages),
+bp AS (SELECT host, mark FROM (SELECT host, mark, count(DISTINCT doc_id) AS n FROM m WHERE mark <> '' GROUP BY 1, 2) JOIN p USING (host) WHERE n >= 5 AND n > 0.02 * pages),
 k AS (SELECT m.doc_id, count(*) AS n_lines, count(bp.mark) AS n_dropped, coalesce(string_agg(CASE WHEN bp.mark IS NULL THEN line END, chr(10) ORDER BY i), '') AS kept
       FROM m LEFT JOIN bp ON m.host = bp.host AND m.mark = bp.mark GROUP BY 1)
 SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256

@@ -55,7 +55,7 @@ def test_pipeline_is_its_stages_in_plain_python(spark):
         pages[h] = pages.get(h, 0) + 1
         for x in {x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")} - {""}:
             held[h, x] = held.get((h, x), 0) + 1
-    drop = {k for k, n in held.items() if n >= 5 and n > .1 * pages[k[0]]}
+    drop = {k for k, n in held.items() if n >= 5 and n > .02 * pages[k[0]]}
     cut = lambda t, h: None if t is None else "\n".join(x for x in t.split("\n") if (h, x.strip(" \t\r\x0b\x0c")) not in drop)
     docs = [(i, cut(t, h), h) for i, t, _, h, _ in docs]
     assert any("shared header line" in (x or "") for _, x, *_ in rows) and not any("shared header line" in (x or "") for _, x, _ in docs)
