@@ -60,11 +60,14 @@ PATTERNS = (
     r"[?!]{2,}",
     r"\b(?:you are|you're|ur) (?:a|an|such|so)\b|\bdu bist (?:ein|so)\b|\btu es (?:un|une|si)\b|\beres (?:un|una|tan)\b",
     r"[^\W\d_][*#@$]+[^\W\d_]",
-    r"([^\W\d_])\1\1",
     r"\bshut up\b|\bhalt die klappe\b|\bta gueule\b|\bcállate\b",
 )
 FOUND = tuple(re.compile(p, re.I) for p in PATTERNS)
-SHOUT = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{4,}\b")
+#: A pattern is looked for only in texts that hold one of these, in small letters.
+HINTS = (("!",), ("!!", "!?", "?!", "??"), ("you are ", "you're ", "ur ", "du bist ein", "du bist so", "tu es ", "eres "), ("*", "#", "@", "$"),
+         ("shut up", "klappe", "gueule", "cállate"))
+DRAWN = re.compile(r"([^\W\d_])\1\1")
+CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{4,}")
 
 
 def held_out(id_col: str, folds: int) -> Column:
@@ -80,32 +83,41 @@ def stretches(text: str):
         at = end
 
 
-def words_of(text: str) -> set[str]:
+def tokens_of(text: str) -> set[str]:
+    """What blanks part, in small letters; each holds no, one or more words."""
     out: set[str] = set()
     for part in stretches(text):
-        out.update(WORD.findall(part.lower()))
+        out.update(part.lower().split())
     return out
 
 
-def features_of(word: str) -> list[str]:
-    return ["w:" + word, *[f"{k}:{word[:k]}" for k in BEGINNINGS if len(word) >= k]]
+def features_of(token: str) -> list[str]:
+    """Each word of a token, and its beginnings."""
+    return [f for w in WORD.findall(token) for f in ("w:" + w, *[f"{k}:{w[:k]}" for k in BEGINNINGS if len(w) >= k])]
 
 
 class Lookup:
-    """Numbers of the features that a word has among ``names``; words met before are remembered."""
+    """Numbers of the features that a token has among ``names``; tokens met before are remembered.
 
-    def __init__(self, names: list[str]):
+    ``extra(token)`` may add further numbers."""
+
+    def __init__(self, names: list[str], extra=None):
         self.number = {n: i for i, n in enumerate(names)}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.extra = extra
 
     def __call__(self, text: str) -> set[int]:
         found: set[int] = set()
-        for w in words_of(text):
-            got = self.known.get(w)
+        known = self.known
+        for w in tokens_of(text):
+            got = known.get(w)
             if got is None:
-                if len(self.known) > 200_000:
-                    self.known.clear()
-                got = self.known[w] = tuple(self.number[f] for f in features_of(w) if f in self.number)
+                if len(known) > 200_000:
+                    known.clear()
+                got = {self.number[f] for f in features_of(w) if f in self.number}
+                if self.extra:
+                    got.update(self.extra(w))
+                got = known[w] = tuple(got)
             if got:
                 found.update(got)
         return found
@@ -129,26 +141,27 @@ class Voters:
             kind, letters = name.split(":", 1)
             entries.append(name)
             voter.append(len(INSULTS) + KINDS.index(kind) * LISTS + sum(map(ord, letters[:3])) % LISTS)
-        return Voters(entries, voter, len(INSULTS) + len(KINDS) * LISTS + len(PATTERNS) + 1)
+        return Voters(entries, voter, len(INSULTS) + len(KINDS) * LISTS + len(PATTERNS) + 2)
 
     def caster(self):
-        """text -> votes as bits."""
+        """text -> votes as bits.  The last voters are the patterns, drawn-out letters and capitals."""
         lookups = {}
         for name, v in zip(self.entries, self.voter):
-            lookups.setdefault(name, 0)
-            lookups[name] |= 1 << v
-        lookup, bits = Lookup(list(lookups)), list(lookups.values())
-        first = self.count - len(FOUND) - 1
+            lookups[name] = lookups.get(name, 0) | 1 << v
+        bits = [*lookups.values(), 1 << (self.count - 2)]
+        lookup = Lookup(list(lookups), lambda token: (len(lookups),) if DRAWN.search(token) else ())
+        first = self.count - len(FOUND) - 2
 
         def cast(text: str) -> int:
             votes = 0
             for i in lookup(text):
                 votes |= bits[i]
             for part in stretches(text):
-                for j, p in enumerate(FOUND):
-                    if not votes >> (first + j) & 1 and p.search(part):
+                lower = part.lower()
+                for j, (hints, pattern) in enumerate(zip(HINTS, FOUND)):
+                    if not votes >> (first + j) & 1 and any(h in lower for h in hints) and pattern.search(part):
                         votes |= 1 << (first + j)
-                if not votes >> (self.count - 1) & 1 and len(SHOUT.findall(part)) * 10 > part.count(" ") + 1:
+                if lower != part and len(CAPITALS.findall(part)) * 10 > part.count(" ") + 1:
                     votes |= 1 << (self.count - 1)
             return votes
 
@@ -253,7 +266,7 @@ def fit_label_model(patterns: DataFrame, m: int, known: int, rounds: int, correl
     """``known``: labelled documents that start the estimate; without them voters of insults do."""
     start = np.full((m, 2, 2), 0.02)
     start[:, 1] = 0.05
-    start[: m - len(PATTERNS) - 1, 1] = 0.4  # lexicons
+    start[: m - len(PATTERNS) - 2, 1] = 0.4  # lexicons
     model = LabelModel(0.1, np.full(m, -1), start)
     if known:
         model = estimate(pair_counts(patterns.where("label >= 0"), model, m), float("inf"))
@@ -275,7 +288,7 @@ def counted_features(rows: DataFrame) -> DataFrame:
 
         for b in batches:
             for text, q in zip(b.column(0), b.column(1).to_pylist()):
-                for f in {f for w in words_of(text.as_py()) for f in features_of(w)}:
+                for f in {f for w in tokens_of(text.as_py()) for f in features_of(w)}:
                     c = count.setdefault(f, [0.0, 0.0])
                     c[0] += 1
                     c[1] += q
@@ -331,9 +344,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, size: int =
     patterns = written(map_batches(told, votes, "votes long, label int").groupBy("votes", "label").agg(F.count("*").alias("n")))
     model = fit_label_model(patterns, voters.count, patterns.where("label = 1").count(), rounds, correlated)
 
-    # posterior labels of a sample of all documents and of the labelled ones, whose label is known
+    # posterior labels of a sample of all documents; where a document is labelled, its label is known
     part = sampled(own.select("doc_id").where("doc_id IS NOT NULL").distinct(), sample).join(drawn, "doc_id", "left")
-    part = part.unionByName(drawn).groupBy("doc_id").agg(F.max("label").alias("label"))
     known_model = docs.sparkSession.sparkContext.broadcast(model)
 
     def judged(batch):
