@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -53,11 +54,31 @@ def sha(data: str | bytes) -> str:
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 
 
+class Spans:
+    """Which stretches of a text are taken, for many questions about one text: spans are merged once."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for s, e in sorted(spans):
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def touch(self, s: int, e: int) -> bool:
+        """Whether a span shares a character with [s, e)."""
+        at = bisect_left(self.starts, e) - 1
+        return at >= 0 and self.ends[at] > s
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a private one only where it is unset (tests on one machine)."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         named = tempfile.mkdtemp(prefix="lumenkg-checkpoint-")
         sc.setCheckpointDir(named)
     elif not sc.getCheckpointDir():

@@ -17,7 +17,7 @@ from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 
-from .common import id_text, map_batches, sha
+from .common import Spans, id_text, map_batches, sha
 
 KINDS = ("email", "ip", "card", "phone")
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
@@ -223,26 +223,33 @@ def readings(text: str):
 def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans found only in normalised text, on source characters, but for those that a base span of
     their kind covers."""
-    out = set()
+    out, held = set(), [sorted((s, e) for k, s, e in base if k == kind) for kind in range(len(KINDS))]
     for steps, norm in readings(text):
         finds = detect(norm)
         # a telephone number that is spelled out carries no plus
-        taken = [(s, e) for _, s, e in finds]
+        taken = Spans((s, e) for _, s, e in finds)
         finds += [(3, m.start(), m.end()) for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", norm)
-                  if not any(s < m.end() and m.start() < e for s, e in taken)]
+                  if not taken.touch(m.start(), m.end())]
         for kind, s, e in finds:
             rewritten = False
             for step in reversed(steps):
                 s, e, here = step.back(s, e)
                 rewritten |= here
-            if rewritten and not any(covers(b, (kind, s, e)) for b in base):
+            if rewritten and not covered(held[kind], s, e):
                 out.add((kind, s, e))
-    return sorted(x for x in out if not any(covers(y, x) for y in out if y != x))
-
-
-def covers(wide: tuple[int, int, int], span: tuple[int, int, int]) -> bool:
-    """Whether both are of one kind and ``wide`` holds all of ``span``."""
-    return wide[0] == span[0] and wide[1] <= span[1] and span[2] <= wide[2]
+    # of spans of one kind those that another one covers go: by start, the longer first, the farthest end so far decides
+    kept, far = [], [-1] * len(KINDS)
+    for kind, s, e in sorted(out, key=lambda x: (x[0], x[1], -x[2])):
+        if e > far[kind]:
+            kept.append((kind, s, e))
+            far[kind] = e
+    return kept
+
+
+def covered(spans: list[tuple[int, int]], s: int, e: int) -> bool:
+    """Whether one of ``spans`` (sorted, apart) holds all of [s, e)."""
+    at = bisect_right(spans, (s, float("inf"))) - 1
+    return at >= 0 and e <= spans[at][1]
 
 
 def spelled(spans) -> str:

@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, SLICE, id_text, map_batches, sha, utf8, written
+from .common import LOWER, SLICE, Spans, id_text, map_batches, sha, utf8, written
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -74,6 +75,12 @@ def chi2_tail(x: float, df: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+@lru_cache(maxsize=1024)
+def cell_shares(k: int, cells: int) -> list[float]:
+    """The part of an alphabet of ``k`` characters that is folded into each cell."""
+    return [sum(1 for v in range(k) if v * cells // k == c) / k for c in range(cells)]
+
+
 def battery(token: str, encoding: str) -> float:
     """p-value of the token under "drawn evenly from its alphabet": uniformity, runs, serial correlation."""
     place = {c: i for i, c in enumerate(ENCODINGS[encoding])}
@@ -84,7 +91,7 @@ def battery(token: str, encoding: str) -> float:
     counts = [0] * cells
     for v in x:
         counts[v * cells // k] += 1
-    share = [sum(1 for v in range(k) if v * cells // k == c) / k for c in range(cells)]
+    share = cell_shares(k, cells)
     uniform = chi2_tail(sum((o - n * s) ** 2 / (n * s) for o, s in zip(counts, share)), cells - 1)
     up = [2 * v >= k for v in x]
     a = sum(up)
@@ -160,7 +167,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, base, logs: list[list[float]], alpha: float = 1e-4):
     """(start, end, length class, p-value bin, random) of every token with an encoding; ``random``
     holds where the battery does not reject randomness and no base span is touched."""
-    out = []
+    out, taken = [], Spans((s, e) for s, _, e in base)
     for m in TOKEN.finditer(text):
         if encoding := infer_encoding(m[0]):
             n = m.end() - m.start()
@@ -168,8 +175,7 @@ def candidates(text: str, base, logs: list[list[float]], alpha: float = 1e-4):
             even = battery(m[0], encoding)
             p = unlike_prose(m[0], encoding, logs) - math.log10(max(even, 1e-300))
             place = min(BINS - 1, int(-4 * min(0.0, p)))
-            free = not any(s < m.end() and m.start() < e for s, _, e in base)
-            out.append((m.start(), m.end(), length, place, free and even >= alpha))
+            out.append((m.start(), m.end(), length, place, even >= alpha and not taken.touch(m.start(), m.end())))
     return out
 
 

@@ -36,14 +36,15 @@ _built: dict = {}
 
 
 def encoder(ranks: dict[bytes, int], pattern: str):
-    """The encoding and the byte length of each id; built once in a worker."""
-    key = (len(ranks), pattern)
+    """The encoding and the byte length of each id; built once in a worker for a table of ranks, which is
+    held, so that no other one can take its place."""
+    key = (id(ranks), pattern)
     if key not in _built:
         size = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, i in ranks.items():
             size[i] = len(token)
-        _built[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), size
-    return _built[key]
+        _built[key] = ranks, tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), size
+    return _built[key][1:]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

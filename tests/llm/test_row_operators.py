@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from lumenkg.llm import pii, quality, secretscan, tokens
+from lumenkg.llm import common, pii, quality, secretscan, tokens
 
 ROWS = [(1, ""), (2, None), (None, "a@b.co"), (3, "x " * 5000), (3, "x " * 5000), (4, "\n\n\t "), (5, "é " * 3 + "😀 tok\nen")]
 
@@ -181,6 +181,56 @@ def test_secret_recall_by_encoding_and_length(spark, encoding, size):
     assert sum(got[1000 + i] for i in range(120)) == 0
 
 
+def test_secret_rank_and_cut_is_brute_force(spark):
+    """Benjamini-Hochberg over all tokens, class by class, by a plain loop over the sorted p-values."""
+    r = random.Random(11)
+    prose = "the river was wide and the people who lived there had built their houses on the northern bank".split()
+    rows = []
+    for i in range(80):
+        words = [r.choice(prose) for _ in range(60)]
+        tokens_ = ["".join(r.choice(secretscan.ENCODINGS[r.choice(["hex", "base32", "base62", "base64"])]) for _ in range(r.choice([20, 22, 26, 30, 40, 70]))) for _ in range(r.randint(0, 2))]
+        names = ["".join(w.title() for w in r.sample(prose, 5)) + str(r.randrange(99)) for _ in range(r.randint(0, 2))]
+        rows.append((i, " ".join(words + tokens_ + names + [f"password={r.choice(tokens_ or ['abcdefgh'])}"])))
+    logs = secretscan.letter_logs(sum((secretscan.letter_pairs(t.encode()) for _, t in rows), np.zeros(729, dtype=np.int64)))
+    found = [(i, *c) for i, t in rows for c in secretscan.candidates(t, secretscan.base_spans(t), logs)]
+    added = set()
+    for length in {f[3] for f in found}:
+        group = sorted((f for f in found if f[3] == length), key=lambda f: -f[4])  # by p-value
+        last = 0
+        for rank, f in enumerate(group, 1):
+            if 10 ** (-f[4] / 4) * len(group) <= 0.01 * sum(g[4] >= f[4] for g in group):
+                last = rank
+        added |= {(f[0], f[1], f[2]) for f in group if last and f[4] >= group[last - 1][4] and f[5]}
+    got = {(x.doc_id, *map(int, span.split(":")[1:])) for x in secretscan.secret_spans(frame(spark, rows)).collect() for span in x.spans.split(",") if span.startswith("random")}
+    assert got == added and len(added) > 20
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+    n = 4000
+    text = " ".join(f"password=abcdefgh{i} mail{i} at site{i} dot com user{i}@host{i}.org {i % 9}9.1.1.1" for i in range(n))
+    start = time.time()
+    base = secretscan.base_spans(text)
+    secretscan.candidates(text, base, secretscan.letter_logs(np.zeros(729)))
+    found, more = pii.find_pii(text)
+    assert len(base) >= n and len(found) >= 2 * n and time.time() - start < 30
+
+
+def test_spans_touch():
+    r = random.Random(2)
+    for _ in range(200):
+        spans = [(a, a + r.randint(1, 6)) for a in (r.randrange(40) for _ in range(r.randint(0, 6)))]
+        cover = common.Spans(spans)
+        for s in range(42):
+            for e in range(s + 1, s + 5):
+                assert cover.touch(s, e) == any(a < e and s < b for a, b in spans)
+
+
+def test_two_rank_tables_of_one_size_are_told_apart():
+    one, two = {b"a": 0, b"b": 1, b"ab": 2}, {b"a": 0, b"b": 1, b"ba": 2}
+    assert tokens.encoder(one, r"\w+")[0].encode("ab") == [2] and tokens.encoder(two, r"\w+")[0].encode("ab") == [0, 1]
+
+
 @pytest.mark.parametrize("rule", tokens.RULES)
 def test_tokens_match_brute_force(spark, rule):
     rows = ROWS + [(9, "one two\n\nthree   \n four" * 3)]
