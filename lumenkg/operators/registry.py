@@ -24,7 +24,7 @@ from ..session import cut_lineage, materialise
 from . import segments
 from .dedup import row_keys, seen_registry
 
-HITS = 2
+HITS = 1
 _TITLE = "t string, n int, h0 long, h1 long"
 SCHEMAS = {
     "keys": "key string, article_id string, bucket int, batch_id long",

@@ -180,7 +180,7 @@ def exact(pairs: DataFrame, threshold: int) -> DataFrame:
     return pairs.withColumn("ratio", title_ratio_once("a", "b")).where(F.col("ratio") >= threshold)
 
 
-def self_pairs(titles: DataFrame, threshold: int, hits: int = 2) -> DataFrame:
+def self_pairs(titles: DataFrame, threshold: int, hits: int = 1) -> DataFrame:
     """(a, b, ratio), a < b, of similar titles (distinct, column t; materialised by the caller).
 
     Of a pair the longer title (of equal lengths the larger one) gives the segments."""
@@ -191,7 +191,7 @@ def self_pairs(titles: DataFrame, threshold: int, hits: int = 2) -> DataFrame:
     return exact(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), threshold)
 
 
-def cross_pairs(new: DataFrame, known: DataFrame, threshold: int, hits: int = 2) -> DataFrame:
+def cross_pairs(new: DataFrame, known: DataFrame, threshold: int, hits: int = 1) -> DataFrame:
     """(a, b, ratio) with a from ``new`` and b from ``known``; the known titles give the segments."""
     x, y = signed(known), signed(new)
     index = segment_rows(x, frequencies(known), threshold, hits, both=True)
