@@ -6,7 +6,8 @@ A generative label model explains their votes by a hidden label: each voter has
 either label, and depends on one other voter besides, where the two are correlated beyond the label.  Its
 accuracies and correlations are estimated by expectation maximisation over the vote patterns of all
 documents.  The posterior labels of a bounded sample train a logistic regression on words and beginnings
-of words; that linear classifier scores all documents, also where no voter speaks.
+of words, whose scale and threshold the sample's known labels then set; that linear classifier scores all
+documents, also where no voter speaks.
 
 Labels are read only from rows that are not held out (crc32 of the id's text, modulo ``folds``, is not 0),
 and only from ``sample`` of them, those with the smallest hash of the id: two thirds fill the lexicons,
@@ -102,10 +103,23 @@ class Lookup:
     ``extra(token)`` may add further numbers."""
 
     def __init__(self, names: list[str], extra=None):
-        self.number = {n: i for i, n in enumerate(names)}
+        self.words = {n[2:]: i for i, n in enumerate(names) if n[0] == "w"}
+        self.begins = {n[2:]: i for i, n in enumerate(names) if n[0] != "w"}  # their length tells the kind
         self.known: dict[str, tuple[int, ...]] = {}
         self.extra = extra
 
+    def of(self, token: str) -> tuple[int, ...]:
+        found = set(self.extra(token)) if self.extra else set()
+        for w in (token,) if token.isalpha() else WORD.findall(token):
+            if w in self.words:
+                found.add(self.words[w])
+            for k in BEGINNINGS:
+                if len(w) < k:
+                    break
+                if w[:k] in self.begins:
+                    found.add(self.begins[w[:k]])
+        return tuple(found)
+
     def __call__(self, text: str) -> set[int]:
         found: set[int] = set()
         known = self.known
@@ -114,10 +128,7 @@ class Lookup:
             if got is None:
                 if len(known) > 200_000:
                     known.clear()
-                got = {self.number[f] for f in features_of(w) if f in self.number}
-                if self.extra:
-                    got.update(self.extra(w))
-                got = known[w] = tuple(got)
+                got = known[w] = self.of(w)
             if got:
                 found.update(got)
         return found
@@ -318,8 +329,11 @@ def sampled(rows: DataFrame, sample: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, size: int = 4096, folds: int = 5, rounds: int = 10,
-          least: int = 3, correlated: float = 1e-4, id_col: str = "doc_id", text_col: str = "text") -> tuple[Classifier, Voters, LabelModel]:
-    """Lexicons from labels, the label model from all votes, the classifier from posterior labels."""
+          least: int = 3, surely: float = 10.0, correlated: float = 1e-4, id_col: str = "doc_id", text_col: str = "text") -> tuple[Classifier, Voters, LabelModel]:
+    """Lexicons from labels, the label model from all votes, the classifier from posterior labels.
+
+    An entry of a lexicon must be held ``surely`` times as often by toxic documents, by a standard error's
+    margin, so that a common word of one language is none."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(~held_out("doc_id", folds))
     graded = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out("doc_id", folds))
               .groupBy("doc_id").agg(F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("label")))
@@ -329,7 +343,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, size: int =
     rows = written(own.join(F.broadcast(drawn.where(~third)), "doc_id").select("text", F.col("label").cast("double").alias("q")))  # sample rows at most
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("q"), F.lit(0.0))).first()
     odds, error = _margin(toxic, n - toxic)
-    learnt = counted_features(rows).where(F.col("q") >= least).where(odds - 2 * error > 0.5).orderBy(F.desc(odds - error), "feature").limit(size)
+    learnt = counted_features(rows).where(F.col("q") >= least).where(odds - error > float(np.log(surely))).orderBy(F.desc(odds - error), "feature").limit(size)
     voters = Voters.of([r["feature"] for r in learnt.collect()])  # size entries at most
 
     bc = docs.sparkSession.sparkContext.broadcast(voters)
@@ -353,11 +367,48 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, size: int =
         judged.cast = cast
         texts = batch.column(0).to_pylist()
         v = unpack(np.array([cast(t) for t in texts], dtype=np.int64), bc.value.count)
-        return {"text": texts, "q": posterior(known_model.value, v, batch.column(1).to_numpy(zero_copy_only=False))}
+        return {"text": texts, "q": posterior(known_model.value, v, batch.column(1).to_numpy(zero_copy_only=False)), "label": batch.column(1)}
 
     judged_rows = own.join(F.broadcast(part), "doc_id").select("text", F.coalesce("label", F.lit(-1)).alias("label"))
-    rows = written(map_batches(judged_rows, judged, "text string, q double"))
-    return classifier(rows, size, least), voters, model
+    rows = written(map_batches(judged_rows, judged, "text string, q double, label int"))
+    return calibrated(classifier(rows, size, least), rows), voters, model
+
+
+def platt(z: np.ndarray, y: np.ndarray, trust: float = 5.0) -> tuple[float, float]:
+    """(slope, shift) of a logistic regression of labels on scores, by Newton steps; both are held to (1, 0)
+    with the weight of ``trust`` documents, so few labels change little."""
+    at = np.array([1.0, 0.0])
+    x = np.stack([z, np.ones(len(z))], axis=1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        slope = x.T @ (p - y) + trust * (at - [1.0, 0.0])
+        curve = (x * (p * (1 - p))[:, None]).T @ x + trust * np.eye(2)
+        step = np.linalg.solve(curve, slope)
+        at = at - step * min(1.0, 2 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(at[0]), float(at[1])
+
+
+def calibrated(model: Classifier, rows: DataFrame) -> Classifier:
+    """The classifier with its scale and threshold set by the sample's documents whose label is known: posterior
+    labels understate kinds of toxic texts that few voters know."""
+    if not model.names:
+        return model
+    bc = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch):
+        lookup = run.__dict__.setdefault("lookup", None) or Lookup(bc.value.names)
+        run.lookup = lookup
+        return {"z": [float(bc.value.bias + bc.value.weights[sorted(lookup(t))].sum()) for t in batch.column(0).to_pylist()], "label": batch.column(1)}
+
+    known = map_batches(rows.where("label >= 0").select("text", "label"), run, "z double, label int").toArrow()  # two numbers a sampled document
+    z, y = known["z"].to_numpy(), known["label"].to_numpy()
+    if len(set(y.tolist())) < 2:
+        return model
+    order = np.lexsort((y, z))
+    slope, shift = platt(z[order], y[order].astype(float))
+    return Classifier(model.names, model.weights * slope, model.bias * slope + shift) if slope > 0 else model
 
 
 def classifier(rows: DataFrame, size: int, least: int, ridge: float = 2e-4) -> Classifier:
