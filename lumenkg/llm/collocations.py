@@ -204,27 +204,27 @@ def multikey_quicksort(rows: np.ndarray, weight: np.ndarray, whole: np.ndarray,
     ``rows`` are suffixes as codes, -1 at the end.  ``whole[i]`` is the length from which on all suffixes
     that begin like suffix i are here; shorter beginnings are given whatever their count."""
     found: list[tuple[tuple, int]] = []
+    columns = [np.ascontiguousarray(rows[:, d]) for d in range(rows.shape[1])]
+    deepest = int(whole.max(initial=0))
     todo = [(np.arange(len(rows)), 0, ())]
     while todo:
         at, d, head = todo.pop()
-        if d == rows.shape[1]:
-            continue
-        symbol = rows[at, d]
-        pivot = symbol[len(at) // 2] if len(at) < 9 else np.sort(symbol[:: max(1, len(at) // 9)])[4]
-        equal = symbol == pivot
-        for side in (symbol < pivot, symbol > pivot):
-            if side.any():
-                part = at[side]
-                if weight[part].sum() >= least or (whole[part] > d + 1).any():
-                    todo.append((part, d, head))
-        part = at[equal]
+        symbol = columns[d][at]
+        n = len(at)
+        pivot = symbol[n // 2] if n < 9 else np.sort(symbol[:: n // 9])[4]
+        partial = deepest > d + 1  # some suffix's beginnings of this length may be elsewhere too
+        for part in (at[symbol < pivot], at[symbol > pivot]):
+            if len(part) and (weight[part].sum() >= least or partial and (whole[part] > d + 1).any()):
+                todo.append((part, d, head))
         if pivot < 0:
             continue  # suffixes that end here: counted by their beginnings
-        n = int(weight[part].sum())
-        if n >= least or (whole[part] > d + 1).any():
+        part = at[symbol == pivot]
+        size = int(weight[part].sum())
+        if size >= least or partial and (whole[part] > d + 1).any():
             here = (*head, int(pivot))
-            found.append((here, n))
-            todo.append((part, d + 1, here))
+            found.append((here, size))
+            if d + 1 < len(columns):
+                todo.append((part, d + 1, here))
     return found
 
 
