@@ -16,7 +16,8 @@ node's queries, which starts at their thresholds.  At a leaf pair each query is
 once more.  Only pruned pairs are skipped, and ties at the k-th score are walked, so results are exact.
 
 Trees are built level by level by farthest-first traversal: centres of a level are at least as far apart
-as its covering radius, and each node keeps the true radius of what it covers.  Of equal vectors in a
+as its covering radius, and each node keeps the true radius of what it covers.  A node that a split would
+hardly shrink stays a leaf, whose scores are one matrix product.  Of equal vectors in a
 part only the k + 1 smallest ids can be in a result, so the rest are dropped before the tree.
 
 The tasks' best k by query are merged by a ranked window.  Where vectors do not cluster, nothing can be
@@ -37,7 +38,8 @@ from .common import written
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
 FANOUT = 16
-LEAF = 32
+#: Rows of a leaf; up to WIDE of them where a split hardly shrinks the radius, as in vectors without clusters.
+LEAF, WIDE, SHRINK = 64, 1024, 0.7
 #: Vectors that the cells are fitted on, and cells at most.
 SAMPLE, CELLS = 20_000, 1024
 #: Below every number that Best holds.
@@ -80,6 +82,10 @@ def cover_tree(points: np.ndarray) -> Node:
         if len(node.rows) <= LEAF or node.radius == 0:
             continue
         centres, near, dist = farthest_first(points, node.rows, centre, FANOUT, node.radius / 4)
+        reach = np.zeros(len(centres))
+        np.maximum.at(reach, near, dist)
+        if len(node.rows) <= WIDE and reach[near].mean() > SHRINK * node.radius:
+            continue
         for i, c in enumerate(centres):
             mine = near == i
             if mine.any():
