@@ -7,8 +7,8 @@ indel ratio of the lower-cased titles is >= threshold.  This is not
 connected components: with A~B, B~C and A!~C, A and C are both kept.
 
 Plan:
-* J5 finds similar *distinct* lower titles with the positional segment index
-  of ``segments``; only titles that share enough segments are compared.
+* J5 finds similar *distinct* lower titles block against block
+  (``title_blocks``); only what cheap tests leave is compared exactly.
 * Identifiers and exact titles are hub keys ``(row, key)``: a hot key is
   aggregated (min position per key, map-side combined), never expanded
   into pairs.

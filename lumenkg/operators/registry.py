@@ -1,14 +1,13 @@
-"""Persisted duplicate registry as a bucketed inverted index.
+"""Persisted duplicate registry in buckets.
 
-What earlier batches kept is filed once and never read as a whole again:
+What earlier batches kept is filed once:
 
 * ``keys``: identifier values and lower titles, in folders by hash bucket;
-* ``segments``: the segments of each title (the index side of ``segments``), in
-  folders by hash bucket of the segment;
-* ``short``: titles too short for segments, in folders by length.
+* ``titles``: lower titles, in folders by length.
 
-A batch computes the buckets that its own keys, substrings and lengths fall
-into (a bounded list) and reads only those folders.  Each batch adds a folder of
+A batch computes the buckets that its own keys fall into and the lengths that
+its titles can match (bounded lists) and reads only those folders; the titles
+there are compared with its own block against block (``title_blocks``).  Each batch adds a folder of
 its own, which a repeated batch overwrites, so a replay changes nothing; a
 batch sees only batches before it.
 """
@@ -24,12 +23,9 @@ from ..session import cut_lineage, materialise
 from . import segments
 from .dedup import row_keys, seen_registry
 
-HITS = 1
-_TITLE = "t string, n int, h0 long, h1 long"
 SCHEMAS = {
     "keys": "key string, article_id string, bucket int, batch_id long",
-    "segments": f"{_TITLE}, k int, p int, g string, place int, bucket int, batch_id long",
-    "short": f"{_TITLE}, bucket int, batch_id long",
+    "titles": "t string, bucket int, batch_id long",
 }
 
 
@@ -54,7 +50,7 @@ class SeenIndex:
         return df if wanted is None else df.where(F.col("bucket").isin(wanted))
 
     def _wanted(self, buckets: DataFrame) -> list[int]:
-        """The buckets that occur: at most ``self.buckets`` numbers, or the lengths of short titles."""
+        """The buckets that occur: at most ``self.buckets`` numbers, or the lengths of titles."""
         return sorted(r[0] for r in buckets.distinct().collect())
 
     def add(self, kept: DataFrame, batch_id: int, title: str = "title") -> None:
@@ -62,14 +58,12 @@ class SeenIndex:
         kept = kept if "article_id" in kept.columns else kept.withColumn("article_id", article_id())
         reg = cut_lineage(seen_registry(kept, title=title).withColumn("key", F.concat(
             F.when(F.col("key_kind") == "id", "id:").otherwise("t:"), "key")).select("key", "article_id"))
-        titles = cut_lineage(reg.where("startswith(key, 't:')").select(F.expr("substring(key, 3)").alias("t")).distinct())
-        signed = segments.signed(titles)
-        count = segments._segment_count(self.threshold, HITS, True)
-        cut = segments.segment_rows(signed, segments.frequencies(titles), self.threshold, HITS, both=True).withColumnRenamed("bucket", "place")
-        tables = {"keys": reg.withColumn("bucket", self._bucket("key")), "segments": cut.withColumn("bucket", self._bucket("g")),
-                  "short": signed.where(count > F.col("n")).withColumn("bucket", F.col("n"))}
+        titles = reg.where("startswith(key, 't:')").select(F.expr("substring(key, 3)").alias("t")).distinct()
+        tables = {"keys": reg.withColumn("bucket", self._bucket("key")), "titles": titles.withColumn("bucket", F.length("t"))}
         for name, df in tables.items():
-            df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch_id={batch_id}")
+            # many titles may have one length
+            spread = ["bucket"] if name == "keys" else ["bucket", F.pmod(F.xxhash64("t"), F.lit(16))]
+            df.repartition(*spread).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch_id={batch_id}")
 
     def drop(self, df: DataFrame, before: int, order: str = "pos", title: str = "title") -> DataFrame:
         """The rows of ``df`` that match nothing filed before batch ``before``."""
@@ -82,12 +76,10 @@ class SeenIndex:
         rest = df.join(same, order, "left_anti")
         lower = F.lower(F.coalesce(F.col(title), F.lit("")))
         titles = cut_lineage(rest.select(lower.alias("t")).distinct())
-        signed = segments.signed(titles)
-        probe = segments.probe_rows(signed).withColumnRenamed("bucket", "place").withColumn("bucket", self._bucket("g"))
-        index = self.read("segments", before, self._wanted(probe.select("bucket")))
-        reach = segments.lengths_in_reach(self.threshold)
-        short = self.read("short", before, self._wanted(signed.select(F.explode(reach))))
-        found = segments.met(index.drop("bucket").withColumnRenamed("place", "bucket"), probe.drop("bucket").withColumnRenamed("place", "bucket"), self.threshold)
-        found = found.unionByName(segments.short_pairs(short, signed, self.threshold, HITS, True))
-        near = segments.exact(found.select(F.col("b").alias("a"), F.col("a").alias("b")), self.threshold).select(F.col("a").alias("_t")).distinct()
+        lengths = titles.select(F.length("t").alias("n")).distinct().select(F.explode(segments.lengths_in_reach(self.threshold)))
+        known = self.read("titles", before, self._wanted(lengths))
+        if known is None:
+            raise ValueError(f"the index at {self.path} has keys but no titles: file its batches anew")
+        known = cut_lineage(known.select("t").distinct())
+        near = segments.cross_pairs(titles, known, self.threshold).select(F.col("a").alias("_t")).distinct()
         return rest.join(near, lower == F.col("_t"), "left_anti")

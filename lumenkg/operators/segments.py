@@ -1,53 +1,24 @@
-"""Positional segment index for similar strings (the search behind J5, D1 and J7).
+"""Similar strings (the search behind J5, D1 and J7), and rare segments of a string.
 
-Two strings whose indel distance is at most D share every piece that no indel touches.  One string of a
-pair is cut into D + ``hits`` disjoint segments, so at least ``hits`` of them occur in the other, each
-shifted by no more than the deletions or insertions before it.  The index holds (segment, place) of the
-one side, the probe every short substring of the other with its place; an equi-join on segment and place
-bucket, with lengths, shift and character counts compared inside it, and a count of the segments that
-met, give the candidates.  Only those are compared exactly.
+The pairs that may be similar come from ``title_blocks``; here they are compared exactly.
 
-Which substrings are segments is free, so they are chosen where they are rare: by dynamic programming
-over disjoint substrings of one to four characters, with the least sum of frequencies.  Frequencies come
-from a table of fixed size by hash of the substring; collisions there change the speed, never the result.
-
-Strings too short for their number of segments are few; they are joined with the strings of the lengths
-in reach.
+``cut`` takes a string into disjoint rare segments: two strings whose indel distance is at most D share at least
+one of D + 1 of them.  Short segments of titles are too common to search by (the rows of such a join grow with
+the square of the titles, each far dearer than a comparison in a block), so the search does not use them.
 """
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import max_edit, max_indel_fraction, title_ratio_once
+from ..functions.similarity import max_indel_fraction, title_ratio_once
+from . import title_blocks
 
-#: Longest segment, and the bits of the frequency table's slots.
+#: Longest segment, and the bits of a frequency table's slots.
 LONGEST, SLOT_BITS = 4, 16
 #: Characters that are cut into segments together.
 STRETCH = 64
-#: Places in one bucket of the index.
-PLACES = 8
-#: Character counts are kept in this many buckets, four bits each (15 a long).
-BUCKETS = 30
-
-
-def signed(titles: DataFrame) -> DataFrame:
-    """(t, n, h0, h1): length and character counts by hash bucket (at most 15 each)."""
-    counts = [f"least(size(filter(_c, c -> pmod(hash(c), {BUCKETS}) = {i})), 15)" for i in range(BUCKETS)]
-    packed = [" + ".join(f"shiftleft(CAST({c} AS BIGINT), {4 * j})" for j, c in enumerate(counts[k: k + 15])) for k in (0, 15)]
-    return titles.withColumn("n", F.length("t")).withColumn("_c", F.split("t", "")).withColumns(
-        {"h0": F.expr(packed[0]), "h1": F.expr(packed[1])}).drop("_c")
-
-
-def close(a: str, b: str, threshold: int) -> Column:
-    """Necessary for a pair: lengths and character counts differ by no more
-    than the indel distance may (an indel changes one count by one)."""
-    apart = " + ".join(f"abs((shiftright({a}.{h}, {4 * j}) & 15L) - (shiftright({b}.{h}, {4 * j}) & 15L))" for h in ("h0", "h1") for j in range(15))
-    most = max_edit(F.col(f"{a}.n") + F.col(f"{b}.n"), threshold)
-    return (F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= most) & (F.expr(apart) <= most)
 
 
 def slots(text: str) -> list[np.ndarray]:
@@ -91,109 +62,24 @@ def cut(text: str, k: int, frequency: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def frequencies(titles: DataFrame) -> np.ndarray:
-    """How many substrings fall into each slot: 2^SLOT_BITS numbers, whatever the number of titles."""
-    def run(batches):
-        total = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                for s in slots(t):
-                    np.add.at(total, s, 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
-
-    got = titles.select("t").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << SLOT_BITS)
-    out[got["slot"].to_numpy()] = got["n"].to_numpy()
-    return out
-
-
-def _reach(threshold: int, both: bool) -> tuple[float, float, float]:
-    """Per character of an indexed string: the largest distance, deletions and insertions of a pair.
-
-    ``both``: the other string may be the longer one; else it is at most as long."""
-    d = max_indel_fraction(threshold)
-    worst = 2 * d / (1 - d) if both else 2 * d
-    return worst, 2 * d / (1 + d), worst if both else d
-
-
-def segment_rows(titles: DataFrame, frequency: np.ndarray, threshold: int, hits: int, both: bool) -> DataFrame:
-    """(t, n, h0, h1, k, p, g, bucket): the segments of each title, a row for each bucket of places in which
-    the other title may hold it."""
-    worst, deleted, inserted = _reach(threshold, both)
-    bc = titles.sparkSession.sparkContext.broadcast(frequency)
-
-    @F.pandas_udf("array<struct<p int, g string>>")
-    def segments(text: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([[{"p": p, "g": t[p: p + q]} for p, q in cut(t, m, bc.value)] for t, m in zip(text, k)])
-
-    k = _segment_count(threshold, hits, both)
-    out = titles.withColumn("k", k).where(F.col("k") <= F.col("n")).withColumn("s", segments("t", "k"))
-    out = out.select("t", "n", "h0", "h1", "k", F.inline("s"))
-    low = F.floor(F.greatest(F.lit(0), F.col("p") - F.floor(F.col("n") * deleted) - 1) / PLACES)
-    high = F.floor((F.col("p") + F.floor(F.col("n") * inserted) + 1) / PLACES)
-    return out.withColumn("bucket", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
-
-
-def _segment_count(threshold: int, hits: int, both: bool) -> Column:
-    return (F.floor(F.col("n") * F.lit(_reach(threshold, both)[0]) + F.lit(1e-9)) + hits).cast("int")
-
-
-def probe_rows(titles: DataFrame) -> DataFrame:
-    """(t, n, h0, h1, i, g, bucket): every substring of 1 to LONGEST characters with its place."""
-    each = F.expr(f"flatten(transform(filter(sequence(1, {LONGEST}), q -> n >= q), "
-                  "q -> transform(sequence(0, n - q), i -> struct(i AS i, substring(t, i + 1, q) AS g))))")
-    return titles.select("t", "n", "h0", "h1", F.inline(each)).withColumn("bucket", F.floor(F.col("i") / PLACES).cast("int"))
-
-
-def met(index: DataFrame, probe: DataFrame, threshold: int, order: Column | None = None) -> DataFrame:
-    """(a, b): titles of ``index`` and ``probe`` that share as many segments as a similar pair must."""
-    most = max_edit(F.col("x.n") + F.col("y.n"), threshold)
-    longer = F.col("x.n") - F.col("y.n")
-    shift = F.col("x.p") - F.col("y.i")
-    on = (F.col("x.g") == F.col("y.g")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.t") != F.col("y.t")) \
-        & (2 * shift <= most + longer) & (-2 * shift <= most - longer) & close("x", "y", threshold)
-    rows = index.alias("x").join(probe.alias("y"), on if order is None else on & order)
-    # segments beyond the pair's own distance must all have met
-    rows = rows.select(F.col("x.t").alias("a"), F.col("y.t").alias("b"), (F.col("x.k") - most).alias("need"), F.col("x.p").alias("p"))
-    return rows.groupBy("a", "b", "need").agg(F.size(F.collect_set("p")).alias("met")).where(F.col("met") >= F.col("need")).select("a", "b")
-
-
 def lengths_in_reach(threshold: int, column: str = "n") -> Column:
     """The lengths that a similar string may have, shorter or longer."""
     d = max_indel_fraction(threshold)
     return F.expr(f"sequence(CAST(floor({column} * {(1 - d) / (1 + d)!r}) AS INT), CAST(ceil({column} * {(1 + d) / (1 - d)!r}) AS INT))")
 
 
-def short_pairs(x: DataFrame, y: DataFrame, threshold: int, hits: int, both: bool, order: Column | None = None) -> DataFrame:
-    """(a, b) with a from ``x`` too short for its segments, and b from ``y`` of a length in reach."""
-    d = max_indel_fraction(threshold)
-    reach = lengths_in_reach(threshold) if both else F.expr(f"sequence(CAST(floor(n * {(1 - d) / (1 + d)!r}) AS INT), n)")
-    short = x.where(_segment_count(threshold, hits, both) > F.col("n")).withColumn("m", F.explode(reach)).alias("x")
-    on = (F.col("x.m") == F.col("y.n")) & (F.col("x.t") != F.col("y.t")) & close("x", "y", threshold)
-    return short.join(y.alias("y"), on if order is None else on & order).select(F.col("x.t").alias("a"), F.col("y.t").alias("b"))
-
-
 def exact(pairs: DataFrame, threshold: int) -> DataFrame:
     """(a, b, ratio) of the pairs with ratio >= threshold.  The ratio is marked as not deterministic, so the
     optimizer cannot move it below the candidates' count into the join."""
     return pairs.withColumn("ratio", title_ratio_once("a", "b")).where(F.col("ratio") >= threshold)
 
 
-def self_pairs(titles: DataFrame, threshold: int, hits: int = 1) -> DataFrame:
-    """(a, b, ratio), a < b, of similar titles (distinct, column t; materialised by the caller).
-
-    Of a pair the longer title (of equal lengths the larger one) gives the segments."""
-    t = signed(titles)
-    before = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.t") < F.col("x.t")))
-    index = segment_rows(t, frequencies(titles), threshold, hits, both=False)
-    found = met(index, probe_rows(t), threshold, before).unionByName(short_pairs(t, t, threshold, hits, False, before))
+def self_pairs(titles: DataFrame, threshold: int) -> DataFrame:
+    """(a, b, ratio), a < b, of similar titles (distinct, column t; materialised by the caller)."""
+    found = title_blocks.self_candidates(titles, threshold)
     return exact(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), threshold)
 
 
-def cross_pairs(new: DataFrame, known: DataFrame, threshold: int, hits: int = 1) -> DataFrame:
-    """(a, b, ratio) with a from ``new`` and b from ``known``; the known titles give the segments."""
-    x, y = signed(known), signed(new)
-    index = segment_rows(x, frequencies(known), threshold, hits, both=True)
-    found = met(index, probe_rows(y), threshold).unionByName(short_pairs(x, y, threshold, hits, True))
-    return exact(found.select(F.col("b").alias("a"), F.col("a").alias("b")), threshold)
+def cross_pairs(new: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """(a, b, ratio) with a from ``new`` and b from ``known``, a != b (distinct titles each; materialised by the caller)."""
+    return exact(title_blocks.cross_candidates(new, known, threshold).where("a != b"), threshold)

@@ -219,3 +219,32 @@ def test_long_titles_of_other_scripts(spark):
     df = spark.createDataFrame([(t,) for t in titles], "t string")
     got = {(r.a, r.b) for r in similar_titles(df).collect()}
     assert got == {(a, b) for a in titles for b in titles if a < b and ratio(a, b) >= 85}
+
+
+def test_titles_meet_block_against_block(spark, monkeypatch):
+    """Many small blocks lose no pair, and what they leave for the exact test is little more than the pairs."""
+    from lumenkg.operators import title_blocks as tb
+    from lumenkg.operators.dedup import similar_to
+    monkeypatch.setattr(tb, "SMALLEST", 16)
+    rnd = random.Random(12)
+    titles = {"".join(rnd.choice("abcdefgh é") for _ in range(rnd.randint(0, 90))) for _ in range(120)}
+    titles |= {t[2:] for t in titles} | {t + "ab" for t in titles} | {t.replace("a", "") for t in titles} | {"x" * 520, "x" * 519 + "y"}
+    titles = sorted(titles)
+    df = spark.createDataFrame([(t,) for t in titles], "t string").repartition(3)
+    assert tb._blocks(len(titles)) > 10 and tb._packed(df, 7).count() == 7
+    want = {(a, b) for i, a in enumerate(titles) for b in titles[i + 1:] if ratio(a, b) >= 85}
+    assert {(r.a, r.b) for r in similar_titles(df).collect()} == want
+    found = [(r.a, r.b) for r in tb.self_candidates(df, 85).collect()]
+    assert len(found) == len({(min(p), max(p)) for p in found}) <= 1.5 * len(want)
+    new, known = titles[::2], titles[1::3]
+    got = {(r.a, r.b) for r in similar_to(df.where(df.t.isin(new)), df.where(df.t.isin(known))).collect()}
+    assert got == {(a, b) for a in new for b in known if a != b and ratio(a, b) >= 85}
+
+
+def test_the_search_of_titles_copies_no_substrings(spark):
+    """The rows between the titles and their pairs: blocks, not substrings of every title."""
+    from lumenkg.operators import segments as sg
+    rnd = random.Random(13)
+    titles = [("".join(rnd.choice("abcdefghij ") for _ in range(60)),) for _ in range(200)]
+    plan = sg.self_pairs(spark.createDataFrame(titles, "t string"), 85)._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" not in plan and "collect_list" in plan

@@ -174,3 +174,13 @@ def test_several_formats_run_the_plan_once(spark):
     import pytest
     with pytest.raises(ValueError):
         write_outputs(arts, root, formats=("json", "xml"))
+
+
+def test_the_index_files_a_title_once(spark):
+    from lumenkg.operators.registry import SeenIndex
+    root = tempfile.mkdtemp(prefix="lumenkg-test-")
+    known = [(i, f"title {i} of a registry {i * 7919 % 1000}", None, None, None) for i in range(100)]
+    index = SeenIndex(spark, root, buckets=8)
+    index.add(spark.createDataFrame(known, "pos long, title string, doi string, pmid string, pmcid string"), 0)
+    rows = sum(spark.read.parquet(f"{root}/{name}").count() for name in os.listdir(root))
+    assert rows == 200  # its key and its text
