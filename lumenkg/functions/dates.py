@@ -17,9 +17,13 @@ def parse_date(s) -> Column:
     """
     s = col(s)
     norm = F.regexp_replace(py_strip(s), "(?U)" + PY_WS_CLASS + "+", " ")
-    # a format is only tried on strings of its shape: failed parses are costly
-    parsed = F.coalesce(*[F.when(norm.rlike(shape), F.try_to_timestamp(norm, F.lit(fmt)))
-                          for fmt, shape in zip(vocab.DATE_FORMATS_SPARK, vocab.DATE_FORMAT_SHAPES)])
+
+    def tries(x):  # a format is only tried on strings of its shape: failed parses are costly
+        return F.coalesce(*[F.when(x.rlike(shape), F.try_to_timestamp(x, F.lit(fmt)))
+                            for fmt, shape in zip(vocab.DATE_FORMATS_SPARK, vocab.DATE_FORMAT_SHAPES)])
+
+    # as an array's element the normal form is computed once, not for every format again
+    parsed = F.get(F.transform(F.array(norm), tries), 0)
     return F.when(s.isNotNull() & (F.length(s) > 0), parsed)
 
 

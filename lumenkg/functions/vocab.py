@@ -111,11 +111,14 @@ NER_ROUTES = [
 # ---------------------------------------------------------------------------
 DATE_FORMATS_PY = ["%Y-%m-%d", "%Y/%m/%d", "%B %d, %Y", "%b %d, %Y", "%d %B %Y", "%d %b %Y", "%Y"]
 DATE_FORMATS_SPARK = ["yyyy-M-d", "yyyy/M/d", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy"]
-# Shape of a string each format can possibly accept (cheap pre-test)
+# Shape of a string each format can possibly accept (cheap pre-test; a parse that fails costs a raised exception,
+# so a month name is only given to the format that reads names of its length)
+_MONTHS = r"(?i:january|february|march|april|may|june|july|august|september|october|november|december)"
+_MONTHS_SHORT = r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
 DATE_FORMAT_SHAPES = [
     r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$",
-    r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$", r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$",
-    r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", r"^[0-9]{4}$",
+    rf"^{_MONTHS} [0-9]{{1,2}}, [0-9]{{4}}$", rf"^{_MONTHS_SHORT} [0-9]{{1,2}}, [0-9]{{4}}$",
+    rf"^[0-9]{{1,2}} {_MONTHS} [0-9]{{4}}$", rf"^[0-9]{{1,2}} {_MONTHS_SHORT} [0-9]{{4}}$", r"^[0-9]{4}$",
 ]
 PUBLISHED_DATE_PATTERNS = [
     r"Published[:\s]+([A-Za-z]+\s+\d{1,2},?\s+\d{4})",

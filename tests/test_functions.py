@@ -112,3 +112,26 @@ def test_dictionary_rules(spark):
     r = df.select(basic_organisms("a"), basic_keywords("b")).first()
     assert r[0] == ["rat"]
     assert r[1] == []
+
+
+def test_a_date_is_tried_by_one_format(spark):
+    import re
+    from datetime import datetime
+    from lumenkg.functions import vocab
+    from lumenkg.functions.dates import parse_date
+    good = [f"{m} 5, 1995" for m in ("Jan", "january", "SEPT", "Sep", "September", "Foo")] + ["5 Jan 1995", "05 DECEMBER 1995", "1995", "1995-1-5", "1995/01/5", " June \t 7,  2001 "]
+    bad = ["February 30, 2001", "2001-13-01", "", "Janu 5, 1995", "5 Janu 1995", "x 1995", None]
+
+    def plain(s):
+        for f in vocab.DATE_FORMATS_PY:
+            try:
+                return datetime.strptime(" ".join(s.split()), f)
+            except (ValueError, AttributeError):
+                pass
+
+    for s in good + bad:
+        if s and "May" not in s:
+            assert sum(bool(re.search(p, " ".join(s.split()))) for p in vocab.DATE_FORMAT_SHAPES) <= 1, s
+    df = spark.createDataFrame([(s,) for s in good + bad], "s string").select("s", parse_date("s").alias("d"))
+    assert {r.s: r.d for r in df.collect()} == {s: plain(s) for s in good + bad}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 2
