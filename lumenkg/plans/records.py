@@ -87,7 +87,8 @@ def q_unseen_pages(spark, sf):
     """S8 + J7: the registry of the German and Spanish pages drops what it matches of the others."""
     from ..functions.text import article_id
     from ..operators.dedup import drop_seen, seen_registry
-    d = _identified(spark, sf)
+    from ..session import materialise
+    d = materialise(_identified(spark, sf))  # both sides and their titles read it; the pages are parsed once
     old = F.col("url").contains("/de/") | F.col("url").contains("/es/")
     return drop_seen(d.filter(~old), seen_registry(d.filter(old).withColumn("article_id", article_id()))).select("pos", "title")
 

@@ -281,3 +281,24 @@ def test_a_csv_with_quoted_line_breaks_is_read_in_byte_ranges(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_pages_are_parsed_in_slices(spark):
+    import gc
+    import pyarrow as pa
+    from lumenkg.sources import html as H
+    pages = [None if i % 7 == 3 else f"<title>t{i}</title><meta name=m content=c{i}><nav><b>x</b></nav><body><p>{'é' * (i % 50)}</p>" for i in range(300)]
+    parts = list(H._slices(pa.array(pages)))
+    assert [x for p in parts for x in p.to_pylist()] == pages and max(map(len, parts)) <= H.SLICE_PAGES
+    large = pa.array(["a" * (H.SLICE_BYTES * 3 // 5)] * 4)
+    assert [len(p) for p in H._slices(large)] == [1] * 4
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").coalesce(1)
+    got = {r.i: r.page.asDict() for r in H.parse_pages(df).collect()}
+    assert got == {i: H.parse_page(p) or dict.fromkeys(H.PAGE_STRUCT.names) for i, p in enumerate(pages)}
+    gc.collect()
+    gc.disable()
+    try:
+        H.parse_page(pages[1])
+        assert gc.collect() == 0  # no tree waits for the collector
+    finally:
+        gc.enable()
