@@ -37,22 +37,24 @@ def term_hits(text_lower, terms, lower_terms: bool = True) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def _basic(text, terms, lower_terms) -> Column:
+def _basic(text, lowered, terms, lower_terms) -> Column:
+    if lowered is not None:
+        return term_hits(lowered, terms, lower_terms)
     if isinstance(text, str):
         return F.expr(term_hits_sql(f"lower({ident(text)})", terms, lower_terms))
     return term_hits(F.lower(text), terms, lower_terms)
 
 
-def basic_organisms(text) -> Column:
-    return _basic(text, vocab.BASIC_ORGANISMS, True)
+def basic_organisms(text, lowered=None) -> Column:
+    return _basic(text, lowered, vocab.BASIC_ORGANISMS, True)
 
 
-def basic_keywords(text) -> Column:
-    return _basic(text, vocab.BASIC_KEYWORDS, False)
+def basic_keywords(text, lowered=None) -> Column:
+    return _basic(text, lowered, vocab.BASIC_KEYWORDS, False)
 
 
-def basic_conditions(text) -> Column:
-    return _basic(text, vocab.BASIC_CONDITIONS, False)
+def basic_conditions(text, lowered=None) -> Column:
+    return _basic(text, lowered, vocab.BASIC_CONDITIONS, False)
 
 
 def _java(pattern: str) -> Column:

@@ -38,6 +38,12 @@ def non_empty_sql(x: str) -> str:
     return f"(coalesce(size({x}), 0) > 0)"
 
 
+def once(c) -> Column:
+    """``c``, computed where it stands: marked as not deterministic (its test always holds), so the optimizer neither
+    repeats it in every column that uses it nor moves a filter on such a column below it."""
+    return F.when(F.monotonically_increasing_id() >= 0, col(c))
+
+
 def py_strip(c) -> Column:
     """``str.strip()`` with Python's (Unicode) whitespace set."""
     return F.regexp_replace(col(c), _STRIP_RE, "")

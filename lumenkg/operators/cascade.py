@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.entities import basic_conditions, basic_keywords, basic_organisms
 from ..functions.quality import quality_score
-from ..functions.text import col, ident, truthy
+from ..functions.text import col, ident, once, truthy
 from ..session import materialise
 from .articles import ARTICLE_FIELDS, ARTICLE_SCHEMA, LIST_FIELDS
 
@@ -45,8 +45,9 @@ def _default_sql(name: str) -> str:
 def add_candidate(df: DataFrame, prefix: str, fields: dict[str, Column], profile: str = "main") -> DataFrame:
     """Materialise one candidate article as flat ``<prefix><field>`` columns
     plus its quality score.  Flat columns keep expression trees small (the
-    score reads plain column references, not re-inlined structs)."""
-    cols = {prefix + k: v for k, v in fields.items()}
+    score reads plain column references, not re-inlined structs), and each is
+    computed once a row: a filter on the score would else hold all of them."""
+    cols = {prefix + k: once(v) for k, v in fields.items()}
 
     def get(name):
         return ident(prefix + name) if name in fields else _default_sql(name)
@@ -54,24 +55,24 @@ def add_candidate(df: DataFrame, prefix: str, fields: dict[str, Column], profile
     return df.withColumns(cols).withColumn(prefix + "quality_score", quality_score(profile, get=get))
 
 
-def html_candidate_fields(text_name: str) -> dict[str, Column]:
-    """P7 fields from page text (organisms, keywords, conditions as sets)."""
+def html_candidate_fields(text_name: str, lowered: str | None = None) -> dict[str, Column]:
+    """P7 fields from page text (organisms, keywords, conditions as sets); ``lowered`` names its lower-cased form."""
     text = F.col(text_name)
     return {
         "abstract": html_fallback_abstract(text),
-        "organisms": F.sort_array(basic_organisms(text_name)),
-        "keywords": F.sort_array(basic_keywords(text_name)),
-        "conditions": F.sort_array(basic_conditions(text_name)),
+        "organisms": F.sort_array(basic_organisms(text_name, lowered)),
+        "keywords": F.sort_array(basic_keywords(text_name, lowered)),
+        "conditions": F.sort_array(basic_conditions(text_name, lowered)),
     }
 
 
-def minimal_candidate_fields(title_name: str) -> dict[str, Column]:
-    """P8 fields from the title."""
+def minimal_candidate_fields(title_name: str, lowered: str | None = None) -> dict[str, Column]:
+    """P8 fields from the title; ``lowered`` names its lower-cased form."""
     title = F.col(title_name)
     return {
         "abstract": F.concat(F.lit("Research article: "), F.coalesce(title, F.lit(""))),
-        "organisms": F.sort_array(basic_organisms(title_name)),
-        "keywords": F.sort_array(basic_keywords(title_name)),
+        "organisms": F.sort_array(basic_organisms(title_name, lowered)),
+        "keywords": F.sort_array(basic_keywords(title_name, lowered)),
     }
 
 
@@ -125,10 +126,12 @@ def article_cascade(publications: DataFrame, page_text: DataFrame | None = None,
     if pmc_articles is not None:
         df = df.join(pmc_articles.select(row_id, "pmc"), on=row_id, how="left")
         order.append(("pmc", truthy("pmcid") & F.col("pmc").isNotNull()))
-    df = add_candidate(df, "_h_", {**base, **html_candidate_fields("page_text")})
+    # the texts are lower-cased once, not for every term
+    df = df.withColumns({"_low_text": once(F.lower("page_text")), "_low_title": once(F.lower("title"))})
+    df = add_candidate(df, "_h_", {**base, **html_candidate_fields("page_text", "_low_text")})
     order.append(("html", truthy("page_text") & (F.col("_h_quality_score") > vocab.FALLBACK_MIN_SCORE)))
     if test_mode:
-        df = add_candidate(df, "_m_", {**base, **minimal_candidate_fields("title")})
+        df = add_candidate(df, "_m_", {**base, **minimal_candidate_fields("title", "_low_title")})
         order.append(("minimal", F.lit(True)))
     alive = truthy("page_text") | truthy("title")
     pick = None

@@ -302,3 +302,15 @@ def test_pages_are_parsed_in_slices(spark):
         assert gc.collect() == 0  # no tree waits for the collector
     finally:
         gc.enable()
+
+
+def test_candidates_are_computed_once_a_row(spark):
+    """The filters on scores hold plain columns: terms are looked for in one place, in texts lower-cased once."""
+    from lumenkg.operators.cascade import article_cascade
+    from lumenkg.operators.validate import validate_quality
+    rows = [(1, "Bone loss in mice", "http://x.org/1", None, "Abstract " + "x" * 60), (2, "Mice", None, None, None)]
+    df = validate_quality(article_cascade(spark.createDataFrame(rows, "pos long, title string, url string, pmcid string, page_text string")), "main")
+    assert [(r.pos, r.organisms) for r in df.collect()] == [(1, [])]
+    plan = df.select("pos", "title")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [ln for ln in plan.split("\n") if "Filter" in ln and "ontains(" in ln]
+    assert plan.count("lower(page_text") <= 1
