@@ -248,3 +248,31 @@ def test_the_search_of_titles_copies_no_substrings(spark):
     titles = [("".join(rnd.choice("abcdefghij ") for _ in range(60)),) for _ in range(200)]
     plan = sg.self_pairs(spark.createDataFrame(titles, "t string"), 85)._jdf.queryExecution().optimizedPlan().toString()
     assert "substring" not in plan and "collect_list" in plan
+
+
+def test_blocks_are_compared_where_they_lie(spark, monkeypatch):
+    """What is shuffled does not grow with the number of blocks: each string is dealt to its block, not copied to every pair."""
+    from lumenkg.operators import title_blocks as tb
+    titles = spark.createDataFrame([(f"title {i} " + "abcdefghij"[i % 10] * 30,) for i in range(200)], "t string")
+    for smallest in (100, 10):
+        monkeypatch.setattr(tb, "SMALLEST", smallest)
+        plan = tb.self_candidates(titles, 85)._jdf.queryExecution().optimizedPlan().toString()
+        assert "inline" not in plan and "explode" not in plan
+        executed = tb.self_candidates(titles, 85)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in executed and "Broadcast" not in executed
+
+
+def test_dropped_pairs_cannot_be_similar():
+    """The subsequence test drops pairs before their ends; it keeps those within reach and no others."""
+    import numpy as np
+    from lumenkg.operators import title_blocks as tb
+    rnd = random.Random(21)
+    for longest, least in ((30, 1), (64, 40), (200, 0)):
+        texts = ["".join(rnd.choice("abc d") for _ in range(rnd.randint(least, longest))) for _ in range(40)]
+        texts += [t[rnd.randint(0, 9):] + "abcd"[: rnd.randint(0, 4)] for t in texts]
+        x, y = tb._Tile(np.arange(80), texts, 0.155), tb._Tile(np.arange(80), texts[::-1], 0.155)
+        i, j = (a.ravel() for a in np.meshgrid(np.arange(80), np.arange(80)))
+        for delta in (0.0, 0.155, 0.305):
+            most = np.floor(delta * (x.n[i] + y.n[j]) + 1e-9).astype(np.int64)
+            want = [k for k in range(len(i)) if x.n[i[k]] + y.n[j[k]] - 2 * lcs_length(texts[i[k]], texts[79 - j[k]]) <= most[k]]
+            assert tb._alike(x, y, i, j, most).tolist() == want
