@@ -13,14 +13,15 @@ Plan:
   aggregated (min position per key, map-side combined), never expanded
   into pairs.
   Joins on them are plain, so the skew join can split a hot key.
-* D1 decides the rows in blocks by position, each as large as all before it.
+* D1 decides the rows in blocks by position, each ``GROWTH`` - 1 times as large as all before it.
   A block first loses the rows that match a row kept before it; only what is
   left is compared with itself.  So a cluster of many similar titles is
   joined with its kept leaders and its pairs are never listed.
 * Inside a block, a bounded prefix of the undecided rows is decided in order
-  in one task, and all others by rounds (drop a row with a kept earlier
-  neighbour; keep one without an undecided earlier neighbour), so that
-  neither one long chain nor many short ones take many rounds.
+  in one task (after those are dropped that match a row kept by a round), and
+  all others by rounds (drop a row with a kept earlier neighbour; keep one
+  without an undecided earlier neighbour), so that neither one long chain nor
+  many short ones take many rounds.
   Each round's state is checkpointed to the shared checkpoint folder.
 """
 from __future__ import annotations
@@ -38,6 +39,8 @@ ID_COLS = ("doi", "pmid", "pmcid")
 MIN_THRESHOLD = 70
 #: Rows of the first block, and undecided rows that one task decides in a round.
 BLOCK = 2048
+#: Rows decided after a block, as a multiple of those before it: every block costs some tens of jobs, whatever its size.
+GROWTH = 4
 
 
 def _checked(threshold: int) -> None:
@@ -116,21 +119,28 @@ def _first_kept(base: DataFrame, title: str, threshold: int) -> DataFrame:
     linked = shared.unionByName(near.select("key")).unionByName(near.select(F.col("nkey").alias("key"))).distinct()
     active = keys.join(linked, "key", "left_semi").select("pos").distinct()
     keys = cut_lineage(keys.join(active, "pos", "left_semi"))
+    both = near.unionByName(near.select(F.col("nkey").alias("key"), F.col("key").alias("nkey")))
     state = None  # pos, st: 1 kept, 2 dropped; None: all undecided
     left = keys.select("pos").distinct()
     while not left.isEmpty():
         # the first undecided rows, in order
         prefix = left.orderBy("pos").limit(BLOCK)
         part = keys.join(F.broadcast(prefix), "pos", "left_semi")  # BLOCK rows
+        dead = None
+        if state is not None:
+            # rows kept by the round before have not yet dropped those they match
+            taken = keys.join(state.where("st = 1"), "pos", "left_semi").select("key").distinct()
+            taken = taken.unionByName(both.join(taken, "key", "left_semi").select(F.col("nkey").alias("key")))
+            dead = part.join(taken, "key", "left_semi").select("pos").distinct()
+            part = part.join(dead, "pos", "left_anti")
         own = part.select("key").distinct()
         pairs = near.join(own, "key", "left_semi").join(own.withColumnRenamed("key", "nkey"), "nkey", "left_semi")
-        done = cut_lineage(_in_order(part, pairs))
-        state = done if state is None else cut_lineage(state.unionByName(done))
+        done = _in_order(part, pairs)
+        state = cut_lineage(done if state is None else state.unionByName(done).unionByName(dead.select("pos", F.lit(2).alias("st"))))
         left = cut_lineage(keys.select("pos").distinct().join(state, "pos", "left_anti"))
         if left.isEmpty():
             break
         # all other rows: one round of smallest earlier neighbours, undecided (mu) and kept (mk)
-        both = near.unionByName(near.select(F.col("nkey").alias("key"), F.col("key").alias("nkey")))
         live = left.withColumn("st", F.lit(0)).unionByName(state.where("st = 1"))
         by_key = keys.join(live, "pos").groupBy("key").agg(F.min(F.when(F.col("st") == 0, F.col("pos"))).alias("mu"),
                                                            F.min(F.when(F.col("st") == 1, F.col("pos"))).alias("mk"))
@@ -160,7 +170,7 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
 
     ``order`` must be unique whole numbers.  With ``registry`` (S8 output of earlier
     runs) rows matching a registered key or title are dropped first (J7).
-    ``block`` is the number of rows of the first block; each later one doubles the rows decided.
+    ``block`` is the number of rows of the first block; each later one multiplies the rows decided by ``GROWTH``.
     """
     # the input is evaluated once: only order, title and identifiers take part, the rest is read again at the end
     ids = [c for c in ID_COLS if c in df.columns]
@@ -174,7 +184,7 @@ def deduplicate(df: DataFrame, order: str = "pos", title: str = "title",
     edges, share = [], block / max(n, 1)
     while share < 1:
         edges.append(share)
-        share *= 2
+        share *= GROWTH
     # a rough cut is enough: the blocks' sizes change the work, not the result
     bounds = sorted(set(base.approxQuantile("pos", edges, 0.1 * block / n))) if edges else []
     kept = None

@@ -276,3 +276,25 @@ def test_dropped_pairs_cannot_be_similar():
             most = np.floor(delta * (x.n[i] + y.n[j]) + 1e-9).astype(np.int64)
             want = [k for k in range(len(i)) if x.n[i[k]] + y.n[j[k]] - 2 * lcs_length(texts[i[k]], texts[79 - j[k]]) <= most[k]]
             assert tb._alike(x, y, i, j, most).tolist() == want
+
+
+def test_rows_kept_by_a_round_drop_what_they_match(spark, monkeypatch):
+    """Pairs and threes of equal or similar titles beyond the rows that are decided in order."""
+    import lumenkg.operators.dedup as dd
+    monkeypatch.setattr(dd, "BLOCK", 6)
+    rnd = random.Random(31)
+    names = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(40)) for _ in range(20)]
+    rows = [(i, t + tail, None) for i, (t, tail) in enumerate((t, tail) for t in names for tail in ("", "", "x"))]
+    df = spark.createDataFrame(rows, "pos long, title string, doi string")
+    assert sorted(r.pos for r in dd.deduplicate(df, block=100).collect()) == sequential(rows)
+
+
+def test_few_blocks_for_many_rows(spark, monkeypatch):
+    """Every block costs tens of jobs: rows decided grow fourfold with each."""
+    import lumenkg.operators.dedup as dd
+    blocks = []
+    monkeypatch.setattr(dd, "_first_kept", lambda rows, *a, real=dd._first_kept: blocks.append(1) or real(rows, *a))
+    rows = [(i, f"{i * 7919 % 1009:04d}" * 9, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "pos long, title string, doi string")
+    assert sorted(r.pos for r in dd.deduplicate(df, block=10).collect()) == sequential(rows)
+    assert len(blocks) <= 5
