@@ -314,3 +314,13 @@ def test_candidates_are_computed_once_a_row(spark):
     plan = df.select("pos", "title")._jdf.queryExecution().optimizedPlan().toString()
     assert not [ln for ln in plan.split("\n") if "Filter" in ln and "ontains(" in ln]
     assert plan.count("lower(page_text") <= 1
+
+
+def test_workers_hold_few_pages_at_a_time(spark):
+    """Pages are not gathered into Arrow batches, whose rows are counted by the session and whose pages may be large."""
+    from lumenkg.plans.pages import page_publications
+    df = spark.createDataFrame([(1, "http://x.org/1", "<title> a </title><meta name=m><body>b</body>"), (2, "http://x.org/2", None)], "page_id long, url string, html string")
+    plan = page_publications(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert [(r.pos, r.title, r.page_text) for r in page_publications(df).collect()] == [(1, "a", "b")]
+    assert [r.page and r.page.meta for r in parse_pages(df).orderBy("page_id").collect()] == [{"m": None}, None]
