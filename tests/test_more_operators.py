@@ -195,3 +195,14 @@ def test_graph_counts_equal_the_tables(spark):
     want |= {("edge", r.predicate, r.n) for r in edges.groupBy("predicate").agg(F.count("*").alias("n")).collect()}
     want |= {("max_in_degree", "any", in_degree(edges).agg(F.max("in_degree")).first()[0])}
     assert {tuple(r) for r in graph_counts(t).collect()} == want
+
+
+def test_triples_of_pages_hold_few_pages_in_a_worker(spark, tmp_path):
+    """From pages to triples no step gathers pages into Arrow batches."""
+    from lumenkg.operators.graph import merge_triples, to_triples
+    from lumenkg.plans import catalog
+    html = "<title>Mice in space</title><body><p>microgravity and mice, " + "a text of some length, " * 9 + "</p></body>"
+    spark.createDataFrame([(1, "http://x.org/1", html), (2, "http://x.org/2", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = merge_triples(to_triples(catalog._pages_enriched(spark, str(tmp_path))))
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.o for r in out.where("o_kind = 'literal'").collect()} >= {"Mice in space", "mice", "microgravity"}
